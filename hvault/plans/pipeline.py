@@ -142,6 +142,24 @@ def checkpointer(spark: SparkSession) -> Materialize:
     return lambda name, df: df.checkpoint(eager=True)
 
 
+def table_writer(spark: SparkSession, root: str | None = None) -> Materialize:
+    """Write each table as parquet under a fresh folder in the session's shared
+    checkpoint folder and read it back: lineage is cut, a lost executor
+    re-reads stored files, and later scans get column pruning and pushdown."""
+    import uuid
+
+    from hvault.session import ensure_checkpoint_dir
+
+    base = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/vault-{uuid.uuid4().hex}"
+
+    def write(name: str, df: DataFrame) -> DataFrame:
+        path = f"{base}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    return write
+
+
 def staged_batches(sources: Mapping[str, DataFrame], windows=WINDOWS) -> list[dict[str, DataFrame]]:
     refs = {n: sources[n] for n in REFERENCE_LISTS}
     return [stage_batch(STAGING, sources, refs, start, end) for start, end in windows]
