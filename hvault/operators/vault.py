@@ -32,11 +32,14 @@ def split_by_keys(target: DataFrame, keys: DataFrame, key: str, small: bool | No
     count); without it the key set is counted. A small key set is broadcast,
     so the target is filtered where it lies, without a shuffle.
     """
-    k = keys.select(key).distinct()
+    k = keys.select(key)
     if small is None:
-        k = broadcast_if_small(k)
+        k = broadcast_if_small(k.distinct())
     elif small:
+        # the bound is on rows, so duplicates need no exchange to be removed
         k = F.broadcast(k)
+    else:
+        k = k.distinct()
     return target.join(k, key, "left_semi"), target.join(k, key, "left_anti")
 
 
@@ -197,67 +200,94 @@ def load_hsat(
     """SCD2 load of a hub satellite. ``batch``: key, hash, create_dttm,
     delete_dttm, attributes, last_update (typed).
 
+    Both modes first keep one batch row per (key, start): the latest
+    last_update, then the largest hash.
+
     reference: target rows of the batch's keys from the batch's first start on
     are merged with the batch; batch rows (and open target rows starting
     before the batch's last start) end at their explicit deletion or else at
     the next start; the result is upserted on (key, start), updating only the
-    end and the version of existing rows.
+    end and the version of existing rows (their attributes stay).
     strict: every row of a touched key ends at least(own explicit end, next
     start), a batch row replaces the target row of the same start (new
     attributes), and unchanged rows keep their version.
+
+    Plan: the batch rows and the touched target rows are unioned and
+    exchanged once by key; the per-start choice, the shadowing of target rows
+    by batch rows of the same start and the next start are windows over that
+    one partitioning and sort order. Untouched target rows pass through a
+    broadcast anti join (the batch key set is proven small) without a shuffle.
     """
     out_cols = [key, "version_id", hash_col, FROM, TO, "src_cd", *attrs]
-    b = one_row_per_start(batch.select(key, hash_col, "create_dttm", "delete_dttm", *attrs, "last_update"), key, hash_col)
+    b = batch.filter(F.col("create_dttm").isNotNull())
     touched, untouched = split_by_keys(target, b, key, small)
-    by_key = Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last())
-    v = F.lit(version).cast("long")
-
-    if mode == REFERENCE:
-        dk = b.groupBy(key).agg(F.min("create_dttm").alias("_min"), F.max("create_dttm").alias("_max"))
-        hist = (
-            touched.join(dk, key)
-            .filter(F.col(FROM) >= F.col("_min"))
-            .join(b.select(key, F.col("create_dttm").alias(FROM)), [key, FROM], "left_anti")
-            .select(key, FROM, F.col(TO).alias("_eff_to"), ((F.col(TO) == open_end()) & (F.col(FROM) < F.col("_max"))).alias("_mark"))
-        )
-        merged = b.select(key, F.col("create_dttm").alias(FROM), F.col("delete_dttm").alias("_eff_to"), F.lit(True).alias("_mark"), hash_col, *attrs).unionByName(
-            hist, allowMissingColumns=True
-        )
-        new_to = F.coalesce(F.nullif(F.col("_eff_to"), open_end()), F.lead(FROM).over(by_key))
-        final = merged.withColumn("_new_to", F.when(F.col("_mark"), new_to).otherwise(F.col("_eff_to"))).filter(F.col("_mark")).select(
-            key, FROM, F.coalesce("_new_to", open_end()).alias("_new_to"), F.col(hash_col).alias("_h"), *[F.col(a).alias(f"_n_{a}") for a in attrs]
-        )
-        t = touched.alias("t")
-        up = t.join(final.alias("f"), [key, FROM], "full_outer")
-        matched_or_new = F.col("f._new_to").isNotNull()
-        exists = F.col("t.src_cd").isNotNull()
-        result = up.select(
-            key,
-            F.when(matched_or_new, v).otherwise(F.col("t.version_id")).alias("version_id"),
-            F.when(exists, F.col(f"t.{hash_col}")).otherwise(F.col("f._h")).alias(hash_col),
-            FROM,
-            F.coalesce(F.col("f._new_to"), F.col(f"t.{TO}")).alias(TO),
-            F.when(exists, F.col("t.src_cd")).otherwise(F.lit(src_cd)).alias("src_cd"),
-            *[F.when(exists, F.col(f"t.{a}")).otherwise(F.col(f"f._n_{a}")).alias(a) for a in attrs],
-        )
-        return untouched.select(*out_cols).unionByName(result.select(*out_cols))
-
-    kept = touched.join(b.select(key, F.col("create_dttm").alias(FROM)), [key, FROM], "left_anti")
-    combined = b.select(
+    ts_type = target.schema[FROM].dataType
+    new_rows = b.select(
         key,
         F.col("create_dttm").alias(FROM),
-        F.coalesce(F.col("delete_dttm"), open_end()).alias("_explicit"),
+        F.lit(0).alias("_prio"),
+        F.col("delete_dttm").alias("_explicit"),
         hash_col,
         *attrs,
-        F.lit(None).cast("long").alias("_old_v"),
-        F.lit(None).cast(touched.schema[TO].dataType).alias("_old_to"),
         F.lit(src_cd).alias("src_cd"),
-    ).unionByName(
-        kept.select(
-            key, FROM, F.col(TO).alias("_explicit"), hash_col, *attrs, F.col("version_id").alias("_old_v"), F.col(TO).alias("_old_to"), "src_cd"
-        )
+        F.col("last_update").alias("_lu"),
+        F.col("delete_dttm").alias("_del"),
+        F.lit(None).cast("long").alias("_old_v"),
+        F.lit(None).cast(ts_type).alias("_old_to"),
+    )
+    old_rows = touched.select(
+        key,
+        FROM,
+        F.lit(1).alias("_prio"),
+        F.col(TO).alias("_explicit"),
+        hash_col,
+        *attrs,
+        "src_cd",
+        F.lit(None).cast(ts_type).alias("_lu"),
+        F.lit(None).cast(ts_type).alias("_del"),
+        F.col("version_id").alias("_old_v"),
+        F.col(TO).alias("_old_to"),
     )
-    ends = combined.withColumn(TO, F.least(F.col("_explicit"), F.coalesce(F.lead(FROM).over(by_key), open_end())))
-    unchanged = F.col("_old_v").isNotNull() & (F.col("_old_to") == F.col(TO))
-    result = ends.withColumn("version_id", F.when(unchanged, F.col("_old_v")).otherwise(v))
-    return untouched.select(*out_cols).unionByName(result.select(*out_cols))
+    u = new_rows.unionByName(old_rows)
+    order = [F.col(FROM).asc(), F.col("_prio").asc(), F.col("_lu").desc_nulls_last(), F.col(hash_col).desc_nulls_last(), F.col("_del").desc_nulls_last()]
+    order += [F.col(a).desc_nulls_last() for a in attrs]
+    w_first = Window.partitionBy(key).orderBy(*order)
+    w_start = Window.partitionBy(key, FROM)
+    w_key = Window.partitionBy(key)
+    old = F.struct(F.col(hash_col).alias("h"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)], F.col("src_cd").alias("src"))
+    u = u.select(
+        "*",
+        F.lag(FROM).over(w_first).alias("_prev_from"),
+        F.max(F.when(F.col("_prio") == 1, old)).over(w_start).alias("_old"),
+        F.min(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_min"),
+        F.max(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_max"),
+    )
+    kept = u.filter(F.col("_prev_from").isNull() | (F.col("_prev_from") != F.col(FROM)))
+    next_from = F.lead(FROM).over(Window.partitionBy(key).orderBy(F.col(FROM).asc()))
+    v = F.lit(version).cast("long")
+    is_new = F.col("_prio") == 0
+    if mode == REFERENCE:
+        mark = is_new | ((F.col(FROM) >= F.col("_min")) & (F.col("_explicit") == open_end()) & (F.col(FROM) < F.col("_max")))
+        new_to = F.coalesce(F.nullif(F.col("_explicit"), open_end()), next_from, open_end())
+        has_old = is_new & F.col("_old").isNotNull()
+        res = kept.select(
+            key,
+            F.when(mark, v).otherwise(F.col("_old_v")).alias("version_id"),
+            F.when(has_old, F.col("_old.h")).otherwise(F.col(hash_col)).alias(hash_col),
+            FROM,
+            F.when(mark, new_to).otherwise(F.col("_explicit")).alias(TO),
+            F.when(has_old, F.col("_old.src")).otherwise(F.col("src_cd")).alias("src_cd"),
+            *[F.when(has_old, F.col(f"_old.a{i}")).otherwise(F.col(a)).alias(a) for i, a in enumerate(attrs)],
+        )
+    else:
+        end = F.least(F.coalesce(F.col("_explicit"), open_end()), F.coalesce(next_from, open_end()))
+        res = kept.withColumn("_end", end).select(
+            key,
+            F.when(~is_new & (F.col("_old_to") == F.col("_end")), F.col("_old_v")).otherwise(v).alias("version_id"),
+            hash_col,
+            FROM,
+            F.col("_end").alias(TO),
+            "src_cd",
+            *attrs,
+        )
+    return untouched.select(*out_cols).unionByName(res.select(*out_cols))
