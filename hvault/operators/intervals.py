@@ -25,6 +25,7 @@ def merge_intervals(
     start: str = "create_dttm",
     end: str = "delete_dttm",
     mode: str = REFERENCE,
+    first_of: Sequence[str] = (),
 ) -> DataFrame:
     """Merge overlapping or touching intervals per key.
 
@@ -32,10 +33,14 @@ def merge_intervals(
     starts a new island when the start lies after the *previous row's* end
     (a short interval inside a long one can then open a second island);
     ``strict`` compares with the running maximum end. Output: (key, start,
-    end) with the open end back to NULL.
+    end) with the open end back to NULL; ``first_of`` columns are taken from
+    the island's first row (as a struct column ``_first``).
+
+    One exchange on the key: the island windows and the per-island aggregate
+    all run on that partitioning.
     """
     base = df.filter(F.col(start).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(start).alias("_s"), F.coalesce(F.col(end), open_end()).alias("_e")
+        F.col(key).alias("_k"), F.col(start).alias("_s"), F.coalesce(F.col(end), open_end()).alias("_e"), *first_of
     )
     ordered = Window.partitionBy("_k").orderBy(F.col("_s").asc(), F.col("_e").asc())
     if mode == REFERENCE:
@@ -47,8 +52,11 @@ def merge_intervals(
         island_w = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     flagged = base.withColumn("_gap", F.when(F.col("_s") > prev_end, 1).otherwise(0))
     islands = flagged.withColumn("_island", F.sum("_gap").over(island_w))
-    return islands.groupBy("_k", "_island").agg(F.min("_s").alias(start), F.max("_e").alias("_max")).select(
-        F.col("_k").alias(key), F.col(start), F.nullif(F.col("_max"), open_end()).alias(end)
+    aggs = [F.min("_s").alias(start), F.max("_e").alias("_max")]
+    if first_of:
+        aggs.append(F.min(F.struct("_s", *first_of)).alias("_first"))
+    return islands.groupBy("_k", "_island").agg(*aggs).select(
+        F.col("_k").alias(key), F.col(start), F.nullif(F.col("_max"), open_end()).alias(end), *(["_first"] if first_of else [])
     )
 
 

@@ -64,7 +64,7 @@ def load_hub(
     cand = reduce(DataFrame.unionByName, [c.select(key, id_col) for c in candidates])
     cand = cand.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(id_col).alias(id_col))
     existing, _ = split_by_keys(hub.select(key), cand, key, small)
-    new = cand.join(existing, key, "left_anti")
+    new = cand.join(F.broadcast(existing) if small else existing, key, "left_anti")
     extra = [c for c in hub.columns if c not in (key, id_col, "load_dttm", "src_cd")]
     new = new.select(
         key,
@@ -90,7 +90,7 @@ class LinkLoad:
 def _insert_links(link: DataFrame, rows: DataFrame, key: str, hub_keys: Sequence[str], src_cd: str, load_ts: str, small: bool | None) -> DataFrame:
     cand = rows.groupBy(key).agg(*[F.min(h).alias(h) for h in hub_keys])
     existing, _ = split_by_keys(link.select(key), cand, key, small)
-    return cand.join(existing, key, "left_anti").select(
+    return cand.join(F.broadcast(existing) if small else existing, key, "left_anti").select(
         key, *hub_keys, ts_lit(load_ts).alias("load_dttm"), F.lit(src_cd).alias("src_cd")
     )
 
@@ -148,21 +148,33 @@ def load_link(
         return LinkLoad(link.unionByName(new_links), untouched.unionByName(up), new_links, True)
 
     new_links = _insert_links(link, staged, key, hub_keys, src_cd, load_ts, small)
-    rows = staged.select(key, "create_dttm", "delete_dttm").unionByName(
-        touched.select(key, F.col(FROM).alias("create_dttm"), F.nullif(F.col(TO), open_end()).alias("delete_dttm"))
-    )
-    per_start = rows.filter(F.col("create_dttm").isNotNull()).groupBy(key, "create_dttm").agg(F.min("delete_dttm").alias("delete_dttm"))
-    merged = merge_intervals(per_start, key, "create_dttm", "delete_dttm", STRICT).select(
-        key, F.col("create_dttm").alias(FROM), F.coalesce("delete_dttm", open_end()).alias(TO)
+    # One exchange on the key: per-start ends, islands and the island's first
+    # old row (to keep unchanged versions) all reuse that partitioning.
+    ts_type = lsat.schema[TO].dataType
+    rows = staged.select(
+        key, "create_dttm", "delete_dttm", F.lit(None).cast(ts_type).alias("_old_to"), F.lit(None).cast("long").alias("_old_v"), F.lit(None).cast("string").alias("_old_src")
+    ).unionByName(
+        touched.select(
+            key,
+            F.col(FROM).alias("create_dttm"),
+            F.nullif(F.col(TO), open_end()).alias("delete_dttm"),
+            F.col(TO).alias("_old_to"),
+            F.col("version_id").alias("_old_v"),
+            F.col("src_cd").alias("_old_src"),
+        )
+    ).repartition(key)
+    per_start = rows.filter(F.col("create_dttm").isNotNull()).groupBy(key, "create_dttm").agg(
+        F.min("delete_dttm").alias("delete_dttm"), F.max(F.struct("_old_to", "_old_v", "_old_src")).alias("_old")
     )
-    old = touched.select(key, FROM, F.col(TO).alias("_old_to"), F.col("version_id").alias("_old_v"), F.col("src_cd").alias("_old_src"))
-    same = (F.col("_old_to") == F.col(TO))
-    replaced = merged.join(old, [key, FROM], "left").select(
+    merged = merge_intervals(per_start, key, "create_dttm", "delete_dttm", STRICT, first_of=["_old"])
+    to = F.coalesce("delete_dttm", open_end())
+    same = F.col("_first._old._old_to") == to
+    replaced = merged.select(
         key,
-        F.when(same, F.col("_old_v")).otherwise(F.lit(version).cast("long")).alias("version_id"),
-        FROM,
-        TO,
-        F.when(same, F.col("_old_src")).otherwise(F.lit(src_cd)).alias("src_cd"),
+        F.when(same, F.col("_first._old._old_v")).otherwise(F.lit(version).cast("long")).alias("version_id"),
+        F.col("create_dttm").alias(FROM),
+        to.alias(TO),
+        F.when(same, F.col("_first._old._old_src")).otherwise(F.lit(src_cd)).alias("src_cd"),
     )
     return LinkLoad(link.unionByName(new_links), untouched.unionByName(replaced), new_links, True)
 
