@@ -43,6 +43,36 @@ def split_by_keys(target: DataFrame, keys: DataFrame, key: str, small: bool | No
     return target.join(k, key, "left_semi"), target.join(k, key, "left_anti")
 
 
+def upsert_interval(
+    target: DataFrame,
+    rows: DataFrame,
+    key: str,
+    start: str = FROM,
+    update: Sequence[str] = (TO,),
+    small: bool | None = None,
+) -> DataFrame:
+    """Upsert on (key, start): where (key, start) exists only the ``update``
+    columns of the existing row change; other rows are inserted whole
+    (columns missing in ``rows`` are NULL).
+
+    Only keys present in ``rows`` are rewritten. Existing and new rows of a
+    (key, start) meet in one aggregate (one exchange of both sides together)
+    instead of a full outer join.
+    """
+    touched, untouched = split_by_keys(target, rows, key, small)
+    cols = [c for c in target.columns if c not in (key, start)]
+    typed = [F.col(c) if c in rows.columns else F.lit(None).cast(target.schema[c].dataType).alias(c) for c in cols]
+    t = touched.select(key, start, F.lit(None).alias("_new"), F.struct(*cols).alias("_old"))
+    r = rows.select(key, start, F.struct(*typed).alias("_new"), F.lit(None).alias("_old"))
+    g = t.unionByName(r, allowMissingColumns=True).groupBy(key, start).agg(F.max("_new").alias("_new"), F.max("_old").alias("_old"))
+    pick = lambda c: (
+        F.when(F.col("_old").isNull(), F.col(f"_new.{c}"))
+        .when(F.col("_new").isNull(), F.col(f"_old.{c}"))
+        .otherwise(F.col(f"_new.{c}") if c in update else F.col(f"_old.{c}"))
+    )
+    return untouched.unionByName(g.select(key, start, *[pick(c).alias(c) for c in cols]).select(*target.columns))
+
+
 # --- hubs ------------------------------------------------------------------
 
 

@@ -808,3 +808,16 @@ def build(sql: str) -> str:
 
 
 ORACLES: dict[str, str] = {name: build(sql) for name, sql in Q.items()}
+
+cte("ups_rows", f"""
+SELECT acc_x_app_hash_key, {ts('create_dttm')} AS effective_from_dttm, MIN(COALESCE({ts('delete_dttm')}, {OPEN})) AS effective_to_dttm
+FROM stg_crm_account_2 GROUP BY 1, 2""")
+Q["upsert_interval"] = f"""
+SELECT acc_x_app_hash_key, version_id, effective_from_dttm, {nul('effective_to_dttm')}, src_cd FROM (
+  SELECT * FROM s_lsat_acc_x_app_1 t WHERE NOT EXISTS (SELECT 1 FROM ups_rows r WHERE r.acc_x_app_hash_key = t.acc_x_app_hash_key)
+  UNION ALL
+  SELECT COALESCE(t.acc_x_app_hash_key, r.acc_x_app_hash_key), COALESCE(t.version_id, 2), COALESCE(t.effective_from_dttm, r.effective_from_dttm),
+    COALESCE(r.effective_to_dttm, t.effective_to_dttm), COALESCE(t.src_cd, 'CRM')
+  FROM (SELECT * FROM s_lsat_acc_x_app_1 x WHERE EXISTS (SELECT 1 FROM ups_rows y WHERE y.acc_x_app_hash_key = x.acc_x_app_hash_key)) t
+  FULL OUTER JOIN ups_rows r ON t.acc_x_app_hash_key = r.acc_x_app_hash_key AND t.effective_from_dttm = r.effective_from_dttm)"""
+ORACLES["upsert_interval"] = build(Q["upsert_interval"])

@@ -245,7 +245,8 @@ def vault_store(spark: SparkSession, sf_dir: str, mode: str = STRICT) -> VaultSt
     """One store per (session, data folder, mode): queries over the same vault share it."""
     from hvault.sources.adaptor import derive_sources
 
-    key = (id(spark), sf_dir, mode)
-    if key not in _STORES:
-        _STORES[key] = VaultStore(spark, derive_sources(spark, sf_dir), mode)
-    return _STORES[key]
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, mode)
+    st = _STORES.get(key)
+    if st is None or st.spark is not spark:
+        st = _STORES[key] = VaultStore(spark, derive_sources(spark, sf_dir), mode)
+    return st

@@ -460,3 +460,25 @@ QUERIES["dq_summary"] = lambda spark, sf_dir: dq.summary(_dq_results(spark, sf_d
 QUERIES["dq_failures"] = lambda spark, sf_dir: dq.failures(_dq_results(spark, sf_dir, REFERENCE))
 
 _ = (WINDOWS,)
+
+
+@query("upsert_interval")
+def q_upsert_interval(spark, sf_dir):
+    """Batch-2 account/application intervals upserted into the batch-1 link satellite (end only)."""
+    from hvault.functions import open_end
+    from hvault.operators.vault import upsert_interval
+
+    st = _store(spark, sf_dir)
+    target = st.vault(1, {"lsat_acc_x_app"})["lsat_acc_x_app"]
+    rows = (
+        st.staged(2)["crm_account"]
+        .select(
+            "acc_x_app_hash_key",
+            to_ts("create_dttm").alias("effective_from_dttm"),
+            F.coalesce(to_ts("delete_dttm"), open_end()).alias("effective_to_dttm"),
+        )
+        .groupBy("acc_x_app_hash_key", "effective_from_dttm")
+        .agg(F.min("effective_to_dttm").alias("effective_to_dttm"))
+        .select("*", F.lit(2).cast("long").alias("version_id"), F.lit("CRM").alias("src_cd"))
+    )
+    return present(upsert_interval(target, rows, "acc_x_app_hash_key"))

@@ -23,10 +23,10 @@ from hvault.sources.catalogue import SourceSpec
 CSV_OPTIONS = {"sep": ",", "quote": '"', "escape": '"'}
 
 
-def write_folder(df: DataFrame, root: str, spec: SourceSpec, files: int = 1) -> str:
+def write_folder(df: DataFrame, root: str, spec: SourceSpec, files: int = 1, mode: str = "overwrite") -> str:
     """Write an entity as CSV files (with a header line in each file when the spec has one)."""
     path = f"{root.rstrip('/')}/{spec.entity}"
-    df.select(*spec.columns).repartition(files).write.mode("overwrite").options(header=str(spec.has_header).lower(), **CSV_OPTIONS).csv(path)
+    df.select(*spec.columns).repartition(files).write.mode(mode).options(header=str(spec.has_header).lower(), **CSV_OPTIONS).csv(path)
     return path
 
 
