@@ -10,6 +10,7 @@ first extract.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -182,29 +183,39 @@ class VaultStore:
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], mode: str = STRICT, materialize: Materialize | None = None,
-                 max_broadcast_rows: int = 4_000_000):
+                 max_broadcast_rows: int = 4_000_000, parallel_jobs: int = 8):
         self.spark = spark
         self.mode = mode
         self.materialize = materialize or checkpointer(spark)
         self.max_broadcast_rows = max_broadcast_rows
+        self.parallel_jobs = parallel_jobs
         self.sources = sources
         self._staged: dict[int, dict[str, DataFrame]] = {}
         self._small: dict[int, dict[str, bool]] = {}
         self._vaults: dict[int, Vault] = {0: empty_vault(spark)}
         self._done: dict[int, set[str]] = {0: set(HUBS) | set(SATS) | {x for ln in LINKS.values() for x in (ln.name, ln.lsat)}}
 
+    def _materialize_all(self, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+        """Materialise independent tables as concurrent Spark jobs (one driver
+        thread each): small stages leave cores idle, concurrent jobs fill them."""
+        with ThreadPoolExecutor(max_workers=self.parallel_jobs) as pool:
+            futures = {n: pool.submit(self.materialize, n, df) for n, df in frames.items()}
+            return {n: f.result() for n, f in futures.items()}
+
     def refs(self) -> dict[str, DataFrame]:
         if not hasattr(self, "_refs"):
-            self._refs = {n: self.materialize(n, self.sources[n]) for n in REFERENCE_LISTS}
+            self._refs = self._materialize_all({n: self.sources[n] for n in REFERENCE_LISTS})
         return self._refs
 
     def staged(self, batch: int) -> dict[str, DataFrame]:
         """Staged entities of batch 1 or 2 (materialised)."""
         if batch not in self._staged:
             start, end = WINDOWS[batch - 1]
-            out = {n: self.materialize(f"stg_{n}_{batch}", df) for n, df in stage_batch(STAGING, self.sources, self.refs(), start, end).items()}
+            out = self._materialize_all(stage_batch(STAGING, self.sources, self.refs(), start, end))
             self._staged[batch] = out
-            self._small[batch] = {n: df.count() <= self.max_broadcast_rows for n, df in out.items()}
+            with ThreadPoolExecutor(max_workers=self.parallel_jobs) as pool:
+                counts = dict(zip(out, pool.map(lambda df: df.count(), out.values())))
+            self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in counts.items()}
         return self._staged[batch]
 
     def vault(self, batch: int, names: set[str]) -> Vault:
@@ -222,8 +233,7 @@ class VaultStore:
             loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch])
             cur = self._vaults.get(batch, replace(prev, tables=dict(prev.tables), versions=[v for v in prev.versions]))
             tables = dict(cur.tables)
-            for n in missing:
-                tables[n] = self.materialize(f"{n}_{batch}", loaded.tables[n])
+            tables.update(self._materialize_all({n: loaded.tables[n] for n in missing}))
             prev_keys = {(t, ts, v) for t, ts, v in prev.versions}
             new_versions = [v for v in loaded.versions if v not in prev_keys and v[0] in missing]
             versions = [v for v in cur.versions if v not in new_versions] + new_versions
