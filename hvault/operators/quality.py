@@ -145,3 +145,51 @@ SINGLE_TABLE_CHECKS: Sequence[tuple[str, CheckFn]] = (
     ("dq_invalid_interval", invalid_intervals),
     ("dq_duplicate_keys", duplicate_keys),
 )
+
+
+def table_results(sat: DataFrame, key: str, hub: DataFrame, staged: DataFrame, table: str, check_ts: str, hash_col: str = "hash_diff") -> DataFrame:
+    """The eight result rows of one table from one pass over it.
+
+    Seven checks become row flags computed by windows over one partitioning
+    of the satellite by key (the hub look-up is a left join on the same key);
+    one aggregate then yields result, versions and count per check. Only the
+    explicit-deletion check, which joins the staged batch on (key, start),
+    runs as its own branch. Same results as running ``checks_for`` one by one.
+    """
+    closed = F.col(TO) != open_end()
+    is_open = F.col(TO) == open_end()
+    w = Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last())
+    hub_keys = hub.select(key).distinct().withColumn("_in_hub", F.lit(True))
+    rows = sat.join(hub_keys, key, "left").select(
+        "*",
+        F.first(F.when(closed, F.col(FROM)), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_next_closed"),
+        F.lead(FROM).over(w).alias("_next"),
+        F.sum(is_open.cast("int")).over(Window.partitionBy(key)).alias("_n_open"),
+        F.count(F.lit(1)).over(Window.partitionBy(key, FROM)).alias("_n_start"),
+    )
+    flags = {
+        "check_overlapping_intervals": closed & (F.col(TO) > F.col("_next_closed")),
+        "check_multiple_current_records": is_open & (F.col("_n_open") > 1),
+        "check_gaps_in_history": closed & F.col("_next").isNotNull() & (F.col("_next") > F.col(TO)),
+        "check_referential_integrity": F.col("_in_hub").isNull(),
+        "check_invalid_intervals": F.col(FROM) > F.col(TO),
+        "check_duplicate_keys": F.col("_n_start") > 1,
+        "check_null_hash_diff": F.col(hash_col).isNull(),
+    }
+    row_id = F.struct(F.col(key), "version_id", FROM, TO)
+    aggs = []
+    for name, flag in flags.items():
+        flag = F.coalesce(flag, F.lit(False))
+        n = F.count_distinct(F.when(flag, row_id)) if name == "check_referential_integrity" else F.count_if(flag)
+        versions = F.nullif(F.array_join(F.array_sort(F.collect_set(F.when(flag, F.col("version_id").cast("string")))), "#"), F.lit(""))
+        aggs.append(F.struct(F.lit(name).alias("test_name"), versions.alias("versions"), n.cast("long").alias("error_count")).alias(name))
+    per_check = rows.agg(*aggs).select(F.inline(F.array(*[F.col(n) for n in flags])))
+    one_pass = per_check.select(
+        F.lit(table).alias("table_name"),
+        "test_name",
+        F.when(F.col("error_count") == 0, "PASS").otherwise("FAIL").alias("result"),
+        "versions",
+        "error_count",
+        ts_lit(check_ts).alias("check_timestamp"),
+    )
+    return one_pass.unionByName(summarize_check(table, "check_explicit_deletion", explicit_deletion(sat, staged, key), check_ts))

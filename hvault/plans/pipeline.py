@@ -115,16 +115,22 @@ def run_batch(
         if want(h.name):
             tiny = all(small.get(e, False) for e, _, _ in h.sources) if small else None
             tables[h.name], _ = load_hub(vault[h.name], hub_candidates(h, staged), h.key, h.id_col, h.src_cd, load_ts, tiny)
-    for ln in LINKS.values():
-        if not (want(ln.name) or want(ln.lsat)):
-            continue
+    # Link loads are independent; in reference mode each needs an early-exit
+    # count (a Spark job), so they are planned from concurrent driver threads.
+    todo = [ln for ln in LINKS.values() if want(ln.name) or want(ln.lsat)]
+
+    def _one(ln):
         version = vault.next_version(ln.lsat)
         res = load_link(
             vault[ln.name], vault[ln.lsat], link_rows(ln, staged), ln.key, ln.hub_keys, ln.src_cd, version, load_ts, mode, small.get(ln.staging)
         )
-        tables[ln.name], tables[ln.lsat] = res.link, res.lsat
-        if res.loaded:
-            versions.append((ln.lsat, load_ts, version))
+        return ln, version, res
+
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        for ln, version, res in pool.map(_one, todo):
+            tables[ln.name], tables[ln.lsat] = res.link, res.lsat
+            if res.loaded:
+                versions.append((ln.lsat, load_ts, version))
     for s in SATS.values():
         if want(s.name):
             version = vault.next_version(s.name)

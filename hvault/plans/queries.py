@@ -450,8 +450,8 @@ QUERIES["dq_null_required"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lam
 
 
 def _dq_results(spark, sf_dir, mode=STRICT):
-    per = {n: dq.checks_for(sat, key, hub, stg, h) for n, (sat, key, hub, stg, h) in _dq_inputs(spark, sf_dir, mode).items()}
-    return dq.results(per, LOAD_TS[1])
+    parts = [dq.table_results(sat, key, hub, stg, n, LOAD_TS[1], h) for n, (sat, key, hub, stg, h) in _dq_inputs(spark, sf_dir, mode).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 QUERIES["dq_results"] = lambda spark, sf_dir: _dq_results(spark, sf_dir)

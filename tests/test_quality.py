@@ -38,3 +38,23 @@ def test_results_summary_and_failures(spark):
     s = dq.summary(res).first()
     assert (s.total_tests, s.failed_tests) == (8, 1)
     assert [r.test_name for r in dq.failures(res).collect()] == ["check_multiple_current_records"]
+
+
+def test_one_pass_results_equal_check_by_check(spark):
+    sat = _sat(spark, [
+        ("a", 1, "h", 1, 10), ("a", 2, "h", 5, 12), ("a", 3, "h", 20, None),
+        ("b", 1, "h", 1, 3), ("b", 2, "h", 5, None),
+        ("c", 1, "h", 1, None), ("c", 2, None, 4, None),
+        ("d", 1, "h", 9, 2),
+        ("e", 1, "h", 1, 2), ("e", 3, "h", 1, 4),
+    ])
+    hub = spark.createDataFrame([("a",), ("b",)], "k string")
+    staged = spark.createDataFrame([("a", "2000-01-06 00:00:00", "2000-01-09 00:00:00")], "k string, create_dttm string, delete_dttm string")
+    slow = dq.results({"t": dq.checks_for(sat, "k", hub, staged)}, "2001-01-01 00:00:00")
+    fast = dq.table_results(sat, "k", hub, staged, "t", "2001-01-01 00:00:00")
+    cols = ["table_name", "test_name", "result", "versions", "error_count"]
+    assert sorted(map(tuple, slow.select(cols).collect())) == sorted(map(tuple, fast.select(cols).collect()))
+    assert {r.test_name for r in fast.collect() if r.result == "FAIL"} == {
+        "check_overlapping_intervals", "check_explicit_deletion", "check_multiple_current_records", "check_gaps_in_history",
+        "check_referential_integrity", "check_invalid_intervals", "check_duplicate_keys", "check_null_hash_diff",
+    }
