@@ -24,9 +24,18 @@ def _out(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("bk_value"), F.col("version_id").cast("long").alias("version_id"), F.col(FROM), F.col(TO))
 
 
+def _asc(key: str) -> Window:
+    """Row order of a key's history; ties on the start are broken by end, then version."""
+    return Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last(), F.col(TO).asc_nulls_last(), F.col("version_id").asc_nulls_last())
+
+
+def _desc(key: str) -> Window:
+    return Window.partitionBy(key).orderBy(F.col(FROM).desc_nulls_first(), F.col(TO).desc_nulls_first(), F.col("version_id").desc_nulls_first())
+
+
 def overlapping_intervals(sat: DataFrame, key: str) -> DataFrame:
     """A closed row ends after the next closed row of its key starts (open rows are left out first)."""
-    w = Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last())
+    w = _asc(key)
     closed = sat.filter(F.col(TO) != open_end()).withColumn("_next", F.lead(FROM).over(w))
     return _out(closed.filter(F.col(TO) > F.col("_next")), key)
 
@@ -51,7 +60,7 @@ def multiple_current_records(sat: DataFrame, key: str) -> DataFrame:
 
 def gaps_in_history(sat: DataFrame, key: str) -> DataFrame:
     """A closed row whose next row of the key starts after it ends."""
-    w = Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last())
+    w = _asc(key)
     n = sat.withColumn("_next", F.lead(FROM).over(w))
     return _out(n.filter((F.col(TO) != open_end()) & F.col("_next").isNotNull() & (F.col("_next") > F.col(TO))), key)
 
@@ -158,11 +167,15 @@ def table_results(sat: DataFrame, key: str, hub: DataFrame, staged: DataFrame, t
     """
     closed = F.col(TO) != open_end()
     is_open = F.col(TO) == open_end()
-    w = Window.partitionBy(key).orderBy(F.col(FROM).asc_nulls_last())
+    w = _asc(key)
     hub_keys = hub.select(key).distinct().withColumn("_in_hub", F.lit(True))
     rows = sat.join(hub_keys, key, "left").select(
         "*",
-        F.first(F.when(closed, F.col(FROM)), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_next_closed"),
+        # next closed start: a growing frame in descending order (linear);
+        # a "following .. unbounded" frame would be recomputed for every row
+        F.last(F.when(closed, F.col(FROM)), ignorenulls=True)
+        .over(_desc(key).rowsBetween(Window.unboundedPreceding, -1))
+        .alias("_next_closed"),
         F.lead(FROM).over(w).alias("_next"),
         F.sum(is_open.cast("int")).over(Window.partitionBy(key)).alias("_n_open"),
         F.count(F.lit(1)).over(Window.partitionBy(key, FROM)).alias("_n_start"),

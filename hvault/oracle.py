@@ -719,7 +719,7 @@ def _dq_check_sql(name: str, check: str, m: str = "s") -> str:
     t, k = V(name, m), s.key
     out = f"CAST({k} AS VARCHAR) AS bk_value, version_id, effective_from_dttm, effective_to_dttm"
     if check == "check_overlapping_intervals":
-        return f"""SELECT {out} FROM (SELECT *, LEAD(effective_from_dttm) OVER (PARTITION BY {k} ORDER BY effective_from_dttm) AS nx
+        return f"""SELECT {out} FROM (SELECT *, LEAD(effective_from_dttm) OVER (PARTITION BY {k} ORDER BY effective_from_dttm, effective_to_dttm, version_id) AS nx
   FROM {t} WHERE effective_to_dttm <> {OPEN}) WHERE effective_to_dttm > nx"""
     if check == "check_explicit_deletion":
         return f"""SELECT CAST(t1.{k} AS VARCHAR) AS bk_value, t1.version_id, t1.effective_from_dttm, t1.effective_to_dttm
@@ -729,7 +729,7 @@ WHERE NULLIF(trim(t2.delete_dttm), '') IS NOT NULL AND t1.effective_to_dttm <> C
         return f"""SELECT {out} FROM {t} WHERE effective_to_dttm = {OPEN}
   AND {k} IN (SELECT {k} FROM {t} WHERE effective_to_dttm = {OPEN} GROUP BY {k} HAVING COUNT(*) > 1)"""
     if check == "check_gaps_in_history":
-        return f"""SELECT {out} FROM (SELECT *, LEAD(effective_from_dttm) OVER (PARTITION BY {k} ORDER BY effective_from_dttm) AS nx FROM {t})
+        return f"""SELECT {out} FROM (SELECT *, LEAD(effective_from_dttm) OVER (PARTITION BY {k} ORDER BY effective_from_dttm, effective_to_dttm, version_id) AS nx FROM {t})
 WHERE effective_to_dttm <> {OPEN} AND nx IS NOT NULL AND nx > effective_to_dttm"""
     if check == "check_referential_integrity":
         return f"""SELECT DISTINCT CAST(t.{k} AS VARCHAR) AS bk_value, t.version_id, t.effective_from_dttm, t.effective_to_dttm
