@@ -21,7 +21,9 @@ from pyspark.sql.types import TimestampNTZType
 
 from hvault.functions import composite_hash, hash_key, md5_coalesce, md5_concat_ws, open_as_null, roundup_amount, to_money, to_ts
 from hvault.operators import quality as dq
-from hvault.operators.intervals import REFERENCE, STRICT, merge_intervals
+from hvault.functions import open_end
+from hvault.operators.intervals import REFERENCE, STRICT
+from hvault.operators.segmented import as_of_segmented, merge_intervals_segmented, next_value_segmented
 from hvault.operators.staging import batch_counts, empty_registry, extract_window, last_load, next_version, record_load
 from hvault.plans import mart
 from hvault.plans.model import DQ_TABLES, HUBS, LINKS, SATS
@@ -237,28 +239,34 @@ def _event_intervals(spark, sf_dir):
     return e.select("user_id", F.col("ts").alias("create_dttm"), (F.col("ts") + F.expr("INTERVAL 2 HOURS")).alias("delete_dttm"))
 
 
+# Raw events: one user may hold a large share of all rows, so the ordered
+# per-user scans use the segmented (hot-key safe) forms; results equal the
+# plain per-key windows (``merge_intervals``, ``close_on_next``, ``mart.as_of``).
+
+
 @query("merge_intervals_lag")
 def q_merge_lag(spark, sf_dir):
-    return merge_intervals(_event_intervals(spark, sf_dir), "user_id", mode=REFERENCE)
+    return merge_intervals_segmented(_event_intervals(spark, sf_dir), "user_id", mode=REFERENCE)
 
 
 @query("merge_intervals_max")
 def q_merge_max(spark, sf_dir):
-    return merge_intervals(_event_intervals(spark, sf_dir), "user_id", mode=STRICT)
+    return merge_intervals_segmented(_event_intervals(spark, sf_dir), "user_id", mode=STRICT)
 
 
 STATE_EVENTS = ("signup", "click", "error")
 
 
 def _event_states(spark, sf_dir):
-    from hvault.operators.intervals import close_on_next
-
     e = _events(spark, sf_dir).filter(F.col("event_type").isin(*STATE_EVENTS))
-    return close_on_next(
+    states = next_value_segmented(
         e.select("user_id", "event_id", F.col("event_type").alias("state"), F.col("ts").alias("effective_from_dttm")),
         "user_id",
-        tie_break=("event_id",),
+        ["effective_from_dttm", "event_id"],
+        "effective_from_dttm",
+        "effective_to_dttm",
     )
+    return states.withColumn("effective_to_dttm", F.coalesce("effective_to_dttm", open_end()))
 
 
 @query("scd2_lead")
@@ -270,7 +278,7 @@ def q_scd2_lead(spark, sf_dir):
 def q_asof_state(spark, sf_dir):
     probes = _events(spark, sf_dir).filter(F.col("event_type") == "purchase").select("user_id", "event_id", "ts", "value")
     states = _event_states(spark, sf_dir).withColumnRenamed("event_id", "state_event_id").withColumn("state_from", F.col("effective_from_dttm"))
-    return mart.as_of(probes, states, "user_id", "ts", order=("state_event_id",), carry=("state", "state_from"))
+    return as_of_segmented(probes, states, "user_id", "ts", order=("state_event_id",), carry=("state", "state_from"))
 
 
 # --- mart ------------------------------------------------------------------
