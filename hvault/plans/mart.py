@@ -410,7 +410,11 @@ def transaction_info(
     hist = ti.select(
         "customer_hash_key", "effective_from_dttm", "effective_to_dttm", "request_hash_key", "status_from_dttm", "tail_limit", "service_request_type_nm"
     )
-    return as_of(df, hist, "customer_hash_key", "transaction_dttm", order=TI_ORDER[1:], carry=("tail_limit", "service_request_type_nm"))
+    # transactions are the largest table and one customer may hold many of
+    # them: the look-up runs as a segmented (hot-key safe) scan
+    from hvault.operators.segmented import as_of_segmented
+
+    return as_of_segmented(df, hist, "customer_hash_key", "transaction_dttm", order=TI_ORDER[1:], carry=("tail_limit", "service_request_type_nm"))
 
 
 def as_of(
