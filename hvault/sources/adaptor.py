@@ -28,7 +28,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hvault.functions.keys import MONEY, ts_text
 from hvault.sources.catalogue import CATALOGUE
@@ -170,23 +169,19 @@ def crm_account(orders: DataFrame) -> DataFrame:
 
 
 def crm_transaction(lineitem: DataFrame) -> DataFrame:
-    # One row per (order, line): the earliest shipment. min(struct) is a
-    # partial aggregate (combined map-side); the shuffle is on the order key,
-    # which also serves the per-order window that finds the original line.
-    line = (
-        lineitem.repartition("l_orderkey")
-        .groupBy("l_orderkey", "l_linenumber")
-        .agg(
-            F.min(
-                F.struct("l_shipdate", "l_extendedprice", "l_returnflag", "l_linestatus")
-            ).alias("m")
-        )
+    # One row per (order, line): the earliest shipment, as a partial
+    # aggregate (combined map-side, so a hot order is reduced before its
+    # shuffle). The original is the order's lowest line: a second partial
+    # aggregate joined back on the order key (a skewed join that AQE can split).
+    line = lineitem.groupBy("l_orderkey", "l_linenumber").agg(
+        F.min(F.struct("l_shipdate", "l_extendedprice", "l_returnflag", "l_linestatus")).alias("m")
     )
+    first = lineitem.groupBy("l_orderkey").agg(F.min("l_linenumber").alias("_first_line"))
+    line = line.join(first, "l_orderkey")
+    first_line = F.col("_first_line")
     amount = F.col("m.l_extendedprice").cast(MONEY)
     signed = F.when(F.col("m.l_linestatus") == "F", -amount).otherwise(amount).cast(MONEY)
     shipped = ts_text(F.col("m.l_shipdate"))
-    line = line.withColumn("_first_line", F.min("l_linenumber").over(Window.partitionBy("l_orderkey")))
-    first_line = F.col("_first_line")
     return _versions(
         line,
         {
