@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from hvault.functions.keys import open_end, ts_lit
 from hvault.operators.intervals import REFERENCE, STRICT, merge_intervals
+from hvault.operators.segmented import next_value_segmented
 from hvault.plans.sizing import broadcast_if_small
 
 FROM = "effective_from_dttm"
@@ -238,6 +239,8 @@ def load_hsat(
     version: int,
     mode: str = STRICT,
     small: bool | None = None,
+    hot_keys: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """SCD2 load of a hub satellite. ``batch``: key, hash, create_dttm,
     delete_dttm, attributes, last_update (typed).
@@ -291,21 +294,39 @@ def load_hsat(
         F.col(TO).alias("_old_to"),
     )
     u = new_rows.unionByName(old_rows)
-    order = [F.col(FROM).asc(), F.col("_prio").asc(), F.col("_lu").desc_nulls_last(), F.col(hash_col).desc_nulls_last(), F.col("_del").desc_nulls_last()]
-    order += [F.col(a).desc_nulls_last() for a in attrs]
-    w_first = Window.partitionBy(key).orderBy(*order)
-    w_start = Window.partitionBy(key, FROM)
-    w_key = Window.partitionBy(key)
     old = F.struct(F.col(hash_col).alias("h"), *[F.col(a).alias(f"a{i}") for i, a in enumerate(attrs)], F.col("src_cd").alias("src"))
-    u = u.select(
-        "*",
-        F.lag(FROM).over(w_first).alias("_prev_from"),
-        F.max(F.when(F.col("_prio") == 1, old)).over(w_start).alias("_old"),
-        F.min(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_min"),
-        F.max(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_max"),
-    )
-    kept = u.filter(F.col("_prev_from").isNull() | (F.col("_prev_from") != F.col(FROM)))
-    next_from = F.lead(FROM).over(Window.partitionBy(key).orderBy(F.col(FROM).asc()))
+    if not hot_keys:
+        order = [F.col(FROM).asc(), F.col("_prio").asc(), F.col("_lu").desc_nulls_last(), F.col(hash_col).desc_nulls_last(), F.col("_del").desc_nulls_last()]
+        order += [F.col(a).desc_nulls_last() for a in attrs]
+        w_first = Window.partitionBy(key).orderBy(*order)
+        w_start = Window.partitionBy(key, FROM)
+        w_key = Window.partitionBy(key)
+        u = u.select(
+            "*",
+            F.lag(FROM).over(w_first).alias("_prev_from"),
+            F.max(F.when(F.col("_prio") == 1, old)).over(w_start).alias("_old"),
+            F.min(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_min"),
+            F.max(F.when(F.col("_prio") == 0, F.col(FROM))).over(w_key).alias("_max"),
+        )
+        kept = u.filter(F.col("_prev_from").isNull() | (F.col("_prev_from") != F.col(FROM)))
+        kept = kept.withColumn("_next", F.lead(FROM).over(Window.partitionBy(key).orderBy(F.col(FROM).asc())))
+    else:
+        # Hot keys: no window over a whole key. The row kept for a (key, start)
+        # is a partial aggregate (max over a struct in the window's order:
+        # batch first, then latest update, largest hash, deletion, attributes);
+        # the batch's first/last start per key is an aggregate joined back; the
+        # next start is a segmented scan over range-partitioned (key, start).
+        payload = ["_prio", "_explicit", hash_col, *attrs, "src_cd", "_old_v", "_old_to"]
+        rank = F.struct(
+            (-F.col("_prio")).alias("_w"), F.col("_lu").alias("_r1"), F.col(hash_col).alias("_r2"), F.col("_del").alias("_r3"),
+            *[F.col(a).alias(f"_r{4 + i}") for i, a in enumerate(attrs)],
+            F.struct(*[F.col(c) for c in payload]).alias("_p"),
+        )
+        per_start = u.groupBy(key, FROM).agg(F.max(rank).alias("_best"), F.max(F.when(F.col("_prio") == 1, old)).alias("_old"))
+        bounds = b.groupBy(key).agg(F.min("create_dttm").alias("_min"), F.max("create_dttm").alias("_max"))
+        kept = per_start.select(key, FROM, "_best._p.*", "_old").join(bounds, key, "left")
+        kept = next_value_segmented(kept, key, [FROM], FROM, "_next", partitions)
+    next_from = F.col("_next")
     v = F.lit(version).cast("long")
     is_new = F.col("_prio") == 0
     if mode == REFERENCE:

@@ -102,12 +102,15 @@ def run_batch(
     mode: str = STRICT,
     only: set[str] | None = None,
     small: Mapping[str, bool] | None = None,
+    hot: Mapping[str, bool] | None = None,
 ) -> Vault:
     """Load one staged batch into the vault (hubs, then links, then satellites).
 
-    ``small`` maps a staged entity to a proven "fits a broadcast" flag.
+    ``small`` maps a staged entity to a proven "fits a broadcast" flag;
+    ``hot`` maps a satellite to "its batch has a hot key" (segmented path).
     """
     small = small or {}
+    hot = hot or {}
     tables = dict(vault.tables)
     versions = list(vault.versions)
     want = (lambda n: True) if only is None else (lambda n: n in only)
@@ -135,7 +138,8 @@ def run_batch(
         if want(s.name):
             version = vault.next_version(s.name)
             tables[s.name] = load_hsat(
-                vault[s.name], sat_batch(s, staged), s.key, s.hash_col, s.attr_names, s.src_cd, version, mode, small.get(s.staging)
+                vault[s.name], sat_batch(s, staged), s.key, s.hash_col, s.attr_names, s.src_cd, version, mode, small.get(s.staging),
+                hot_keys=hot.get(s.name, False),
             )
             versions.append((s.name, load_ts, version))
     return replace(vault, tables=tables, versions=versions)
@@ -189,12 +193,18 @@ class VaultStore:
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], mode: str = STRICT, materialize: Materialize | None = None,
-                 max_broadcast_rows: int = 4_000_000, parallel_jobs: int = 8):
+                 max_broadcast_rows: int = 4_000_000, parallel_jobs: int = 8,
+                 hot_key_rows: int = 1_000_000, hot_key_share: float = 0.05):
         self.spark = spark
         self.mode = mode
         self.materialize = materialize or checkpointer(spark)
         self.max_broadcast_rows = max_broadcast_rows
         self.parallel_jobs = parallel_jobs
+        # a key group is hot above both bounds: then its satellite load avoids
+        # whole-key windows (see ``load_hsat(hot_keys=True)``)
+        self.hot_key_rows = hot_key_rows
+        self.hot_key_share = hot_key_share
+        self._hot: dict[int, dict[str, bool]] = {}
         self.sources = sources
         self._staged: dict[int, dict[str, DataFrame]] = {}
         self._small: dict[int, dict[str, bool]] = {}
@@ -219,9 +229,23 @@ class VaultStore:
             start, end = WINDOWS[batch - 1]
             out = self._materialize_all(stage_batch(STAGING, self.sources, self.refs(), start, end))
             self._staged[batch] = out
+            keyed = {n: sorted({sp.key for sp in SATS.values() if sp.staging == n}) for n in out}
+
+            def profile(n):
+                # rows of the batch and, per satellite key, the rows of its largest key group
+                if not keyed[n]:
+                    return out[n].count(), {}
+                k = keyed[n][0]
+                r = out[n].groupBy(k).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
+                return (r["rows"] or 0), {k: (r["top"] or 0)}
+
             with ThreadPoolExecutor(max_workers=self.parallel_jobs) as pool:
-                counts = dict(zip(out, pool.map(lambda df: df.count(), out.values())))
-            self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in counts.items()}
+                prof = dict(zip(out, pool.map(profile, list(out))))
+            self._small[batch] = {n: c <= self.max_broadcast_rows for n, (c, _) in prof.items()}
+            self._hot[batch] = {
+                sp.name: prof[sp.staging][1].get(sp.key, 0) > max(self.hot_key_rows, self.hot_key_share * prof[sp.staging][0])
+                for sp in SATS.values()
+            }
         return self._staged[batch]
 
     def vault(self, batch: int, names: set[str]) -> Vault:
@@ -236,7 +260,7 @@ class VaultStore:
             deps = set(missing)
             prev = self.vault(batch - 1, deps)
             staged = self.staged(batch)
-            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch])
+            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch], self._hot[batch])
             cur = self._vaults.get(batch, replace(prev, tables=dict(prev.tables), versions=[v for v in prev.versions]))
             tables = dict(cur.tables)
             tables.update(self._materialize_all({n: loaded.tables[n] for n in missing}))
