@@ -6,7 +6,7 @@ Spark plan (a union of aggregates), not one job per check.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -146,16 +146,6 @@ def failures(res: DataFrame) -> DataFrame:
     return res.filter(F.col("result") == "FAIL").select("table_name", "test_name", "versions")
 
 
-CheckFn = Callable[..., DataFrame]
-SINGLE_TABLE_CHECKS: Sequence[tuple[str, CheckFn]] = (
-    ("dq_overlap", overlapping_intervals),
-    ("dq_multiple_current", multiple_current_records),
-    ("dq_gaps", gaps_in_history),
-    ("dq_invalid_interval", invalid_intervals),
-    ("dq_duplicate_keys", duplicate_keys),
-)
-
-
 def table_results(sat: DataFrame, key: str, hub: DataFrame, staged: DataFrame, table: str, check_ts: str, hash_col: str = "hash_diff") -> DataFrame:
     """The eight result rows of one table from one pass over it.
 

@@ -213,22 +213,6 @@ def load_link(
 # --- hub satellites (SCD2) -------------------------------------------------
 
 
-def one_row_per_start(batch: DataFrame, key: str, hash_col: str) -> DataFrame:
-    """One batch row per (key, start): the latest last_update, then the largest hash.
-
-    A max over a struct is a partial aggregate, so duplicates collapse before
-    the shuffle. Rows without a start cannot be keyed and are dropped.
-    """
-    rest = [c for c in batch.columns if c not in (key, "create_dttm", "last_update", hash_col, "delete_dttm")]
-    best = F.max(F.struct("last_update", hash_col, "delete_dttm", *rest)).alias("_b")
-    return (
-        batch.filter(F.col("create_dttm").isNotNull())
-        .groupBy(key, "create_dttm")
-        .agg(best)
-        .select(key, "create_dttm", "_b.*")
-    )
-
-
 def load_hsat(
     target: DataFrame,
     batch: DataFrame,

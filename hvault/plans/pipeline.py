@@ -15,9 +15,9 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import TimestampNTZType
 
-from hvault.functions.keys import to_ts, ts_lit
+from hvault.functions.keys import to_ts
 from hvault.operators.intervals import STRICT
 from hvault.operators.staging import stage_batch
 from hvault.operators.vault import load_hsat, load_hub, load_link
@@ -28,14 +28,6 @@ from hvault.sources.catalogue import REFERENCE_LISTS
 WINDOWS = [(None, "1998-01-01 00:00:00"), ("1998-01-01 00:00:00", None)]
 LOAD_TS = ["1998-01-01 06:00:00", "2002-01-01 06:00:00"]
 
-REGISTRY_SCHEMA = StructType(
-    [
-        StructField("table_name", StringType(), False),
-        StructField("load_dttm", TimestampNTZType(), True),
-        StructField("version_id", LongType(), False),
-    ]
-)
-
 Materialize = Callable[[str, DataFrame], DataFrame]
 
 
