@@ -55,10 +55,11 @@ def merge_intervals_segmented(
     end: str = "delete_dttm",
     mode: str = "reference",
     partitions: int | None = None,
+    first_of: Sequence[str] = (),
 ) -> DataFrame:
-    """Same result as ``merge_intervals`` with hot keys split over tasks."""
+    """Same result as ``merge_intervals`` (including ``first_of``) with hot keys split over tasks."""
     base = df.filter(F.col(start).isNotNull()).select(
-        F.col(key).alias("_k"), F.col(start).alias("_s"), F.coalesce(F.col(end), open_end()).alias("_e")
+        F.col(key).alias("_k"), F.col(start).alias("_s"), F.coalesce(F.col(end), open_end()).alias("_e"), *first_of
     )
     seg = segment(base, "_k", ["_s"], partitions)
     local = Window.partitionBy("_k", SEG).orderBy(F.col("_s").asc(), F.col("_e").asc())
@@ -87,8 +88,11 @@ def merge_intervals_segmented(
     )
     rows = rows.join(before, ["_k", SEG], "left").withColumn("_island", F.col("_before") + F.col("_local_island"))
     # one row per island; the aggregate is partial, so a long island is combined map-side
-    return rows.groupBy("_k", "_island").agg(F.min("_s").alias(start), F.max("_e").alias("_max")).select(
-        F.col("_k").alias(key), F.col(start), F.nullif(F.col("_max"), open_end()).alias(end)
+    aggs = [F.min("_s").alias(start), F.max("_e").alias("_max")]
+    if first_of:
+        aggs.append(F.min(F.struct("_s", *first_of)).alias("_first"))
+    return rows.groupBy("_k", "_island").agg(*aggs).select(
+        F.col("_k").alias(key), F.col(start), F.nullif(F.col("_max"), open_end()).alias(end), *(["_first"] if first_of else [])
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from hvault.functions.keys import open_end, ts_lit
 from hvault.operators.intervals import REFERENCE, STRICT, merge_intervals
-from hvault.operators.segmented import next_value_segmented
+from hvault.operators.segmented import merge_intervals_segmented, next_value_segmented
 from hvault.plans.sizing import broadcast_if_small
 
 FROM = "effective_from_dttm"
@@ -137,6 +137,8 @@ def load_link(
     load_ts: str,
     mode: str = STRICT,
     small: bool | None = None,
+    hot_keys: bool = False,
+    partitions: int | None = None,
 ) -> LinkLoad:
     """Load a link and its validity satellite from staged rows
     (key, hub keys..., create_dttm, delete_dttm as timestamps).
@@ -147,7 +149,14 @@ def load_link(
     strict: all satellite rows of the touched keys are merged again with the
     batch (an explicit end replaces the open end of the same start) and replace
     the old rows; rows that do not change keep their version.
+    ``hot_keys``: the interval merge runs as a segmented scan (no window over a
+    whole key); the per-start step is a partial aggregate in both paths.
     """
+    def merge(df, m, **kw):
+        if hot_keys:
+            return merge_intervals_segmented(df, key, "create_dttm", "delete_dttm", m, partitions, **kw)
+        return merge_intervals(df, key, "create_dttm", "delete_dttm", m, **kw)
+
     staged = staged.filter(F.col(key).isNotNull())
     touched, untouched = split_by_keys(lsat, staged, key, small)
     if mode == REFERENCE:
@@ -164,7 +173,7 @@ def load_link(
         if rows_num == 0:
             return LinkLoad(link, lsat, link.limit(0), False)
         new_links = _insert_links(link, staged, key, hub_keys, src_cd, load_ts, small)
-        merged = merge_intervals(batch, key, "create_dttm", "delete_dttm", REFERENCE).select(
+        merged = merge(batch, REFERENCE).select(
             key, F.col("create_dttm").alias(FROM), F.coalesce("delete_dttm", open_end()).alias("_new_to")
         )
         t = touched.alias("t")
@@ -193,11 +202,13 @@ def load_link(
             F.col("version_id").alias("_old_v"),
             F.col("src_cd").alias("_old_src"),
         )
-    ).repartition(key)
+    )
+    if not hot_keys:
+        rows = rows.repartition(key)
     per_start = rows.filter(F.col("create_dttm").isNotNull()).groupBy(key, "create_dttm").agg(
         F.min("delete_dttm").alias("delete_dttm"), F.max(F.struct("_old_to", "_old_v", "_old_src")).alias("_old")
     )
-    merged = merge_intervals(per_start, key, "create_dttm", "delete_dttm", STRICT, first_of=["_old"])
+    merged = merge(per_start, STRICT, first_of=["_old"])
     to = F.coalesce("delete_dttm", open_end())
     same = F.col("_first._old._old_to") == to
     replaced = merged.select(

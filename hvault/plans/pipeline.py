@@ -117,7 +117,8 @@ def run_batch(
     def _one(ln):
         version = vault.next_version(ln.lsat)
         res = load_link(
-            vault[ln.name], vault[ln.lsat], link_rows(ln, staged), ln.key, ln.hub_keys, ln.src_cd, version, load_ts, mode, small.get(ln.staging)
+            vault[ln.name], vault[ln.lsat], link_rows(ln, staged), ln.key, ln.hub_keys, ln.src_cd, version, load_ts, mode, small.get(ln.staging),
+            hot_keys=hot.get(ln.lsat, False),
         )
         return ln, version, res
 
@@ -221,22 +222,25 @@ class VaultStore:
             start, end = WINDOWS[batch - 1]
             out = self._materialize_all(stage_batch(STAGING, self.sources, self.refs(), start, end))
             self._staged[batch] = out
-            keyed = {n: sorted({sp.key for sp in SATS.values() if sp.staging == n}) for n in out}
+            # (table, staged entity, key) of every history table fed by this batch
+            targets = [(sp.name, sp.staging, sp.key) for sp in SATS.values()] + [(ln.lsat, ln.staging, ln.key) for ln in LINKS.values()]
+            pairs = sorted({(e, k) for _, e, k in targets})
 
-            def profile(n):
-                # rows of the batch and, per satellite key, the rows of its largest key group
-                if not keyed[n]:
-                    return out[n].count(), {}
-                k = keyed[n][0]
-                r = out[n].groupBy(k).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
-                return (r["rows"] or 0), {k: (r["top"] or 0)}
+            def top(pair):
+                # rows of the batch and rows of its largest key group
+                e, k = pair
+                r = out[e].groupBy(k).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
+                return (r["rows"] or 0), (r["top"] or 0)
 
             with ThreadPoolExecutor(max_workers=self.parallel_jobs) as pool:
-                prof = dict(zip(out, pool.map(profile, list(out))))
-            self._small[batch] = {n: c <= self.max_broadcast_rows for n, (c, _) in prof.items()}
+                prof = dict(zip(pairs, pool.map(top, pairs)))
+            rows = {e: r for (e, _), (r, _) in prof.items()}
+            for e, df in out.items():
+                if e not in rows:
+                    rows[e] = df.count()
+            self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in rows.items()}
             self._hot[batch] = {
-                sp.name: prof[sp.staging][1].get(sp.key, 0) > max(self.hot_key_rows, self.hot_key_share * prof[sp.staging][0])
-                for sp in SATS.values()
+                t: prof[(e, k)][1] > max(self.hot_key_rows, self.hot_key_share * prof[(e, k)][0]) for t, e, k in targets
             }
         return self._staged[batch]
 

@@ -143,3 +143,30 @@ def test_satellite_hot_key_path_equals_window_path(spark, mode):
     hot = load_hsat(t, b, "k", "hash_diff", ["a"], "CRM", 2, mode, hot_keys=True, partitions=7)
     assert plain.count() > 300
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+
+
+@pytest.mark.parametrize("mode", [REFERENCE, STRICT])
+def test_link_hot_key_path_equals_window_path(spark, mode):
+    import random
+
+    rnd = random.Random(5)
+    lsat, staged = [], []
+    seen = set()
+    for k in ["hot"] * 6 + ["a", "b"]:
+        for _ in range(30):
+            s = rnd.randrange(0, 300)
+            if (k, s) in seen:
+                continue
+            seen.add((k, s))
+            lsat.append((k, 1, day(s), day(s + rnd.choice([1, 3, 40])) if rnd.random() < 0.6 else OPEN, "CRM"))
+    for k in ["hot"] * 6 + ["a", "c"]:
+        for _ in range(30):
+            s = rnd.randrange(0, 350)
+            staged.append((k, "x", "y", day(s), day(s + rnd.choice([2, 30])) if rnd.random() < 0.4 else None))
+    link = spark.createDataFrame([(k, "x", "y", day(0), "CRM") for k in ["hot", "a", "b"]], LINK)
+    ls = spark.createDataFrame(lsat, LSAT)
+    st = spark.createDataFrame(staged, STAGED)
+    plain = load_link(link, ls, st, "k", ("h1", "h2"), "CRM", 2, "2001-01-01 00:00:00", mode)
+    hot = load_link(link, ls, st, "k", ("h1", "h2"), "CRM", 2, "2001-01-01 00:00:00", mode, hot_keys=True, partitions=5)
+    assert plain.lsat.exceptAll(hot.lsat).count() == 0 and hot.lsat.exceptAll(plain.lsat).count() == 0
+    assert plain.link.exceptAll(hot.link).count() == 0 and plain.lsat.count() > 20
