@@ -162,3 +162,23 @@ def as_of_segmented(
     valid = F.col("_t").isNotNull() & (F.col("_t") < F.col("_eff._end"))
     return probes_out.select(*[F.col(c) for c in pcols], *[F.when(valid, F.col(f"_eff.{c}")).alias(c) for c in carry])
 
+
+
+def prev_value_segmented(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    out: str,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``lag(value)`` over (key ordered by ``order``), with hot keys split over tasks.
+
+    ``order`` must order a key's rows totally (add a unique tie-break)."""
+    seg = segment(df, key, order, partitions)
+    local = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    rows = seg.withColumn("_lp", F.lag(value).over(local))
+    summ = seg.groupBy(key, SEG).agg(F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))).alias("_last"))
+    prv = summ.select(key, SEG, F.lag("_last._v").over(_over_segments(key)).alias("_carry"))
+    rows = rows.withColumn("_is_first", F.row_number().over(local) == 1).join(prv, [key, SEG], "left")
+    return rows.withColumn(out, F.when(F.col("_is_first"), F.col("_carry")).otherwise(F.col("_lp"))).drop("_lp", "_carry", "_is_first", SEG)

@@ -56,9 +56,28 @@ def _ti_window() -> Window:
     return Window.partitionBy("customer_hash_key").orderBy(*[F.col(c).asc_nulls_last() for c in TI_ORDER])
 
 
-def tail_info(link_cust_x_req: DataFrame, hsat_request: DataFrame, hsat_request_status: DataFrame) -> DataFrame:
+def tail_info(link_cust_x_req: DataFrame, hsat_request: DataFrame, hsat_request_status: DataFrame, hot_keys: bool = False) -> DataFrame:
     """M1: a customer's round-up setting valid from one done request to the next,
-    with the previous request type. Ties on the start are ordered by request key."""
+    with the previous request type. Ties on the start are ordered by request key.
+
+    ``hot_keys``: next start and previous type come from segmented scans (no
+    window over all requests of one customer)."""
+    if hot_keys:
+        from hvault.operators.segmented import next_value_segmented, prev_value_segmented
+
+        dr = done_requests(link_cust_x_req, hsat_request, hsat_request_status)
+        dr = next_value_segmented(dr, "customer_hash_key", TI_ORDER, "effective_from_dttm", "_next")
+        dr = prev_value_segmented(dr, "customer_hash_key", TI_ORDER, "service_request_type_nm", "prev_status")
+        return dr.select(
+            "customer_hash_key",
+            "request_hash_key",
+            "status_from_dttm",
+            "effective_from_dttm",
+            F.coalesce(F.col("_next"), open_end()).alias("effective_to_dttm"),
+            "tail_limit",
+            "service_request_type_nm",
+            "prev_status",
+        )
     w = _ti_window()
     return done_requests(link_cust_x_req, hsat_request, hsat_request_status).select(
         "customer_hash_key",
@@ -72,8 +91,15 @@ def tail_info(link_cust_x_req: DataFrame, hsat_request: DataFrame, hsat_request_
     )
 
 
-def with_previous_type(ti: DataFrame) -> DataFrame:
-    """Previous request type by end descending (computed over all rows, before any date filter)."""
+def with_previous_type(ti: DataFrame, hot_keys: bool = False) -> DataFrame:
+    """Previous request type by end descending (computed over all rows, before any date filter).
+
+    LEAD over (end, start, request, status start) descending is LAG over the
+    same columns ascending, which the segmented scan computes for hot keys."""
+    if hot_keys:
+        from hvault.operators.segmented import prev_value_segmented
+
+        return prev_value_segmented(ti, "customer_hash_key", ("effective_to_dttm", *TI_ORDER), "service_request_type_nm", "prev_type")
     w = Window.partitionBy("customer_hash_key").orderBy(
         F.col("effective_to_dttm").desc_nulls_first(), *[F.col(c).desc_nulls_first() for c in TI_ORDER]
     )
@@ -89,10 +115,10 @@ def _activation_flags(df: DataFrame) -> DataFrame:
     )
 
 
-def activation_at_date(ti: DataFrame, calc_date: str, lookback_days: int = 2000) -> DataFrame:
+def activation_at_date(ti: DataFrame, calc_date: str, lookback_days: int = 2000, hot_keys: bool = False) -> DataFrame:
     """M3: activations and deactivations with a start in (date - look-back, date]."""
     d = F.lit(calc_date).cast(DateType()).cast("timestamp_ntz")
-    rows = _activation_flags(with_previous_type(ti)).filter(
+    rows = _activation_flags(with_previous_type(ti, hot_keys)).filter(
         (F.col("effective_from_dttm") <= d) & (F.col("effective_from_dttm") > d - F.make_dt_interval(F.lit(lookback_days)))
     )
     return rows.agg(
@@ -109,7 +135,9 @@ def day_grid(spark: SparkSession, start: str, end: str, step_days: int) -> DataF
     )
 
 
-def activation_grid(ti: DataFrame, start: str = GRID_START, end: str = GRID_END, step_days: int = 30, lookback_days: int | None = None) -> DataFrame:
+def activation_grid(
+    ti: DataFrame, start: str = GRID_START, end: str = GRID_END, step_days: int = 30, lookback_days: int | None = None, hot_keys: bool = False
+) -> DataFrame:
     """M4/M5: activation per grid date d over starts in (d - look-back, d].
 
     A row at time t belongs to grid index k when start + k*step >= t and
@@ -122,7 +150,7 @@ def activation_grid(ti: DataFrame, start: str = GRID_START, end: str = GRID_END,
     diff = F.unix_timestamp(F.col("effective_from_dttm").cast("timestamp")) - base
     k_lo = F.greatest(F.ceil(diff / step_s), F.lit(0)).cast("long")
     k_hi = (F.ceil((diff + back_s) / step_s) - 1).cast("long")
-    flagged = _activation_flags(with_previous_type(ti)).filter(F.col("_act") | F.col("_deact"))
+    flagged = _activation_flags(with_previous_type(ti, hot_keys)).filter(F.col("_act") | F.col("_deact"))
     hits = flagged.filter(k_hi >= k_lo).select(F.explode(F.sequence(k_lo, k_hi)).alias("_k"), "_act", "_deact")
     counts = hits.groupBy("_k").agg(F.count_if("_act").alias("activation"), F.count_if("_deact").alias("deactivation"))
     grid = day_grid(spark, start, end, step_days).select(
@@ -197,6 +225,7 @@ def kopylka_monthly(
     hsat_request_status: DataFrame,
     grid_start: str = GRID_START,
     grid_end: str = GRID_END,
+    hot_keys: bool = False,
 ) -> DataFrame:
     """M7: customers with a satellite version spanning the month start (strictly)
     and, among them, those whose done request valid at the month start has tail_limit > 0."""
@@ -209,11 +238,17 @@ def kopylka_monthly(
         )
         .distinct()
     )
-    w = _ti_window()
-    sr = done_requests(link_cust_x_req, hsat_request, hsat_request_status).select(
+    dr = done_requests(link_cust_x_req, hsat_request, hsat_request_status)
+    if hot_keys:
+        from hvault.operators.segmented import next_value_segmented
+
+        nxt = next_value_segmented(dr, "customer_hash_key", TI_ORDER, "effective_from_dttm", "_next")
+    else:
+        nxt = dr.withColumn("_next", F.lead("effective_from_dttm").over(_ti_window()))
+    sr = nxt.select(
         "customer_hash_key",
         "effective_from_dttm",
-        F.coalesce(F.lead("effective_from_dttm").over(w), open_end()).alias("_to"),
+        F.coalesce(F.col("_next"), open_end()).alias("_to"),
         F.coalesce(F.col("tail_limit"), F.lit(0)).alias("tail_limit"),
     )
     sr_months = sr.select(
@@ -235,21 +270,21 @@ def kopylka_monthly(
     )
 
 
-def activation_monthly(ti: DataFrame) -> DataFrame:
+def activation_monthly(ti: DataFrame, hot_keys: bool = False) -> DataFrame:
     """Activation per month start d over starts in (d - 1 month, d]: each start falls in exactly one."""
     t = F.col("effective_from_dttm")
     m = _month(t)
     bucket = F.when(m.cast("timestamp_ntz") == t, m).otherwise(F.add_months(m, 1))
-    flagged = _activation_flags(with_previous_type(ti))
+    flagged = _activation_flags(with_previous_type(ti, hot_keys))
     return flagged.groupBy(bucket.alias("month_dt")).agg(
         F.count_if("_act").cast("long").alias("activation"), F.count_if("_deact").cast("long").alias("deactivation")
     )
 
 
-def metrics_unified(ti: DataFrame, kopylka: DataFrame, grid_start: str = GRID_START, grid_end: str = GRID_END) -> DataFrame:
+def metrics_unified(ti: DataFrame, kopylka: DataFrame, grid_start: str = GRID_START, grid_end: str = GRID_END, hot_keys: bool = False) -> DataFrame:
     """M8: month grid with activation (1-month look-back), retention (3 decimals) and round-up usage; missing = 0."""
     grid = F.broadcast(month_grid(ti.sparkSession, grid_start, grid_end))
-    act = activation_monthly(ti)
+    act = activation_monthly(ti, hot_keys)
     ret = retention(ti, 3).withColumnRenamed("current_month", "month_dt")
     out = grid.join(act, "month_dt", "left").join(ret, "month_dt", "left").join(kopylka.select("month_dt", "kopylka_users", "kopylka_usage_pct"), "month_dt", "left")
     z = lambda c, t="long": F.coalesce(F.col(c), F.lit(0).cast(t))
@@ -378,6 +413,7 @@ def transaction_info(
     ti: DataFrame,
     lsats: dict[str, DataFrame] | None = None,
     mode: str = "strict",
+    hot_keys: bool = False,
 ) -> DataFrame:
     """M2: transaction -> account -> application -> customer, its original
     transaction and the round-up setting valid at the transaction time.
@@ -410,11 +446,12 @@ def transaction_info(
     hist = ti.select(
         "customer_hash_key", "effective_from_dttm", "effective_to_dttm", "request_hash_key", "status_from_dttm", "tail_limit", "service_request_type_nm"
     )
-    # transactions are the largest table and one customer may hold many of
-    # them: the look-up runs as a segmented (hot-key safe) scan
-    from hvault.operators.segmented import as_of_segmented
+    if hot_keys:
+        # one customer holds a large share of the transactions: segmented scan
+        from hvault.operators.segmented import as_of_segmented
 
-    return as_of_segmented(df, hist, "customer_hash_key", "transaction_dttm", order=TI_ORDER[1:], carry=("tail_limit", "service_request_type_nm"))
+        return as_of_segmented(df, hist, "customer_hash_key", "transaction_dttm", order=TI_ORDER[1:], carry=("tail_limit", "service_request_type_nm"))
+    return as_of(df, hist, "customer_hash_key", "transaction_dttm", order=TI_ORDER[1:], carry=("tail_limit", "service_request_type_nm"))
 
 
 def as_of(

@@ -267,6 +267,19 @@ class VaultStore:
             self._done[batch] |= missing
         return self._vaults[batch]
 
+    def key_hot(self, name: str, frame, key: str, weight: str | None = None) -> bool:
+        """Is one ``key`` group of ``frame()`` hot (above both bounds)? Rows are
+        counted, or ``weight`` summed. One aggregate per (name, key), memoised;
+        decides segmented vs window scans."""
+        memo = self.__dict__.setdefault("_key_hot", {})
+        if (name, key) not in memo:
+            w = F.col(weight) if weight else F.lit(1)
+            per_key = frame().groupBy(key).agg(F.sum(w).alias("count"))
+            r = per_key.agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
+            rows, top = (r["rows"] or 0), (r["top"] or 0)
+            memo[(name, key)] = top > max(self.hot_key_rows, self.hot_key_share * rows)
+        return memo[(name, key)]
+
     def table(self, name: str, batch: int = 2) -> DataFrame:
         return self.vault(batch, {name})[name]
 

@@ -284,9 +284,15 @@ def q_asof_state(spark, sf_dir):
 # --- mart ------------------------------------------------------------------
 
 
+def _hot_customers(spark, sf_dir, mode=STRICT) -> bool:
+    """Does one customer hold a hot share of the requests (decides segmented scans)?"""
+    st = _store(spark, sf_dir, mode)
+    return st.key_hot("link_cust_x_req", lambda: st.table("link_cust_x_req"), "customer_hash_key")
+
+
 def _ti(spark, sf_dir, mode=STRICT):
     st = _store(spark, sf_dir, mode)
-    return mart.tail_info(st.table("link_cust_x_req"), st.table("hsat_request"), st.table("hsat_request_status"))
+    return mart.tail_info(st.table("link_cust_x_req"), st.table("hsat_request"), st.table("hsat_request_status"), _hot_customers(spark, sf_dir, mode))
 
 
 @query("state_intervals")
@@ -300,10 +306,23 @@ def _txi(spark, sf_dir, mode=STRICT):
     lsats = {n: t(n) for n in ("lsat_acc_x_trans", "lsat_acc_x_app", "lsat_cust_x_app")} if mode == REFERENCE else None
     return mart.transaction_info(
         t("hub_transaction"), t("hsat_transaction"), t("link_trans_x_orig_trans"), t("link_acc_x_trans"), t("link_acc_x_app"), t("link_cust_x_app"),
-        _ti(spark, sf_dir, mode), lsats, mode,
+        _ti(spark, sf_dir, mode), lsats, mode, _hot_transaction_customers(spark, sf_dir, mode),
     )
 
 
+def _hot_transaction_customers(spark, sf_dir, mode=STRICT) -> bool:
+    """Does one customer hold a hot share of the transactions? (accounts per
+    customer x transactions per account, from the two links)"""
+    st = _store(spark, sf_dir, mode)
+
+    def frame():
+        acc = st.table("link_acc_x_trans").groupBy("account_hash_key").agg(F.count(F.lit(1)).alias("n"))
+        cust = st.table("link_acc_x_app").join(st.table("link_cust_x_app"), "application_hash_key").select("account_hash_key", "customer_hash_key")
+        return acc.join(cust, "account_hash_key").select("customer_hash_key", "n")
+
+    return st.key_hot("transactions_per_customer", frame, "customer_hash_key", weight="n")
+
+
 @query("transaction_enriched")
 def q_transaction_enriched(spark, sf_dir):
     return present(_txi(spark, sf_dir))
@@ -311,17 +330,17 @@ def q_transaction_enriched(spark, sf_dir):
 
 @query("activation_at_date")
 def q_activation_at_date(spark, sf_dir):
-    return mart.activation_at_date(_ti(spark, sf_dir), "1999-06-30", 2000)
+    return mart.activation_at_date(_ti(spark, sf_dir), "1999-06-30", 2000, hot_keys=_hot_customers(spark, sf_dir))
 
 
 @query("activation_30d")
 def q_activation_30d(spark, sf_dir):
-    return mart.activation_grid(_ti(spark, sf_dir), step_days=30)
+    return mart.activation_grid(_ti(spark, sf_dir), step_days=30, hot_keys=_hot_customers(spark, sf_dir))
 
 
 @query("activation_7d")
 def q_activation_7d(spark, sf_dir):
-    return mart.activation_grid(_ti(spark, sf_dir), step_days=7)
+    return mart.activation_grid(_ti(spark, sf_dir), step_days=7, hot_keys=_hot_customers(spark, sf_dir))
 
 
 @query("retention_monthly")
@@ -331,7 +350,9 @@ def q_retention(spark, sf_dir):
 
 def _kopylka(spark, sf_dir):
     t = _store(spark, sf_dir).table
-    return mart.kopylka_monthly(t("hsat_cab_customer"), t("hub_customer"), t("link_cust_x_req"), t("hsat_request"), t("hsat_request_status"))
+    return mart.kopylka_monthly(
+        t("hsat_cab_customer"), t("hub_customer"), t("link_cust_x_req"), t("hsat_request"), t("hsat_request_status"), hot_keys=_hot_customers(spark, sf_dir)
+    )
 
 
 @query("user_activity_monthly")
@@ -341,7 +362,7 @@ def q_user_activity(spark, sf_dir):
 
 @query("metrics_unified")
 def q_metrics_unified(spark, sf_dir):
-    return mart.metrics_unified(_ti(spark, sf_dir), _kopylka(spark, sf_dir))
+    return mart.metrics_unified(_ti(spark, sf_dir), _kopylka(spark, sf_dir), hot_keys=_hot_customers(spark, sf_dir))
 
 
 def _revenue(spark, sf_dir, mode=STRICT):

@@ -64,3 +64,40 @@ def test_as_of_segmented_equals_plain(spark):
     seg = as_of_segmented(probes, states, "k", "at", order=("id",), carry=("state", "effective_from_dttm"), partitions=9)
     assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0
     assert plain.filter(F.col("state").isNotNull()).count() > 1000
+
+
+def test_prev_value_segmented_equals_lag(spark):
+    from pyspark.sql.window import Window
+
+    from hvault.operators.segmented import prev_value_segmented
+
+    df = _intervals(spark).filter(F.col("create_dttm").isNotNull()).withColumn("id", F.monotonically_increasing_id())
+    df = df.select("k", "id", "create_dttm", (F.col("id") % 4).cast("string").alias("v")).cache()
+    plain = df.withColumn("p", F.lag("v").over(Window.partitionBy("k").orderBy("create_dttm", "id")))
+    seg = prev_value_segmented(df, "k", ["create_dttm", "id"], "v", "p", 7)
+    assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0
+
+
+def test_mart_hot_key_paths_equal_window_paths(spark):
+    import os
+
+    from hvault.plans import mart
+    from hvault.plans.pipeline import vault_store
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    t = vault_store(spark, sf).table
+    args = (t("link_cust_x_req"), t("hsat_request"), t("hsat_request_status"))
+    ti, ti_hot = mart.tail_info(*args), mart.tail_info(*args, hot_keys=True)
+
+    def same(a, b):
+        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+    assert same(ti, ti_hot)
+    assert same(mart.with_previous_type(ti), mart.with_previous_type(ti, hot_keys=True))
+    assert same(mart.activation_grid(ti, step_days=7), mart.activation_grid(ti, step_days=7, hot_keys=True))
+    kop = (t("hsat_cab_customer"), t("hub_customer"), *args)
+    assert same(mart.kopylka_monthly(*kop), mart.kopylka_monthly(*kop, hot_keys=True))
+    tx = (t("hub_transaction"), t("hsat_transaction"), t("link_trans_x_orig_trans"), t("link_acc_x_trans"), t("link_acc_x_app"), t("link_cust_x_app"), ti)
+    assert same(mart.transaction_info(*tx), mart.transaction_info(*tx, hot_keys=True))
