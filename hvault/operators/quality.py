@@ -33,11 +33,72 @@ def _desc(key: str) -> Window:
     return Window.partitionBy(key).orderBy(F.col(FROM).desc_nulls_first(), F.col(TO).desc_nulls_first(), F.col("version_id").desc_nulls_first())
 
 
-def overlapping_intervals(sat: DataFrame, key: str) -> DataFrame:
+def history_flags(sat: DataFrame, key: str, hot_keys: bool = False, partitions: int | None = None) -> DataFrame:
+    """The satellite with the per-row facts the history checks need:
+
+    * ``_next``: start of the next row of the key (rows ordered by start, end, version);
+    * ``_next_closed``: start of the next closed row of the key;
+    * ``_n_open``: open rows of the key; ``_n_start``: rows of the key with this start.
+
+    ``hot_keys``: the same facts without any window over a whole key. Rows are
+    range-partitioned on (key, start) into segments (equal starts never split),
+    the scans run inside each segment and a per-(key, segment) summary --
+    first start, smallest closed start, open rows -- carries across segment
+    boundaries, so a key holding a third of all rows is spread over many tasks.
+    """
+    closed = F.col(TO) != open_end()
+    is_open = F.col(TO) == open_end()
+    if not hot_keys:
+        return sat.select(
+            "*",
+            F.lead(FROM).over(_asc(key)).alias("_next"),
+            # next closed start: a growing frame in descending order (linear);
+            # a "following .. unbounded" frame would be recomputed for every row
+            F.last(F.when(closed, F.col(FROM)), ignorenulls=True).over(_desc(key).rowsBetween(Window.unboundedPreceding, -1)).alias("_next_closed"),
+            F.sum(is_open.cast("int")).over(Window.partitionBy(key)).alias("_n_open"),
+            F.count(F.lit(1)).over(Window.partitionBy(key, FROM)).alias("_n_start"),
+        )
+    from hvault.operators.segmented import SEG, segment
+
+    cols = sat.columns
+    # NULL starts sort last, as in the plain windows
+    seg = segment(sat.withColumn("_null_from", F.col(FROM).isNull()), key, ["_null_from", FROM], partitions)
+    order = [FROM, TO, "version_id"]
+    asc = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    desc = Window.partitionBy(key, SEG).orderBy(*[F.col(c).desc_nulls_first() for c in order])
+    rows = seg.select(
+        "*",
+        F.lead(FROM).over(asc).alias("_ln"),
+        (F.row_number().over(desc) == 1).alias("_is_last"),
+        F.last(F.when(closed, F.col(FROM)), ignorenulls=True).over(desc.rowsBetween(Window.unboundedPreceding, -1)).alias("_nc"),
+        F.count(F.lit(1)).over(Window.partitionBy(key, SEG, FROM)).alias("_n_start"),
+    )
+    summ = seg.groupBy(key, SEG).agg(
+        F.min(FROM).alias("_first_from"), F.min(F.when(closed, F.col(FROM))).alias("_min_closed"), F.sum(is_open.cast("int")).alias("_open")
+    )
+    by_seg = Window.partitionBy(key).orderBy(F.col(SEG).asc())
+    later = Window.partitionBy(key).orderBy(F.col(SEG).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summ.select(
+        key,
+        SEG,
+        F.lead("_first_from").over(by_seg).alias("_c_next"),
+        F.min("_min_closed").over(later).alias("_c_closed"),
+        F.sum("_open").over(Window.partitionBy(key)).alias("_n_open"),
+    )
+    rows = rows.join(carry, [key, SEG], "left")
+    return rows.select(
+        *cols,
+        F.when(F.col("_is_last"), F.col("_c_next")).otherwise(F.col("_ln")).alias("_next"),
+        F.coalesce("_nc", "_c_closed").alias("_next_closed"),
+        "_n_open",
+        "_n_start",
+    )
+
+
+def overlapping_intervals(sat: DataFrame, key: str, hot_keys: bool = False) -> DataFrame:
     """A closed row ends after the next closed row of its key starts (open rows are left out first)."""
-    w = _asc(key)
-    closed = sat.filter(F.col(TO) != open_end()).withColumn("_next", F.lead(FROM).over(w))
-    return _out(closed.filter(F.col(TO) > F.col("_next")), key)
+    rows = history_flags(sat, key, hot_keys)
+    return _out(rows.filter((F.col(TO) != open_end()) & (F.col(TO) > F.col("_next_closed"))), key)
 
 
 def explicit_deletion(sat: DataFrame, staged: DataFrame, key: str) -> DataFrame:
@@ -58,10 +119,9 @@ def multiple_current_records(sat: DataFrame, key: str) -> DataFrame:
     return _out(cur.join(dup, key, "left_semi"), key)
 
 
-def gaps_in_history(sat: DataFrame, key: str) -> DataFrame:
+def gaps_in_history(sat: DataFrame, key: str, hot_keys: bool = False) -> DataFrame:
     """A closed row whose next row of the key starts after it ends."""
-    w = _asc(key)
-    n = sat.withColumn("_next", F.lead(FROM).over(w))
+    n = history_flags(sat, key, hot_keys)
     return _out(n.filter((F.col(TO) != open_end()) & F.col("_next").isNotNull() & (F.col("_next") > F.col(TO))), key)
 
 
@@ -146,30 +206,22 @@ def failures(res: DataFrame) -> DataFrame:
     return res.filter(F.col("result") == "FAIL").select("table_name", "test_name", "versions")
 
 
-def table_results(sat: DataFrame, key: str, hub: DataFrame, staged: DataFrame, table: str, check_ts: str, hash_col: str = "hash_diff") -> DataFrame:
+def table_results(
+    sat: DataFrame, key: str, hub: DataFrame, staged: DataFrame, table: str, check_ts: str, hash_col: str = "hash_diff", hot_keys: bool = False
+) -> DataFrame:
     """The eight result rows of one table from one pass over it.
 
-    Seven checks become row flags computed by windows over one partitioning
-    of the satellite by key (the hub look-up is a left join on the same key);
-    one aggregate then yields result, versions and count per check. Only the
+    Seven checks become row flags from ``history_flags`` (windows over one
+    partitioning of the satellite by key, or its segmented form for hot keys;
+    the hub look-up is a left join on the key); one aggregate then yields
+    result, versions and count per check. Only the
     explicit-deletion check, which joins the staged batch on (key, start),
     runs as its own branch. Same results as running ``checks_for`` one by one.
     """
     closed = F.col(TO) != open_end()
     is_open = F.col(TO) == open_end()
-    w = _asc(key)
     hub_keys = hub.select(key).distinct().withColumn("_in_hub", F.lit(True))
-    rows = sat.join(hub_keys, key, "left").select(
-        "*",
-        # next closed start: a growing frame in descending order (linear);
-        # a "following .. unbounded" frame would be recomputed for every row
-        F.last(F.when(closed, F.col(FROM)), ignorenulls=True)
-        .over(_desc(key).rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_next_closed"),
-        F.lead(FROM).over(w).alias("_next"),
-        F.sum(is_open.cast("int")).over(Window.partitionBy(key)).alias("_n_open"),
-        F.count(F.lit(1)).over(Window.partitionBy(key, FROM)).alias("_n_start"),
-    )
+    rows = history_flags(sat.join(hub_keys, key, "left"), key, hot_keys)
     flags = {
         "check_overlapping_intervals": closed & (F.col(TO) > F.col("_next_closed")),
         "check_multiple_current_records": is_open & (F.col("_n_open") > 1),

@@ -455,31 +455,39 @@ def q_roundup_amount(spark, sf_dir):
 
 
 def _dq_inputs(spark, sf_dir, mode=STRICT):
+    """Per checked satellite: (table, key, hub, staged batch, hash column, hot).
+
+    ``hot``: one key group holds more than the store's hot-key bounds (one
+    memoised aggregate per table); the checks then use segmented scans."""
     st = _store(spark, sf_dir, mode)
     out = {}
     for n in DQ_TABLES:
         s = SATS[n]
-        out[n] = (st.table(n), s.key, st.table(s.hub), st.staged(2)[s.staging], s.hash_col)
+        sat = st.table(n)
+        hot = st.key_hot(n, lambda sat=sat: sat, s.key)
+        out[n] = (sat, s.key, st.table(s.hub), st.staged(2)[s.staging], s.hash_col, hot)
     return out
 
 
 def _dq_union(spark, sf_dir, fn) -> DataFrame:
-    parts = [fn(sat, key, hub, stg, h).withColumn("table_name", F.lit(n)) for n, (sat, key, hub, stg, h) in _dq_inputs(spark, sf_dir).items()]
+    parts = [fn(sat, key, hub, stg, h, hot).withColumn("table_name", F.lit(n)) for n, (sat, key, hub, stg, h, hot) in _dq_inputs(spark, sf_dir).items()]
     return present(reduce(DataFrame.unionByName, parts))
 
 
-QUERIES["dq_overlap"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.overlapping_intervals(s, k))
-QUERIES["dq_explicit_deletion"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.explicit_deletion(s, g, k))
-QUERIES["dq_multiple_current"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.multiple_current_records(s, k))
-QUERIES["dq_gaps"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.gaps_in_history(s, k))
-QUERIES["dq_orphans"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.referential_integrity(s, h, k))
-QUERIES["dq_invalid_interval"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.invalid_intervals(s, k))
-QUERIES["dq_duplicate_keys"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.duplicate_keys(s, k))
-QUERIES["dq_null_required"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c: dq.null_required_field(s, k, c))
+QUERIES["dq_overlap"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.overlapping_intervals(s, k, hot))
+QUERIES["dq_explicit_deletion"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.explicit_deletion(s, g, k))
+QUERIES["dq_multiple_current"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.multiple_current_records(s, k))
+QUERIES["dq_gaps"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.gaps_in_history(s, k, hot))
+QUERIES["dq_orphans"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.referential_integrity(s, h, k))
+QUERIES["dq_invalid_interval"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.invalid_intervals(s, k))
+QUERIES["dq_duplicate_keys"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.duplicate_keys(s, k))
+QUERIES["dq_null_required"] = lambda spark, sf_dir: _dq_union(spark, sf_dir, lambda s, k, h, g, c, hot: dq.null_required_field(s, k, c))
 
 
 def _dq_results(spark, sf_dir, mode=STRICT):
-    parts = [dq.table_results(sat, key, hub, stg, n, LOAD_TS[1], h) for n, (sat, key, hub, stg, h) in _dq_inputs(spark, sf_dir, mode).items()]
+    parts = [
+        dq.table_results(sat, key, hub, stg, n, LOAD_TS[1], h, hot) for n, (sat, key, hub, stg, h, hot) in _dq_inputs(spark, sf_dir, mode).items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -58,3 +58,41 @@ def test_one_pass_results_equal_check_by_check(spark):
         "check_overlapping_intervals", "check_explicit_deletion", "check_multiple_current_records", "check_gaps_in_history",
         "check_referential_integrity", "check_invalid_intervals", "check_duplicate_keys", "check_null_hash_diff",
     }
+
+
+def _skewed_sat(spark):
+    """Key "hot" holds 80 % of the rows; overlaps, gaps, open rows, same starts,
+    NULL hashes and invalid intervals everywhere."""
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(2500):
+        k = "hot" if i % 5 else f"k{i % 23}"
+        s = rnd.randrange(0, 4000)
+        e = None if rnd.random() < 0.03 else s + rnd.choice([-2, 0, 1, 3, 8, 40])
+        rows.append((k, i % 7, None if rnd.random() < 0.02 else "h", s, e))
+    rows += [("hot", 3, "h", 17, 30), ("hot", 3, "h", 17, 30)]  # identical rows
+    return _sat(spark, rows)
+
+
+def test_history_flags_segmented_equal_plain(spark):
+    sat = _skewed_sat(spark)
+    cols = ["k", "version_id", "hash_diff", "effective_from_dttm", "effective_to_dttm", "_next", "_next_closed", "_n_open", "_n_start"]
+    plain = dq.history_flags(sat, "k").select(cols)
+    seg = dq.history_flags(sat, "k", hot_keys=True, partitions=11).select(cols)
+    assert plain.count() == seg.count() == 2502
+    assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0
+
+
+def test_table_results_hot_path_equal_plain(spark):
+    sat = _skewed_sat(spark)
+    hub = spark.createDataFrame([("hot",), ("k1",), ("k2",)], "k string")
+    staged = spark.createDataFrame([("hot", "2000-01-18 00:00:00", "2000-01-20 00:00:00")], "k string, create_dttm string, delete_dttm string")
+    cols = ["table_name", "test_name", "result", "versions", "error_count"]
+    plain = dq.table_results(sat, "k", hub, staged, "t", "2001-01-01 00:00:00")
+    hot = dq.table_results(sat, "k", hub, staged, "t", "2001-01-01 00:00:00", hot_keys=True)
+    assert sorted(map(tuple, plain.select(cols).collect())) == sorted(map(tuple, hot.select(cols).collect()))
+    for fn in (dq.overlapping_intervals, dq.gaps_in_history):
+        a, b = fn(sat, "k"), fn(sat, "k", hot_keys=True)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
