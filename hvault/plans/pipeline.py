@@ -198,6 +198,11 @@ class VaultStore:
         self.hot_key_rows = hot_key_rows
         self.hot_key_share = hot_key_share
         self._hot: dict[int, dict[str, bool]] = {}
+        # per batch and history table: (rows, largest key group) of the staged batch
+        self._prof: dict[int, dict[str, tuple[int, int]]] = {}
+        # per batch and history table: an upper bound on the table's largest key
+        # group after that batch (bound before + the batch's largest group)
+        self._top_bound: dict[int, dict[str, int]] = {0: {}}
         self.sources = sources
         self._staged: dict[int, dict[str, DataFrame]] = {}
         self._small: dict[int, dict[str, bool]] = {}
@@ -239,6 +244,7 @@ class VaultStore:
                 if e not in rows:
                     rows[e] = df.count()
             self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in rows.items()}
+            self._prof[batch] = {t: prof[(e, k)] for t, e, k in targets}
             self._hot[batch] = {
                 t: prof[(e, k)][1] > max(self.hot_key_rows, self.hot_key_share * prof[(e, k)][0]) for t, e, k in targets
             }
@@ -256,7 +262,10 @@ class VaultStore:
             deps = set(missing)
             prev = self.vault(batch - 1, deps)
             staged = self.staged(batch)
-            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch], self._hot[batch])
+            hot = dict(self._hot[batch])
+            for t in missing & set(self._prof[batch]):
+                hot[t] = self._target_hot(batch, t, prev[t], check=not hot[t]) or hot[t]
+            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch], hot)
             cur = self._vaults.get(batch, replace(prev, tables=dict(prev.tables), versions=[v for v in prev.versions]))
             tables = dict(cur.tables)
             tables.update(self._materialize_all({n: loaded.tables[n] for n in missing}))
@@ -267,6 +276,29 @@ class VaultStore:
             self._done[batch] |= missing
         return self._vaults[batch]
 
+    def _target_hot(self, batch: int, table: str, stored: DataFrame, check: bool = True) -> bool:
+        """Is a key group of the stored history ``table`` (before ``batch``) hot?
+
+        A key may be hot in the stored history while the batch holds few of its
+        rows. The upper bound on the largest stored group is free (previous
+        bound + the batch's largest group); only when it passes
+        ``hot_key_rows`` is the stored table profiled exactly (one partial
+        aggregate), and the bound is reset to the exact value. ``check=False``
+        (the batch alone is hot already) only carries the bound forward.
+        """
+        key = SATS[table].key if table in SATS else next(ln.key for ln in LINKS.values() if ln.lsat == table)
+        prev = self._top_bound.setdefault(batch - 1, {})
+        bound = prev.get(table, 0)
+        batch_top = self._prof[batch][table][1]
+        hot = False
+        if check and bound + batch_top > self.hot_key_rows:
+            r = stored.groupBy(key).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
+            rows, bound = (r["rows"] or 0), (r["top"] or 0)
+            prev[table] = bound
+            hot = bound > max(self.hot_key_rows, self.hot_key_share * (rows + self._prof[batch][table][0]))
+        self._top_bound.setdefault(batch, {})[table] = bound + batch_top
+        return hot
+
     def key_hot(self, name: str, frame, key: str, weight: str | None = None) -> bool:
         """Is one ``key`` group of ``frame()`` hot (above both bounds)? Rows are
         counted, or ``weight`` summed. One aggregate per (name, key), memoised;

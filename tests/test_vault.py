@@ -170,3 +170,41 @@ def test_link_hot_key_path_equals_window_path(spark, mode):
     hot = load_link(link, ls, st, "k", ("h1", "h2"), "CRM", 2, "2001-01-01 00:00:00", mode, hot_keys=True, partitions=5)
     assert plain.lsat.exceptAll(hot.lsat).count() == 0 and hot.lsat.exceptAll(plain.lsat).count() == 0
     assert plain.link.exceptAll(hot.link).count() == 0 and plain.lsat.count() > 20
+
+
+def test_key_hot_only_in_stored_history_is_detected(spark):
+    """The batch holds one row of key "a", the stored satellite 40: the cheap
+    bound trips, the stored table is profiled once and the load takes the
+    segmented path; below the bound no profile job runs."""
+    from hvault.plans.pipeline import VaultStore
+
+    store = VaultStore(spark, {}, hot_key_rows=5, hot_key_share=0.1)
+    stored = spark.createDataFrame([("a",)] * 40 + [(f"k{i}",) for i in range(20)], "request_hash_key string")
+    store._prof = {1: {"hsat_request": (3, 1)}, 2: {"hsat_request": (10, 1)}}
+    store._top_bound = {0: {}, 1: {"hsat_request": 5}}
+    assert store._target_hot(2, "hsat_request", stored) is True
+    assert store._top_bound[1]["hsat_request"] == 40 and store._top_bound[2]["hsat_request"] == 41
+    # bound 0 + 1 stays below 5: no profile, not hot, bound carried forward
+    store._top_bound = {0: {}}
+    assert store._target_hot(1, "hsat_request", stored) is False
+    assert store._top_bound[1]["hsat_request"] == 1
+    # exact profile below the share bound: not hot
+    many = spark.createDataFrame([(f"k{i % 200}",) for i in range(2000)], "request_hash_key string")
+    store._top_bound = {0: {}, 1: {"hsat_request": 9}}
+    assert store._target_hot(2, "hsat_request", many) is False
+    assert store._top_bound[1]["hsat_request"] == 10
+
+
+def test_store_with_every_key_hot_equals_plain_store(spark):
+    """Bounds of zero send every history load down the segmented path (batch
+    and stored-history profiles both trip); the vault is the same."""
+    from hvault.plans.pipeline import VaultStore
+    from hvault.sources.adaptor import derive_sources
+
+    src = derive_sources(spark, "/root/testdata/sf0.001")
+    plain = VaultStore(spark, src)
+    hot = VaultStore(spark, src, hot_key_rows=0, hot_key_share=0.0)
+    for name in ["hsat_request", "hsat_crm_customer", "lsat_cust_x_req", "lsat_acc_x_app"]:
+        a, b = plain.table(name), hot.table(name)
+        assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert all(hot._top_bound[1][t] >= 1 for t in ["hsat_request", "lsat_cust_x_req"])
