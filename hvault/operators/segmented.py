@@ -182,3 +182,25 @@ def prev_value_segmented(
     prv = summ.select(key, SEG, F.lag("_last._v").over(_over_segments(key)).alias("_carry"))
     rows = rows.withColumn("_is_first", F.row_number().over(local) == 1).join(prv, [key, SEG], "left")
     return rows.withColumn(out, F.when(F.col("_is_first"), F.col("_carry")).otherwise(F.col("_lp"))).drop("_lp", "_carry", "_is_first", SEG)
+
+
+def row_number_segmented(
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    out: str,
+    descending: bool = False,
+    partitions: int | None = None,
+) -> DataFrame:
+    """``row_number()`` over (key ordered by ``order``), with hot keys split over tasks:
+    the local number plus the rows of the key in the segments before (or, when
+    ``descending``, after) the row's segment. ``order`` must order a key's rows
+    totally; NULLs sort last ascending and first descending, as in the plain window."""
+    seg = segment(df.withColumn("_null_o", F.col(order[0]).isNull()), key, ["_null_o", *order], partitions)
+    cols = [F.col(c).desc_nulls_first() if descending else F.col(c).asc_nulls_last() for c in order]
+    rows = seg.withColumn("_rn", F.row_number().over(Window.partitionBy(key, SEG).orderBy(*cols)))
+    counts = seg.groupBy(key, SEG).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy(F.col(SEG).desc() if descending else F.col(SEG).asc()).rowsBetween(Window.unboundedPreceding, -1)
+    carry = counts.select(key, SEG, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.join(carry, [key, SEG], "left")
+    return rows.withColumn(out, (F.col("_before") + F.col("_rn")).cast("int")).drop("_rn", "_before", "_null_o", SEG)

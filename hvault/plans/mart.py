@@ -522,11 +522,17 @@ def duplicate_versions(staged: DataFrame, id_col: str) -> DataFrame:
     return staged.groupBy(id_col, "create_dttm").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def key_history(hsat: DataFrame, hub: DataFrame, key: str, id_col: str, ids: list[str] | None = None) -> DataFrame:
-    """Version history per business id, newest first (rank 1 = newest)."""
+def key_history(hsat: DataFrame, hub: DataFrame, key: str, id_col: str, ids: list[str] | None = None, hot_keys: bool = False) -> DataFrame:
+    """Version history per business id, newest first (rank 1 = newest).
+
+    ``hot_keys``: the rank is a segmented count (no window over a whole key)."""
     df = hsat.join(hub.select(key, id_col), key)
     if ids is not None:
         df = df.filter(F.col(id_col).isin(*ids))
+    if hot_keys:
+        from hvault.operators.segmented import row_number_segmented
+
+        return row_number_segmented(df, key, ["effective_from_dttm"], "version_rank", descending=True)
     w = Window.partitionBy(key).orderBy(F.col("effective_from_dttm").desc_nulls_first())
     return df.withColumn("version_rank", F.row_number().over(w))
 

@@ -427,8 +427,9 @@ def q_duplicate_versions(spark, sf_dir):
 
 @query("key_history")
 def q_key_history(spark, sf_dir):
-    t = _store(spark, sf_dir).table
-    return present(mart.key_history(t("hsat_account"), t("hub_account"), "account_hash_key", "account_id"))
+    st = _store(spark, sf_dir)
+    hot = st.key_hot("hsat_account", lambda: st.table("hsat_account"), "account_hash_key")
+    return present(mart.key_history(st.table("hsat_account"), st.table("hub_account"), "account_hash_key", "account_id", hot_keys=hot))
 
 
 @query("positive_roundups")
