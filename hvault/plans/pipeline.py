@@ -157,7 +157,8 @@ def table_writer(spark: SparkSession, root: str | None = None) -> Materialize:
     base = root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/vault-{uuid.uuid4().hex}"
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        path = f"{base}/{name}"
+        # a fresh folder per write: the next batch reads this one while writing its own
+        path = f"{base}/{name}-{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
 
