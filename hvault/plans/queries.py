@@ -460,14 +460,14 @@ def _dq_inputs(spark, sf_dir, mode=STRICT):
 
     ``hot``: one key group holds more than the store's hot-key bounds (one
     memoised aggregate per table); the checks then use segmented scans."""
+    from concurrent.futures import ThreadPoolExecutor
+
     st = _store(spark, sf_dir, mode)
-    out = {}
-    for n in DQ_TABLES:
-        s = SATS[n]
-        sat = st.table(n)
-        hot = st.key_hot(n, lambda sat=sat: sat, s.key)
-        out[n] = (sat, s.key, st.table(s.hub), st.staged(2)[s.staging], s.hash_col, hot)
-    return out
+    sats = {n: st.table(n) for n in DQ_TABLES}
+    # the per-table profiles are small independent jobs: run them concurrently
+    with ThreadPoolExecutor(max_workers=len(sats)) as pool:
+        hot = dict(zip(sats, pool.map(lambda n: st.key_hot(n, lambda: sats[n], SATS[n].key), sats)))
+    return {n: (sats[n], SATS[n].key, st.table(SATS[n].hub), st.staged(2)[SATS[n].staging], SATS[n].hash_col, hot[n]) for n in sats}
 
 
 def _dq_union(spark, sf_dir, fn) -> DataFrame:
