@@ -96,3 +96,19 @@ def test_table_results_hot_path_equal_plain(spark):
     for fn in (dq.overlapping_intervals, dq.gaps_in_history):
         a, b = fn(sat, "k"), fn(sat, "k", hot_keys=True)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_hot_path_on_vault_tables_equals_plain(spark):
+    """The segmented check plan on real satellites (sf0.001, both batches)."""
+    from hvault.plans.model import DQ_TABLES, SATS
+    from hvault.plans.pipeline import VaultStore
+    from hvault.sources.adaptor import derive_sources
+
+    st = VaultStore(spark, derive_sources(spark, "/root/testdata/sf0.001"), mode="reference")
+    cols = ["table_name", "test_name", "result", "versions", "error_count"]
+    for n in DQ_TABLES[:3]:
+        s = SATS[n]
+        args = (st.table(n), s.key, st.table(s.hub), st.staged(2)[s.staging], n, "2002-01-01 06:00:00", s.hash_col)
+        plain = sorted(map(tuple, dq.table_results(*args).select(cols).collect()))
+        hot = sorted(map(tuple, dq.table_results(*args, hot_keys=True).select(cols).collect()))
+        assert plain == hot and len(plain) == 8
