@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from hvault.llm.common import table
+from hvault.llm.exact_dedup import EXACT_SQL, dedup_exact
+from hvault.llm.packing import pack_documents
+from hvault.llm.sentencepiece_codec import codec_digest
+from hvault.llm.simhash import dedup_simhash
 from hvault.llm.substring_dedup import substring_digest
 from hvault.llm.suffix_dedup import suffix_digest
 
+
+def documents(spark, sf_dir):
+    return table(spark, sf_dir, "documents")
+
+
 QUERIES = {
-    "op3_substring_dedup": lambda spark, sf_dir: substring_digest(table(spark, sf_dir, "documents")),
-    "op4_suffix_dedup": lambda spark, sf_dir: suffix_digest(table(spark, sf_dir, "documents")),
+    "op2_simhash_bk_trees": lambda spark, sf_dir: dedup_simhash(documents(spark, sf_dir)),
+    "op3_substring_dedup": lambda spark, sf_dir: substring_digest(documents(spark, sf_dir)),
+    "op4_suffix_dedup": lambda spark, sf_dir: suffix_digest(documents(spark, sf_dir)),
+    "op7_sentencepiece": lambda spark, sf_dir: codec_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")),
+    "op8_exact_dedup": lambda spark, sf_dir: dedup_exact(documents(spark, sf_dir)),
+    "op9_packing": lambda spark, sf_dir: pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")),
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_exact_dedup": EXACT_SQL}
