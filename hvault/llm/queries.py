@@ -5,8 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 
 from hvault.llm.common import table
+from hvault.llm.embedding_neardup import dedup_embeddings
 from hvault.llm.exact_dedup import EXACT_SQL, dedup_exact
 from hvault.llm.packing import pack_documents
+from hvault.llm.quality_classifier import score_documents
+from hvault.llm.secret_scan import find_secrets
 from hvault.llm.sentencepiece_codec import codec_digest
 from hvault.llm.simhash import dedup_simhash
 from hvault.llm.substring_dedup import substring_digest
@@ -18,12 +21,15 @@ def documents(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_neardup": lambda spark, sf_dir: dedup_embeddings(table(spark, sf_dir, "embeddings")),
     "op2_simhash_bk_trees": lambda spark, sf_dir: dedup_simhash(documents(spark, sf_dir)),
     "op3_substring_dedup": lambda spark, sf_dir: substring_digest(documents(spark, sf_dir)),
     "op4_suffix_dedup": lambda spark, sf_dir: suffix_digest(documents(spark, sf_dir)),
+    "op6_quality_classifier": lambda spark, sf_dir: score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op7_sentencepiece": lambda spark, sf_dir: codec_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")),
     "op8_exact_dedup": lambda spark, sf_dir: dedup_exact(documents(spark, sf_dir)),
     "op9_packing": lambda spark, sf_dir: pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")),
+    "op10_secret_scan": lambda spark, sf_dir: find_secrets(documents(spark, sf_dir)),
 }
 
 ORACLES: dict[str, str] = {"op8_exact_dedup": EXACT_SQL}
