@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from hvault.llm.chat_format import CHAT_SQL, chat_lines
 from hvault.llm.common import table
 from hvault.llm.embedding_neardup import dedup_embeddings
 from hvault.llm.exact_dedup import EXACT_SQL, dedup_exact
@@ -25,6 +26,7 @@ QUERIES = {
     "op2_simhash_bk_trees": lambda spark, sf_dir: dedup_simhash(documents(spark, sf_dir)),
     "op3_substring_dedup": lambda spark, sf_dir: substring_digest(documents(spark, sf_dir)),
     "op4_suffix_dedup": lambda spark, sf_dir: suffix_digest(documents(spark, sf_dir)),
+    "op5_chat_tool_calls": lambda spark, sf_dir: chat_lines(table(spark, sf_dir, "conversations")),
     "op6_quality_classifier": lambda spark, sf_dir: score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels")),
     "op7_sentencepiece": lambda spark, sf_dir: codec_digest(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model")),
     "op8_exact_dedup": lambda spark, sf_dir: dedup_exact(documents(spark, sf_dir)),
@@ -32,4 +34,4 @@ QUERIES = {
     "op10_secret_scan": lambda spark, sf_dir: find_secrets(documents(spark, sf_dir)),
 }
 
-ORACLES: dict[str, str] = {"op8_exact_dedup": EXACT_SQL}
+ORACLES: dict[str, str] = {"op5_chat_tool_calls": CHAT_SQL, "op8_exact_dedup": EXACT_SQL}
