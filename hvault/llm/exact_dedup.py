@@ -161,6 +161,17 @@ def dedup_exact(documents: DataFrame, salts: int = SALTS) -> DataFrame:
     )
 
 
+def drop_copies(documents: DataFrame) -> DataFrame:
+    """One row of each group of equal texts, with all its columns (of rows that repeat an id and text, any one).
+
+    The marks are joined back on id and digest, so the text is shuffled once."""
+    mark = F.sha2(F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
+    keep = dedup_exact(documents).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")).distinct()
+    rows = documents.withColumn("_mark", mark)
+    rows = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_mark") == F.col("_keep_sha")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_mark"]).select(*documents.columns)
+
+
 #: DuckDB: one row per document.
 EXACT_SQL = r"""
 WITH d AS (

@@ -17,11 +17,19 @@ from hvault.llm.substring_dedup import substring_digest
 from hvault.llm.suffix_dedup import suffix_digest
 
 
+def pipeline(spark, sf_dir):
+    """All stages of the corpus pipeline."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
 QUERIES = {
+    "pipeline": pipeline,
     "op1_embedding_neardup": lambda spark, sf_dir: dedup_embeddings(table(spark, sf_dir, "embeddings")),
     "op2_simhash_bk_trees": lambda spark, sf_dir: dedup_simhash(documents(spark, sf_dir)),
     "op3_substring_dedup": lambda spark, sf_dir: substring_digest(documents(spark, sf_dir)),

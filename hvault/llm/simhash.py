@@ -228,3 +228,10 @@ def dedup_simhash(documents: DataFrame, shingle: int = SHINGLE, radius: int = RA
     member = linked.join(best, "component").select("fp", "best")
     labels = stored(groups.join(member, "fp", "left").select("fp", F.coalesce("best", "least").alias("component_id")), "labels")
     return docs.join(labels, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each group of linked fingerprints (the smallest id), with all its columns; rows that share an id go together."""
+    marks = dedup_simhash(documents, shingle, radius)
+    keep = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep_id")).distinct()
+    return documents.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")), "left_semi").select(*documents.columns)
