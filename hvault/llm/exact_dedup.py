@@ -87,15 +87,15 @@ def local_winners(it):
 
 
 def salted_winners(it):
-    """Rows sorted by (digest, least): each local winner's ids with its salted winner, and the first of each content with the content."""
+    """Rows sorted by (digest, salt, least): each local winner's ids with its salted winner, and the first of each content with the content."""
     schema = pa.schema([("digest", pa.binary()), ("salt", pa.int32()), ("class", pa.int32()), ("least", pa.int64()), ("ids", pa.list_(pa.int64())), ("content", pa.binary())])
-    digest, known = None, []
+    group, known = None, []
     for batch in it:
         cls, first, least = [], [], []
         dig, salt, contents, ids = (batch.column(i) for i in (0, 1, 2, 4))
-        for d, c, m in zip(dig.to_pylist(), contents.to_pylist(), batch.column(3).to_pylist()):
-            if d != digest:
-                digest, known = d, []
+        for d, s, c, m in zip(dig.to_pylist(), salt.to_pylist(), contents.to_pylist(), batch.column(3).to_pylist()):
+            if (d, s) != group:
+                group, known = (d, s), []
             k = next((i for i, (x, _) in enumerate(known) if x == c), len(known))
             new = k == len(known)
             if new:
@@ -166,10 +166,11 @@ def drop_copies(documents: DataFrame) -> DataFrame:
 
     The marks are joined back on id and digest, so the text is shuffled once."""
     mark = F.sha2(F.regexp_replace(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "), 256)
-    keep = dedup_exact(documents).where("kept").select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")).distinct()
-    rows = documents.withColumn("_mark", mark)
-    rows = rows.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")) & (F.col("_mark") == F.col("_keep_sha")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_mark"]).select(*documents.columns)
+    keep = dedup_exact(documents).where("kept").select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("mark")).distinct()
+    # the caller's columns travel as one struct, so no name can clash
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"), mark.alias("mark"))
+    rows = rows.alias("r").join(keep.alias("k"), F.col("r.id").eqNullSafe(F.col("k.id")) & (F.col("r.mark") == F.col("k.mark")), "left_semi")
+    return rows.dropDuplicates(["id", "mark"]).select("row.*")
 
 
 #: DuckDB: one row per document.

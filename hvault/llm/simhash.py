@@ -143,7 +143,7 @@ def block_plan(n: int, radius: int) -> list[list[tuple[int, int]]]:
         bits = [(int(a), int(b - a)) for a, b in zip(edges, edges[1:])]
         plan = [list(c) for c in combinations(bits, blocks - radius)]
         least = min(sum(w for _, w in c) for c in plan)
-        if n <= WISH_ROWS << least:
+        if n <= WISH_ROWS * 2.0**least:
             break
     return plan
 
@@ -233,5 +233,7 @@ def dedup_simhash(documents: DataFrame, shingle: int = SHINGLE, radius: int = RA
 def drop_near_copies(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each group of linked fingerprints (the smallest id), with all its columns; rows that share an id go together."""
     marks = dedup_simhash(documents, shingle, radius)
-    keep = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep_id")).distinct()
-    return documents.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep_id")), "left_semi").select(*documents.columns)
+    keep = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("id")).distinct()
+    # the caller's columns travel as one struct, so no name can clash
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), F.col("doc_id").cast("long").alias("id"))
+    return rows.alias("r").join(keep.alias("k"), F.col("r.id").eqNullSafe(F.col("k.id")), "left_semi").select("row.*")
