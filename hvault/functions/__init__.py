@@ -18,7 +18,7 @@ from hvault.functions.keys import (  # noqa: F401
     ts_lit,
     ts_text,
 )
-from hvault.functions.numeric import half_up_units, idiv, money_units, ratio, round_money, units_to_decimal  # noqa: F401
+from hvault.functions.numeric import half_up_units, idiv, money_units, ratio, units_to_decimal  # noqa: F401
 
 
 def roundup_amount(amount, tail_limit):

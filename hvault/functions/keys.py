@@ -35,10 +35,6 @@ def open_end() -> Column:
     return ts_lit(OPEN_END)
 
 
-def low_end() -> Column:
-    return ts_lit(LOW_END)
-
-
 def _norm(c: ColLike) -> Column:
     return F.trim(F.coalesce(_col(c).cast("string"), F.lit("")))
 

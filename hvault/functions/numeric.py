@@ -41,7 +41,3 @@ def ratio(num: Column, den: Column, scale: int) -> Column:
 def money_units(amount: Column, scale: int = 2) -> Column:
     """DECIMAL(18, scale) money as a long count of 10^-scale units (exact)."""
     return (amount * F.lit(10**scale)).cast("long")
-
-
-def round_money(amount: Column, scale: int = 2) -> Column:
-    return F.round(amount, scale).cast(DecimalType(18, scale))

@@ -74,22 +74,3 @@ def close_on_next(
     """Each row ends where the next row of its key starts; the last one stays open."""
     w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break])
     return df.withColumn(out, F.coalesce(F.lead(start).over(w), open_end()))
-
-
-def as_of_join(
-    probes: DataFrame,
-    history: DataFrame,
-    key: str,
-    at: Column,
-    start: str = "effective_from_dttm",
-    end: str = "effective_to_dttm",
-    how: str = "left",
-) -> DataFrame:
-    """Join each probe to the history row of its key valid at ``at`` (start <= at < end).
-
-    The equality on the key is the hash/sort part of the join; the interval
-    test is a residual filter on the few versions of that key.
-    """
-    h = history.alias("_h")
-    cond = (F.col(f"_p.{key}") == F.col(f"_h.{key}")) & (F.col(f"_h.{start}") <= at) & (at < F.col(f"_h.{end}"))
-    return probes.alias("_p").join(h, cond, how)

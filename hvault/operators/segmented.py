@@ -44,6 +44,13 @@ def segment(df: DataFrame, key: str, order: Sequence[str], partitions: int | Non
     return tagged.checkpoint(eager=True)
 
 
+def _null_flags(df: DataFrame, order: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with a flag per order column, and the columns that order NULLs last in every comparison."""
+    flags = [f"_null_{i}" for i in range(len(order))]
+    df = df.withColumns({f: F.col(c).isNull() for f, c in zip(flags, order)})
+    return df, [x for pair in zip(flags, order) for x in pair]
+
+
 def _over_segments(key: str) -> Window:
     return Window.partitionBy(key).orderBy(SEG)
 
@@ -107,14 +114,15 @@ def next_value_segmented(
     """``lead(value)`` over (key ordered by ``order``), with hot keys split over tasks.
 
     ``order`` must order a key's rows totally (add a unique tie-break)."""
-    seg = segment(df, key, order, partitions)
+    df, places = _null_flags(df, order)
+    seg = segment(df, key, places, partitions)
     local = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     rows = seg.withColumn("_ln", F.lead(value).over(local))
-    summ = seg.groupBy(key, SEG).agg(F.min(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))).alias("_first"))
+    summ = seg.groupBy(key, SEG).agg(F.min(F.struct(*[F.col(c) for c in places], F.col(value).alias("_v"))).alias("_first"))
     nxt = summ.select(key, SEG, F.lead("_first._v").over(_over_segments(key)).alias("_carry"))
     is_last = F.row_number().over(local.orderBy(*[F.col(c).desc_nulls_first() for c in order])) == 1
     rows = rows.withColumn("_is_last", is_last).join(nxt, [key, SEG], "left")
-    return rows.withColumn(out, F.when(F.col("_is_last"), F.col("_carry")).otherwise(F.col("_ln"))).drop("_ln", "_carry", "_is_last", SEG)
+    return rows.withColumn(out, F.when(F.col("_is_last"), F.col("_carry")).otherwise(F.col("_ln"))).drop("_ln", "_carry", "_is_last", SEG, *places[::2])
 
 
 def as_of_segmented(
@@ -175,13 +183,14 @@ def prev_value_segmented(
     """``lag(value)`` over (key ordered by ``order``), with hot keys split over tasks.
 
     ``order`` must order a key's rows totally (add a unique tie-break)."""
-    seg = segment(df, key, order, partitions)
+    df, places = _null_flags(df, order)
+    seg = segment(df, key, places, partitions)
     local = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_last() for c in order])
     rows = seg.withColumn("_lp", F.lag(value).over(local))
-    summ = seg.groupBy(key, SEG).agg(F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))).alias("_last"))
+    summ = seg.groupBy(key, SEG).agg(F.max(F.struct(*[F.col(c) for c in places], F.col(value).alias("_v"))).alias("_last"))
     prv = summ.select(key, SEG, F.lag("_last._v").over(_over_segments(key)).alias("_carry"))
     rows = rows.withColumn("_is_first", F.row_number().over(local) == 1).join(prv, [key, SEG], "left")
-    return rows.withColumn(out, F.when(F.col("_is_first"), F.col("_carry")).otherwise(F.col("_lp"))).drop("_lp", "_carry", "_is_first", SEG)
+    return rows.withColumn(out, F.when(F.col("_is_first"), F.col("_carry")).otherwise(F.col("_lp"))).drop("_lp", "_carry", "_is_first", SEG, *places[::2])
 
 
 def row_number_segmented(

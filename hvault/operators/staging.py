@@ -42,7 +42,7 @@ def extract_window(df: DataFrame, start: str | None = None, end: str | None = No
 def with_lookups(df: DataFrame, lookups: Sequence[Lookup], refs: Mapping[str, DataFrame]) -> DataFrame:
     for lk in lookups:
         ref = refs[lk.ref].select(lk.code, lk.name)
-        df = df.join(broadcast_if_small(ref), on=lk.code, how="left")
+        df = df.join(broadcast_if_small(ref, counted=refs[lk.ref]), on=lk.code, how="left")
     return df
 
 
@@ -62,15 +62,10 @@ def stage(spec: StageSpec, source: DataFrame, refs: Mapping[str, DataFrame], sta
 
 
 def stage_batch(specs: Mapping[str, StageSpec], sources: Mapping[str, DataFrame], refs: Mapping[str, DataFrame], start: str | None, end: str | None) -> dict[str, DataFrame]:
-    """All fact entities for one window (the reference lists are refreshed separately)."""
+    """All fact entities for one window (reference lists are read whole)."""
     return {name: stage(spec, sources[name], refs, start, end) for name, spec in specs.items()}
 
 
-def refresh_reference_lists(sources: Mapping[str, DataFrame], catalogue_names: Sequence[str]) -> dict[str, DataFrame]:
-    """Full refresh of every entity whose name contains 'type' or 'status' (case-insensitive)."""
-    return {n: sources[n] for n in catalogue_names if ("type" in n.lower() or "status" in n.lower())}
-
-
 # --- load registry ---------------------------------------------------------
 
 REGISTRY_SCHEMA = StructType(

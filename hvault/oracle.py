@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 
-from hvault.plans.model import DQ_TABLES, HUBS, LINKS, SATS, STAGING
+from hvault.oracle_model import DQ_TABLES, HUBS, LINKS, SATS, STAGING
 from hvault.plans.pipeline import LOAD_TS, WINDOWS
 from hvault.sources.adaptor import (
     ACCOUNT_STATUSES,
@@ -201,6 +201,8 @@ def _stage_sql(entity: str, lo: str | None, hi: str | None) -> str:
 for _b, (_lo, _hi) in enumerate(WINDOWS, start=1):
     for _e in STAGING:
         cte(f"stg_{_e}_{_b}", _stage_sql(_e, _lo, _hi))
+for _e in STAGING:
+    cte(f"stg_{_e}_all", f"SELECT * FROM stg_{_e}_1 UNION ALL SELECT * FROM stg_{_e}_2")
 
 
 # --- interval merge ------------------------------------------------------------
@@ -307,18 +309,8 @@ FROM {merged} m LEFT JOIN {ps}_touched_{b} t ON t.{k} = m.{k} AND t.effective_fr
 _link_ctes()
 
 
-def _attr_sql(a, t) -> str:
-    from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType
-
-    if isinstance(t, DateType):
-        return f"CAST(NULLIF({a}, '') AS DATE)"
-    if isinstance(t, IntegerType):
-        return f"CAST(NULLIF({a}, '') AS INTEGER)"
-    if isinstance(t, DecimalType):
-        return f"CAST(NULLIF({a}, '') AS DECIMAL(18,2))"
-    if isinstance(t, TimestampNTZType):
-        return f"CAST(NULLIF({a}, '') AS TIMESTAMP)"
-    return a
+def _attr_sql(a: str, kind: str) -> str:
+    return a if kind == "VARCHAR" else f"CAST(NULLIF({a}, '') AS {kind})"
 
 
 HASH_SQL = {
@@ -329,12 +321,7 @@ HASH_SQL = {
 
 
 def _empty_sat(s) -> str:
-    from pyspark.sql.types import DateType, DecimalType, IntegerType, TimestampNTZType
-
-    def sqlt(t):
-        return {DateType: "DATE", IntegerType: "INTEGER", TimestampNTZType: "TIMESTAMP"}.get(type(t), "DECIMAL(18,2)" if isinstance(t, DecimalType) else "VARCHAR")
-
-    attrs = ", ".join(f"CAST(NULL AS {sqlt(t)}) AS {a}" for a, t, _ in s.attrs)
+    attrs = ", ".join(f"CAST(NULL AS {kind}) AS {a}" for a, kind in s.attrs)
     return (
         f"SELECT CAST(NULL AS VARCHAR) AS {s.key}, CAST(NULL AS BIGINT) AS version_id, CAST(NULL AS VARCHAR) AS {s.hash_col}, "
         f"CAST(NULL AS TIMESTAMP) AS effective_from_dttm, CAST(NULL AS TIMESTAMP) AS effective_to_dttm, CAST(NULL AS VARCHAR) AS src_cd, {attrs} WHERE false"
@@ -344,7 +331,7 @@ def _empty_sat(s) -> str:
 def _sat_ctes() -> None:
     for s in SATS.values():
         k, h = s.key, s.hash_col
-        names = [a for a, _, _ in s.attrs]
+        names = [a for a, _ in s.attrs]
         al = ", ".join(names)
         hash_expr = HASH_SQL.get(s.name, h)
         cols = f"{k}, version_id, {h}, effective_from_dttm, effective_to_dttm, src_cd, {al}"
@@ -352,7 +339,7 @@ def _sat_ctes() -> None:
             p = f"{m}_{s.name}"
             cte(f"{p}_0", _empty_sat(s))
             for b in (1, 2):
-                typed = ", ".join(f"{_attr_sql(a, t)} AS {a}" for a, t, _ in s.attrs)
+                typed = ", ".join(f"{_attr_sql(a, t)} AS {a}" for a, t in s.attrs)
                 cte(f"{p}_in_{b}", f"""
 SELECT {k}, {hash_expr} AS {h}, {ts('create_dttm')} AS create_dttm, {ts('delete_dttm')} AS delete_dttm, {typed}, {ts('last_update')} AS last_update
 FROM stg_{s.staging}_{b}""")
@@ -366,32 +353,30 @@ WHERE rn = 1""")
                 cte(f"{p}_touched_{b}", f"SELECT * FROM {prev} t WHERE EXISTS (SELECT 1 FROM {bb} x WHERE x.{k} = t.{k})")
                 cte(f"{p}_untouched_{b}", f"SELECT * FROM {prev} t WHERE NOT EXISTS (SELECT 1 FROM {bb} x WHERE x.{k} = t.{k})")
                 if mode == "reference":
-                    cte(f"{p}_dk_{b}", f"SELECT {k}, MIN(create_dttm) AS mn, MAX(create_dttm) AS mx FROM {bb} GROUP BY {k}")
-                    nul = ", ".join(f"NULL AS {a}" for a in names)
-                    cte(f"{p}_merged_{b}", f"""
-SELECT {k}, create_dttm AS eff_from, delete_dttm AS eff_to, TRUE AS mark, {h}, {al} FROM {bb}
-UNION ALL
-SELECT t.{k}, t.effective_from_dttm, t.effective_to_dttm,
-  (t.effective_to_dttm = {OPEN} AND t.effective_from_dttm < dk.mx), NULL, {nul}
-FROM {p}_touched_{b} t JOIN {p}_dk_{b} dk ON t.{k} = dk.{k}
-WHERE t.effective_from_dttm >= dk.mn
-  AND NOT EXISTS (SELECT 1 FROM {bb} x WHERE x.{k} = t.{k} AND x.create_dttm = t.effective_from_dttm)""")
-                    cte(f"{p}_final_{b}", f"""
-SELECT {k}, eff_from, COALESCE(new_to, {OPEN}) AS new_to, {h}, {al} FROM (
-  SELECT *, CASE WHEN mark THEN COALESCE(NULLIF(eff_to, {OPEN}), LEAD(eff_from) OVER (PARTITION BY {k} ORDER BY eff_from)) ELSE eff_to END AS new_to
-  FROM {p}_merged_{b}) WHERE mark""")
-                    pick = ", ".join(f"CASE WHEN t.{k} IS NOT NULL THEN t.{a} ELSE f.{a} END AS {a}" for a in names)
+                    # every start of a touched key from the batch's first start on, and the start after it
+                    cte(f"{p}_starts_{b}", f"""
+SELECT {k}, create_dttm AS s FROM {bb}
+UNION
+SELECT {k}, effective_from_dttm FROM {p}_touched_{b} t
+WHERE EXISTS (SELECT 1 FROM {bb} y WHERE y.{k} = t.{k} AND y.create_dttm <= t.effective_from_dttm)""")
+                    cte(f"{p}_after_{b}", f"""
+SELECT a.{k}, a.s, COALESCE(MIN(n.s), {OPEN}) AS following
+FROM {p}_starts_{b} a LEFT JOIN {p}_starts_{b} n ON n.{k} = a.{k} AND n.s > a.s GROUP BY a.{k}, a.s""")
+                    # a stored row ends anew when the batch re-sends its start, or when it is open between two batch starts
+                    told = ", ".join(f"t.{a}" for a in names)
                     cte(f"{p}_{b}", f"""
 SELECT {cols} FROM {p}_untouched_{b}
 UNION ALL
-SELECT COALESCE(t.{k}, f.{k}) AS {k},
-  CASE WHEN f.{k} IS NOT NULL THEN {b} ELSE t.version_id END AS version_id,
-  CASE WHEN t.{k} IS NOT NULL THEN t.{h} ELSE f.{h} END AS {h},
-  COALESCE(t.effective_from_dttm, f.eff_from) AS effective_from_dttm,
-  COALESCE(f.new_to, t.effective_to_dttm) AS effective_to_dttm,
-  CASE WHEN t.{k} IS NOT NULL THEN t.src_cd ELSE '{s.src_cd}' END AS src_cd,
-  {pick}
-FROM {p}_touched_{b} t FULL OUTER JOIN {p}_final_{b} f ON t.{k} = f.{k} AND t.effective_from_dttm = f.eff_from""")
+SELECT t.{k}, CASE WHEN x.{k} IS NOT NULL OR closes THEN {b} ELSE t.version_id END, t.{h}, t.effective_from_dttm,
+  CASE WHEN x.{k} IS NOT NULL THEN COALESCE(NULLIF(x.delete_dttm, {OPEN}), following) WHEN closes THEN following ELSE t.effective_to_dttm END, t.src_cd, {told}
+FROM (SELECT o.*, o.effective_to_dttm = {OPEN} AND EXISTS (SELECT 1 FROM {bb} y WHERE y.{k} = o.{k} AND y.create_dttm < o.effective_from_dttm)
+        AND EXISTS (SELECT 1 FROM {bb} y WHERE y.{k} = o.{k} AND y.create_dttm > o.effective_from_dttm) AS closes FROM {p}_touched_{b} o) t
+LEFT JOIN {bb} x ON x.{k} = t.{k} AND x.create_dttm = t.effective_from_dttm
+LEFT JOIN {p}_after_{b} n ON n.{k} = t.{k} AND n.s = t.effective_from_dttm
+UNION ALL
+SELECT x.{k}, {b}, x.{h}, x.create_dttm, COALESCE(NULLIF(x.delete_dttm, {OPEN}), following, {OPEN}), '{s.src_cd}', {", ".join(f"x.{a}" for a in names)}
+FROM {bb} x LEFT JOIN {p}_after_{b} n ON n.{k} = x.{k} AND n.s = x.create_dttm
+WHERE NOT EXISTS (SELECT 1 FROM {p}_touched_{b} t WHERE t.{k} = x.{k} AND t.effective_from_dttm = x.create_dttm)""")
                 else:
                     cte(f"{p}_comb_{b}", f"""
 SELECT {k}, create_dttm AS effective_from_dttm, COALESCE(delete_dttm, {OPEN}) AS explicit_to, {h}, {al},
@@ -444,10 +429,13 @@ SELECT customer_hash_key, request_hash_key, status_from_dttm, effective_from_dtt
   COALESCE(LEAD(effective_from_dttm) OVER w, {OPEN}) AS effective_to_dttm, tail_limit, service_request_type_nm,
   LAG(service_request_type_nm) OVER w AS prev_status
 FROM {m}_done WINDOW w AS (PARTITION BY customer_hash_key ORDER BY effective_from_dttm, request_hash_key, status_from_dttm)""")
-    cte(f"{m}_tip", f"""
-SELECT *, LEAD(service_request_type_nm) OVER (PARTITION BY customer_hash_key
-   ORDER BY effective_to_dttm DESC NULLS FIRST, effective_from_dttm DESC NULLS FIRST, request_hash_key DESC NULLS FIRST, status_from_dttm DESC NULLS FIRST) AS prev_type
+    # the type of the state before it, states counted by end, then start
+    cte(f"{m}_counted", f"""
+SELECT *, row_number() OVER (PARTITION BY customer_hash_key ORDER BY effective_to_dttm, effective_from_dttm, request_hash_key, status_from_dttm) AS place
 FROM {m}_tail_info""")
+    cte(f"{m}_tip", f"""
+SELECT t.* EXCLUDE (place), b.service_request_type_nm AS prev_type
+FROM {m}_counted t LEFT JOIN {m}_counted b ON b.customer_hash_key = t.customer_hash_key AND b.place = t.place - 1""")
     cte(f"{m}_txi", f"""
 SELECT ht.transaction_hash_key, lo.orig_transaction_hash_key, la.account_hash_key, lc.customer_hash_key,
   hs.transaction_amt, hs.transaction_type_nm, hs.transaction_dttm, hs.effective_from_dttm, hs.effective_to_dttm,
@@ -489,51 +477,41 @@ SELECT revenue_month AS report_date, COUNT(DISTINCT customer_hash_key) AS paying
 FROM (SELECT customer_hash_key, CAST(date_trunc('month', transaction_dttm) AS DATE) AS revenue_month,
         SUM(ROUND(transaction_amt * CAST(0.01 AS DECIMAL(3,2)), 2)) AS r FROM {m}_tx GROUP BY 1, 2)
 GROUP BY revenue_month""")
-    cte(f"{m}_cs", f"""
-SELECT customer_hash_key, active_month, MAX(is_active) AS is_active_flag FROM (
-  SELECT l.customer_hash_key, CAST(date_trunc('month', h.effective_from_dttm) AS DATE) AS active_month,
-    CASE WHEN h.service_request_type_nm <> 'disable' THEN 1 ELSE 0 END AS is_active
-  FROM {V('link_cust_x_req', m)} l JOIN {V('hsat_request', m)} h ON l.request_hash_key = h.request_hash_key
-  WHERE h.effective_to_dttm = {OPEN})
-GROUP BY 1, 2""")
+    # per customer: months with a current request version, and those of them with another type than disable
+    cte(f"{m}_months", f"""
+SELECT customer_hash_key, list(DISTINCT mon) AS seen, coalesce(list(DISTINCT mon) FILTER (service_request_type_nm <> 'disable'), []) AS using_it
+FROM (SELECT l.customer_hash_key, service_request_type_nm, CAST(date_trunc('month', effective_from_dttm) AS DATE) AS mon
+      FROM {V('link_cust_x_req', m)} l JOIN {V('hsat_request', m)} h USING (request_hash_key) WHERE effective_to_dttm = {OPEN})
+GROUP BY customer_hash_key""")
     cte(f"{m}_churn", f"""
-SELECT report_date, customers_start, customers_lost, churn_rate, CAST(ROUND(churn_rate * 100, 2) AS DECIMAL(18,2)) AS churn_rate_percent FROM (
-  SELECT c1.active_month AS report_date, COUNT(DISTINCT c1.customer_hash_key) AS customers_start,
-    COUNT(DISTINCT CASE WHEN c1.is_active_flag = 1 AND c2.is_active_flag = 0 THEN c1.customer_hash_key END) AS customers_lost,
-    {rate('COUNT(DISTINCT CASE WHEN c1.is_active_flag = 1 AND c2.is_active_flag = 0 THEN c1.customer_hash_key END)', 'COUNT(DISTINCT c1.customer_hash_key)', 4)} AS churn_rate
-  FROM {m}_cs c1 LEFT JOIN {m}_cs c2 ON c1.customer_hash_key = c2.customer_hash_key AND c2.active_month = c1.active_month + INTERVAL 1 MONTH
-  WHERE c1.is_active_flag = 1 GROUP BY c1.active_month)""")
-    cte(f"{m}_ma", f"""
-SELECT DISTINCT customer_hash_key, CAST(date_trunc('month', effective_from_dttm) AS DATE) AS activity_month
-FROM {m}_tail_info WHERE service_request_type_nm <> 'disable'""")
+SELECT report_date, COUNT(*) AS customers_start, COUNT(*) FILTER (lost) AS customers_lost,
+  {rate('COUNT(*) FILTER (lost)', 'COUNT(*)', 4)} AS churn_rate,
+  CAST(ROUND({rate('COUNT(*) FILTER (lost)', 'COUNT(*)', 4)} * 100, 2) AS DECIMAL(18,2)) AS churn_rate_percent
+FROM (SELECT report_date, list_contains(seen, CAST(report_date + INTERVAL 1 MONTH AS DATE)) AND NOT list_contains(using_it, CAST(report_date + INTERVAL 1 MONTH AS DATE)) AS lost
+      FROM (SELECT seen, using_it, unnest(using_it) AS report_date FROM {m}_months))
+GROUP BY report_date""")
+    # M6: months of a customer as one list; retained when the list holds the month after
     for sc in (3, 4):
         cte(f"{m}_retention{sc}", f"""
-SELECT cur.activity_month AS current_month, COUNT(cur.customer_hash_key) AS total_users,
-  CAST(SUM(CASE WHEN nxt.activity_month IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS retained_users,
-  {rate('SUM(CASE WHEN nxt.activity_month IS NOT NULL THEN 1 ELSE 0 END)', 'COUNT(cur.customer_hash_key)', sc)} AS retention_rate
-FROM {m}_ma cur LEFT JOIN {m}_ma nxt ON cur.customer_hash_key = nxt.customer_hash_key AND nxt.activity_month = cur.activity_month + INTERVAL 1 MONTH
-GROUP BY cur.activity_month""")
+SELECT current_month, COUNT(*) AS total_users, COUNT(*) FILTER (stays) AS retained_users, {rate('COUNT(*) FILTER (stays)', 'COUNT(*)', sc)} AS retention_rate
+FROM (SELECT current_month, list_contains(months, CAST(current_month + INTERVAL 1 MONTH AS DATE)) AS stays
+      FROM (SELECT months, unnest(months) AS current_month
+            FROM (SELECT list(DISTINCT CAST(date_trunc('month', effective_from_dttm) AS DATE)) AS months
+                  FROM {m}_tail_info WHERE service_request_type_nm <> 'disable' GROUP BY customer_hash_key)))
+GROUP BY current_month""")
     cte(f"{m}_mgrid", f"SELECT CAST(date_trunc('month', d) AS DATE) AS month_dt FROM generate_series(DATE '{GRID_START}', DATE '{GRID_END}', INTERVAL 1 MONTH) t(d)")
+    # per month and customer: does a stored version span the month start, and does a done request with a limit hold there
     cte(f"{m}_kop", f"""
-WITH active_users AS (
-  SELECT g.month_dt, hc.customer_hash_key
-  FROM {m}_mgrid g
-  JOIN {V('hsat_cab_customer', m)} hcc ON CAST(g.month_dt AS TIMESTAMP) > hcc.effective_from_dttm
-    AND CAST(g.month_dt AS TIMESTAMP) < COALESCE(hcc.effective_to_dttm, {FAR})
-  JOIN {V('hub_customer', m)} hc ON hc.customer_hash_key = hcc.customer_hash_key),
-sr AS (
-  SELECT customer_hash_key, effective_from_dttm,
-    LEAD(effective_from_dttm) OVER (PARTITION BY customer_hash_key ORDER BY {TI_ORDER}) AS effective_to, tail_limit
-  FROM {m}_done),
-ukm AS (
-  SELECT au.month_dt, au.customer_hash_key, COALESCE(sr.tail_limit, 0) AS tail_limit
-  FROM active_users au LEFT JOIN sr ON au.customer_hash_key = sr.customer_hash_key
-    AND CAST(au.month_dt AS TIMESTAMP) >= sr.effective_from_dttm AND CAST(au.month_dt AS TIMESTAMP) < COALESCE(sr.effective_to, {OPEN}))
-SELECT month_dt, COUNT(DISTINCT customer_hash_key) AS total_active_users,
-  COUNT(DISTINCT CASE WHEN tail_limit > 0 THEN customer_hash_key END) AS kopylka_users,
-  COUNT(DISTINCT customer_hash_key) - COUNT(DISTINCT CASE WHEN tail_limit > 0 THEN customer_hash_key END) AS not_active_user,
-  CAST({rate('COUNT(DISTINCT CASE WHEN tail_limit > 0 THEN customer_hash_key END)', 'COUNT(DISTINCT customer_hash_key)', 4)} * 100 AS DECIMAL(18,4)) AS kopylka_usage_pct
-FROM ukm GROUP BY month_dt""")
+SELECT month_dt, COUNT(*) AS total_active_users, COUNT(*) FILTER (limited) AS kopylka_users, COUNT(*) FILTER (NOT limited) AS not_active_user,
+  CAST({rate('COUNT(*) FILTER (limited)', 'COUNT(*)', 4)} * 100 AS DECIMAL(18,4)) AS kopylka_usage_pct
+FROM (
+  SELECT month_dt,
+    EXISTS (SELECT 1 FROM {m}_tail_info ti WHERE ti.customer_hash_key = c.customer_hash_key AND ti.tail_limit > 0
+            AND CAST(month_dt AS TIMESTAMP) BETWEEN ti.effective_from_dttm AND ti.effective_to_dttm - INTERVAL 1 MICROSECOND) AS limited
+  FROM {m}_mgrid, {V('hub_customer', m)} c
+  WHERE EXISTS (SELECT 1 FROM {V('hsat_cab_customer', m)} v WHERE v.customer_hash_key = c.customer_hash_key
+                AND v.effective_from_dttm < CAST(month_dt AS TIMESTAMP) AND NOT v.effective_to_dttm <= CAST(month_dt AS TIMESTAMP)))
+GROUP BY month_dt""")
     cte(f"{m}_act_month", f"""
 SELECT CAST(g.month_dt AS DATE) AS month_dt,
   COUNT(CASE WHEN t.service_request_type_nm IN ('chg_round','enable') AND (t.prev_type = 'disable' OR t.prev_type IS NULL) THEN 1 END) AS activation,
@@ -566,7 +544,7 @@ Q: dict[str, str] = {}
 def _sat_present(name: str, mode: str = "s") -> str:
     s = SATS.get(name)
     if s is not None:
-        attrs = ", ".join(a for a, _, _ in s.attrs)
+        attrs = ", ".join(a for a, _ in s.attrs)
         return f"SELECT {s.key}, version_id, {s.hash_col}, effective_from_dttm, {nul('effective_to_dttm')}, src_cd, {attrs} FROM {V(name, mode)}"
     ln = next(x for x in LINKS.values() if x.lsat == name)
     return f"SELECT {ln.key}, version_id, effective_from_dttm, {nul('effective_to_dttm')}, src_cd FROM {V(name, mode)}"
@@ -586,9 +564,9 @@ Q["ref_refresh"] = "\nUNION ALL\n".join(
     f"SELECT '{n}' AS entity_name, {CATALOGUE[n].columns[0]} AS code, {CATALOGUE[n].columns[1]} AS name FROM src_{n}" for n in REFERENCE_LISTS
 )
 for _e in STAGING:
-    Q[f"stage_{_e}"] = f"SELECT * FROM stg_{_e}_1"
+    Q[f"stage_{_e}"] = f"SELECT * FROM stg_{_e}_all"
 Q["typed_staging"] = f"""SELECT transaction_hash_key, CAST(NULLIF(transaction_amt, '') AS DECIMAL(18,2)) AS transaction_amt,
-  {ts('transaction_dttm')} AS transaction_dttm, {ts('create_dttm')} AS create_dttm, {ts('delete_dttm')} AS delete_dttm FROM stg_crm_transaction_1"""
+  {ts('transaction_dttm')} AS transaction_dttm, {ts('create_dttm')} AS create_dttm, {ts('delete_dttm')} AS delete_dttm FROM stg_crm_transaction_all"""
 Q["staging_batch_counts"] = "\nUNION ALL\n".join(
     f"SELECT '{e}' AS table_name, COUNT(*) AS rows_loaded, COUNT(*) > 0 AS registered, CASE WHEN COUNT(*) > 0 THEN {tsl(LOAD_TS[b - 1])} END AS load_dttm, {b} AS batch FROM stg_{e}_{b}"
     for b in (1, 2) for e in STAGING
@@ -599,21 +577,19 @@ Q["registry_last_load"] = "\nUNION ALL\n".join(
     + ")"
     for e in STAGING
 )
-_reg_parts = []
-for _ln in LINKS.values():
-    _reg_parts.append(f"SELECT '{_ln.lsat}' AS table_name, {tsl(LOAD_TS[0])} AS load_dttm, 1 AS version_id")
-    _reg_parts.append(f"SELECT '{_ln.lsat}', {tsl(LOAD_TS[1])}, 2")
-for _s in SATS:
-    _reg_parts.append(f"SELECT '{_s}', {tsl(LOAD_TS[0])}, 1")
-    _reg_parts.append(f"SELECT '{_s}', {tsl(LOAD_TS[1])}, 2")
-cte("s_registry", "\nUNION ALL\n".join(_reg_parts))
-Q["registry_next_version"] = f"""SELECT table_name, COALESCE(MAX(load_dttm), {LOW}) AS last_load_dttm, CAST(COALESCE(MAX(version_id), 0) + 1 AS BIGINT) AS next_version
-FROM s_registry GROUP BY table_name"""
+for _m in MODES:
+    cte(f"{_m}_registry", "\nUNION ALL\n".join(
+        f"SELECT DISTINCT '{n}' AS table_name, version_id, CASE version_id WHEN 1 THEN {tsl(LOAD_TS[0])} WHEN 2 THEN {tsl(LOAD_TS[1])} END AS load_dttm FROM {V(n, _m)}"
+        for n in [ln.lsat for ln in LINKS.values()] + list(SATS)
+    ))
+for _m, _name in (("s", "registry_next_version"), ("r", "registry_next_version_ref")):
+    Q[_name] = f"""SELECT table_name, MAX(load_dttm) AS last_load_dttm, MAX(version_id) + 1 AS next_version FROM {_m}_registry GROUP BY table_name"""
+Q["registry_epoch"] = "SELECT table_name, version_id, load_dttm, CAST(epoch(load_dttm) AS BIGINT) AS epoch_seconds FROM s_registry"
 Q["hash_key"] = f"SELECT c_custkey, {hk('CAST(c_custkey AS VARCHAR)')} AS customer_hash_key, {hk('c_name')} AS name_hash_key FROM customer"
 Q["link_hash_key"] = f"SELECT o_orderkey, {ch(['CAST(o_custkey AS VARCHAR)', 'CAST(o_orderkey AS VARCHAR)'])} AS cust_x_app_hash_key FROM orders"
-Q["hash_diff"] = "SELECT application_id, product_type_nm, hash_diff FROM stg_application_1"
-Q["hash_diff_variants"] = "SELECT customer_id, create_dttm, hash_diff_con, md5(concat_ws(':', phone_num, email)) AS contact_md5, md5(coalesce(first_nm, '')) AS first_nm_md5 FROM stg_crm_customer_1"
-Q["self_link_key"] = "SELECT transaction_id, orig_id, orig_transaction_hash_key, trans_x_orig_trans_hash_key FROM stg_crm_transaction_1"
+Q["hash_diff"] = "SELECT application_id, product_type_nm, hash_diff FROM stg_application_all"
+Q["hash_diff_variants"] = "SELECT customer_id, create_dttm, hash_diff_con, md5(concat_ws(':', phone_num, email)) AS contact_md5, md5(coalesce(first_nm, '')) AS first_nm_md5 FROM stg_crm_customer_all"
+Q["self_link_key"] = "SELECT transaction_id, orig_id, orig_transaction_hash_key, trans_x_orig_trans_hash_key FROM stg_crm_transaction_all"
 
 for _h in HUBS:
     Q[_h] = f"SELECT * FROM {V(_h)}"
@@ -622,6 +598,11 @@ for _ln in LINKS.values():
     Q[_ln.lsat] = _sat_present(_ln.lsat)
 for _s in SATS:
     Q[_s] = _sat_present(_s)
+for _ln in LINKS.values():
+    Q[f"{_ln.name}_ref"] = f"SELECT * FROM {V(_ln.name, 'r')}"
+    Q[f"{_ln.lsat}_ref"] = _sat_present(_ln.lsat, "r")
+for _s in SATS:
+    Q[f"{_s}_ref"] = _sat_present(_s, "r")
 Q["lsat_two_batches"] = _sat_present("lsat_acc_x_app", "r")
 Q["hsat_two_batches"] = _sat_present("hsat_cab_customer", "r")
 Q["hsat_late_rows"] = _sat_present("hsat_crm_customer", "r")
@@ -651,6 +632,12 @@ Q["state_intervals"] = f"""SELECT customer_hash_key, request_hash_key, status_fr
   tail_limit, service_request_type_nm, prev_status FROM s_tail_info"""
 Q["transaction_enriched"] = f"""SELECT transaction_hash_key, orig_transaction_hash_key, account_hash_key, customer_hash_key, transaction_amt,
   transaction_type_nm, transaction_dttm, effective_from_dttm, {nul('effective_to_dttm')}, tail_limit, service_request_type_nm FROM s_txi"""
+Q["transaction_enriched_ref"] = Q["transaction_enriched"].replace("s_txi", "r_txi")
+_ONE = f"(SELECT MIN(customer_hash_key) FROM {V('link_cust_x_req')})"
+Q["state_drill_down"] = Q["state_intervals"] + f" WHERE customer_hash_key = {_ONE}"
+Q["transaction_drill_down"] = Q["transaction_enriched"] + f" WHERE customer_hash_key = {_ONE}"
+Q["interval_epoch"] = f"""SELECT account_hash_key, version_id, CAST(epoch(effective_from_dttm) AS BIGINT) AS from_epoch,
+  CASE WHEN effective_to_dttm < {OPEN} THEN CAST(epoch(effective_to_dttm) AS BIGINT) END AS to_epoch FROM {V('hsat_account')}"""
 Q["activation_at_date"] = """
 SELECT DATE '1999-06-30' AS calc_date,
   COUNT(CASE WHEN service_request_type_nm IN ('chg_round','enable') AND (prev_type = 'disable' OR prev_type IS NULL) THEN 1 END) AS activation,
@@ -692,12 +679,13 @@ SELECT ht.transaction_hash_key AS orig_transaction_hash_key, ti.transaction_hash
   ti.transaction_amt, ti.tail_limit
 FROM s_txi ti JOIN {V('hsat_transaction')} ht ON ti.orig_transaction_hash_key = ht.transaction_hash_key
 WHERE ti.transaction_type_nm = 'kopylka' AND abs(ti.transaction_amt) > ti.tail_limit"""
-Q["duplicate_versions"] = "SELECT account_id, create_dttm, COUNT(*) AS n_rows FROM stg_crm_account_1 GROUP BY account_id, create_dttm HAVING COUNT(*) > 1"
+Q["duplicate_versions"] = "SELECT account_id, create_dttm, COUNT(*) AS n_rows FROM stg_crm_account_all GROUP BY account_id, create_dttm HAVING COUNT(*) > 1"
 Q["key_history"] = f"""
 SELECT h.account_hash_key, h.version_id, h.hash_diff, h.effective_from_dttm, {nul('h.effective_to_dttm')}, h.src_cd, h.account_type_nm,
   h.account_create_dt, hub.account_id,
   row_number() OVER (PARTITION BY h.account_hash_key ORDER BY h.effective_from_dttm DESC NULLS FIRST) AS version_rank
 FROM {V('hsat_account')} h JOIN {V('hub_account')} hub ON hub.account_hash_key = h.account_hash_key"""
+Q["key_history_one"] = Q["key_history"] + f" WHERE hub.account_id = (SELECT MIN(account_id) FROM {V('hub_account')})"
 Q["positive_roundups"] = f"""
 SELECT hs.transaction_hash_key, hub.transaction_id, hs.version_id, hs.hash_diff, hs.effective_from_dttm, {nul('hs.effective_to_dttm')},
   hs.transaction_amt, hs.transaction_type_nm, hs.transaction_dttm

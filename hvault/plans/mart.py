@@ -156,7 +156,9 @@ def activation_grid(
     grid = day_grid(spark, start, end, step_days).select(
         "to_date", F.floor(F.datediff("to_date", F.lit(start).cast(DateType())) / step_days).cast("long").alias("_k")
     )
-    out = F.broadcast(grid).join(counts, "_k", "left")
+    steps = F.floor(F.datediff(F.lit(end).cast(DateType()), F.lit(start).cast(DateType())) / step_days)
+    # one row per grid date at most, bounded by the grid's parameters
+    out = grid.join(F.broadcast(counts.filter(F.col("_k") <= steps)), "_k", "left")
     act = F.coalesce("activation", F.lit(0)).cast("long")
     deact = F.coalesce("deactivation", F.lit(0)).cast("long")
     return out.select(
@@ -204,17 +206,29 @@ def month_grid(spark: SparkSession, start: str = GRID_START, end: str = GRID_END
     ).select(_month(F.col("month_dt")).alias("month_dt"))
 
 
-def _months_between_open(start: Column, end: Column, lo_incl: bool, grid_start: str, grid_end: str) -> Column:
-    """Grid month starts m with start < m (or <= when lo_incl) and m < end, inside the grid."""
-    g0 = F.lit(grid_start).cast(DateType())
-    g1 = _month(F.lit(grid_end).cast(DateType()).cast("timestamp_ntz"))
+def _month_masks(start: Column, end: Column, lo_incl: bool, grid_start: str, grid_end: str) -> list[Column]:
+    """The grid months m with start < m (or <= when lo_incl) and m < end, as bits of one or more longs (62 months each)."""
     first = _month(start)
     first = F.when((first.cast("timestamp_ntz") >= start) if lo_incl else (first.cast("timestamp_ntz") > start), first).otherwise(F.add_months(first, 1))
-    first = F.greatest(first, g0)
     last_m = _month(end)
     last = F.when(last_m.cast("timestamp_ntz") < end, last_m).otherwise(F.add_months(last_m, -1))
-    last = F.least(last, g1)
-    return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))).otherwise(F.array().cast("array<date>"))
+    year, month = int(grid_start[:4]), int(grid_start[5:7])
+    place = lambda d: (F.year(d) - year) * 12 + F.month(d) - month
+    one = F.lit(1).cast("long")
+    out = []
+    for word in range(0, _grid_months(grid_start, grid_end), WORD):
+        size = min(WORD, _grid_months(grid_start, grid_end) - word)
+        lo = F.least(F.greatest(place(first) - word, F.lit(0)), F.lit(size))
+        hi = F.least(F.greatest(place(last) + 1 - word, F.lit(0)), F.lit(size))
+        out.append(F.when(lo < hi, F.call_function("shiftleft", one, hi) - F.call_function("shiftleft", one, lo)).otherwise(F.lit(0).cast("long")))
+    return out
+
+
+WORD = 62  # months in one long
+
+
+def _grid_months(grid_start: str, grid_end: str) -> int:
+    return (int(grid_end[:4]) - int(grid_start[:4])) * 12 + int(grid_end[5:7]) - int(grid_start[5:7]) + 1
 
 
 def kopylka_monthly(
@@ -228,16 +242,15 @@ def kopylka_monthly(
     hot_keys: bool = False,
 ) -> DataFrame:
     """M7: customers with a satellite version spanning the month start (strictly)
-    and, among them, those whose done request valid at the month start has tail_limit > 0."""
+    and, among them, those whose done request valid at the month start has tail_limit > 0.
+
+    A customer's months are bits, so a history row stays one row: one partial
+    aggregate (bit_or) per side, one join on the customer, one row of counts."""
     far = ts_lit(FAR_END)
-    active = (
-        hsat_cab_customer.join(hub_customer.select("customer_hash_key"), "customer_hash_key")
-        .select(
-            "customer_hash_key",
-            F.explode(_months_between_open(F.col("effective_from_dttm"), F.coalesce(F.col("effective_to_dttm"), far), False, grid_start, grid_end)).alias("month_dt"),
-        )
-        .distinct()
-    )
+    words = range(len(range(0, _grid_months(grid_start, grid_end), WORD)))
+    spans = _month_masks(F.col("effective_from_dttm"), F.coalesce(F.col("effective_to_dttm"), far), False, grid_start, grid_end)
+    active = hsat_cab_customer.groupBy("customer_hash_key").agg(*[F.bit_or(spans[w]).alias(f"_a{w}") for w in words])
+    active = active.join(hub_customer.select("customer_hash_key"), "customer_hash_key", "left_semi")
     dr = done_requests(link_cust_x_req, hsat_request, hsat_request_status)
     if hot_keys:
         from hvault.operators.segmented import next_value_segmented
@@ -245,21 +258,19 @@ def kopylka_monthly(
         nxt = next_value_segmented(dr, "customer_hash_key", TI_ORDER, "effective_from_dttm", "_next")
     else:
         nxt = dr.withColumn("_next", F.lead("effective_from_dttm").over(_ti_window()))
-    sr = nxt.select(
-        "customer_hash_key",
-        "effective_from_dttm",
-        F.coalesce(F.col("_next"), open_end()).alias("_to"),
-        F.coalesce(F.col("tail_limit"), F.lit(0)).alias("tail_limit"),
-    )
-    sr_months = sr.select(
-        "customer_hash_key",
-        F.explode(_months_between_open(F.col("effective_from_dttm"), F.col("_to"), True, grid_start, grid_end)).alias("month_dt"),
-        (F.col("tail_limit") > 0).cast("int").alias("_k"),
-    ).groupBy("customer_hash_key", "month_dt").agg(F.max("_k").alias("_k"))
-    per = active.join(sr_months, ["customer_hash_key", "month_dt"], "left")
-    m = per.groupBy("month_dt").agg(
-        F.count(F.lit(1)).alias("total_active_users"), F.count_if(F.col("_k") == 1).cast("long").alias("kopylka_users")
-    )
+    holds = _month_masks(F.col("effective_from_dttm"), F.coalesce(F.col("_next"), open_end()), True, grid_start, grid_end)
+    limited = nxt.filter(F.col("tail_limit") > 0).groupBy("customer_hash_key").agg(*[F.bit_or(holds[w]).alias(f"_l{w}") for w in words])
+    both = active.join(limited, "customer_hash_key", "left")
+    counts, months = [], []
+    for w in words:
+        for k in range(min(WORD, _grid_months(grid_start, grid_end) - w * WORD)):
+            name = f"{w}_{k}"
+            bit = lambda c: F.shiftright(c, k).bitwiseAND(F.lit(1).cast("long"))  # noqa: B023, E731
+            counts.append(F.sum(bit(F.col(f"_a{w}"))).alias(f"_t{name}"))
+            counts.append(F.sum(bit(F.col(f"_a{w}").bitwiseAND(F.coalesce(F.col(f"_l{w}"), F.lit(0).cast("long"))))).alias(f"_k{name}"))
+            month = F.add_months(F.lit(grid_start).cast(DateType()), w * WORD + k)
+            months.append(F.struct(month.alias("month_dt"), F.col(f"_t{name}").alias("total_active_users"), F.col(f"_k{name}").alias("kopylka_users")))
+    m = both.agg(*counts).select(F.explode(F.array(*months)).alias("_m")).select("_m.*").filter(F.col("total_active_users") > 0)
     pct = (ratio(F.col("kopylka_users"), F.col("total_active_users"), 4) * 100).cast(DecimalType(18, 4))
     return m.select(
         "month_dt",
@@ -283,10 +294,14 @@ def activation_monthly(ti: DataFrame, hot_keys: bool = False) -> DataFrame:
 
 def metrics_unified(ti: DataFrame, kopylka: DataFrame, grid_start: str = GRID_START, grid_end: str = GRID_END, hot_keys: bool = False) -> DataFrame:
     """M8: month grid with activation (1-month look-back), retention (3 decimals) and round-up usage; missing = 0."""
-    grid = F.broadcast(month_grid(ti.sparkSession, grid_start, grid_end))
+    grid = month_grid(ti.sparkSession, grid_start, grid_end)
+    lo, hi = F.lit(grid_start).cast(DateType()), F.lit(grid_end).cast(DateType())
     act = activation_monthly(ti, hot_keys)
     ret = retention(ti, 3).withColumnRenamed("current_month", "month_dt")
-    out = grid.join(act, "month_dt", "left").join(ret, "month_dt", "left").join(kopylka.select("month_dt", "kopylka_users", "kopylka_usage_pct"), "month_dt", "left")
+    out = grid
+    for side in (act, ret, kopylka.select("month_dt", "kopylka_users", "kopylka_usage_pct")):
+        # one row per grid month at most, bounded by the grid's parameters
+        out = out.join(F.broadcast(side.filter(F.col("month_dt").between(lo, hi))), "month_dt", "left")
     z = lambda c, t="long": F.coalesce(F.col(c), F.lit(0).cast(t))
     return out.select(
         "month_dt",
@@ -327,12 +342,13 @@ def _revenue_rows(df: DataFrame) -> DataFrame:
 def customer_revenue(hub_transaction, hsat_transaction, link_acc_x_trans, link_acc_x_app, link_cust_x_app, link_cust_x_req, mode: str = "strict") -> DataFrame:
     """M9: 1 % commission on positive round-up postings per customer and month.
 
-    reference: inner join with the customer's requests (revenue x requests);
-    strict: only customers with a request (semi join)."""
+    reference: revenue times the customer's number of requests; strict: once.
+    Requests are counted per customer, so a posting never meets each request."""
     tx = _customer_transactions(hub_transaction, hsat_transaction, link_acc_x_trans, link_acc_x_app, link_cust_x_app)
-    reqs = link_cust_x_req.select("customer_hash_key")
-    tx = tx.join(reqs, "customer_hash_key", "inner" if mode == "reference" else "left_semi")
-    return _revenue_rows(tx).groupBy("customer_hash_key", "revenue_month").agg(F.sum("_rev").cast(MONEY).alias("monthly_revenue"))
+    monthly = _revenue_rows(tx).groupBy("customer_hash_key", "revenue_month").agg(F.sum("_rev").alias("_sum"))
+    reqs = link_cust_x_req.groupBy("customer_hash_key").agg(F.count(F.lit(1)).alias("_requests"))
+    times = F.col("_requests").cast("decimal(18,0)") if mode == "reference" else F.lit(1).cast("decimal(18,0)")
+    return monthly.join(reqs, "customer_hash_key").select("customer_hash_key", "revenue_month", (F.col("_sum") * times).cast(MONEY).alias("monthly_revenue"))
 
 
 def revenue_by_month(revenue: DataFrame) -> DataFrame:
@@ -545,6 +561,18 @@ def positive_roundups(hub_transaction: DataFrame, hsat_transaction: DataFrame) -
     )
 
 
+def drill_down(view: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of a transaction or state view for the hash keys in ``keys`` (one column named like the view's key)."""
+    return view.join(keys, keys.columns, "left_semi").select(*view.columns)
+
+
+def interval_epoch(history: DataFrame, key: str) -> DataFrame:
+    """Interval bounds as epoch seconds; the open end has none."""
+    epoch = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    to = F.when(F.col("effective_to_dttm") < open_end(), epoch("effective_to_dttm"))
+    return history.select(key, "version_id", epoch("effective_from_dttm").alias("from_epoch"), to.alias("to_epoch"))
+
+
 def load_epoch(hubs: dict[str, DataFrame]) -> DataFrame:
     """Load times of the hubs as epoch seconds, with the rows each load inserted."""
     from functools import reduce

@@ -22,6 +22,7 @@ from hvault.operators.intervals import STRICT
 from hvault.operators.staging import stage_batch
 from hvault.operators.vault import load_hsat, load_hub, load_link
 from hvault.plans.model import HUBS, LINKS, SATS, STAGING, HubSpec, LinkSpec, SatSpec
+from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from hvault.sources.catalogue import REFERENCE_LISTS
 
 # Fixed scenario of the test runs: two extract windows and their load times.
@@ -165,11 +166,6 @@ def table_writer(spark: SparkSession, root: str | None = None) -> Materialize:
     return write
 
 
-def staged_batches(sources: Mapping[str, DataFrame], windows=WINDOWS) -> list[dict[str, DataFrame]]:
-    refs = {n: sources[n] for n in REFERENCE_LISTS}
-    return [stage_batch(STAGING, sources, refs, start, end) for start, end in windows]
-
-
 def _table_group(name: str) -> set[str]:
     for ln in LINKS.values():
         if name in (ln.name, ln.lsat):
@@ -177,6 +173,24 @@ def _table_group(name: str) -> set[str]:
     return {name}
 
 
+HOT_KEY_ROWS = 1_000_000
+
+
+def hot_tables(vault: Vault, staged: Mapping[str, DataFrame], hot_key_rows: int = HOT_KEY_ROWS) -> dict[str, bool]:
+    """History tables in which a key of the batch has more than ``hot_key_rows`` rows, stored ones included."""
+    targets = [(sp.name, sp.staging, sp.key) for sp in SATS.values()] + [(ln.lsat, ln.staging, ln.key) for ln in LINKS.values()]
+
+    def is_hot(target) -> bool:
+        table, entity, key = target
+        batch = staged[entity].groupBy(key).count()
+        stored = vault[table].join(batch.select(key), key, "left_semi").groupBy(key).count()
+        per_key = batch.unionByName(stored).groupBy(key).agg(F.sum("count").alias("n"))
+        return (per_key.agg(F.max("n").alias("top")).first()["top"] or 0) > hot_key_rows
+
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(zip((t for t, _, _ in targets), pool.map(is_hot, targets)))
+
+
 class VaultStore:
     """The two-batch scenario, built per table on first use and memoised.
 
@@ -187,17 +201,16 @@ class VaultStore:
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], mode: str = STRICT, materialize: Materialize | None = None,
-                 max_broadcast_rows: int = 4_000_000, parallel_jobs: int = 8,
-                 hot_key_rows: int = 1_000_000, hot_key_share: float = 0.05):
+                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, parallel_jobs: int = 8,
+                 hot_key_rows: int = HOT_KEY_ROWS):
         self.spark = spark
         self.mode = mode
         self.materialize = materialize or checkpointer(spark)
         self.max_broadcast_rows = max_broadcast_rows
         self.parallel_jobs = parallel_jobs
-        # a key group is hot above both bounds: then its satellite load avoids
-        # whole-key windows (see ``load_hsat(hot_keys=True)``)
+        # a key group is hot above this bound, however large the table is: then
+        # its load avoids whole-key windows (see ``load_hsat(hot_keys=True)``)
         self.hot_key_rows = hot_key_rows
-        self.hot_key_share = hot_key_share
         self._hot: dict[int, dict[str, bool]] = {}
         # per batch and history table: (rows, largest key group) of the staged batch
         self._prof: dict[int, dict[str, tuple[int, int]]] = {}
@@ -247,7 +260,7 @@ class VaultStore:
             self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in rows.items()}
             self._prof[batch] = {t: prof[(e, k)] for t, e, k in targets}
             self._hot[batch] = {
-                t: prof[(e, k)][1] > max(self.hot_key_rows, self.hot_key_share * prof[(e, k)][0]) for t, e, k in targets
+                t: prof[(e, k)][1] > self.hot_key_rows for t, e, k in targets
             }
         return self._staged[batch]
 
@@ -293,24 +306,22 @@ class VaultStore:
         batch_top = self._prof[batch][table][1]
         hot = False
         if check and bound + batch_top > self.hot_key_rows:
-            r = stored.groupBy(key).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
-            rows, bound = (r["rows"] or 0), (r["top"] or 0)
+            bound = stored.groupBy(key).count().agg(F.max("count").alias("top")).first()["top"] or 0
             prev[table] = bound
-            hot = bound > max(self.hot_key_rows, self.hot_key_share * (rows + self._prof[batch][table][0]))
+            hot = bound + batch_top > self.hot_key_rows
         self._top_bound.setdefault(batch, {})[table] = bound + batch_top
         return hot
 
     def key_hot(self, name: str, frame, key: str, weight: str | None = None) -> bool:
-        """Is one ``key`` group of ``frame()`` hot (above both bounds)? Rows are
+        """Is one ``key`` group of ``frame()`` hot (above the bound)? Rows are
         counted, or ``weight`` summed. One aggregate per (name, key), memoised;
         decides segmented vs window scans."""
         memo = self.__dict__.setdefault("_key_hot", {})
         if (name, key) not in memo:
             w = F.col(weight) if weight else F.lit(1)
             per_key = frame().groupBy(key).agg(F.sum(w).alias("count"))
-            r = per_key.agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
-            rows, top = (r["rows"] or 0), (r["top"] or 0)
-            memo[(name, key)] = top > max(self.hot_key_rows, self.hot_key_share * rows)
+            top = per_key.agg(F.max("count").alias("top")).first()["top"] or 0
+            memo[(name, key)] = top > self.hot_key_rows
         return memo[(name, key)]
 
     def table(self, name: str, batch: int = 2) -> DataFrame:

@@ -24,10 +24,10 @@ from hvault.operators import quality as dq
 from hvault.functions import open_end
 from hvault.operators.intervals import REFERENCE, STRICT
 from hvault.operators.segmented import as_of_segmented, merge_intervals_segmented, next_value_segmented
-from hvault.operators.staging import batch_counts, empty_registry, extract_window, last_load, next_version, record_load
+from hvault.operators.staging import batch_counts, empty_registry, extract_window, last_load, record_load
 from hvault.plans import mart
 from hvault.plans.model import DQ_TABLES, HUBS, LINKS, SATS
-from hvault.plans.pipeline import LOAD_TS, WINDOWS, vault_store
+from hvault.plans.pipeline import LOAD_TS, vault_store
 from hvault.sources import csv_folder
 from hvault.sources.adaptor import read_tables
 from hvault.sources.catalogue import CATALOGUE, REFERENCE_LISTS, catalogue_frame
@@ -78,7 +78,7 @@ def _csv_root(spark: SparkSession) -> str:
 def q_csv_folder_scan(spark, sf_dir):
     src = _store(spark, sf_dir).sources
     root = _csv_root(spark)
-    csv_folder.write_folder(src["cab_customer"], root, CATALOGUE["cab_customer"], files=3)
+    csv_folder.write_folder(src["cab_customer"], root, CATALOGUE["cab_customer"])
     return csv_folder.scan_folder(spark, root, CATALOGUE["cab_customer"])
 
 
@@ -87,7 +87,7 @@ def q_register_sources(spark, sf_dir):
     src = _store(spark, sf_dir).sources
     root = _csv_root(spark)
     for name, df in src.items():
-        csv_folder.write_folder(df, root, CATALOGUE[name], files=2)
+        csv_folder.write_folder(df, root, CATALOGUE[name])
     _, report = csv_folder.register_all(spark, root, CATALOGUE.values())
     return report
 
@@ -109,13 +109,18 @@ def _staged(spark, sf_dir, batch=1):
     return _store(spark, sf_dir).staged(batch)
 
 
+def _all_staged(spark, sf_dir, entity):
+    """The entity's staged rows of both windows."""
+    return _staged(spark, sf_dir, 1)[entity].unionByName(_staged(spark, sf_dir, 2)[entity])
+
+
 for _entity in ("advert_source", "application", "cab_customer", "crm_account", "crm_customer", "crm_transaction", "service_request"):
-    QUERIES[f"stage_{_entity}"] = (lambda e: lambda spark, sf_dir: _staged(spark, sf_dir, 1)[e])(_entity)
+    QUERIES[f"stage_{_entity}"] = (lambda e: lambda spark, sf_dir: _all_staged(spark, sf_dir, e))(_entity)
 
 
 @query("typed_staging")
 def q_typed_staging(spark, sf_dir):
-    s = _staged(spark, sf_dir, 1)["crm_transaction"]
+    s = _all_staged(spark, sf_dir, "crm_transaction")
     return s.select(
         "transaction_hash_key",
         to_money("transaction_amt").alias("transaction_amt"),
@@ -140,12 +145,26 @@ def q_registry_last_load(spark, sf_dir):
     return reduce(DataFrame.unionByName, [last_load(reg, f"staging_{n}") for n in _staged(spark, sf_dir, 1)])
 
 
-@query("registry_next_version")
-def q_registry_next_version(spark, sf_dir):
-    st = _store(spark, sf_dir)
-    reg = st.vault(2, set(st._done[0])).registry(spark)
+def _registry(spark, sf_dir, mode=STRICT) -> DataFrame:
+    """The version registry as the loaded history tables show it: each table's versions with their load time."""
+    st = _store(spark, sf_dir, mode)
+    times = F.create_map(*[x for v, ts in enumerate(LOAD_TS, start=1) for x in (F.lit(v).cast("long"), F.lit(ts).cast(TimestampNTZType()))])
     names = [ln.lsat for ln in LINKS.values()] + list(SATS)
-    return reduce(DataFrame.unionByName, [next_version(reg, n) for n in names])
+    parts = [st.table(n).select("version_id").distinct().select(F.lit(n).alias("table_name"), times[F.col("version_id")].alias("load_dttm"), "version_id") for n in names]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _next_versions(spark, sf_dir, mode=STRICT) -> DataFrame:
+    return _registry(spark, sf_dir, mode).groupBy("table_name").agg(F.max("load_dttm").alias("last_load_dttm"), (F.max("version_id") + 1).alias("next_version"))
+
+
+QUERIES["registry_next_version"] = lambda spark, sf_dir: _next_versions(spark, sf_dir)
+QUERIES["registry_next_version_ref"] = lambda spark, sf_dir: _next_versions(spark, sf_dir, REFERENCE)
+
+
+@query("registry_epoch")
+def q_registry_epoch(spark, sf_dir):
+    return _registry(spark, sf_dir).withColumn("epoch_seconds", F.unix_timestamp(F.col("load_dttm").cast("timestamp")))
 
 
 @query("hash_key")
@@ -162,12 +181,12 @@ def q_link_hash_key(spark, sf_dir):
 
 @query("hash_diff")
 def q_hash_diff(spark, sf_dir):
-    return _staged(spark, sf_dir, 1)["application"].select("application_id", "product_type_nm", "hash_diff")
+    return _all_staged(spark, sf_dir, "application").select("application_id", "product_type_nm", "hash_diff")
 
 
 @query("hash_diff_variants")
 def q_hash_diff_variants(spark, sf_dir):
-    s = _staged(spark, sf_dir, 1)["crm_customer"]
+    s = _all_staged(spark, sf_dir, "crm_customer")
     return s.select(
         "customer_id",
         "create_dttm",
@@ -179,7 +198,7 @@ def q_hash_diff_variants(spark, sf_dir):
 
 @query("self_link_key")
 def q_self_link_key(spark, sf_dir):
-    s = _staged(spark, sf_dir, 1)["crm_transaction"]
+    s = _all_staged(spark, sf_dir, "crm_transaction")
     return s.select("transaction_id", "orig_id", "orig_transaction_hash_key", "trans_x_orig_trans_hash_key")
 
 
@@ -193,6 +212,9 @@ def _table_query(name: str, mode: str = STRICT) -> Query:
 for _n in list(HUBS) + [x for ln in LINKS.values() for x in (ln.name, ln.lsat)] + list(SATS):
     QUERIES[_n] = _table_query(_n)
 
+for _n in [x for ln in LINKS.values() for x in (ln.name, ln.lsat)] + list(SATS):
+    QUERIES[f"{_n}_ref"] = _table_query(_n, REFERENCE)
+
 QUERIES["lsat_two_batches"] = _table_query("lsat_acc_x_app", REFERENCE)
 QUERIES["hsat_two_batches"] = _table_query("hsat_cab_customer", REFERENCE)
 QUERIES["hsat_late_rows"] = _table_query("hsat_crm_customer", REFERENCE)
@@ -328,6 +350,26 @@ def q_transaction_enriched(spark, sf_dir):
     return present(_txi(spark, sf_dir))
 
 
+@query("transaction_enriched_ref")
+def q_transaction_enriched_ref(spark, sf_dir):
+    return present(_txi(spark, sf_dir, REFERENCE))
+
+
+def _one_customer(spark, sf_dir) -> DataFrame:
+    """One row: the smallest customer hash key that has a request."""
+    return _store(spark, sf_dir).table("link_cust_x_req").agg(F.min("customer_hash_key").alias("customer_hash_key"))
+
+
+@query("state_drill_down")
+def q_state_drill_down(spark, sf_dir):
+    return present(mart.drill_down(_ti(spark, sf_dir), _one_customer(spark, sf_dir)))
+
+
+@query("transaction_drill_down")
+def q_transaction_drill_down(spark, sf_dir):
+    return present(mart.drill_down(_txi(spark, sf_dir), _one_customer(spark, sf_dir)))
+
+
 @query("activation_at_date")
 def q_activation_at_date(spark, sf_dir):
     return mart.activation_at_date(_ti(spark, sf_dir), "1999-06-30", 2000, hot_keys=_hot_customers(spark, sf_dir))
@@ -422,7 +464,7 @@ def q_limit_violations(spark, sf_dir):
 
 @query("duplicate_versions")
 def q_duplicate_versions(spark, sf_dir):
-    return mart.duplicate_versions(_staged(spark, sf_dir, 1)["crm_account"], "account_id")
+    return mart.duplicate_versions(_all_staged(spark, sf_dir, "crm_account"), "account_id")
 
 
 @query("key_history")
@@ -432,6 +474,18 @@ def q_key_history(spark, sf_dir):
     return present(mart.key_history(st.table("hsat_account"), st.table("hub_account"), "account_hash_key", "account_id", hot_keys=hot))
 
 
+@query("key_history_one")
+def q_key_history_one(spark, sf_dir):
+    t = _store(spark, sf_dir).table
+    one = t("hub_account").agg(F.min("account_id").alias("id")).first()["id"]
+    return present(mart.key_history(t("hsat_account"), t("hub_account"), "account_hash_key", "account_id", ids=[one]))
+
+
+@query("interval_epoch")
+def q_interval_epoch(spark, sf_dir):
+    return mart.interval_epoch(_store(spark, sf_dir).table("hsat_account"), "account_hash_key")
+
+
 @query("positive_roundups")
 def q_positive_roundups(spark, sf_dir):
     t = _store(spark, sf_dir).table
@@ -497,7 +551,6 @@ QUERIES["dq_results_ref"] = lambda spark, sf_dir: _dq_results(spark, sf_dir, REF
 QUERIES["dq_summary"] = lambda spark, sf_dir: dq.summary(_dq_results(spark, sf_dir))
 QUERIES["dq_failures"] = lambda spark, sf_dir: dq.failures(_dq_results(spark, sf_dir, REFERENCE))
 
-_ = (WINDOWS,)
 
 
 @query("upsert_interval")

@@ -11,13 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# About 32-byte keys: 4M rows stay well under a 256 MB broadcast.
-DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
+# A row of a hashed relation of 32-character keys takes about 100 bytes, so a
+# side is at most 50 MB, and a hub's union of four sources at most 200 MB.
+DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
 def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    return df.limit(bound + 1).count() <= bound
+    """A partial count per task (no rows are moved), kept with the frame for the next question."""
+    if not hasattr(df, "_hvault_rows"):
+        df._hvault_rows = df.count()
+    return df._hvault_rows <= bound
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, counted: DataFrame | None = None) -> DataFrame:
+    """``df`` with a broadcast hint when it (or ``counted``, a frame of as many rows) is small."""
+    return F.broadcast(df) if row_count_at_most(df if counted is None else counted, max_rows) else df

@@ -35,7 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of this session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when nothing is configured (local tests) a scratch folder is made.
+    is. Only a local master may go without: then a scratch folder is made. On
+    a cluster a missing setting is an error, as a machine-local folder would
+    lose data with its machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -43,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="hvault-ckpt-", dir=os.environ.get("HVAULT_SCRATCH", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -58,7 +58,6 @@ CATALOGUE: dict[str, SourceSpec] = {
 }
 
 REFERENCE_LISTS = [s.entity for s in CATALOGUE.values() if s.is_reference_list]
-FACT_SOURCES = [s.entity for s in CATALOGUE.values() if not s.is_reference_list]
 
 
 def catalogue_frame(spark: SparkSession) -> DataFrame:

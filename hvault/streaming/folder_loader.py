@@ -27,39 +27,34 @@ from pyspark.sql.utils import AnalysisException
 from hvault.operators.intervals import STRICT
 from hvault.operators.staging import stage
 from hvault.plans.model import STAGING
-from hvault.plans.pipeline import Vault, empty_vault, run_batch
+from hvault.plans.pipeline import Vault, empty_vault, hot_tables, run_batch, table_writer
+from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
 from hvault.sources.catalogue import CATALOGUE, REFERENCE_LISTS, SourceSpec
-from hvault.sources.csv_folder import CSV_OPTIONS
+from hvault.sources.csv_folder import parse_lines
 
 REGISTRY = "_version_registry"
 
 
 def _parse(lines: DataFrame, spec: SourceSpec) -> DataFrame:
-    rows = lines.filter(F.col("entity") == spec.entity)
-    if spec.has_header:
-        rows = rows.filter(F.col("value") != spec.header_line)
-    rows = rows.filter(F.length("value") > 0)
-    parsed = F.from_csv(F.regexp_replace("value", '""', ""), spec.ddl, CSV_OPTIONS)
-    return rows.select(parsed.alias("_r")).select("_r.*")
+    return parse_lines(lines.filter(F.col("entity") == spec.entity).select("value"), spec)
 
 
 def read_snapshot(spark: SparkSession, vault_root: str, batch_id: int) -> tuple[Vault, dict[str, DataFrame]]:
+    """The vault and reference lists of a batch; empty before the first batch (id -1).
+
+    A snapshot that is missing or incomplete is an error: going on without it
+    would write a new latest snapshot without any history."""
     base = empty_vault(spark)
     if batch_id < 0:
         return base, {}
     path = f"{vault_root.rstrip('/')}/b={batch_id}"
     try:
         reg = spark.read.parquet(f"{path}/{REGISTRY}")
-    except AnalysisException:
-        return base, {}
-    versions = [(r.table_name, r.load_ts, int(r.version_id)) for r in reg.collect()]  # one row per load: metadata
-    tables = {n: spark.read.parquet(f"{path}/{n}") for n in base.tables}
-    refs = {}
-    for n in REFERENCE_LISTS:
-        try:
-            refs[n] = spark.read.parquet(f"{path}/ref_{n}")
-        except AnalysisException:
-            pass
+        versions = [(r.table_name, r.load_ts, int(r.version_id)) for r in reg.collect()]  # one row per load: metadata
+        tables = {n: spark.read.parquet(f"{path}/{n}") for n in base.tables}
+        refs = {n: spark.read.parquet(f"{path}/ref_{n}") for n in REFERENCE_LISTS}
+    except AnalysisException as exc:
+        raise RuntimeError(f"snapshot {path} is missing or incomplete; restore it or start a new vault folder") from exc
     return Vault(tables, versions), refs
 
 
@@ -78,9 +73,11 @@ def load_micro_batch(
         for n in REFERENCE_LISTS:
             fresh = _parse(lines, CATALOGUE[n])
             refs[n] = fresh if not fresh.isEmpty() or n not in prev_refs else prev_refs[n]
-        staged = {e: stage(spec, _parse(lines, CATALOGUE[e]), refs) for e, spec in STAGING.items()}
+        write = table_writer(spark)
+        staged = {e: write(f"staged-{e}", stage(spec, _parse(lines, CATALOGUE[e]), refs)) for e, spec in STAGING.items()}
+        small = {e: row_count_at_most(df, DEFAULT_MAX_BROADCAST_ROWS) for e, df in staged.items()}
         ts = (load_ts or (lambda _: dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")))(batch_id)
-        vault = run_batch(prev, staged, ts, mode)
+        vault = run_batch(prev, staged, ts, mode, small=small, hot=hot_tables(prev, staged))
         out = f"{vault_root.rstrip('/')}/b={batch_id}"
         for name, df in vault.tables.items():
             df.write.mode("overwrite").parquet(f"{out}/{name}")

@@ -178,7 +178,7 @@ def test_key_hot_only_in_stored_history_is_detected(spark):
     segmented path; below the bound no profile job runs."""
     from hvault.plans.pipeline import VaultStore
 
-    store = VaultStore(spark, {}, hot_key_rows=5, hot_key_share=0.1)
+    store = VaultStore(spark, {}, hot_key_rows=5)
     stored = spark.createDataFrame([("a",)] * 40 + [(f"k{i}",) for i in range(20)], "request_hash_key string")
     store._prof = {1: {"hsat_request": (3, 1)}, 2: {"hsat_request": (10, 1)}}
     store._top_bound = {0: {}, 1: {"hsat_request": 5}}
@@ -203,7 +203,7 @@ def test_store_with_every_key_hot_equals_plain_store(spark):
 
     src = derive_sources(spark, "/root/testdata/sf0.001")
     plain = VaultStore(spark, src)
-    hot = VaultStore(spark, src, hot_key_rows=0, hot_key_share=0.0)
+    hot = VaultStore(spark, src, hot_key_rows=0)
     for name in ["hsat_request", "hsat_crm_customer", "lsat_cust_x_req", "lsat_acc_x_app"]:
         a, b = plain.table(name), hot.table(name)
         assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
