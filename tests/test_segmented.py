@@ -128,3 +128,20 @@ def test_key_history_hot_path_equals_plain(spark):
     a = key_history(rows, hub, "k", "id")
     b = key_history(rows, hub, "k", "id", hot_keys=True).select(a.columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@pytest.mark.parametrize("which", ["next", "prev"])
+def test_null_order_values_equal_plain(spark, which):
+    """NULL order values sort last in the segments, between them and in the plain window."""
+    from pyspark.sql.window import Window
+
+    from hvault.operators.segmented import prev_value_segmented
+
+    rows = [("hot" if i % 25 else f"k{i % 3}", None if i % 3 == 0 else (i * 7) % 60, i) for i in range(399)]
+    df = spark.createDataFrame(rows, "k string, t int, id int")
+    w = Window.partitionBy("k").orderBy(F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last())
+    fn, segmented = (F.lead, next_value_segmented) if which == "next" else (F.lag, prev_value_segmented)
+    plain = df.withColumn("out", fn("id").over(w))
+    seg = segmented(df, "k", ["t", "id"], "id", "out", 4)
+    assert seg.columns == plain.columns
+    assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0

@@ -25,7 +25,7 @@ def test_two_drops_equal_batch_pipeline(spark):
                 if i == 0:
                     write_folder(df, drop, CATALOGUE[name])
                 continue
-            write_folder(extract_window(df, lo, hi), drop, CATALOGUE[name], files=2, mode="append")
+            write_folder(extract_window(df, lo, hi), drop, CATALOGUE[name], mode="append")
         q = folder_loader.start(spark, drop, vault_root, ckpt, load_ts=lambda bid: LOAD_TS[bid])
         q.awaitTermination(600)
     last = max(int(p.split("=")[1]) for p in os.listdir(vault_root) if p.startswith("b="))
@@ -34,3 +34,17 @@ def test_two_drops_equal_batch_pipeline(spark):
         got = spark.read.parquet(f"{vault_root}/b={last}/{table}")
         want = store.table(table)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, table
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_missing_snapshot_is_an_error(spark, tmp_path):
+    from hvault.streaming import folder_loader
+
+    vault, refs = folder_loader.read_snapshot(spark, str(tmp_path), -1)
+    assert refs == {} and vault["hub_customer"].count() == 0
+    with pytest.raises(RuntimeError, match="missing or incomplete"):
+        folder_loader.read_snapshot(spark, str(tmp_path), 0)
+    lines = spark.createDataFrame([], "value string, entity string")
+    with pytest.raises(RuntimeError, match="missing or incomplete"):
+        folder_loader.load_micro_batch(lines, 1, str(tmp_path))
+    assert not os.path.exists(f"{tmp_path}/b=1")
