@@ -14,16 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def store(df: DataFrame, name: str, by: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     Cuts lineage: a lost executor re-reads stored files instead of recomputing
-    the steps before. Returns the stored frame and its path.
+    the steps before. Returns the stored frame and its path; with ``by``, each
+    value of that column has a folder of its own below it.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(by) if by else writer).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns), path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -4,18 +4,22 @@ A window is ``length`` consecutive symbols. Each window is assigned to its
 anchor, the ``gram`` symbols inside it with the smallest hash (leftmost among
 equals): equal windows have equal anchors at equal offsets. Neighbouring
 windows with the same anchor form a block, so a document has about
-``2 / (length - gram + 2)`` blocks per symbol. Steps:
-
-1. ``sketch``: every task counts the anchors' cells (``rows`` hash functions
-   over a bounded number of cells); partial counts are merged by cell range.
-   A merged count is never below the true one.
-2. ``blocks``: blocks whose anchor is counted once are done. The others are
-   compared by full content: first inside the task, then by one shuffle on
-   the content. Of equal blocks, all but those of the smallest document are
-   removed.
-3. ``leftovers``: an anchor whose blocks differ in content can still share
-   some windows; only these blocks are opened into single windows, which are
-   compared by full content in the same way.
+``2 / (length - gram + 2)`` blocks per symbol. Blocks
+are chained to segments, cut where an anchor's hash says so, so equal passages
+are cut alike. Steps:
+
+1. ``sketch``: every task counts the cells of its anchors and segments
+   (``rows`` hash functions over a bounded number of cells); partial counts
+   are merged by cell range. A merged count is never below the true one.
+2. Segments counted twice or more are compared by full content, first inside
+   the task, then by one shuffle on the content. All but those of the smallest
+   document are removed; the one that stays is opened into blocks.
+3. Blocks of the other segments whose anchor is counted once are done. The
+   rest is compared with the opened ones in the same two steps.
+4. An anchor whose blocks differ in content can still share some windows.
+   Up to ``GROUP`` such blocks meet in one place and are opened there; the
+   blocks of more common anchors are opened into single windows, which are
+   dealt by content, so no anchor is too common for a task.
 
 Every comparison is on content; hashes only prune. A sketch that is too small
 for the corpus prunes less and loses nothing.
@@ -24,21 +28,26 @@ for the corpus prunes less and loses nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hvault.llm.common import stored
+from hvault.llm.common import discard, store, stored
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
 MASK = (1 << 64) - 1
 CHUNK = 1 << 18  # symbols handled at once by numpy
+OPEN, GONE, WHOLE = 0, 1, 2  # kinds of rows: open block or window, removed run, open segment
 FLUSH = 50_000  # contents held by a task for local comparison
+SEGMENT = 16  # blocks in a segment, on average
+GROUP = 8192  # blocks of one anchor whose windows are compared in one place; above, windows are shuffled one by one
 MAX_CELLS = 1 << 28  # cells of a sketch row: two rows are 64 MB as bits
+MIXED_ROWS = 1_000_000  # anchors (16 bytes each) sent to all tasks at most
 SHARDS = 64  # cell ranges of a sketch row
 
 
@@ -66,7 +75,8 @@ def gram_hashes(sym: np.ndarray, gram: int) -> np.ndarray:
 
 
 def anchors(sym: np.ndarray, valid: np.ndarray, gram: int, length: int):
-    """Blocks of the windows whose start is ``valid``: (first start, last start, hash of the anchor)."""
+    """Blocks of the windows whose start is ``valid``: first start, last start, hash of the anchor; and the
+    segments they form: number of the first block, hash of the content."""
     n = len(sym) - length + 1
     h = gram_hashes(sym, gram)
     best = (h & U(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=U)
@@ -86,7 +96,14 @@ def anchors(sym: np.ndarray, valid: np.ndarray, gram: int, length: int):
     last = np.append(first[1:], n) - 1
     keep = ok[first]
     first, last = first[keep], last[keep]
-    return first, last, h[place[first]]
+    own = h[place[first]]
+    if not len(first):
+        return first, last, own, first, own
+    new = np.ones(len(first), bool)
+    new[1:] = (own[1:] & U(SEGMENT - 1) == 0) | (first[1:] != last[:-1] + 1)
+    seg = np.flatnonzero(new)
+    total = np.concatenate([np.zeros(1, U), np.cumsum(h)])
+    return first, last, own, seg, mix(total[last[np.append(seg[1:], len(first)) - 1] + width] - total[first[seg]])
 
 
 def cells_of(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -119,8 +136,7 @@ class Chunks:
         ends = np.cumsum([len(p) for _, _, p in parts])
         for e in ends:
             valid[e - self.length + 1 : e] = False
-        first, last, h = anchors(sym, valid, self.gram, self.length)
-        return parts, ends, first, last, h
+        return parts, ends, *anchors(sym, valid, self.gram, self.length)
 
     def rest(self):
         if self.parts:
@@ -130,21 +146,22 @@ class Chunks:
 class Local:
     """Equal contents met by one task: of each content the rows of the smallest document stay open, others are removed."""
 
-    def __init__(self):
+    def __init__(self, kind: int = OPEN):
+        self.kind = kind
         self.open: dict = {}
         self.gone: list = []
 
-    def add(self, content: bytes, extra, doc, th, start: int, n: int) -> None:
+    def add(self, content: bytes, extra, doc, th, starts: list, n: int) -> None:
         old = self.open.get(content)
         if old is None:
-            self.open[content] = [doc, extra, n, {th: [start]}]
+            self.open[content] = [doc, extra, n, {th: starts}]
         elif doc == old[0]:
-            old[3].setdefault(th, []).append(start)
+            old[3][th] = old[3].get(th, []) + starts
         elif doc > old[0]:
-            self.gone.append((doc, th, [start], n))
+            self.gone.append((doc, th, starts, n))
         else:
             self.gone += [(old[0], t, s, n) for t, s in old[3].items()]
-            self.open[content] = [doc, extra, n, {th: [start]}]
+            self.open[content] = [doc, extra, n, {th: starts}]
 
     def __len__(self):
         return len(self.open) + len(self.gone)
@@ -152,9 +169,9 @@ class Local:
     def rows(self):
         for content, (doc, extra, n, by) in self.open.items():
             for th, starts in by.items():
-                yield 0, extra, content, doc, th, starts, n
+                yield self.kind, extra, content, doc, th, starts, n
         for doc, th, starts, n in self.gone:
-            yield 1, 0, None, doc, th, starts, n
+            yield GONE, 0, None, doc, th, starts, n
         self.open, self.gone = {}, []
 
 
@@ -173,87 +190,95 @@ def batches(rows, size: int = 8192) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*buf), FOUND_PA)], schema=FOUND_PA)
 
 
-def settle(it) -> Iterator[pa.RecordBatch]:
+def settled_rows(it):
     """Rows sorted by (content, document): rows of the first document of a content stay open, the others are removed."""
+    content, doc = None, None
+    for batch in it:
+        for kind, gram, c, d, th, starts, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            if c != content:
+                content, doc = c, d
+            yield (kind, gram, c, d, th, starts, n) if d == doc else (GONE, 0, None, d, th, starts, n)
 
-    def rows():
-        content, doc = None, None
-        for batch in it:
-            for kind, gram, c, d, th, starts, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
-                if c != content:
-                    content, doc = c, d
-                yield (0, gram, c, d, th, starts, n) if d == doc else (1, 0, None, d, th, starts, n)
 
-    return batches(rows())
+def settle(it) -> Iterator[pa.RecordBatch]:
+    return batches(settled_rows(it))
 
 
-def sketch_bits(symbols: int, gram: int, length: int) -> int:
-    """log2 of the cells of a sketch row: four cells for each expected anchor, within bounds."""
-    expected = 2 * symbols / (length - gram + 2)
+def sketch_bits(expected: float) -> int:
+    """log2 of the cells of a sketch row: four cells for each expected value, within bounds."""
     return int(np.clip(np.ceil(np.log2(max(4 * expected, 1))), 16, np.log2(MAX_CELLS)))
 
 
-def sketch(docs: DataFrame, symbols_of: Callable, gram: int, length: int, bits: int, rows: int) -> list[np.ndarray]:
-    """Merged count sketch of the anchors; per row a bit for each cell that counts two or more (bounded by MAX_CELLS)."""
+def sketch(df: DataFrame, hashes_of: Callable, bits: int, rows: int) -> list[np.ndarray]:
+    """Merged count sketch of the 64-bit values that ``hashes_of`` yields, as arrays, from the batches of ``df``: per
+    row of the sketch a bit for each cell that counts two or more (bounded by MAX_CELLS)."""
     shard_bits = bits - int(np.log2(SHARDS))
 
     def count(it):
-        schema = pa.schema([("shard", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
+        """Counts of a task by cell range: sorted cells (a cell as often as it counts) as steps, in 16 bits where all fit."""
+        schema = pa.schema([("shard", pa.int32()), ("wide", pa.bool_()), ("first", pa.int32()), ("steps", pa.binary())])
         held: list = []
-        size = 0
 
         def flush():
             h = np.concatenate(held) if held else np.empty(0, U)
+            held.clear()
+            out: list = [[], [], [], []]
             for r in range(rows):
-                cells, counts = np.unique(cells_of(h, r, bits), return_counts=True)
+                cells = np.sort(cells_of(h, r, bits))
                 where = np.searchsorted(cells, np.arange(SHARDS + 1) << shard_bits)
-                out = [[], [], []]
                 for s in range(SHARDS):
-                    a, b = where[s], where[s + 1]
-                    if a < b:
-                        out[0].append(r * SHARDS + s)
-                        out[1].append((cells[a:b] - (s << shard_bits)).astype(np.uint32).tobytes())
-                        out[2].append(np.minimum(counts[a:b], 255).astype(np.uint8).tobytes())
-                if out[0]:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
+                    part = cells[where[s] : where[s + 1]] - (s << shard_bits)
+                    if len(part):
+                        steps = np.diff(part)
+                        wide = bool(steps.max(initial=0) > 0xFFFF)
+                        for c, v in zip(out, (r * SHARDS + s, wide, int(part[0]), steps.astype(np.uint32 if wide else np.uint16).tobytes())):
+                            c.append(v)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
 
-        chunks = Chunks(gram, length)
-        for batch in it:
-            for text in batch.column("text"):
-                for _, _, _, _, h in chunks.add(None, symbols_of(text.as_buffer())):
-                    held.append(h)
-                    size += len(h)
-                    if size >= 1 << 20:
-                        yield from flush()
-                        held, size = [], 0
-        for _, _, _, _, h in chunks.rest():
+        size = 0
+        for h in hashes_of(it):
             held.append(h)
+            size += len(h)
+            if size >= 1 << 21:
+                yield from flush()
+                size = 0
         yield from flush()
 
     def merge(it):
         schema = pa.schema([("shard", pa.int32()), ("twice", pa.binary())])
         total: dict[int, np.ndarray] = {}
         for batch in it:
-            for shard, cells, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for shard, wide, first, steps in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 acc = total.get(shard)
                 if acc is None:
                     acc = total[shard] = np.zeros(1 << shard_bits, np.uint8)
-                c = np.frombuffer(cells, np.uint32)
-                acc[c] = np.minimum(acc[c].astype(np.uint16) + np.frombuffer(counts, np.uint8), 255)
+                cells = np.concatenate([[0], np.cumsum(np.frombuffer(steps, np.uint32 if wide else np.uint16).astype(np.int64))]) + first
+                cells, counts = np.unique(cells, return_counts=True)
+                acc[cells] = np.minimum(acc[cells] + np.minimum(counts, 255), 255)
         for shard, acc in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(acc >= 2).tobytes()], pa.binary())], schema=schema)
 
-    parts = docs.select("text").mapInArrow(count, "shard int, cells binary, counts binary").repartition("shard").mapInArrow(merge, "shard int, twice binary")
+    parts = df.mapInArrow(count, "shard int, wide boolean, first int, steps binary").repartition("shard").mapInArrow(merge, "shard int, twice binary")
     out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(rows)]
     size = (1 << shard_bits) // 8
-    for r in parts.toLocalIterator():
+    for r in parts.collect():  # rows * SHARDS bit strings, 64 MB at most
         row, s = divmod(r["shard"], SHARDS)
         out[row][s * size : (s + 1) * size] = np.frombuffer(r["twice"], np.uint8)
     return out
 
 
+def counted_twice(h: np.ndarray, maps: list[np.ndarray], bits: int) -> np.ndarray:
+    """Mask of the hashes that every row of the sketch counts twice or more."""
+    ok = np.ones(len(h), bool)
+    for r, m in enumerate(maps):
+        c = cells_of(h, r, bits)
+        ok &= ((m[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1).astype(bool)
+    return ok
+
+
 def repeated(
-    docs: DataFrame, symbols_of: Callable, content_of: Callable, windows_of: Callable, gram: int, length: int, symbols: int, rows: int = 2, local_of: Callable = Local
+    docs: DataFrame, symbols_of: Callable, content_of: Callable, windows_of: Callable, gram: int, length: int, symbols: int, rows: int = 2, local_of: Callable = Local, key_of: Callable = bytes
 ) -> DataFrame:
     """(doc, th, starts, n): runs of ``n`` windows from each start that also start in a smaller document.
 
@@ -261,45 +286,118 @@ def repeated(
     text as binary. ``symbols_of(buffer)`` gives the symbol array,
     ``content_of(buffer)`` a function of (first, last symbol) to the content in
     between, ``windows_of(content, n)`` the contents of its n windows;
-    ``local_of()`` makes what finds equal contents inside a task.
+    ``local_of()`` makes what finds equal contents inside a task, ``key_of(window)``
+    what single windows are shuffled by.
     """
-    bits = sketch_bits(symbols, gram, length)
-    twice = docs.sparkSession.sparkContext.broadcast(sketch(docs, symbols_of, gram, length, bits, rows))
+    spark = docs.sparkSession
+    bits = sketch_bits(2 * symbols / (length - gram + 2))
 
-    def blocks(it):
-        def found():
-            maps = twice.value
-            local, chunks = local_of(), Chunks(gram, length)
-            texts: dict = {}
-
-            def use(parts, ends, first, last, h):
-                ok = np.ones(len(h), bool)
-                for r, m in enumerate(maps):
-                    c = cells_of(h, r, bits)
-                    ok &= ((m[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1).astype(bool)
-                first, last, h = first[ok], last[ok], h[ok].view(np.int64)
-                part = np.searchsorted(ends, first, side="right")
-                begin = ends - np.array([len(p) for _, _, p in parts])
-                at = first - begin[part] + np.array([a for _, a, _ in parts])[part]
-                for p, s, k, g in zip(part.tolist(), at.tolist(), (last - first + 1).tolist(), h.tolist()):
-                    key = parts[p][0]
-                    doc, th, content = texts[key]
-                    local.add(content(s, s + k + length - 2), g, doc, th, s, k)
-
-            n = 0
+    def all_hashes(it):
+        chunks = Chunks(gram, length)
+        for batch in it:
+            for text in batch.column("text"):
+                for _, _, _, _, h, _, seg in chunks.add(None, symbols_of(text.as_buffer())):
+                    yield h
+                    yield seg
+        for _, _, _, _, h, _, seg in chunks.rest():
+            yield h
+            yield seg
+
+    twice = spark.sparkContext.broadcast(sketch(docs.select("text"), all_hashes, bits, rows))
+
+    def cut(items, whole: bool):
+        """Open blocks (and with ``whole`` open segments) of items (document, th, buffer, starts of the buffer in the document)."""
+        blocks, segments = local_of(), Local(WHOLE)
+        chunks, texts = Chunks(gram, length), {}
+
+        def use(parts, ends, first, last, h, seg, seg_h):
+            begin = np.array([a for _, a, _ in parts]) - (ends - np.array([len(p) for _, _, p in parts]))
+
+            def send(to, f, t, h):
+                part = np.searchsorted(ends, f, side="right")
+                at = f + begin[part]
+                for p, s, k, g in zip(part.tolist(), at.tolist(), (t - f + 1).tolist(), h.view(np.int64).tolist()):
+                    doc, th, content, starts = texts[parts[p][0]]
+                    to.add(content(s, s + k + length - 2), g, doc, th, [s + b for b in starts], k)
+
+            ok = counted_twice(h, twice.value, bits)
+            if whole and len(seg):
+                end = np.append(seg[1:], len(first))
+                again = counted_twice(seg_h, twice.value, bits)
+                ok &= ~np.repeat(again, end - seg)
+                send(segments, first[seg[again]], last[end[again] - 1], seg_h[again])
+            send(blocks, first[ok], last[ok], h[ok])
+
+        for n, (doc, th, buf, starts) in enumerate(items):
+            texts[n] = (doc, th, content_of(buf), starts)
+            for chunk in chunks.add(n, symbols_of(buf)):
+                use(*chunk)
+                texts = {n: texts[n]}
+                if len(blocks) >= FLUSH:
+                    yield from blocks.rows()
+                if len(segments) >= FLUSH // SEGMENT:
+                    yield from segments.rows()
+        for chunk in chunks.rest():
+            use(*chunk)
+        yield from blocks.rows()
+        yield from segments.rows()
+
+    def find(it):
+        def items():
             for batch in it:
                 for doc, th, text in zip(batch.column("doc").to_pylist(), batch.column("th").to_pylist(), batch.column("text")):
-                    buf = text.as_buffer()
-                    texts[n] = (doc, th, content_of(buf))
-                    for chunk in chunks.add(n, symbols_of(buf)):
-                        use(*chunk)
-                        texts = {k: v for k, v in texts.items() if k >= n}
-                        if len(local) >= FLUSH:
-                            yield from local.rows()
-                    n += 1
-            for chunk in chunks.rest():
-                use(*chunk)
-            yield from local.rows()
+                    yield doc, th, text.as_buffer(), (0,)
+
+        return batches(cut(items(), True))
+
+    def settle_segments(it):
+        gone: list = []
+
+        def items():
+            for kind, _, c, d, th, starts, n in settled_rows(it):
+                if kind == GONE:
+                    gone.append((GONE, 0, None, d, th, starts, n))
+                else:
+                    yield d, th, pa.py_buffer(c), starts
+
+        def found():
+            for row in cut(items(), False):
+                yield row
+                if gone:
+                    yield from gone
+                    gone.clear()
+            yield from gone
+
+        return batches(found())
+
+    def group_windows(it):
+        """Rows sorted by anchor, at most GROUP of each: windows are compared inside the group, and runs of removed ones sent."""
+
+        def close(group):
+            least: dict = {}
+            opened = [windows_of(c, n) for c, _, _, _, n in group]
+            for (_, d, _, _, _), windows in zip(group, opened):
+                for w in windows:
+                    if least.get(w, d) >= d:
+                        least[w] = d
+            for (_, d, th, starts, n), windows in zip(group, opened):
+                run = 0
+                for i in range(n + 1):
+                    if i < n and least[windows[i]] < d:
+                        run += 1
+                    elif run:
+                        yield GONE, 0, None, d, th, [s + i - run for s in starts], run
+                        run = 0
+
+        def found():
+            anchor, group = None, []
+            for batch in it:
+                for _, g, c, d, th, starts, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                    if g != anchor:
+                        yield from close(group)
+                        anchor, group = g, []
+                    group.append((c, d, th, starts, n))
+            yield from close(group)
 
         return batches(found())
 
@@ -309,23 +407,56 @@ def repeated(
             for batch in it:
                 for _, gram_, c, d, th, starts, n in zip(*(batch.column(i).to_pylist() for i in range(7))):
                     for i, w in enumerate(windows_of(c, n)):
-                        for s in starts:
-                            local.add(w, 0, d, th, s + i, 1)
+                        local.add(key_of(w), 0, d, th, [s + i for s in starts], 1)
                     if len(local) >= FLUSH:
                         yield from local.rows()
             yield from local.rows()
 
         return batches(found())
 
-    met = stored(docs.mapInArrow(blocks, FOUND), "blocks")
-    by_content = met.where("kind = 0").repartition("content").sortWithinPartitions("content", "doc")
-    settled = stored(by_content.mapInArrow(settle, FOUND), "settled")
-    classes = settled.where("kind = 0")
-    mixed = classes.groupBy("gram").agg(F.min(F.xxhash64("content")).alias("a"), F.max(F.xxhash64("content")).alias("b")).where("a <> b").select("gram")
-    single = stored(classes.join(mixed, "gram", "left_semi").select(*classes.columns).mapInArrow(open_windows, FOUND), "windows")
-    last = single.where("kind = 0").repartition("content").sortWithinPartitions("content", "doc").mapInArrow(settle, FOUND)
-    gone = [x.where("kind = 1").select("doc", "th", "starts", "n") for x in (met, settled, single, last)]
-    return gone[0].unionByName(gone[1]).unionByName(gone[2]).unionByName(gone[3])
+    def dealt(df):
+        return df.repartition("content").sortWithinPartitions("content", "doc")
+
+    met, met_path = store(docs.mapInArrow(find, FOUND), "met", by="kind")
+    opened, opened_path = store(dealt(met.where(f"kind = {WHOLE}")).mapInArrow(settle_segments, FOUND), "opened", by="kind")
+    blocks = met.where(f"kind = {OPEN}").unionByName(opened.where(f"kind = {OPEN}"))
+    # what is left is counted once more: most anchors now stand alone
+    left_bits = sketch_bits(blocks.count())
+
+    def grams(it):
+        for batch in it:
+            yield batch.column("gram").to_numpy().view(U)
+
+    left = spark.sparkContext.broadcast(sketch(blocks.select("gram"), grams, left_bits, rows))
+
+    def not_alone(it):
+        for batch in it:
+            yield batch.filter(pa.array(counted_twice(batch.column("gram").to_numpy().view(U), left.value, left_bits)))
+
+    settled = stored(dealt(blocks.mapInArrow(not_alone, FOUND)).mapInArrow(settle, FOUND), "settled")
+    for path in (f"{met_path}/kind={OPEN}", f"{met_path}/kind={WHOLE}", f"{opened_path}/kind={OPEN}"):
+        discard(spark, path)  # settled; of these tables only the removed runs are read again
+    classes = settled.where(f"kind = {OPEN}")
+    mixed = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min(F.xxhash64("content")).alias("a"), F.max(F.xxhash64("content")).alias("b")).where("a <> b")
+    mixed = stored(mixed.select("gram", "k"), "mixed")
+    if mixed.count() <= MIXED_ROWS:
+        mixed = F.broadcast(mixed)
+    mixed = classes.join(mixed, "gram").select(*classes.columns, "k")
+    few, many = (mixed.where(F.col("k") <= GROUP), mixed.where(F.col("k") > GROUP))
+    near = few.drop("k").repartition("gram").sortWithinPartitions("gram").mapInArrow(group_windows, FOUND)
+    many = many.drop("k")
+    single = stored(many.mapInArrow(open_windows, FOUND), "windows")
+    last = dealt(single.where(f"kind = {OPEN}")).mapInArrow(settle, FOUND)
+    gone = [x.where(f"kind = {GONE}").select("doc", "th", "starts", "n") for x in (met, opened, settled, near, single, last)]
+    return reduce(DataFrame.unionByName, gone)
+
+
+def keyed(documents: DataFrame) -> DataFrame:
+    """doc, th and text (bytes) of ``documents``; th tells rows with one id apart and is 0 where ids are unique."""
+    ids = documents.select(F.col("doc_id").cast("long").alias("doc"))
+    unique = ids.where("doc is not null").groupBy("doc").count().where("count > 1").isEmpty()
+    th = F.lit(0).cast("long") if unique else F.xxhash64("text")
+    return documents.select(F.col("doc_id").cast("long").alias("doc"), th.alias("th"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
 
 
 def with_ranges(docs: DataFrame, gone: DataFrame) -> DataFrame:

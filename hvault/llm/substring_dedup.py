@@ -15,6 +15,8 @@ columns besides ``doc_id`` and ``text`` are ignored.
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -76,12 +78,11 @@ def dedup_substrings(documents: DataFrame, length: int = LENGTH, gram: int = GRA
     sketch size change the work, never the result.
     """
     gram = min(gram, length)
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    )
+    docs = P.keyed(documents)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     gone = P.repeated(
-        docs.where("doc is not null"), word_hashes, words_between, lambda c, n: word_windows(c, n, length), gram, length, symbols=size // 5
+        docs.where("doc is not null"), word_hashes, words_between, lambda c, n: word_windows(c, n, length), gram, length, symbols=size // 5,
+        key_of=lambda w: hashlib.blake2b(w, digest_size=16).digest(),
     )
 
     def cut(it):

@@ -11,7 +11,8 @@ bucket with one suffix is dropped at once:
   suffixes alone in their bucket end here, before anything is shuffled;
 * inside each task, neighbouring suffixes with one anchor are held as one
   block and ordered by 8-byte digits; equal groups at full depth are equal
-  strings, and of these only the smallest document's goes on;
+  strings, and of these only the smallest document's goes on (chains of blocks
+  that occur again whole are settled first, as one);
 * the rest is dealt by content and ordered in the partitions, so equal strings
   of all tasks are neighbours;
 * anchors whose blocks are not all equal are opened into single suffixes of
@@ -69,8 +70,8 @@ class RadixLocal:
     def __len__(self):
         return len(self.items)
 
-    def add(self, content: bytes, extra, doc, th, start: int, n: int) -> None:
-        self.items.append((content, extra, doc, th, start, n))
+    def add(self, content: bytes, extra, doc, th, starts: list, n: int) -> None:
+        self.items.append((content, extra, doc, th, starts, n))
 
     def rows(self):
         items, self.items = self.items, []
@@ -78,20 +79,19 @@ class RadixLocal:
             return
         group = radix_groups([x[0] for x in items])
         doc = np.array([x[2] for x in items], np.int64)
-        order = np.lexsort((doc, group))
+        order = np.lexsort(([x[3] for x in items], doc, group))
         least = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
         np.minimum.at(least, group, doc)
-        held: tuple = ()
-        starts: list = []
+        held, row = None, None
         for i in order.tolist():
-            content, extra, d, th, start, n = items[i]
-            key = (group[i], d, th)
-            if key != held:
-                if starts:
-                    yield row
-                starts, held = [], key
-                row = (0, extra, content, d, th, starts, n) if d == least[group[i]] else (1, 0, None, d, th, starts, n)
-            starts.append(start)
+            content, extra, d, th, starts, n = items[i]
+            if (group[i], d, th) == held:
+                row[5].extend(starts)
+                continue
+            if row:
+                yield row
+            held = (group[i], d, th)
+            row = (P.OPEN, extra, content, d, th, list(starts), n) if d == least[group[i]] else (P.GONE, 0, None, d, th, list(starts), n)
         yield row
 
 
@@ -113,9 +113,7 @@ def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     size of the histogram change the work, never the result.
     """
     gram = min(gram, length)
-    docs = documents.select(
-        F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text")
-    )
+    docs = P.keyed(documents)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     gone = P.repeated(
         docs.where("doc is not null"), byte_symbols, bytes_between, lambda c, n: [c[i : i + length] for i in range(n)], gram, length, symbols=size, local_of=RadixLocal

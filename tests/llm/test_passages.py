@@ -29,7 +29,7 @@ def brute(rows, symbols, join, length):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("group", [1, 256])
+@pytest.mark.parametrize("group", [1, 8192])
 def test_words(spark, monkeypatch, group):
     monkeypatch.setattr(passages, "GROUP", group)
     monkeypatch.setattr(passages, "FLUSH", 300)
@@ -39,7 +39,7 @@ def test_words(spark, monkeypatch, group):
     assert sorted((tuple(r) for r in got), key=str) == exp and any(r for _, _, r, _ in exp)
 
 
-@pytest.mark.parametrize("group", [1, 256])
+@pytest.mark.parametrize("group", [1, 8192])
 def test_bytes(spark, monkeypatch, group):
     monkeypatch.setattr(passages, "GROUP", group)
     monkeypatch.setattr(passages, "CHUNK", 10_000)
