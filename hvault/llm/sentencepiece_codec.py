@@ -6,11 +6,14 @@ pair is merged and the pairs at its sides are looked up anew, until no pair is
 a piece. Symbols without a piece become byte pieces. Texts are first cut where
 no piece of the vocabulary reaches across (before a run of word marks, around
 line ends), so an agenda belongs to one short chunk; chunks met before come
-from a bounded cache. An agenda is a list of ranks for chunks of up to ``WIDE``
-characters and a heap beyond, so a text without cuts takes n log n steps.
+from a bounded cache. The agendas of all new chunks of a batch advance together,
+as one flat array of symbols and one of pair ranks; chunks over ``WIDE``
+characters use a heap, so a text without cuts takes n log n steps.
 
-Every Arrow batch is checked against the sentencepiece library. ``agrees`` says
-whether the library gave the same ids; if not, the library's ids are returned.
+Arrow batches are checked against the sentencepiece library: every chunk that is
+encoded anew, and the first megabyte of each batch as whole texts
+(``check="whole"``: all texts). ``agrees`` says whether the library gave the
+same ids; if not, the library's ids are returned.
 
 Defined results: null text is empty (no ids); a null doc_id is kept; every row
 gives one row; columns besides ``doc_id`` and ``text`` are ignored.
@@ -22,6 +25,7 @@ import hashlib
 import heapq
 import re
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +33,8 @@ from pyspark.sql import functions as F
 MARK = "▁"  # stands for a space in pieces
 WIDE = 64
 CACHE = 400_000  # chunks in each of the cache's two generations
-TEXT_STEP = 1 << 20  # characters encoded together
+NONE = 1 << 40  # rank of a pair that forms no piece
+TEXT_STEP = 1 << 21  # characters encoded together
 
 
 class Agenda:
@@ -54,7 +59,13 @@ class Agenda:
         self.pairs = pairs
         # dense ranks, the highest score first; equal scores share a rank
         order = {v: r for r, v in enumerate(sorted({-self.score[i] for i in pairs.values()}))}
-        self.rank = {k: order[-self.score[i]] for k, i in pairs.items()}
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.merged = np.array([pairs[k] for k in self.keys.tolist()], np.int64)
+        self.ranks = np.array([order[-self.score[i]] for i in self.merged.tolist()], np.int64)
+        self.of_code = np.full(0x110000, -1, np.int32)
+        for p, i in self.piece.items():
+            if len(p) == 1:
+                self.of_code[ord(p)] = i
         # chunks may be cut only where no piece reaches across, and need each character of a piece to be a piece
         whole = all(c in self.piece for p in self.piece for c in p)
         marks = not any(MARK in p.lstrip(MARK) for p in self.piece)
@@ -64,6 +75,7 @@ class Agenda:
         self.cut = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n" if line else f"{MARK}*[^{MARK}]+|{MARK}+") if marks else re.compile("(?s).+")
         self.new: dict = {}
         self.old: dict = {}
+        self.wrong: set = set()  # chunks in which the library gave other ids
 
     def first_symbols(self, chunk: str) -> list[int]:
         """Piece of each character; a character without one gets a number above all pairs' keys."""
@@ -113,25 +125,61 @@ class Agenda:
                 offer(prv[i])
         return self.to_ids([s for s, g in zip(sym, gone) if not g])
 
-    def by_list(self, chunk: str) -> list[int]:
-        """The agenda of a short chunk as a plain list with one rank per adjacent pair."""
-        sym, width, get, merged, none = self.first_symbols(chunk), self.n, self.rank.get, self.pairs, self.n
-        ranks = [get(a * width + b, none) for a, b in zip(sym, sym[1:])]
-        while ranks:
-            best = min(ranks)
-            if best == none:
-                break
-            i = ranks.index(best)
-            m = merged[sym[i] * width + sym[i + 1]]
-            sym[i : i + 2] = (m,)
-            del ranks[i]
-            if i < len(ranks):
-                ranks[i] = get(m * width + sym[i + 1], none)
-            if i:
-                ranks[i - 1] = get(sym[i - 1] * width + m, none)
-        return self.to_ids(sym)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def look(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the piece that each pair of symbols forms (NONE without one), and the piece."""
+        key = a * self.n + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], NONE), self.merged[at]
+
+    def together(self, chunks: list[str]) -> list[tuple]:
+        """Ids of many short chunks: each round merges the best pair (leftmost among equals) of every chunk that has one."""
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le"), np.uint32).astype(np.int64)
+        sym = self.of_code[codes].astype(np.int64)
+        unknown = sym < 0
+        sym[unknown] = self.n * self.n + codes[unknown]
+        chunk = np.repeat(np.arange(len(chunks)), np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        rank = np.full(len(sym), NONE, np.int64)
+        inner = np.flatnonzero(chunk[1:] == chunk[:-1])
+        rank[inner] = self.look(sym[inner], sym[inner + 1])[0]
+        done_sym, done_chunk = [], []
+        while len(sym):
+            first = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+            best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(sym))))
+            over = best == NONE
+            if over.any():
+                done_sym.append(sym[over])
+                done_chunk.append(chunk[over])
+                live = ~over
+                sym, chunk, rank, best = sym[live], chunk[live], rank[live], best[live]
+                if not len(sym):
+                    break
+            hit = np.flatnonzero(rank == best)
+            hit = hit[np.concatenate([[True], chunk[hit[1:]] != chunk[hit[:-1]]])]
+            sym[hit] = self.look(sym[hit], sym[hit + 1])[1]
+            stay = np.ones(len(sym), bool)
+            stay[hit + 1] = False
+            sym, chunk, rank = sym[stay], chunk[stay], rank[stay]
+            at = hit - np.arange(len(hit))  # one symbol has gone from each chunk before
+            rank[at] = NONE
+            for left in (at, at - 1):
+                left = left[(left >= 0) & (left + 1 < len(sym))]
+                left = left[chunk[left] == chunk[left + 1]]
+                rank[left] = self.look(sym[left], sym[left + 1])[0]
+        chunk = np.concatenate(done_chunk)
+        order = np.argsort(chunk, kind="stable")
+        sym, ends = np.concatenate(done_sym)[order], np.searchsorted(chunk[order], np.arange(len(chunks) + 1)).tolist()
+        flat, above = sym.tolist(), bool((sym >= self.n * self.n).any())
+        parts = [flat[a:b] for a, b in zip(ends, ends[1:])]
+        return [tuple(self.to_ids(p)) for p in parts] if above else [tuple(p) for p in parts]
+
+    def by_library(self, chunks: list[str]) -> list[list[int]]:
+        """The library's ids of chunks. It puts a mark before a text, so a chunk is given without its own, or after a line end."""
+        marked = self.library.encode([c[1:].replace(MARK, " ") if c[0] == MARK else "\n" + c for c in chunks], num_threads=1)
+        skip = len(self.library.encode("\n"))
+        return [ids if c[0] == MARK else ids[skip:] for c, ids in zip(chunks, marked)]
+
+    def encode(self, texts: list[str], check: bool = False) -> tuple[list[list[int]], list[bool]]:
+        """Ids of each text, and whether all its chunks agreed with the library (when ``check``)."""
         cuts = [self.cut.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         if len(self.new) > CACHE:
             self.old, self.new = self.new, {}
@@ -143,22 +191,31 @@ class Agenda:
                     new[c] = old[c]
                 else:
                     fresh.append(c)
+        short = [c for c in fresh if len(c) <= WIDE]
+        if short:
+            new.update(zip(short, self.together(short)))  # tuples of ints leave the garbage collector
         for c in fresh:
-            new[c] = tuple(self.by_list(c) if len(c) <= WIDE else self.by_heap(c))  # tuples of ints leave the garbage collector
+            if len(c) > WIDE:
+                new[c] = tuple(self.by_heap(c))
+        if check:
+            fresh = [c for c in fresh if c != MARK and c != "\n"]  # single symbols; the library gives no mark to an empty text
+            for c, theirs in zip(fresh, self.by_library(fresh)):
+                if new[c] != tuple(theirs):
+                    self.wrong.add(c)
+                    new[c] = tuple(theirs)
         out = []
         for chunks in cuts:
             ids: list[int] = []
             for c in chunks:
                 ids += new[c]
             out.append(ids)
-        return out
+        return out, [not self.wrong or self.wrong.isdisjoint(chunks) for chunks in cuts]
 
 
-def encode_batches(it, model: str, check: bool = True):
-    """Arrow batches of (doc_id, text) to (doc_id, ids, decoded, agrees)."""
+def encoded(it, model: str, check: str = "chunks"):
+    """Arrow batches of (doc_id, text) to lists (doc_ids, ids, decoded texts, agrees) of about TEXT_STEP characters each."""
     agenda = Agenda(model)
     library = agenda.library
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("agrees", pa.bool_())])
     for batch in it:
         docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
         at = 0
@@ -167,39 +224,50 @@ def encode_batches(it, model: str, check: bool = True):
             while at + len(part) < len(docs) and (size < TEXT_STEP or not part):
                 part.append(texts[at + len(part)].as_py() or "")
                 size += len(part[-1])
-            ids = agenda.encode(part)
-            agrees = [True] * len(part)
-            if check:
+            ids, agrees = agenda.encode(part, check != "none")
+            if check == "whole" or check == "chunks" and not at:
                 theirs = library.encode(part, num_threads=1)
-                agrees = [a == b for a, b in zip(ids, theirs)]
+                agrees = [a and x == y for a, x, y in zip(agrees, ids, theirs)]
                 ids = theirs
-            decoded = library.decode(ids, num_threads=1)
-            cols = (docs[at : at + len(part)], ids, decoded, agrees)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
+            yield docs[at : at + len(part)], ids, library.decode(ids, num_threads=1), agrees
             at += len(part)
 
 
-def encode_documents(documents: DataFrame, model: str, check: bool = True) -> DataFrame:
-    """doc_id, ids, decoded, agrees for each document; ``model`` is a sentencepiece model file present on all executors."""
+class Numbers(dict):
+    """Decimal text of each id met."""
+
+    def __missing__(self, i: int) -> str:
+        self[i] = text = str(i)
+        return text
+
+
+def arrow(columns, schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, schema)], schema=schema)
+
+
+def encode_documents(documents: DataFrame, model: str, check: str = "chunks") -> DataFrame:
+    """doc_id, ids, decoded, agrees for each document; ``model`` is a sentencepiece model file present on all
+    executors, ``check`` is "chunks", "whole" or "none"."""
+
+    def run(it):
+        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string()), ("agrees", pa.bool_())])
+        for columns in encoded(it, model, check):
+            yield arrow(columns, schema)
+
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(lambda it: encode_batches(it, model, check), "doc_id long, ids array<int>, decoded string, agrees boolean")
+    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string, agrees boolean")
 
 
-def codec_digest(documents: DataFrame, model: str, check: bool = True) -> DataFrame:
+def codec_digest(documents: DataFrame, model: str, check: str = "chunks") -> DataFrame:
     """The registered query's columns: doc_id, n_tokens, ids_sha256, decoded_sha256, agrees."""
 
     def run(it):
         schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("agrees", pa.bool_())])
-        for batch in encode_batches(it, model, check):
-            ids = batch.column("ids")
-            cols = (
-                batch.column("doc_id").to_pylist(),
-                [len(x) for x in ids],
-                [hashlib.sha256(",".join(map(str, x.as_py())).encode()).hexdigest() for x in ids],
-                [hashlib.sha256(t.encode()).hexdigest() for t in batch.column("decoded").to_pylist()],
-                batch.column("agrees").to_pylist(),
-            )
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cols, schema)], schema=schema)
+        number = Numbers()
+        for docs, ids, decoded, agrees in encoded(it, model, check):
+            ids_sha = [hashlib.sha256(",".join([number[i] for i in x]).encode()).hexdigest() for x in ids]
+            text_sha = [hashlib.sha256(t.encode()).hexdigest() for t in decoded]
+            yield arrow((docs, [len(x) for x in ids], ids_sha, text_sha, agrees), schema)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, agrees boolean")

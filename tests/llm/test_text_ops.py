@@ -36,12 +36,22 @@ def test_agenda_equals_library():
     letters = '  \n\t▁aebtheion,.é①\x00日本語😀0123<>²."　​'
     texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 150))) for _ in range(4000)]
     texts += [" " * k for k in range(40)] + ["a" * k for k in range(0, 3000, 97)] + ["<s>", "<0x0A>", "▁▁x", "the" * 5000]
-    assert agenda.encode(texts) == agenda.library.encode(texts, num_threads=1)
+    ids, agrees = agenda.encode(texts, check=True)
+    assert ids == agenda.library.encode(texts, num_threads=1) and all(agrees) and not agenda.wrong
 
 
-def test_codec(spark):
+def test_check_finds_and_repairs_other_ids(monkeypatch):
+    agenda = Agenda(PIECES)
+    monkeypatch.setattr(agenda, "together", lambda chunks: [(5,)] * len(chunks))
+    texts = ["the thing", "ab c", "  x", "the"]
+    ids, agrees = agenda.encode(texts, check=True)
+    assert ids == agenda.library.encode(texts, num_threads=1) and not any(agrees)
+
+
+@pytest.mark.parametrize("check", ["chunks", "whole", "none"])
+def test_codec(spark, check):
     rows = awkward_documents()
-    got = codec_digest(frame(spark, rows, CLASHING), PIECES).collect()
+    got = codec_digest(frame(spark, rows, CLASHING), PIECES, check).collect()
     sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     exp = []
     for d, t in rows:
@@ -52,7 +62,7 @@ def test_codec(spark):
 
 
 def test_round_trip_without_check(spark):
-    out = encode_documents(frame(spark, [(1, "The thing, ① and 日本\n x"), (2, None)]), PIECES, check=False).orderBy("doc_id").collect()
+    out = encode_documents(frame(spark, [(1, "The thing, ① and 日本\n x"), (2, None)]), PIECES, check="none").orderBy("doc_id").collect()
     assert out[0].decoded == "The thing, ① and 日本\n x" and out[1].ids == []
 
 
@@ -141,7 +151,7 @@ SECRETS = [
 
 
 def test_base_spans(spark):
-    rows = [(i, t) for i, t in enumerate(SECRETS)] + [(100, " | ".join(SECRETS))] + [(200 + (d or 0), t) for d, t in awkward_documents(n=10)]
+    rows = [(i, t) for i, t in enumerate(SECRETS)] + [(100, " | ".join(SECRETS))] + [(200 + (d or 0), t) for d, t in awkward_documents(n=30)]
     for r in secret_scan.find_secrets(frame(spark, rows, CLASHING)).collect():
         text = next(t for d, t in rows if d == r.doc_id) or ""
         if sum(d == r.doc_id for d, _ in rows) == 1:
