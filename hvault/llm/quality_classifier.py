@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from hvault.llm.common import stored
 
 NAMES = ("words", "word_length", "distinct", "upper", "digit", "mark", "odd", "shout", "lines", "common", "repeat", "short", "ends", "accent")
-TO_POOLED = 0.2  # weight of the pooled covariance in a class covariance
-TO_DIAGONAL = 0.05  # weight of the diagonal after that
+TO_POOLED = 0.5  # weight of the pooled covariance in a class covariance
+TO_DIAGONAL = 0.1  # weight of the diagonal after that
 FOLDS, HELD = 3, 1
 
 #: Byte classes: rows of a table with one column per byte.
@@ -50,7 +50,8 @@ def statistics(text: bytes) -> list[float]:
     n, size = len(words), len(text)
     upper, digit, mark, odd, shout, accent = CLASSES @ np.bincount(np.frombuffer(text, np.uint8), minlength=256) if size else (0,) * 6
     letters = sum(map(len, words))
-    share = lambda x, of: np.log((x + 0.5) / (of + 5.0))
+    # pseudo-counts keep the shares of very short texts near those of others
+    share = lambda x, of: np.log((x + 1.0) / (of + 30.0))
     counts = Counter(words)
     common = max(counts.values()) if n else 0
     repeat = sum(map(operator.eq, words, words[1:]))
