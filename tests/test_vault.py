@@ -188,11 +188,16 @@ def test_key_hot_only_in_stored_history_is_detected(spark):
     store._top_bound = {0: {}}
     assert store._target_hot(1, "hsat_request", stored) is False
     assert store._top_bound[1]["hsat_request"] == 1
-    # exact profile below the share bound: not hot
+    # the carried bound trips, the exact profile stays below it: not hot
+    store.hot_key_rows = 20
     many = spark.createDataFrame([(f"k{i % 200}",) for i in range(2000)], "request_hash_key string")
-    store._top_bound = {0: {}, 1: {"hsat_request": 9}}
+    store._top_bound = {0: {}, 1: {"hsat_request": 25}}
     assert store._target_hot(2, "hsat_request", many) is False
     assert store._top_bound[1]["hsat_request"] == 10
+    # the bound is absolute: a key with a small share of a large table is hot when its rows pass it
+    share = spark.createDataFrame([("a",)] * 80 + [(f"k{i}",) for i in range(1920)], "request_hash_key string")
+    store._top_bound = {0: {}, 1: {"hsat_request": 80}}
+    assert store._target_hot(2, "hsat_request", share) is True
 
 
 def test_store_with_every_key_hot_equals_plain_store(spark):
