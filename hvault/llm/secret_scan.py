@@ -6,9 +6,10 @@ and what comes out is scanned again, until no new layer appears. Layers:
 * ``%XX`` runs (URL), ``\\uXXXX``, ``\\UXXXXXXXX`` and ``\\xXX`` (Unicode): the
   whole layer is decoded, and every character keeps the span of the original
   text it came from;
-* base64 (both alphabets, lines of 60 to 76 characters joined): when the bytes
-  are printable UTF-8 text, or gzip, zlib, bzip2 or zstd data of such text;
-  what is found inside is mapped to the span of the encoded part.
+* base64 (both alphabets; lines under each other are read joined, in runs of
+  one width and each alone): when the bytes are printable UTF-8 text, and each
+  gzip, zlib, bzip2 or zstd stream among them; what is found inside is mapped to
+  the span of the encoded part.
 
 A layer met before with the same span is not scanned again, so cycles end. A
 compressed part that would grow beyond ``MAX_LAYER`` bytes is not unpacked but
@@ -41,8 +42,11 @@ KINDS = ("assign", "access", "hex", "unread")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
-BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{60,76}\r?\n)*[A-Za-z0-9+/]{16,}={0,2}")
-BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
+BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}\r?\n)+[A-Za-z0-9+/]*={0,2}|[A-Za-z0-9+/]{16,}={0,2}")
+BASE64_URL = re.compile(r"(?:[A-Za-z0-9_-]{16,}\r?\n)+[A-Za-z0-9_-]*={0,2}|[A-Za-z0-9_-]{16,}={0,2}")
+LINE = re.compile(r"[^\r\n]+")
+MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]|\x28\xb5\x2f\xfd")  # gzip, zlib, bzip2, zstd
+STEP = 256  # compressed bytes opened at once, so that what precedes a broken byte is kept
 MAX_LAYER = 32 << 20
 MASK = "[REDACTED]"
 
@@ -69,47 +73,67 @@ def readable(data: bytes) -> str | None:
     return text if text and all(c.isprintable() or c in "\r\n\t" for c in text) else None
 
 
-def unpack(data: bytes) -> str | None:
-    """Text of compressed bytes (layers of compression are opened in turn); None if it is none; "" if too large."""
-    for _ in range(16):
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-            d = zlib.decompressobj(47)
-        elif data[:3] == b"BZh":
-            d = bz2.BZ2Decompressor()
-        elif data[:4] == b"\x28\xb5\x2f\xfd":
-            import zstandard
-
-            d = zstandard.ZstdDecompressor()
-            try:
-                size = zstandard.get_frame_parameters(data).content_size
-                if size != zstandard.CONTENTSIZE_UNKNOWN and size > MAX_LAYER:
-                    return ""
-                data = d.decompressobj().decompress(data) if size == zstandard.CONTENTSIZE_UNKNOWN else d.decompress(data, max_output_size=MAX_LAYER)
-            except zstandard.ZstdError:
-                return None
-            if len(data) > MAX_LAYER:
-                return ""
-            continue
-        else:
-            return readable(data)
-        try:
-            data = d.decompress(data, MAX_LAYER + 1)
-        except (zlib.error, OSError):
-            return readable(data)
-        if len(data) > MAX_LAYER:
-            return ""
-    return None
+def open_stream(data: bytes, at: int) -> tuple[bytes | None, int]:
+    """What the compressed stream at ``at`` holds (None if too large; what comes before a broken byte otherwise) and where it ends."""
+    import zstandard
 
-
-def from_base64(part: str) -> str | None:
+    head = data[at : at + 1]
+    d = bz2.BZ2Decompressor() if head == b"B" else zstandard.ZstdDecompressor().decompressobj() if head == b"\x28" else zlib.decompressobj(47)
+    out = bytearray()
+    while at < len(data) and not d.eof:
+        part = data[at : at + STEP]
+        try:
+            out += d.decompress(part)
+        except (zlib.error, OSError, EOFError, zstandard.ZstdError):
+            break
+        at += len(part)
+        if len(out) > MAX_LAYER:
+            return None, at
+    return bytes(out), at - len(d.unused_data)
+
+
+def streams(data: bytes):
+    """The compressed streams in ``data``, one after the other, wherever they begin."""
+    m = MAGIC.search(data)
+    while m:
+        out, end = open_stream(data, m.start())
+        if out is None or out:
+            yield out
+        m = MAGIC.search(data, max(end, m.start() + 1) if out else m.start() + 1)
+
+
+def from_base64(part: str) -> bytes:
+    """The bytes of base64 text; a last character that completes no byte is left out."""
     part = part.replace("\r", "").replace("\n", "").rstrip("=")
-    if len(part) % 4 == 1:
-        return None
+    part = part[: len(part) - (len(part) % 4 == 1)]
     try:
-        data = base64.b64decode(part + "=" * (-len(part) % 4), "-_" if "-" in part or "_" in part else None, validate=True)
+        return base64.b64decode(part + "=" * (-len(part) % 4), "-_" if "-" in part or "_" in part else None, validate=True)
     except (binascii.Error, ValueError):
-        return None
-    return unpack(data)
+        return b""
+
+
+def line_ranges(text: str) -> set[tuple[int, int]]:
+    """The places in a block of base64 lines that may each be one encoded part.
+
+    These are the block, each of its lines, and each run of lines of one width
+    with and without the shorter line that follows. Where the width is no
+    multiple of four, runs are also read from their second to fourth line, for
+    the lines before may belong to something else."""
+    lines = [m.span() for m in LINE.finditer(text)]
+    out = {(0, len(text)), (0, lines[-1][1]), *lines}
+    begin = 0
+    while begin < len(lines):
+        width = lines[begin][1] - lines[begin][0]
+        stop = begin + 1
+        while stop < len(lines) and lines[stop][1] - lines[stop][0] == width:
+            stop += 1
+        ends = [lines[stop - 1][1]]
+        if stop < len(lines) and lines[stop][1] - lines[stop][0] < width:
+            ends.append(lines[stop][1])
+        for i in range(begin, min(stop, begin + (4 if width % 4 else 1))):
+            out.update((lines[i][0], e) for e in ends)
+        begin = stop
+    return {(a, b) for a, b in out if b - a >= 16}
 
 
 class Layer:
@@ -187,6 +211,21 @@ def all_spans(text: str) -> tuple[list, list]:
     queue, seen = deque([Layer(text)]), set()
     while queue:
         layer = queue.popleft()
+        if isinstance(layer, tuple):
+            data, whole = layer
+            mark = (hashlib.blake2b(data, digest_size=16).digest(), whole, "bytes")
+            if mark in seen:
+                continue
+            seen.add(mark)
+            inner = readable(data)
+            if inner:
+                queue.append(Layer(inner, whole=whole))
+            for got in streams(data):
+                if got is None:
+                    found.add((whole[0], 3, whole[1]))
+                else:
+                    queue.append((got, whole))
+            continue
         t = layer.text
         if layer.first is not None or layer.whole:
             mark = (hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest(), layer.whole or (layer.first[0], layer.end[-1]) if t else None)
@@ -205,12 +244,10 @@ def all_spans(text: str) -> tuple[list, list]:
             for m in pattern.finditer(t):
                 if pattern is BASE64_URL and "-" not in m[0] and "_" not in m[0]:
                     continue
-                inner = from_base64(m[0])
-                if inner:
-                    nexts.append(Layer(inner, whole=layer.span(m.start(), m.end())))
-                elif inner == "":
-                    s, e = layer.span(m.start(), m.end())
-                    found.add((s, 3, e))
+                for a, b in line_ranges(m[0]):
+                    data = from_base64(m[0][a:b])
+                    if data:
+                        queue.append((data, layer.span(m.start() + a, m.start() + b)))
         queue.extend(x for x in nexts if x is not None and x.text != t)
     return base, sorted(found)
 

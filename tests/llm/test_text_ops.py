@@ -1,6 +1,7 @@
 """op6, op7, op9 and op10 against the libraries, brute force and held-out labels."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import random
@@ -190,6 +191,43 @@ def test_layers(hidden):
     assert secret_scan.masked(secret_scan.masked(text)) == secret_scan.masked(text)
 
 
+def wrapped(data, width):
+    t = b64(data)
+    return "\n".join(t[i : i + width] for i in range(0, len(t), width))
+
+
+def noise(n):
+    return random.Random(n).randbytes(n)
+
+
+@pytest.mark.parametrize("width", [48, 64, 76, 100])
+def test_short_last_line(width):
+    for n in range(150, 150 + 3 * width):
+        text = "x " * ((n - len(PLAIN)) // 2) + PLAIN
+        hidden = wrapped(text, width)
+        assert secret_scan.masked(f"<{hidden}>") == "<[REDACTED]>", (width, n)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, zstandard.compress):
+        hidden = wrapped(pack(noise(300).hex().encode() + b" zz " + PLAIN.encode()), width)
+        assert any(k == 0 for _, k, _ in secret_scan.all_spans(f"<{hidden}>")[1])
+
+
+def test_lines_before_and_streams_under_each_other():
+    def kinds(text):
+        return {k for _, k, _ in secret_scan.all_spans(text)[1]}
+
+    body = noise(200).hex().upper().encode() + b" " + PLAIN.encode()
+    other = base64.b64encode(noise(48)).decode()  # a line of 64 columns
+    for width in (64, 65, 76):
+        for pack in (gzip.compress, zlib.compress, bz2.compress, zstandard.compress):
+            for before in (other, other + "A", other + "A" * 12):
+                assert 0 in kinds(before + "\n" + wrapped(pack(body), width)), (width, pack, before)
+    for pack in (gzip.compress, zlib.compress, bz2.compress, zstandard.compress):
+        two = pack(b"nothing") + pack(b"here") + pack(body)
+        assert 0 in kinds(b64(two)) and 0 in kinds(wrapped(two, 76))
+        full = next(x for x in (pack(noise(n).hex().upper().encode()) for n in range(57, 400)) if len(x) % 57 == 0)
+        assert 0 in kinds(wrapped(full, 76) + "\n" + wrapped(pack(body), 76))
+
+
 def test_exact_origin_of_characters():
     text = "x " + escaped("pass") + "word" + percent("=hunter22") + " y"
     assert secret_scan.all_spans(text)[1] == [(2, 0, len(text) - 2)]
