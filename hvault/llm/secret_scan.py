@@ -7,9 +7,10 @@ and what comes out is scanned again, until no new layer appears. Layers:
   whole layer is decoded, and every character keeps the span of the original
   text it came from;
 * base64 (both alphabets; lines under each other are read joined, in runs of
-  one width and each alone): when the bytes are printable UTF-8 text, and each
-  gzip, zlib, bzip2 or zstd stream among them; what is found inside is mapped to
-  the span of the encoded part.
+  one width and each alone): the bytes are scanned as text whatever they are;
+  what is found inside is mapped to the span of the encoded part;
+* gzip, zlib, bzip2 and zstd streams among bytes of base64, of another stream,
+  of ``%XX`` or of string escapes, to any depth: what comes out are bytes again.
 
 A layer met before with the same span is not scanned again, so cycles end. A
 compressed part that would grow beyond ``MAX_LAYER`` bytes is not unpacked but
@@ -49,6 +50,10 @@ MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]|\x28\xb5\x2f\xfd")
 STEP = 256  # compressed bytes opened at once, so that what precedes a broken byte is kept
 MAX_LAYER = 32 << 20
 MASK = "[REDACTED]"
+ONE_LITERAL = re.compile(r"\\(?:x[0-9A-Fa-f]{2}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|[0-7]{1,3}|[abefnrtv\\'\"/])")
+LITERAL = re.compile(f"(?:{ONE_LITERAL.pattern})+")
+LETTERS = {"a": "\a", "b": "\b", "e": "\x1b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+BYTES = re.compile("[\x00-\xff]+")
 
 
 def scan(text: str) -> list[tuple[int, int, int]]:
@@ -64,13 +69,17 @@ def scan(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def readable(data: bytes) -> str | None:
-    """The bytes as text when they are printable UTF-8."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\r\n\t" for c in text) else None
+def readings(data: bytes) -> list[str]:
+    """The bytes as texts to scan, whatever they are.
+
+    Secrets and the marks of layers are ASCII, and a broken byte is replaced
+    without touching the ASCII around it: so UTF-8 with replacement also serves
+    Latin-1. Without its zero bytes, so does UTF-16 or UTF-32 of either order,
+    with or without BOM and wherever it begins."""
+    out = [data.decode("utf-8", "replace")]
+    if b"\0" in data:
+        out.append(data.replace(b"\0", b"").decode("utf-8", "replace"))
+    return out
 
 
 def open_stream(data: bytes, at: int) -> tuple[bytes | None, int]:
@@ -93,12 +102,12 @@ def open_stream(data: bytes, at: int) -> tuple[bytes | None, int]:
 
 
 def streams(data: bytes):
-    """The compressed streams in ``data``, one after the other, wherever they begin."""
+    """The compressed streams in ``data`` as (content, begin, end), one after the other, wherever they begin."""
     m = MAGIC.search(data)
     while m:
         out, end = open_stream(data, m.start())
         if out is None or out:
-            yield out
+            yield out, m.start(), end
         m = MAGIC.search(data, max(end, m.start() + 1) if out else m.start() + 1)
 
 
@@ -192,6 +201,26 @@ def url_parts(run: str):
     return out if any(t[0] != "%" or len(t) == 1 for _, _, t in out) else None
 
 
+def url_bytes(run: str):
+    """Each %XX of a run as the character of its byte, when the run is no UTF-8."""
+    data = bytes.fromhex(run.replace("%", ""))
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return [(3 * i, 3 * i + 3, chr(c)) for i, c in enumerate(data)]
+    return url_parts(run)
+
+
+def escape_parts(run: str):
+    """The escapes of a string literal, those of single letters included."""
+    out = []
+    for m in ONE_LITERAL.finditer(run):
+        t = m[0][1:]
+        code = int(t[1:], 16) if t[0] in "xuU" else int(t, 8) if t[0] in "01234567" else ord(LETTERS.get(t, t))
+        out.append((m.start(), m.end(), chr(code) if code < 0x110000 else m[0]))
+    return out
+
+
 def unicode_parts(run: str):
     out = []
     for m in ONE_ESCAPE.finditer(run):
@@ -217,10 +246,8 @@ def all_spans(text: str) -> tuple[list, list]:
             if mark in seen:
                 continue
             seen.add(mark)
-            inner = readable(data)
-            if inner:
-                queue.append(Layer(inner, whole=whole))
-            for got in streams(data):
+            queue.extend(Layer(t, whole=whole) for t in readings(data))
+            for got, _, _ in streams(data):
                 if got is None:
                     found.add((whole[0], 3, whole[1]))
                 else:
@@ -235,11 +262,24 @@ def all_spans(text: str) -> tuple[list, list]:
             for a, kind, b in scan(t):
                 s, e = layer.span(a, b)
                 found.add((s, kind, e))
-        nexts = []
+        nexts, packed = [], []
         if "%" in t and URL.search(t):
             nexts.append(layer.decoded(URL, url_parts))
+            packed.append(layer.decoded(URL, url_bytes))
+            if packed[0] and "+" in t:  # a space in forms
+                packed.append(Layer(packed[0].text.replace("+", " "), packed[0].first, packed[0].end, packed[0].whole))
         if "\\" in t and UNICODE.search(t):
             nexts.append(layer.decoded(UNICODE, unicode_parts))
+        if "\\" in t and LITERAL.search(t):
+            packed.append(layer.decoded(LITERAL, escape_parts))
+        for one in packed:
+            for m in BYTES.finditer(one.text) if one else ():
+                for got, a, b in streams(m[0].encode("latin-1")):
+                    whole = one.span(m.start() + a, m.start() + b)
+                    if got is None:
+                        found.add((whole[0], 3, whole[1]))
+                    else:
+                        queue.append((got, whole))
         for pattern in (BASE64, BASE64_URL) if "-" in t or "_" in t else (BASE64,):
             for m in pattern.finditer(t):
                 if pattern is BASE64_URL and "-" not in m[0] and "_" not in m[0]:

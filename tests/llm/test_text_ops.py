@@ -228,6 +228,41 @@ def test_lines_before_and_streams_under_each_other():
         assert 0 in kinds(wrapped(full, 76) + "\n" + wrapped(pack(body), 76))
 
 
+def literal(data):
+    return repr(data)[2:-1]
+
+
+@pytest.mark.parametrize(
+    "inner",
+    [c + PLAIN for c in "\u00a0\u3000\ufeff\u200b\f\x1b\x00"] + [PLAIN.encode(e) for e in ("utf-16", "utf-16-le", "utf-16-be", "utf-32")]
+    + [("é " + PLAIN).encode("latin-1"), "日本 ".encode() + b"\xff " + PLAIN.encode(), "é日 ".encode("utf-16-le") + PLAIN.encode("utf-16-le")],
+)
+def test_any_text_inside(inner):
+    hidden = b64(inner)
+    assert (0, 0, len(hidden)) in secret_scan.all_spans(hidden)[1]
+    packed = b64(gzip.compress(inner if isinstance(inner, bytes) else inner.encode(), mtime=0))
+    assert (0, 0, len(packed)) in secret_scan.all_spans(packed)[1]
+
+
+@pytest.mark.parametrize("pack", [lambda d: gzip.compress(d, mtime=0), zlib.compress, bz2.compress, zstandard.compress])
+def test_compressed_bytes_elsewhere(pack):
+    data = pack(b"xyz " * 5 + PLAIN.encode())
+    deep = data
+    for _ in range(40):
+        deep = pack(deep)
+    quoted = [urllib.parse.quote(data), urllib.parse.quote_plus(data), "".join(f"%{b:02x}" for b in data), literal(data), "".join(f"\\x{b:02x}" for b in data), "".join(f"\\u{b:04x}" for b in data), b64(deep)]
+    for hidden in quoted:
+        text = f"é 日本 {hidden}"
+        got = [(s, e) for s, k, e in secret_scan.all_spans(text)[1] if k == 0]
+        assert (5, len(text)) in got, hidden
+        assert secret_scan.masked(text + " the rest of the line") == "é 日本 [REDACTED] the rest of the line"
+
+
+def test_plain_line_of_the_same_width_before():
+    line = base64.b64encode(noise(48)).decode()
+    assert 0 in {k for _, k, _ in secret_scan.all_spans(line + "\n" + wrapped("xyz " * 11 + PLAIN, 64))[1]}
+
+
 def test_exact_origin_of_characters():
     text = "x " + escaped("pass") + "word" + percent("=hunter22") + " y"
     assert secret_scan.all_spans(text)[1] == [(2, 0, len(text) - 2)]
