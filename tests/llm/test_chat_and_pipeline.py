@@ -1,5 +1,6 @@
 """op5 against SQL and by hand; the pipeline against its operators' rules."""
 
+import random
 import re
 
 import duckdb
@@ -58,6 +59,31 @@ def test_long_chain_and_repeats(spark):
     assert C.format_chats(empty, C.tool_table(spark)).count() == 0
 
 
+def test_chain_longer_than_a_thousand(spark):
+    """Each call needs the one before; one need points forward."""
+    calls = [(f"c{i}", "lookup", '{"term":"b"}', [f"c{i - 1}"] if i else ["last"]) for i in range(1500)] + [("last", "lookup", '{"term":"b"}', [])]
+    out = chat(spark, [(1, 0, "a", "x", calls, None)])
+    assert [out[1, 0, i].level for i in range(1501)] == [*range(2, 1502), 1]
+
+
+def test_levels_equal_plain_ones(spark):
+    rng = random.Random(3)
+    rows, exp = [], {}
+    for conv in range(40):
+        n = rng.randint(1, 14)
+        needs = [[f"c{rng.randrange(n)}" for _ in range(rng.choice([0, 1, 1, 2]))] if rng.random() < 0.3 else [f"c{k}" for k in {i + 1, i + rng.randint(1, 3)} if k < n] for i in range(n)]
+        rows.append((conv, 0, "a", "x", [(f"c{i}", "lookup", '{"term":"b"}', x) for i, x in enumerate(needs)], None))
+        level = {}
+        if any(int(k[1:]) >= i for i, x in enumerate(needs) for k in x):
+            while now := {i: 1 + max((level[int(k[1:])] for k in x), default=0) for i, x in enumerate(needs) if i not in level and all(int(k[1:]) in level for k in x)}:
+                level |= now
+            exp |= {(conv, i): level.get(i) for i in range(n)}
+        else:
+            exp |= {(conv, i): 0 for i in range(n)}
+    out = chat(spark, rows)
+    assert {(c, i): out[c, 0, i].level for c, i in exp} == exp and None in exp.values() and max(v or 0 for v in exp.values()) > 5
+
+
 def test_native_plan(spark):
     plan = C.chat_lines(spark.read.parquet(f"{TEXTS}/conversations.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
