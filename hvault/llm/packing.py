@@ -1,15 +1,18 @@
 """Packing by lexical retrieval.
 
 Documents become token ids and a closing id; the pieces of documents fill
-sequences of ``window`` tokens. Documents are dealt into shards by content:
-rows are range-partitioned by a min-hash of their token pairs (then doc_id, so
-copies that share a min-hash still spread), and a task cuts its rows into
-shards of at most ``SHARD_DOCS`` documents and ``SHARD_TOKENS`` tokens. A shard
-has a BM25 inverted index over token ids. The open window's document is the
-seed: its best-scoring unused neighbours follow, each cut where the window
-ends; the rest of a cut document opens the next window and is its seed. What
-is left at the end of a task goes into sequences of power-of-two length, so no
-sequence needs padding.
+sequences of ``window`` tokens. The open window's document is the seed: its
+best-scoring unused neighbours (BM25 over token ids) follow, each cut where the
+window ends; the rest of a cut document opens the next window and is its seed.
+
+A table of at most ``SHARD_DOCS`` documents and ``SHARD_TOKENS`` tokens is one
+shard, packed in one task. A larger one is packed by many chains of windows at
+once, in rounds: every seed queries the index of every shard, the shards' best
+unused neighbours are merged, a document that several seeds ask for goes to the
+one that scores it best, and the others go on in the next round. Document
+frequencies, number and mean length are those of the whole table. What is left
+of a task's chains goes into windows together, and the last one into sequences
+of power-of-two length, so no sequence needs padding.
 
 Defined results: null text is empty (one closing id); a null doc_id is kept
 and packed; rows that repeat are packed each; every token lies in exactly one
@@ -20,19 +23,22 @@ from __future__ import annotations
 
 import base64
 import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hvault.llm.common import stored
+from hvault.llm.common import discard, store, stored
 
 WINDOW = 1024
 CLOSE = 0
 SHARD_DOCS = 256
 SHARD_TOKENS = 1 << 19
+CHAIN_DOCS = 16  # documents a chain, on average: it sets the number of rounds, not what is searched
+BLOCK = 8192  # documents of a shard and seeds that meet in one task
 K1, B = 1.2, 0.75
 
 #: The vocabulary's split pattern and its one special token.
@@ -73,18 +79,21 @@ def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
 
 
 class Index:
-    """BM25 inverted index of one shard: postings (document, weight) per token id, sorted by id."""
+    """BM25 inverted index of one shard: postings (document, weight) per token id, sorted by id.
 
-    def __init__(self, docs: list[np.ndarray]):
+    ``stats`` (document frequencies by id, documents, mean length) are the whole table's; without them the shard is the table."""
+
+    def __init__(self, docs: list[np.ndarray], stats=None):
         n = len(docs)
         terms, freqs = zip(*(np.unique(d, return_counts=True) for d in docs))
         self.terms = terms
         doc = np.repeat(np.arange(n), [len(t) for t in terms])
         term, tf = np.concatenate(terms), np.concatenate(freqs).astype(np.float32)
         size = np.array([len(d) for d in docs], np.float32)
-        df = np.bincount(term, minlength=1)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5)).astype(np.float32)
-        weight = idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / size.mean()))[doc])
+        df = np.bincount(term, minlength=1 << 16)
+        all_df, all_n, mean = stats or (df, n, size.mean())
+        idf = np.log1p((all_n - all_df + 0.5) / (all_df + 0.5)).astype(np.float32)
+        weight = idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / mean))[doc])
         order = np.argsort(term, kind="stable")
         self.doc, self.weight = doc[order], weight[order]
         self.begin = np.concatenate([[0], np.cumsum(df)])
@@ -92,7 +101,10 @@ class Index:
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for the distinct ids of ``seed``."""
-        t = self.terms[seed]
+        return self.search(self.terms[seed])
+
+    def search(self, t: np.ndarray) -> np.ndarray:
+        """BM25 of every document of the shard for the distinct ids ``t``."""
         first, size = self.begin[t], self.begin[t + 1] - self.begin[t]
         at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
         return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
@@ -123,8 +135,8 @@ def chain(docs: list[np.ndarray], fill: int, window: int) -> list[int]:
     return out
 
 
-def pack_task(it, window: int):
-    """Pieces of one task's documents, see the module's description."""
+def pack_task(it, window: int, chained: bool = False):
+    """Pieces of one task's documents, see the module's description; ``chained`` ones come in the order of their chains."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
     part = TaskContext.get().partitionId()
     sequence = part << 40
@@ -140,12 +152,12 @@ def pack_task(it, window: int):
             at += len(ids)
         sequence += 1
 
-    def place(doc, ids):
+    def place(doc, ids, start=0, total=None):
         nonlocal fill, tail
         at = 0
         while at < len(ids):
             take = min(window - fill, len(ids) - at)
-            tail.append((doc, at, ids[at : at + take], len(ids)))
+            tail.append((doc, start + at, ids[at : at + take], total or len(ids)))
             fill, at = fill + take, at + take
             if fill == window:
                 close(tail)
@@ -174,23 +186,27 @@ def pack_task(it, window: int):
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
     shard: list = []
-    tokens = 0
 
     def pack():
-        nonlocal shard, tokens
         for i in chain([ids for _, ids in shard], fill, window) if shard else []:
             place(*shard[i])
-        shard, tokens = [], 0
 
+    rest: list = []  # open windows of the chains before
+    now = None
     for batch in it:
-        for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+        chains = batch.column("chain").to_pylist() if chained else [None] * batch.num_rows
+        for doc, raw, of in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), chains):
             ids = np.frombuffer(raw.as_buffer(), "<u2").copy()
-            shard.append((doc, ids))
-            tokens += len(ids)
-            if len(shard) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
-                pack()
-                yield from emit()
+            if not chained:
+                shard.append((doc, ids))
+                continue
+            if of != now:
+                rest, tail, fill, now = rest + [(d, i.copy(), s, n) for d, s, i, n in tail], [], 0, of
+            place(doc, ids)
+        yield from emit()
     pack()
+    for piece in rest:
+        place(*piece)
     finish()
     yield from emit()
 
@@ -198,8 +214,110 @@ def pack_task(it, window: int):
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+def document_frequencies(rows: DataFrame) -> np.ndarray:
+    """Documents that hold each token id: partial counts per task, one row per id of the vocabulary to the driver."""
+
+    def run(it):
+        df = np.zeros(1 << 16, np.int64)
+        for batch in it:
+            for raw in batch.column("ids"):
+                df[np.unique(np.frombuffer(raw.as_buffer(), "<u2"))] += 1
+        at = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["term", "n"])
+
+    out = np.zeros(1 << 16, np.int64)
+    for r in rows.select("ids").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r["term"]] = r["n"]
+    return out
+
+
+def ties(chain: int, rows: np.ndarray) -> np.ndarray:
+    """Order of equal scores: each chain has its own, so chains among copies do not all ask for the same one."""
+    x = (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(chain * 0xBF58476D1CE4E5B9 & (1 << 64) - 1)
+    x ^= x >> np.uint64(31)
+    x *= np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(1)).astype(np.int64)
+
+
+def best_of_shard(stats):
+    """For seeds and one shard: (chain, row, size, score, tie) of each seed's best documents, until they would fill its window."""
+
+    def run(seeds: pa.Table, docs: pa.Table) -> pa.Table:
+        schema = pa.schema([("chain", pa.int64()), ("row", pa.int64()), ("size", pa.int64()), ("score", pa.float64()), ("tie", pa.int64())])
+        out: list = [[] for _ in schema]
+        if seeds.num_rows and docs.num_rows:
+            ids = [np.frombuffer(raw.as_buffer(), "<u2") for raw in docs.column("ids")]
+            rows, sizes, index = docs.column("row").to_numpy(), np.array([len(i) for i in ids], np.int64), Index(ids, stats)
+            for chain_id, room, raw in zip(seeds.column("chain").to_pylist(), seeds.column("room").to_pylist(), seeds.column("ids")):
+                score, tie, k = index.search(np.unique(np.frombuffer(raw.as_buffer(), "<u2"))), ties(chain_id, rows), 8
+                while True:
+                    k = min(k, len(rows))
+                    least = np.partition(score, len(rows) - k)[len(rows) - k]
+                    top = np.flatnonzero(score >= least)
+                    top = top[np.lexsort((-tie[top], -score[top]))]
+                    before = np.cumsum(sizes[top]) - sizes[top]
+                    if k == len(rows) or before[-1] >= room:
+                        break
+                    k *= 4
+                top = top[(before < room) | (np.arange(len(top)) == 0)]
+                for c, v in zip(out, ([chain_id] * len(top), rows[top], sizes[top], score[top], tie[top])):
+                    c.extend(v)
+        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
+
+    return run
+
+
+def chained(rows: DataFrame, n: int, tokens: int, window: int) -> DataFrame:
+    """(chain, at, row) of every row (row, ids): the order in which chains of windows take the table's documents."""
+    spark = rows.sparkSession
+    search = best_of_shard((document_frequencies(rows), n, tokens / n))
+    size = (F.length("ids") / 2).cast("long")
+    first = rows.where(F.pmod(F.xxhash64("row"), F.lit(CHAIN_DOCS)) == 0)
+    if first.isEmpty():
+        first = rows.where(F.col("row") == rows.agg(F.min("row")).first()[0])
+    seeds, seeds_path = store(first.select(F.col("row").alias("chain"), F.lit(0).cast("long").alias("at"), F.pmod(-size, F.lit(window)).cast("long").alias("room"), "ids"), "seeds")
+    placed = [stored(seeds.select("chain", "at", F.col("chain").alias("row")), "placed")]
+    unused, unused_path = store(rows.join(seeds.select(F.col("chain").alias("row")), "row", "left_anti").select("row", "ids"), "unused")
+    groups = -(-seeds.count() // BLOCK)
+    ranked = Window.partitionBy("chain").orderBy(F.desc("score"), F.desc("tie"))
+    left = unused.count()
+    while left:
+        blocks = -(-left // BLOCK)
+        parts = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+        asking = seeds.select("chain", "room", "ids", F.pmod(F.xxhash64("chain"), F.lit(groups)).cast("int").alias("g"), parts(blocks).alias("b"))
+        asked = unused.select("row", "ids", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"), parts(groups).alias("g"))
+        best = asking.groupBy("g", "b").cogroup(asked.groupBy("g", "b")).applyInArrow(search, "chain long, row long, size long, score double, tie long")
+        best = best.withColumn("before", F.sum("size").over(ranked.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("rank", F.row_number().over(ranked))
+        best = best.join(seeds.select("chain", "room"), "chain").where("before < room OR rank = 1")
+        won = best.groupBy("row").agg(F.max(F.struct("score", "tie", "chain", "size")).alias("w")).select("row", "w.*")
+        won = won.join(seeds.select("chain", F.col("at").alias("last")), "chain").withColumn("at", F.col("last") + F.row_number().over(ranked))
+        won = stored(won.select("chain", "at", "row", "size"), "placed")
+        placed.append(won.select("chain", "at", "row"))
+        if len(placed) % 16 == 0:  # the plan stays small
+            placed = [stored(reduce(DataFrame.unionByName, placed), "placed")]
+        ends = won.groupBy("chain").agg(F.sum("size").alias("taken"), F.max(F.struct("at", "row")).alias("e")).select("chain", "taken", F.col("e.at").alias("end"), "e.row")
+        ends = ends.join(unused.select("row", F.col("ids").alias("next")), "row")
+        full = F.col("taken") >= F.col("room")
+        nxt = seeds.join(ends, "chain", "left").select(
+            "chain", F.coalesce("end", "at").alias("at"),
+            F.when(F.col("taken").isNull(), F.col("room")).when(full, F.pmod(F.col("room") - F.col("taken"), F.lit(window))).otherwise(F.col("room") - F.col("taken")).alias("room"),
+            F.when(full, F.col("next")).otherwise(F.col("ids")).alias("ids"),
+        )
+        nxt, nxt_path = store(nxt, "seeds")
+        kept, kept_path = store(unused.join(won.select("row"), "row", "left_anti"), "unused")
+        discard(spark, seeds_path)
+        discard(spark, unused_path)
+        seeds, seeds_path, unused, unused_path = nxt, nxt_path, kept, kept_path
+        left = unused.count()
+    return reduce(DataFrame.unionByName, placed)
+
+
 def pack_documents(documents: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    ids = stored(tokenise(documents, ranks_path), "tokens")
-    dealt = ids.repartitionByRange("key", "doc_id").sortWithinPartitions("key", "doc_id")
-    return dealt.mapInArrow(lambda it: pack_task(it, window), PIECES)
+    ids = stored(tokenise(documents, ranks_path).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    n, tokens = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("ids")), F.lit(0)) / 2).first()
+    if n <= SHARD_DOCS and tokens <= SHARD_TOKENS:
+        return ids.repartition(1).sortWithinPartitions("key", "doc_id").mapInArrow(lambda it: pack_task(it, window), PIECES)
+    order = chained(ids.select("row", "ids"), n, tokens, window)
+    dealt = ids.join(order, "row").repartitionByRange("chain").sortWithinPartitions("chain", "at").select("doc_id", "ids", "chain")
+    return dealt.mapInArrow(lambda it: pack_task(it, window, chained=True), PIECES)

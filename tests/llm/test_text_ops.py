@@ -131,6 +131,23 @@ def test_neighbours_share_windows():
     assert sorted(order) == list(range(20)) and sum(a % 2 != b % 2 for a, b in zip(order, order[1:])) == 1
 
 
+def test_seeds_search_every_shard(spark, monkeypatch):
+    """Pairs of documents that share rare words follow each other wherever they lie, also when the shards are tiny."""
+    monkeypatch.setattr(packing, "SHARD_DOCS", 8)
+    monkeypatch.setattr(packing, "BLOCK", 4)
+    monkeypatch.setattr(packing, "CHAIN_DOCS", 12)
+    docs = [np.array([1, 2, 3, *range(100 + 50 * (i // 2), 150 + 50 * (i // 2)), 0], "<u2") for i in range(12)]
+    rows = spark.createDataFrame([(i, bytearray(d.tobytes())) for i, d in enumerate(docs)], "row long, ids binary").repartition(5)
+    order = packing.chained(rows, len(docs), sum(map(len, docs)), 54).collect()
+    assert sorted(r.row for r in order) == list(range(12))
+    chains = {}
+    for r in sorted(order, key=lambda r: (r.chain, r.at)):
+        chains.setdefault(r.chain, []).append(r.row)
+    met = sum(a // 2 == b // 2 for c in chains.values() for a, b in zip(c, c[1:]))
+    apart = sum(len({k for k, c in chains.items() for r in c if r // 2 == p}) == 2 for p in range(6))
+    assert met + apart == 6
+
+
 # op10
 
 BASE = {
