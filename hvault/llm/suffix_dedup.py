@@ -1,22 +1,21 @@
-"""Substring deduplication by bytes: depth-limited radix sort of suffixes.
+"""Substring deduplication by bytes: repeated ``length``-byte strings by anchored blocks.
 
 A byte is removed when a ``length``-byte string that covers it also starts in
-a document with a smaller id; matches never cross documents. Suffixes are
-ordered only through ``length`` bytes, most significant digit first, and a
-bucket with one suffix is dropped at once:
-
-* the first pass takes as digit the suffix's anchor (the ``gram`` bytes with
-  the smallest hash among its first ``length``; equal strings have equal
-  anchors). It is a histogram: counts per digit are merged over all tasks, and
-  suffixes alone in their bucket end here, before anything is shuffled;
-* inside each task, neighbouring suffixes with one anchor are held as one
-  block and ordered by 8-byte digits; equal groups at full depth are equal
-  strings, and of these only the smallest document's goes on (chains of blocks
-  that occur again whole are settled first, as one);
-* the rest is dealt by content and ordered in the partitions, so equal strings
-  of all tasks are neighbours;
-* anchors whose blocks are not all equal are opened into single suffixes of
-  ``length`` bytes and ordered once more in the same way.
+a document with a smaller id; matches never cross documents. The method is
+that of op3 (``passages.repeated``), not a sort of all suffixes:
+
+* a string's anchor is the ``gram`` bytes with the smallest hash among it (equal
+  strings have equal anchors). Anchors are counted in sketches merged over all
+  tasks, and strings whose anchor occurs once end here, before anything is
+  shuffled;
+* neighbouring strings with one anchor are held as one block, chains of blocks
+  that occur again whole are settled first, as one (by dictionary);
+* the blocks a task holds are grouped by most-significant-digit passes over
+  8-byte digits, through their whole content; of equal ones only the smallest
+  document's goes on;
+* the rest is dealt by a hash of the content, so equal blocks of all tasks meet;
+* anchors whose blocks are not all equal are opened into single strings of
+  ``length`` bytes and compared in the same way.
 
 Defined results: null text is empty; shorter documents lose nothing; rows
 with a null id take no part and come back whole; rows that share an id count
