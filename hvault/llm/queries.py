@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from hvault.llm import bpe_codec
+from hvault.llm.centroids import CLUSTER_SQL, cluster_vectors
 from hvault.llm.chat_format import CHAT_SQL, chat_lines
 from hvault.llm.common import table
 from hvault.llm.embedding_neardup import dedup_embeddings
@@ -15,6 +17,7 @@ from hvault.llm.sentencepiece_codec import codec_digest
 from hvault.llm.simhash import dedup_simhash
 from hvault.llm.substring_dedup import substring_digest
 from hvault.llm.suffix_dedup import suffix_digest
+from hvault.llm.whitening import whiten
 
 
 def pipeline(spark, sf_dir):
@@ -40,6 +43,9 @@ QUERIES = {
     "op8_exact_dedup": lambda spark, sf_dir: dedup_exact(documents(spark, sf_dir)),
     "op9_packing": lambda spark, sf_dir: pack_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")),
     "op10_secret_scan": lambda spark, sf_dir: find_secrets(documents(spark, sf_dir)),
+    "op11_embedding_whitening": lambda spark, sf_dir: whiten(table(spark, sf_dir, "embeddings")),
+    "op12_bpe": lambda spark, sf_dir: bpe_codec.codec_digest(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")),
+    "op13_centroid_clustering": lambda spark, sf_dir: cluster_vectors(table(spark, sf_dir, "embeddings")),
 }
 
-ORACLES: dict[str, str] = {"op5_chat_tool_calls": CHAT_SQL, "op8_exact_dedup": EXACT_SQL}
+ORACLES: dict[str, str] = {"op5_chat_tool_calls": CHAT_SQL, "op8_exact_dedup": EXACT_SQL, "op13_centroid_clustering": CLUSTER_SQL}
