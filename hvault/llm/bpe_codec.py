@@ -33,6 +33,8 @@ that the vocabulary does not have and replaces bytes that are no UTF-8.
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import json
 import re
 import sys
@@ -48,6 +50,7 @@ from pyspark.sql import functions as F
 CACHE = 300_000  # chunks in each of the cache's two generations
 SHORT = 64  # longer chunks are not kept
 TEXT_STEP = 1 << 21  # characters encoded together
+PAIR = (2,)
 NEVER = 1 << 60  # rank at which a token that stands in the result is merged
 
 #: Fixed value: the split pattern of byte-level vocabularies of this kind.
@@ -64,20 +67,14 @@ def byte_symbols() -> dict[str, int]:
 
 
 class Cache:
-    """Ids of chunks or words met lately: two generations of at most ``CACHE`` short entries; a full one replaces the older."""
+    """Ids of chunks or words met lately: two generations of short entries; one with ``CACHE`` of them replaces the older.
+
+    An entry found in the older generation is put into the newer one."""
 
     def __init__(self):
         self.new: dict = {}
         self.old: dict = {}
 
-    def get(self, key):
-        found = self.new.get(key)
-        if found is None:
-            found = self.old.get(key)
-            if found is not None:
-                self.new[key] = found
-        return found
-
     def add(self, entries) -> None:
         if len(self.new) >= CACHE:
             self.old, self.new = self.new, {}
@@ -104,6 +101,7 @@ class Codec:
             self.bytes[i] = of[text]
         for text, i in self.special.items():
             self.bytes[i] = text.encode()
+        self.decimal = [str(i) for i in range(size)]
         self.rank = {}  # merge of a pair of tokens
         formed = [-1] * size  # rank at which a token is formed
         self.parts: list = [None] * size
@@ -127,10 +125,11 @@ class Codec:
                 self.token[of[text]] = i
         if any(bytes([b]) not in self.token for b in range(256)):
             raise ValueError("the vocabulary lacks single bytes")
-        ends: dict = {}
+        ends: dict = {}  # lengths of the tokens over two bytes that end in three given ones
         for t in self.token:
-            ends.setdefault(t[-2:], set()).add(len(t))
-        self.lengths = {k: sorted(v, reverse=True) for k, v in ends.items()}
+            if len(t) > 2:
+                ends.setdefault(t[-3:], set()).add(len(t))
+        self.lengths = {k: (*sorted(v, reverse=True), 2) for k, v in ends.items()}
         self.words = regex.compile(PATTERN)
         self.specials = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.chunks, self.met = Cache(), Cache()
@@ -185,7 +184,7 @@ class Codec:
             shared = len(commonprefix([before, word]))
             del state[shared:]
             for end in range(shared + 1, len(word) + 1):
-                for length in lengths.get(word[end - 2 : end], ()) if end > 1 else (1,):
+                for length in lengths.get(word[end - 3 : end], PAIR) if end > 2 else PAIR:
                     if length > end:
                         continue
                     t = token.get(word[end - length : end])
@@ -214,6 +213,8 @@ class Codec:
 
     def cut(self, chunk: str) -> list[str]:
         """Words of a chunk by the split pattern."""
+        if chunk.isalpha() or (chunk[:1] == " " and chunk[1:].isalpha()):
+            return [chunk]
         if PLAIN.fullmatch(chunk) or all(unicodedata_knows(c) for c in set(chunk)):
             return self.words.findall(chunk)
         if self._library is None:
@@ -236,24 +237,33 @@ class Codec:
         chunks = [self.chunks_of(t) for t in texts]
         ids: dict = {}
         fresh = {}
-        known = self.chunks.get
+        new, old = self.chunks.new, self.chunks.old
         for c in set(chain.from_iterable(chunks)):
-            if isinstance(c, int):
-                ids[c] = (c,)
-            elif (of := known(c)) is not None:
-                ids[c] = of
-            else:
-                fresh[c] = self.cut(c)
-        words, new = {}, []
-        known = self.met.get
+            of = new.get(c)
+            if of is None:
+                of = old.get(c)
+                if of is None:
+                    if isinstance(c, int):
+                        ids[c] = (c,)
+                    else:
+                        fresh[c] = self.cut(c)
+                    continue
+                new[c] = of
+            ids[c] = of
+        words, unmet = {}, []
+        new, old = self.met.new, self.met.old
         for w in set(chain.from_iterable(fresh.values())):
-            if (of := known(w)) is not None:
-                words[w] = of
-            else:
-                new.append(w)
-        raw = [w.encode() for w in new]
+            of = new.get(w)
+            if of is None:
+                of = old.get(w)
+                if of is None:
+                    unmet.append(w)
+                    continue
+                new[w] = of
+            words[w] = of
+        raw = [w.encode() for w in unmet]
         found = self.trie(raw)
-        found = {w: found[r] for w, r in zip(new, raw)}
+        found = {w: found[r] for w, r in zip(unmet, raw)}
         self.met.add(found.items())
         words.update(found)
         fresh = {c: words[w[0]] if len(w) == 1 else tuple(chain.from_iterable(map(words.__getitem__, w))) for c, w in fresh.items()}
@@ -262,8 +272,13 @@ class Codec:
         return [list(chain.from_iterable(map(ids.__getitem__, c))) for c in chunks]
 
     def decode(self, ids) -> str:
-        size, table = len(self.bytes), self.bytes
-        return b"".join(table[i] for i in ids if 0 <= i < size).decode("utf-8", "replace")
+        try:
+            raw = b"".join(map(self.bytes.__getitem__, ids)) if min(ids, default=0) >= 0 else None
+        except IndexError:
+            raw = None
+        if raw is None:
+            raw = b"".join(self.bytes[i] for i in ids if 0 <= i < len(self.bytes))
+        return raw.decode("utf-8", "replace")
 
 
 def unicodedata_knows(c: str) -> bool:
@@ -280,12 +295,19 @@ def codec(path: str) -> Codec:
     return held[path]
 
 
-def encode_documents(documents: DataFrame, path: str) -> DataFrame:
-    """One row per document: doc_id, ids (array of int) and decoded (the text that the ids give)."""
+def _coded(documents: DataFrame, path: str, schema: str, columns) -> DataFrame:
+    """Rows of ``columns(codec, ids, decoded texts)`` behind doc_id, for each document."""
 
     def run(it):
         c = codec(path)
-        schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.large_string())])
+        gc.disable()  # the caches hold no cycles, and walking through them takes a tenth of the time
+        try:
+            yield from steps(c, it)
+        finally:
+            gc.enable()
+
+    def steps(c, it):
+        names = [f.split()[0] for f in schema.split(", ")]
         for batch in it:
             docs, raw = batch.column("doc_id"), batch.column("text")
             at = 0
@@ -295,21 +317,31 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
                     texts.append((raw[at].as_py() or b"").decode("utf-8", "replace"))
                     size, at = size + len(texts[-1]), at + 1
                 ids = c.encode(texts)
-                offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([docs.slice(start, at - start), lists, pa.array([c.decode(i) for i in ids], pa.large_string())], schema=schema)
+                yield pa.RecordBatch.from_arrays([docs.slice(start, at - start), *columns(c, ids, [c.decode(i) for i in ids])], names=names)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+    return rows.mapInArrow(run, schema)
+
+
+def encode_documents(documents: DataFrame, path: str) -> DataFrame:
+    """One row per document: doc_id, ids (array of int) and decoded (the text that the ids give)."""
+
+    def columns(c, ids, decoded):
+        offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])])
+        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(decoded, pa.string())
+
+    return _coded(documents, path, "doc_id long, ids array<int>, decoded string", columns)
 
 
 def codec_digest(documents: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256."""
-    out = encode_documents(documents, path)
-    return out.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256 (decimal ids joined by commas), decoded_sha256: digests of what ``encode_documents`` gives."""
+
+    def sha(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def columns(c, ids, decoded):
+        decimal = c.decimal.__getitem__
+        return pa.array([len(i) for i in ids], pa.int64()), pa.array([sha(",".join(map(decimal, i))) for i in ids]), pa.array([sha(t) for t in decoded])
+
+    return _coded(documents, path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", columns)
