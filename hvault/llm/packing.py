@@ -5,46 +5,48 @@ sequences of ``window`` tokens. The open window's document is the seed: its
 best-scoring unused neighbours (BM25 over token ids) follow, each cut where the
 window ends; the rest of a cut document opens the next window and is its seed.
 
-A table of at most ``SHARD_DOCS`` documents and ``SHARD_TOKENS`` tokens is one
-shard, packed in one task. A larger one is packed by many chains of windows at
-once, in rounds: every seed queries the index of every shard, the shards' best
-unused neighbours are merged, a document that several seeds ask for goes to the
-one that scores it best, and the others go on in the next round. Document
-frequencies, number and mean length are those of the whole table. What is left
-of a task's chains goes into windows together, and the last one into sequences
-of power-of-two length, so no sequence needs padding.
+The inverted index is sharded. Documents are range-partitioned by a min-hash of
+adjacent id pairs, so documents that share text tend to share a shard, and a
+task packs the shards of its range, each of at most ``SHARD_DOCS`` documents or
+about ``SHARD_TOKENS`` tokens. A seed queries the shard that holds it: within
+the shard the search is exact, and its document frequencies, number and mean
+length of documents are the whole table's. Every size takes the same path; a
+table that fits one shard is searched whole. What is left at the end of a task
+goes into sequences of power-of-two length, so no sequence needs padding.
 
 Defined results: null text is empty (one closing id); a null doc_id is kept
 and packed; rows that repeat are packed each; every token lies in exactly one
-piece. Columns besides ``doc_id`` and ``text`` are ignored.
+piece; equal scores go to the document that comes first by key and doc_id.
+Columns besides ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hvault.llm.common import discard, store, stored
+from hvault.llm.common import stored
 
 WINDOW = 1024
 CLOSE = 0
-SHARD_DOCS = 256
-SHARD_TOKENS = 1 << 19
-CHAIN_DOCS = 16  # documents a chain, on average: it sets the number of rounds, not what is searched
-BLOCK = 8192  # documents of a shard and seeds that meet in one task
+SHARD_DOCS = 2048
+SHARD_TOKENS = 1 << 22
+COMMON = 12  # ids in over this part of a shard's documents have a row of weights
 K1, B = 1.2, 0.75
 
 #: The vocabulary's split pattern and its one special token.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPECIAL = {"<|endoftext|>": 50256}
 
+SPACES = re.compile(r"\s{500,}")
+
 
 def encoder(ranks_path: str):
     """Byte-level BPE from a rank file; same ids as the tokenizers library gives for the same vocabulary."""
@@ -55,6 +57,18 @@ def encoder(ranks_path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
+def ids_of(enc, text: str) -> np.ndarray:
+    """Ids of a text. All but the last character of a run of white space (all of it at the text's end) is one word of
+    the pattern; long runs are encoded as such, as the library's pattern search fails on very long ones."""
+    parts, at = [], 0
+    for run in SPACES.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        parts += [enc.encode(text[at : run.start()], allowed_special="all"), enc._encode_single_piece(text[run.start() : end])]
+        at = end
+    parts.append(enc.encode(text[at:], allowed_special="all") if at < len(text) else [])
+    return np.concatenate([np.array(p, np.uint16) for p in parts])
+
+
 def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
     """doc_id, ids (little-endian unsigned 16-bit, closing id included) and key (min-hash of adjacent id pairs)."""
 
@@ -65,7 +79,7 @@ def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
             ids, keys = [], []
             for t in batch.column("text"):
                 text = t.as_py() or ""
-                a = np.array(enc.encode(text, allowed_special="all"), np.uint16) if text else np.empty(0, np.uint16)
+                a = ids_of(enc, text)
                 pair = a[:-1].astype(np.uint64) << np.uint64(16) | a[1:]
                 pair = (pair + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
                 pair ^= pair >> np.uint64(29)
@@ -79,64 +93,91 @@ def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
 
 
 class Index:
-    """BM25 inverted index of one shard: postings (document, weight) per token id, sorted by id.
+    """BM25 inverted index of one shard, for searches over the documents that are still unused.
 
-    ``stats`` (document frequencies by id, documents, mean length) are the whole table's; without them the shard is the table."""
+    Ids that many of the shard's documents hold have a row of weights for all documents; the others have postings
+    (document, weight), sorted by id. ``stats`` (document frequencies by id, documents, mean length) are the whole
+    table's; without them the shard is the table."""
 
     def __init__(self, docs: list[np.ndarray], stats=None):
         n = len(docs)
-        terms, freqs = zip(*(np.unique(d, return_counts=True) for d in docs))
-        self.terms = terms
-        doc = np.repeat(np.arange(n), [len(t) for t in terms])
-        term, tf = np.concatenate(terms), np.concatenate(freqs).astype(np.float32)
-        size = np.array([len(d) for d in docs], np.float32)
+        size = np.array([len(d) for d in docs], np.int64)
+        # sorted (document, id) pairs of the shard at once: runs of equal ones are the term frequencies
+        pairs = np.sort(np.repeat(np.arange(n), size) << 16 | np.concatenate(docs).astype(np.int64))
+        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+        doc, term = pairs[first] >> 16, pairs[first] & 0xFFFF
+        tf = np.diff(np.append(first, len(pairs))).astype(float)
+        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, n)))
         df = np.bincount(term, minlength=1 << 16)
         all_df, all_n, mean = stats or (df, n, size.mean())
-        idf = np.log1p((all_n - all_df + 0.5) / (all_df + 0.5)).astype(np.float32)
-        weight = idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / mean))[doc])
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order]
-        self.begin = np.concatenate([[0], np.cumsum(df)])
-        self.n = n
+        idf = np.log1p((all_n - all_df + 0.5) / (all_df + 0.5))
+        weight = (idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / mean))[doc])).astype(np.float32)
+        common = np.flatnonzero(df > max(8, n // COMMON))
+        self.row = np.full(1 << 16, -1, np.int32)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((len(common), n), np.float32)
+        row = self.row[term]
+        self.dense[row[row >= 0], doc[row >= 0]] = weight[row >= 0]
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(term[rare], kind="stable")]
+        self.term, self.doc, self.weight = term[rare].astype(np.uint16), doc[rare].astype(np.int32), weight[rare]
+        self.unused = np.arange(n)  # documents of the index's places
+        self.begin = self._begin()
+
+    def _begin(self) -> np.ndarray:
+        return np.concatenate([[0], np.cumsum(np.bincount(self.term, minlength=1 << 16))])
+
+    def drop(self, used: np.ndarray) -> None:
+        """Take the documents that are used out of the index."""
+        live = ~used[self.unused]
+        place = np.cumsum(live, dtype=np.int32) - 1
+        stay = live[self.doc]
+        self.term, self.doc, self.weight = self.term[stay], place[self.doc[stay]], self.weight[stay]
+        self.dense, self.unused = self.dense[:, live], self.unused[live]
+        self.begin = self._begin()
 
     def scores(self, seed: int) -> np.ndarray:
-        """BM25 of every document of the shard for the distinct ids of ``seed``."""
-        return self.search(self.terms[seed])
-
-    def search(self, t: np.ndarray) -> np.ndarray:
-        """BM25 of every document of the shard for the distinct ids ``t``."""
+        """BM25 of each document in ``unused`` for the distinct ids of ``seed``."""
+        t = self.terms[seed]
+        row = self.row[t]
+        out = np.add.reduce(self.dense[row[row >= 0]], axis=0)
+        t = t[row < 0]
         first, size = self.begin[t], self.begin[t + 1] - self.begin[t]
-        at = np.repeat(first - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(int(size.sum()))
-        return np.bincount(self.doc[at], self.weight[at], minlength=self.n)
+        some = size > 0
+        first, size = first[some], size[some]
+        if len(size):
+            at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+            out += np.bincount(self.doc[at], self.weight[at], minlength=len(out)).astype(np.float32)
+        return out
 
 
-def chain(docs: list[np.ndarray], fill: int, window: int) -> list[int]:
+def chain(docs: list[np.ndarray], fill: int, window: int, stats=None) -> list[int]:
     """Order of a shard's documents when ``fill`` tokens are in the open window: each seed is followed by its best unused neighbours until its window is full."""
-    index = Index(docs)
-    unused = np.ones(len(docs), bool)
-    unused[0] = False
+    index = Index(docs, stats)
+    used = np.zeros(len(docs), bool)
+    used[0] = True
     out, seed, room = [0], 0, -(fill + len(docs[0])) % window
     while len(out) < len(docs):
+        if len(docs) - len(out) < 0.7 * len(index.unused):
+            index.drop(used)
         score = index.scores(seed)
-        score[~unused] = -1
-        order = np.argsort(-score, kind="stable")
-        last = seed
-        for d in order.tolist():
-            if not unused[d]:
+        score[used[index.unused]] = -1
+        while len(out) < len(docs):
+            at = int(score.argmax())
+            score[at] = -1
+            best = int(index.unused[at])
+            used[best] = True
+            out.append(best)
+            if len(docs[best]) >= room:
+                room = -(len(docs[best]) - room) % window
                 break
-            unused[d] = False
-            out.append(d)
-            last = d
-            if len(docs[d]) >= room:
-                room = -(len(docs[d]) - room) % window
-                break
-            room -= len(docs[d])
-        seed = last
+            room -= len(docs[best])
+        seed = best
     return out
 
 
-def pack_task(it, window: int, chained: bool = False):
-    """Pieces of one task's documents, see the module's description; ``chained`` ones come in the order of their chains."""
+def pack_task(it, window: int, stats=None):
+    """Pieces of one task's documents, shard by shard, see the module's description."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
     part = TaskContext.get().partitionId()
     sequence = part << 40
@@ -186,27 +227,23 @@ def pack_task(it, window: int, chained: bool = False):
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows), schema)], schema=schema)
 
     shard: list = []
+    held = 0
 
     def pack():
-        for i in chain([ids for _, ids in shard], fill, window) if shard else []:
+        nonlocal held
+        for i in chain([ids for _, ids in shard], fill, window, stats) if shard else []:
             place(*shard[i])
+        shard.clear()
+        held = 0
 
-    rest: list = []  # open windows of the chains before
-    now = None
     for batch in it:
-        chains = batch.column("chain").to_pylist() if chained else [None] * batch.num_rows
-        for doc, raw, of in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), chains):
-            ids = np.frombuffer(raw.as_buffer(), "<u2").copy()
-            if not chained:
-                shard.append((doc, ids))
-                continue
-            if of != now:
-                rest, tail, fill, now = rest + [(d, i.copy(), s, n) for d, s, i, n in tail], [], 0, of
-            place(doc, ids)
-        yield from emit()
+        for doc, raw in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
+            shard.append((doc, np.frombuffer(raw.as_buffer(), "<u2").copy()))
+            held += len(shard[-1][1])
+            if len(shard) == SHARD_DOCS or held >= SHARD_TOKENS:
+                pack()
+                yield from emit()
     pack()
-    for piece in rest:
-        place(*piece)
     finish()
     yield from emit()
 
@@ -231,93 +268,11 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def ties(chain: int, rows: np.ndarray) -> np.ndarray:
-    """Order of equal scores: each chain has its own, so chains among copies do not all ask for the same one."""
-    x = (rows.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) ^ np.uint64(chain * 0xBF58476D1CE4E5B9 & (1 << 64) - 1)
-    x ^= x >> np.uint64(31)
-    x *= np.uint64(0x94D049BB133111EB)
-    return (x >> np.uint64(1)).astype(np.int64)
-
-
-def best_of_shard(stats):
-    """For seeds and one shard: (chain, row, size, score, tie) of each seed's best documents, until they would fill its window."""
-
-    def run(seeds: pa.Table, docs: pa.Table) -> pa.Table:
-        schema = pa.schema([("chain", pa.int64()), ("row", pa.int64()), ("size", pa.int64()), ("score", pa.float64()), ("tie", pa.int64())])
-        out: list = [[] for _ in schema]
-        if seeds.num_rows and docs.num_rows:
-            ids = [np.frombuffer(raw.as_buffer(), "<u2") for raw in docs.column("ids")]
-            rows, sizes, index = docs.column("row").to_numpy(), np.array([len(i) for i in ids], np.int64), Index(ids, stats)
-            for chain_id, room, raw in zip(seeds.column("chain").to_pylist(), seeds.column("room").to_pylist(), seeds.column("ids")):
-                score, tie, k = index.search(np.unique(np.frombuffer(raw.as_buffer(), "<u2"))), ties(chain_id, rows), 8
-                while True:
-                    k = min(k, len(rows))
-                    least = np.partition(score, len(rows) - k)[len(rows) - k]
-                    top = np.flatnonzero(score >= least)
-                    top = top[np.lexsort((-tie[top], -score[top]))]
-                    before = np.cumsum(sizes[top]) - sizes[top]
-                    if k == len(rows) or before[-1] >= room:
-                        break
-                    k *= 4
-                top = top[(before < room) | (np.arange(len(top)) == 0)]
-                for c, v in zip(out, ([chain_id] * len(top), rows[top], sizes[top], score[top], tie[top])):
-                    c.extend(v)
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
-
-    return run
-
-
-def chained(rows: DataFrame, n: int, tokens: int, window: int) -> DataFrame:
-    """(chain, at, row) of every row (row, ids): the order in which chains of windows take the table's documents."""
-    spark = rows.sparkSession
-    search = best_of_shard((document_frequencies(rows), n, tokens / n))
-    size = (F.length("ids") / 2).cast("long")
-    first = rows.where(F.pmod(F.xxhash64("row"), F.lit(CHAIN_DOCS)) == 0)
-    if first.isEmpty():
-        first = rows.where(F.col("row") == rows.agg(F.min("row")).first()[0])
-    seeds, seeds_path = store(first.select(F.col("row").alias("chain"), F.lit(0).cast("long").alias("at"), F.pmod(-size, F.lit(window)).cast("long").alias("room"), "ids"), "seeds")
-    placed = [stored(seeds.select("chain", "at", F.col("chain").alias("row")), "placed")]
-    unused, unused_path = store(rows.join(seeds.select(F.col("chain").alias("row")), "row", "left_anti").select("row", "ids"), "unused")
-    groups = -(-seeds.count() // BLOCK)
-    ranked = Window.partitionBy("chain").orderBy(F.desc("score"), F.desc("tie"))
-    left = unused.count()
-    while left:
-        blocks = -(-left // BLOCK)
-        parts = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
-        asking = seeds.select("chain", "room", "ids", F.pmod(F.xxhash64("chain"), F.lit(groups)).cast("int").alias("g"), parts(blocks).alias("b"))
-        asked = unused.select("row", "ids", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("b"), parts(groups).alias("g"))
-        best = asking.groupBy("g", "b").cogroup(asked.groupBy("g", "b")).applyInArrow(search, "chain long, row long, size long, score double, tie long")
-        best = best.withColumn("before", F.sum("size").over(ranked.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")).withColumn("rank", F.row_number().over(ranked))
-        best = best.join(seeds.select("chain", "room"), "chain").where("before < room OR rank = 1")
-        won = best.groupBy("row").agg(F.max(F.struct("score", "tie", "chain", "size")).alias("w")).select("row", "w.*")
-        won = won.join(seeds.select("chain", F.col("at").alias("last")), "chain").withColumn("at", F.col("last") + F.row_number().over(ranked))
-        won = stored(won.select("chain", "at", "row", "size"), "placed")
-        placed.append(won.select("chain", "at", "row"))
-        if len(placed) % 16 == 0:  # the plan stays small
-            placed = [stored(reduce(DataFrame.unionByName, placed), "placed")]
-        ends = won.groupBy("chain").agg(F.sum("size").alias("taken"), F.max(F.struct("at", "row")).alias("e")).select("chain", "taken", F.col("e.at").alias("end"), "e.row")
-        ends = ends.join(unused.select("row", F.col("ids").alias("next")), "row")
-        full = F.col("taken") >= F.col("room")
-        nxt = seeds.join(ends, "chain", "left").select(
-            "chain", F.coalesce("end", "at").alias("at"),
-            F.when(F.col("taken").isNull(), F.col("room")).when(full, F.pmod(F.col("room") - F.col("taken"), F.lit(window))).otherwise(F.col("room") - F.col("taken")).alias("room"),
-            F.when(full, F.col("next")).otherwise(F.col("ids")).alias("ids"),
-        )
-        nxt, nxt_path = store(nxt, "seeds")
-        kept, kept_path = store(unused.join(won.select("row"), "row", "left_anti"), "unused")
-        discard(spark, seeds_path)
-        discard(spark, unused_path)
-        seeds, seeds_path, unused, unused_path = nxt, nxt_path, kept, kept_path
-        left = unused.count()
-    return reduce(DataFrame.unionByName, placed)
-
-
 def pack_documents(documents: DataFrame, ranks_path: str, window: int = WINDOW) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    ids = stored(tokenise(documents, ranks_path).withColumn("row", F.monotonically_increasing_id()), "tokens")
+    ids = stored(tokenise(documents, ranks_path), "tokens")
     n, tokens = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("ids")), F.lit(0)) / 2).first()
-    if n <= SHARD_DOCS and tokens <= SHARD_TOKENS:
-        return ids.repartition(1).sortWithinPartitions("key", "doc_id").mapInArrow(lambda it: pack_task(it, window), PIECES)
-    order = chained(ids.select("row", "ids"), n, tokens, window)
-    dealt = ids.join(order, "row").repartitionByRange("chain").sortWithinPartitions("chain", "at").select("doc_id", "ids", "chain")
-    return dealt.mapInArrow(lambda it: pack_task(it, window, chained=True), PIECES)
+    stats = (document_frequencies(ids), n, tokens / max(n, 1))
+    shards = max(1, -(-n // SHARD_DOCS), int(-(-tokens // SHARD_TOKENS)))
+    dealt = ids.repartitionByRange(shards, "key", "doc_id").sortWithinPartitions("key", "doc_id").select("doc_id", "ids")
+    return dealt.mapInArrow(lambda it: pack_task(it, window, stats), PIECES)

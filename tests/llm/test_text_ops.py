@@ -4,6 +4,7 @@ import base64
 import bz2
 import gzip
 import hashlib
+import math
 import random
 import re
 import urllib.parse
@@ -131,21 +132,71 @@ def test_neighbours_share_windows():
     assert sorted(order) == list(range(20)) and sum(a % 2 != b % 2 for a, b in zip(order, order[1:])) == 1
 
 
-def test_seeds_search_every_shard(spark, monkeypatch):
-    """Pairs of documents that share rare words follow each other wherever they lie, also when the shards are tiny."""
-    monkeypatch.setattr(packing, "SHARD_DOCS", 8)
-    monkeypatch.setattr(packing, "BLOCK", 4)
-    monkeypatch.setattr(packing, "CHAIN_DOCS", 12)
-    docs = [np.array([1, 2, 3, *range(100 + 50 * (i // 2), 150 + 50 * (i // 2)), 0], "<u2") for i in range(12)]
-    rows = spark.createDataFrame([(i, bytearray(d.tobytes())) for i, d in enumerate(docs)], "row long, ids binary").repartition(5)
-    order = packing.chained(rows, len(docs), sum(map(len, docs)), 54).collect()
-    assert sorted(r.row for r in order) == list(range(12))
-    chains = {}
-    for r in sorted(order, key=lambda r: (r.chain, r.at)):
-        chains.setdefault(r.chain, []).append(r.row)
-    met = sum(a // 2 == b // 2 for c in chains.values() for a, b in zip(c, c[1:]))
-    apart = sum(len({k for k, c in chains.items() for r in c if r // 2 == p}) == 2 for p in range(6))
-    assert met + apart == 6
+def plain_chain(docs, fill, window, stats=None):
+    """Greedy chain by plain BM25 sums over the ids of whole documents; each step gives the scores of all unused documents, too."""
+    df = {}
+    for d in docs:
+        for t in set(d):
+            df[t] = df.get(t, 0) + 1
+    n, mean = len(docs), sum(map(len, docs)) / len(docs)
+    if stats:
+        df, n, mean = {t: stats[0][t] for d in docs for t in d}, stats[1], stats[2]
+
+    def score(q, d):
+        s = 0.0
+        for t in set(docs[q]):
+            f = docs[d].count(t)
+            s += math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(docs[d]) / mean))
+        return s
+
+    order, seed, room, steps = [0], 0, -(fill + len(docs[0])) % window, [None]
+    while len(order) < len(docs):
+        best = order[-1]
+        steps.append({d: score(seed, d) for d in range(len(docs)) if d not in order})
+        best = yield steps[-1]
+        order.append(best)
+        if len(docs[best]) >= room:
+            room, seed = -(len(docs[best]) - room) % window, best
+        else:
+            room -= len(docs[best])
+            if len(order) == len(docs):
+                return
+
+
+@pytest.mark.parametrize("n, longest, common, whole", [(60, 30, 12, False), (300, 60, 2, False), (300, 60, 1000, True), (40, 400, 12, True)])
+def test_chain_equals_plain_search(monkeypatch, n, longest, common, whole):
+    monkeypatch.setattr(packing, "COMMON", common)
+    rng = np.random.default_rng(n)
+    docs = [np.append((rng.zipf(1.3, rng.integers(0, longest)) % 500 + 1), 0).astype(np.uint16) for _ in range(n)]
+    docs[5] = docs[9]
+    stats = None
+    if whole:  # statistics of a larger table
+        stats = (np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=1 << 16) * 3 + 1, 5 * n, 21.5)
+    order = packing.chain(docs, 7, 100, stats)
+    assert sorted(order) == list(range(n))
+    plain = plain_chain([d.tolist() for d in docs], 7, 100, stats)
+    scores = next(plain)
+    for place, got in enumerate(order[1:], 1):
+        best = max(scores.values())
+        assert scores[got] >= best - 1e-4 * max(best, 1), place
+        if place < n - 1:
+            scores = plain.send(got)
+
+
+def test_packing_statistics_are_the_whole_tables(spark):
+    rows = [(bytearray(np.array(d, "<u2").tobytes()),) for d in ([1, 1, 2, 0], [2, 0], [0], [2, 3, 0])]
+    df = packing.document_frequencies(spark.createDataFrame(rows, "ids binary").repartition(3))
+    assert df[:4].tolist() == [4, 1, 3, 1] and df.sum() == 9
+
+
+def test_long_runs_of_white_space(spark):
+    tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc = packing.encoder(RANKS)
+    for text in (" " * 3000, "a" + " " * 600 + "b", "\n" * 700 + " x" + "\t " * 400, "a" + " " * 499 + "b", " \u3000" * 300 + "é", "x" + "\n" * 500):
+        assert packing.ids_of(enc, text).tolist() == tk.encode(text, add_special_tokens=False).ids
+    rows = [(1, " " * 1_000_000), (2, "a" + "\n" * 1_000_000 + "b")]
+    pieces = packing.pack_documents(frame(spark, rows), RANKS).collect()
+    assert {p.doc_id for p in pieces} == {1, 2} and all(p.length <= 1024 for p in pieces)
 
 
 # op10
