@@ -63,10 +63,12 @@ def ids_of(enc, text: str) -> np.ndarray:
     parts, at = [], 0
     for run in SPACES.finditer(text):
         end = run.end() if run.end() == len(text) else run.end() - 1
-        parts += [enc.encode(text[at : run.start()], allowed_special="all"), enc._encode_single_piece(text[run.start() : end])]
+        parts += [enc.encode_to_numpy(text[at : run.start()], allowed_special="all"), np.array(enc._encode_single_piece(text[run.start() : end]), np.uint16)]
         at = end
-    parts.append(enc.encode(text[at:], allowed_special="all") if at < len(text) else [])
-    return np.concatenate([np.array(p, np.uint16) for p in parts])
+    if not parts:
+        return enc.encode_to_numpy(text, allowed_special="all").astype(np.uint16)
+    parts.append(enc.encode_to_numpy(text[at:], allowed_special="all"))
+    return np.concatenate(parts).astype(np.uint16)
 
 
 def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
@@ -257,8 +259,11 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
     def run(it):
         df = np.zeros(1 << 16, np.int64)
         for batch in it:
-            for raw in batch.column("ids"):
-                df[np.unique(np.frombuffer(raw.as_buffer(), "<u2"))] += 1
+            ids = [np.frombuffer(raw.as_buffer(), "<u2") for raw in batch.column("ids")]
+            for i in range(0, len(ids), 512):  # distinct (document, id) pairs of some documents at once
+                some = ids[i : i + 512]
+                pairs = np.sort(np.repeat(np.arange(len(some)), [len(d) for d in some]) << 16 | np.concatenate(some).astype(np.int64))
+                df += np.bincount(pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] & 0xFFFF, minlength=1 << 16)
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(df[at], pa.int64())], names=["term", "n"])
 
