@@ -9,6 +9,7 @@ first extract.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
@@ -21,6 +22,7 @@ from hvault.functions.keys import to_ts
 from hvault.operators.intervals import STRICT
 from hvault.operators.staging import stage_batch
 from hvault.operators.vault import load_hsat, load_hub, load_link
+from hvault.plans.bucket_store import BucketStore, KeyProfile, key_profiles
 from hvault.plans.model import HUBS, LINKS, SATS, STAGING, HubSpec, LinkSpec, SatSpec
 from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from hvault.sources.catalogue import REFERENCE_LISTS
@@ -29,22 +31,20 @@ from hvault.sources.catalogue import REFERENCE_LISTS
 WINDOWS = [(None, "1998-01-01 00:00:00"), ("1998-01-01 00:00:00", None)]
 LOAD_TS = ["1998-01-01 06:00:00", "2002-01-01 06:00:00"]
 
+# The rest of the code takes the end of each window only; a window starts at the mark that the load before left.
+ENDS = [end for _, end in WINDOWS]
+
 Materialize = Callable[[str, DataFrame], DataFrame]
 
 
 @dataclass
 class Vault:
     tables: dict[str, DataFrame]
-    versions: list[tuple[str, str, int]] = field(default_factory=list)  # (table, load_ts, version)
+    versions: list[tuple[str, str, int]] = field(default_factory=list)  # (table, load_ts, version) of the newest load of each table
 
     def next_version(self, table: str) -> int:
         return max([v for t, _, v in self.versions if t == table], default=0) + 1
 
-    def registry(self, spark: SparkSession) -> DataFrame:
-        rows = [(t, ts, v) for t, ts, v in self.versions]
-        df = spark.createDataFrame(rows, "table_name string, load_ts string, version_id long")
-        return df.select("table_name", F.col("load_ts").cast(TimestampNTZType()).alias("load_dttm"), "version_id")
-
     def __getitem__(self, name: str) -> DataFrame:
         return self.tables[name]
 
@@ -61,6 +61,51 @@ def empty_vault(spark: SparkSession) -> Vault:
     return Vault(tables)
 
 
+def table_specs() -> dict[str, tuple]:
+    """Every vault table: (schema, key)."""
+    out: dict[str, tuple] = {h.name: (h.schema, h.key) for h in HUBS.values()}
+    for ln in LINKS.values():
+        out[ln.name], out[ln.lsat] = (ln.schema, ln.key), (ln.lsat_schema, ln.key)
+    out.update({s.name: (s.schema, s.key) for s in SATS.values()})
+    return out
+
+
+def table_sources() -> dict[str, list[tuple[str, str]]]:
+    """Every vault table: the (staged entity, key column) pairs whose keys it takes."""
+    out: dict[str, list[tuple[str, str]]] = {h.name: [(e, k) for e, k, _ in h.sources] for h in HUBS.values()}
+    for ln in LINKS.values():
+        out[ln.name] = out[ln.lsat] = [(ln.staging, ln.key)]
+    out.update({s.name: [(s.staging, s.key)] for s in SATS.values()})
+    return out
+
+
+def batch_profiles(staged: Mapping[str, DataFrame], buckets: int, parallel: int = 8) -> dict[tuple[str, str], KeyProfile]:
+    """Profile of each key column of a staged batch: one pass an entity, as concurrent jobs."""
+    keys: dict[str, set[str]] = {}
+    for e, k in {p for of in table_sources().values() for p in of}:
+        keys.setdefault(e, set()).add(k)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        found = pool.map(lambda e: key_profiles(staged[e], sorted(keys[e]), buckets), keys)
+        return {(e, k): p for e, of in zip(keys, found) for k, p in of.items()}
+
+
+def entity_rows(staged: Mapping[str, DataFrame], profiles: Mapping[tuple[str, str], KeyProfile]) -> dict[str, int]:
+    rows = {e: p.rows for (e, _), p in profiles.items()}
+    return {e: rows[e] if e in rows else df.count() for e, df in staged.items()}
+
+
+def touched_buckets(table: str, profiles: Mapping[tuple[str, str], KeyProfile]) -> frozenset[int]:
+    return frozenset().union(*[profiles[p].buckets for p in table_sources()[table]])
+
+
+def touched_vault(store: BucketStore, batch: int, profiles: Mapping[tuple[str, str], KeyProfile], names: set[str]) -> Vault:
+    """The vault after ``batch``, cut down to the buckets that the profiled batch touches; versions come from the stored log."""
+    specs = table_specs()
+    tables = {n: store.read(n, specs[n][0], batch, touched_buckets(n, profiles)) for n in names}
+    newest = store.latest(batch) if batch >= store.first else {}
+    return Vault(tables, [(t, str(r["load_dttm"]), r["v"]) for t, r in newest.items() if r["v"]])
+
+
 def hub_candidates(spec: HubSpec, staged: Mapping[str, DataFrame]) -> list[DataFrame]:
     return [
         staged[entity].select(F.col(k).alias(spec.key), F.col(i).alias(spec.id_col)).filter(F.col(spec.key).isNotNull())
@@ -101,11 +146,12 @@ def run_batch(
 
     ``small`` maps a staged entity to a proven "fits a broadcast" flag;
     ``hot`` maps a satellite to "its batch has a hot key" (segmented path).
+    The result's ``versions`` are those of this batch.
     """
     small = small or {}
     hot = hot or {}
     tables = dict(vault.tables)
-    versions = list(vault.versions)
+    versions = []
     want = (lambda n: True) if only is None else (lambda n: n in only)
     for h in HUBS.values():
         if want(h.name):
@@ -174,25 +220,44 @@ def _table_group(name: str) -> set[str]:
 
 
 HOT_KEY_ROWS = 1_000_000
+LOCAL_BUCKETS = 8  # of the scenario's small tables; a production vault takes ``BUCKETS`` or more
+
+
+def as_ts(text: str | None) -> dt.datetime | None:
+    return None if text is None else dt.datetime.fromisoformat(text)
+
+
+def _fresh_folder(spark: SparkSession) -> str:
+    import uuid
+
+    from hvault.session import ensure_checkpoint_dir
+
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/vault-{uuid.uuid4().hex}"
+
+
 
+def history_key(table: str) -> str:
+    return SATS[table].key if table in SATS else next(ln.key for ln in LINKS.values() if ln.lsat == table)
 
-def hot_tables(vault: Vault, staged: Mapping[str, DataFrame], hot_key_rows: int = HOT_KEY_ROWS) -> dict[str, bool]:
-    """History tables in which a key of the batch has more than ``hot_key_rows`` rows, stored ones included."""
-    targets = [(sp.name, sp.staging, sp.key) for sp in SATS.values()] + [(ln.lsat, ln.staging, ln.key) for ln in LINKS.values()]
 
-    def is_hot(target) -> bool:
-        table, entity, key = target
-        batch = staged[entity].groupBy(key).count()
-        stored = vault[table].join(batch.select(key), key, "left_semi").groupBy(key).count()
-        per_key = batch.unionByName(stored).groupBy(key).agg(F.sum("count").alias("n"))
-        return (per_key.agg(F.max("n").alias("top")).first()["top"] or 0) > hot_key_rows
+def history_tables() -> list[str]:
+    return [*SATS, *(ln.lsat for ln in LINKS.values())]
 
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        return dict(zip((t for t, _, _ in targets), pool.map(is_hot, targets)))
+
+def hot_history(stored: DataFrame, table: str, bound: int, batch_top: int, hot_key_rows: int = HOT_KEY_ROWS) -> tuple[bool, int]:
+    """(is a key of the loaded table hot, new upper bound on its largest key group).
+
+    The bound before plus the batch's largest group is free; only when it passes ``hot_key_rows`` is the stored table
+    (the buckets that the batch touches) profiled exactly, and the bound reset to what that finds."""
+    if batch_top > hot_key_rows:
+        return True, bound + batch_top
+    if bound + batch_top > hot_key_rows:
+        bound = stored.groupBy(history_key(table)).count().agg(F.max("count").alias("top")).first()["top"] or 0
+    return bound + batch_top > hot_key_rows, bound + batch_top
 
 
 class VaultStore:
-    """The two-batch scenario, built per table on first use and memoised.
+    """The two-batch scenario, built per table on first use and kept in a ``BucketStore``.
 
     Staged batches are materialised once (they feed ~20 loaders each) and
     their row counts decide, once, whether a batch's key set may be
@@ -202,17 +267,20 @@ class VaultStore:
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], mode: str = STRICT, materialize: Materialize | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, parallel_jobs: int = 8,
-                 hot_key_rows: int = HOT_KEY_ROWS):
+                 hot_key_rows: int = HOT_KEY_ROWS, buckets: int = LOCAL_BUCKETS, root: str | None = None):
         self.spark = spark
         self.mode = mode
-        self.materialize = materialize or checkpointer(spark)
+        self.materialize = materialize or table_writer(spark)
+        # the vault tables, their manifests and the log of loads
+        self.tables = BucketStore(spark, root or _fresh_folder(spark), buckets, first=1)
         self.max_broadcast_rows = max_broadcast_rows
         self.parallel_jobs = parallel_jobs
         # a key group is hot above this bound, however large the table is: then
         # its load avoids whole-key windows (see ``load_hsat(hot_keys=True)``)
         self.hot_key_rows = hot_key_rows
         self._hot: dict[int, dict[str, bool]] = {}
-        # per batch and history table: (rows, largest key group) of the staged batch
+        self._profiles: dict[int, dict[tuple[str, str], KeyProfile]] = {}
+        # per batch and history table: (rows, bound on the largest key group) of the staged batch
         self._prof: dict[int, dict[str, tuple[int, int]]] = {}
         # per batch and history table: an upper bound on the table's largest key
         # group after that batch (bound before + the batch's largest group)
@@ -238,32 +306,26 @@ class VaultStore:
     def staged(self, batch: int) -> dict[str, DataFrame]:
         """Staged entities of batch 1 or 2 (materialised)."""
         if batch not in self._staged:
-            start, end = WINDOWS[batch - 1]
-            out = self._materialize_all(stage_batch(STAGING, self.sources, self.refs(), start, end))
+            out = self._materialize_all(stage_batch(STAGING, self.sources, self.refs(), self.mark(batch - 1), ENDS[batch - 1]))
+            self._profiles[batch] = prof = batch_profiles(out, self.tables.buckets, self.parallel_jobs)
+            rows = entity_rows(out, prof)
             self._staged[batch] = out
-            # (table, staged entity, key) of every history table fed by this batch
-            targets = [(sp.name, sp.staging, sp.key) for sp in SATS.values()] + [(ln.lsat, ln.staging, ln.key) for ln in LINKS.values()]
-            pairs = sorted({(e, k) for _, e, k in targets})
-
-            def top(pair):
-                # rows of the batch and rows of its largest key group
-                e, k = pair
-                r = out[e].groupBy(k).count().agg(F.sum("count").alias("rows"), F.max("count").alias("top")).first()
-                return (r["rows"] or 0), (r["top"] or 0)
-
-            with ThreadPoolExecutor(max_workers=self.parallel_jobs) as pool:
-                prof = dict(zip(pairs, pool.map(top, pairs)))
-            rows = {e: r for (e, _), (r, _) in prof.items()}
-            for e, df in out.items():
-                if e not in rows:
-                    rows[e] = df.count()
             self._small[batch] = {n: c <= self.max_broadcast_rows for n, c in rows.items()}
-            self._prof[batch] = {t: prof[(e, k)] for t, e, k in targets}
-            self._hot[batch] = {
-                t: prof[(e, k)][1] > self.hot_key_rows for t, e, k in targets
-            }
+            sources = table_sources()
+            self._prof[batch] = {t: (prof[sources[t][0]].rows, prof[sources[t][0]].top) for t in history_tables()}
+            # data first, then the record with the mark: a crash between the two repeats the window
+            load, mark = as_ts(LOAD_TS[batch - 1]), as_ts(ENDS[batch - 1])
+            self.tables.record(batch, "staging", [(f"staging_{e}", load, None, n, mark, None) for e, n in rows.items() if n])
         return self._staged[batch]
 
+    def mark(self, batch: int) -> str | None:
+        """Where the window after ``batch`` starts: the end of the last window that was recorded; None before the first."""
+        if batch < 1:
+            return None
+        self.staged(batch)
+        marks = [r["mark"] for t, r in self.tables.latest(batch).items() if t.startswith("staging_") and r["mark"]]
+        return str(max(marks)) if marks else None
+
     def vault(self, batch: int, names: set[str]) -> Vault:
         """The vault after ``batch`` loads with at least ``names`` materialised."""
         need: set[str] = set()
@@ -273,49 +335,45 @@ class VaultStore:
             return self._vaults[0]
         missing = need - self._done.setdefault(batch, set())
         if missing:
-            deps = set(missing)
-            prev = self.vault(batch - 1, deps)
+            self.vault(batch - 1, missing)
             staged = self.staged(batch)
-            hot = dict(self._hot[batch])
-            for t in missing & set(self._prof[batch]):
-                hot[t] = self._target_hot(batch, t, prev[t], check=not hot[t]) or hot[t]
-            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, deps, self._small[batch], hot)
-            cur = self._vaults.get(batch, replace(prev, tables=dict(prev.tables), versions=[v for v in prev.versions]))
+            prev = touched_vault(self.tables, batch - 1, self._profiles[batch], missing)
+            hot = {t: self._target_hot(batch, t, prev[t]) for t in missing & set(self._prof[batch])}
+            loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, missing, self._small[batch], hot)
+            specs = table_specs()
+            written = self.tables.write_all(batch, {n: (loaded.tables[n], specs[n][1]) for n in missing}, self.parallel_jobs)
+            load = as_ts(LOAD_TS[batch - 1])
+            bounds = self._top_bound.get(batch, {})
+            self.tables.record(batch, min(missing), [(t, load, v, self._prof[batch][t][0], None, bounds.get(t)) for t, _, v in loaded.versions if t in missing])
+            self.tables.commit(batch, written, whole=False)
+            cur = self._vaults.get(batch, Vault({}))
             tables = dict(cur.tables)
-            tables.update(self._materialize_all({n: loaded.tables[n] for n in missing}))
-            prev_keys = {(t, ts, v) for t, ts, v in prev.versions}
-            new_versions = [v for v in loaded.versions if v not in prev_keys and v[0] in missing]
-            versions = [v for v in cur.versions if v not in new_versions] + new_versions
-            self._vaults[batch] = replace(cur, tables=tables, versions=versions)
+            tables.update({n: self.tables.read(n, specs[n][0], batch) for n in missing})
+            self._vaults[batch] = Vault(tables)
             self._done[batch] |= missing
         return self._vaults[batch]
 
-    def _target_hot(self, batch: int, table: str, stored: DataFrame, check: bool = True) -> bool:
+    def _target_hot(self, batch: int, table: str, stored: DataFrame) -> bool:
         """Is a key group of the stored history ``table`` (before ``batch``) hot?
 
-        A key may be hot in the stored history while the batch holds few of its
-        rows. The upper bound on the largest stored group is free (previous
-        bound + the batch's largest group); only when it passes
-        ``hot_key_rows`` is the stored table profiled exactly (one partial
-        aggregate), and the bound is reset to the exact value. ``check=False``
-        (the batch alone is hot already) only carries the bound forward.
+        A key may be hot in the stored history while the batch holds few of its rows: see ``hot_history``.
         """
-        key = SATS[table].key if table in SATS else next(ln.key for ln in LINKS.values() if ln.lsat == table)
         prev = self._top_bound.setdefault(batch - 1, {})
-        bound = prev.get(table, 0)
         batch_top = self._prof[batch][table][1]
-        hot = False
-        if check and bound + batch_top > self.hot_key_rows:
-            bound = stored.groupBy(key).count().agg(F.max("count").alias("top")).first()["top"] or 0
-            prev[table] = bound
-            hot = bound + batch_top > self.hot_key_rows
-        self._top_bound.setdefault(batch, {})[table] = bound + batch_top
+        hot, bound = hot_history(stored, table, prev.get(table, 0), batch_top, self.hot_key_rows)
+        prev[table] = bound - batch_top
+        self._top_bound.setdefault(batch, {})[table] = bound
         return hot
 
-    def key_hot(self, name: str, frame, key: str, weight: str | None = None) -> bool:
+    def key_hot(self, name: str, frame, key: str, weight: str | None = None, batch: int = 2) -> bool:
         """Is one ``key`` group of ``frame()`` hot (above the bound)? Rows are
-        counted, or ``weight`` summed. One aggregate per (name, key), memoised;
-        decides segmented vs window scans."""
+        counted, or ``weight`` summed. A history table whose carried bound is
+        below needs no job; otherwise one aggregate per (name, key), memoised.
+        Decides segmented vs window scans."""
+        if weight is None and name in history_tables() and key == history_key(name):
+            self.vault(batch, {name})
+            if self._top_bound.get(batch, {}).get(name, self.hot_key_rows + 1) <= self.hot_key_rows:
+                return False
         memo = self.__dict__.setdefault("_key_hot", {})
         if (name, key) not in memo:
             w = F.col(weight) if weight else F.lit(1)
@@ -327,8 +385,10 @@ class VaultStore:
     def table(self, name: str, batch: int = 2) -> DataFrame:
         return self.vault(batch, {name})[name]
 
-    def versions(self, batch: int = 2) -> list[tuple[str, str, int]]:
-        return self.vault(batch, set(self._done[0])).versions
+    def log(self, batch: int = 2) -> DataFrame:
+        """The stored log of all loads up to ``batch``, every table loaded."""
+        self.vault(batch, set(self._done[0]))
+        return self.tables.log(batch)
 
 
 _STORES: dict[tuple, VaultStore] = {}

@@ -24,7 +24,7 @@ from hvault.operators import quality as dq
 from hvault.functions import open_end
 from hvault.operators.intervals import REFERENCE, STRICT
 from hvault.operators.segmented import as_of_segmented, merge_intervals_segmented, next_value_segmented
-from hvault.operators.staging import batch_counts, empty_registry, extract_window, last_load, record_load
+from hvault.operators.staging import batch_counts, extract_window, last_load
 from hvault.plans import mart
 from hvault.plans.model import DQ_TABLES, HUBS, LINKS, SATS
 from hvault.plans.pipeline import LOAD_TS, vault_store
@@ -138,20 +138,16 @@ def q_staging_batch_counts(spark, sf_dir):
 
 @query("registry_last_load")
 def q_registry_last_load(spark, sf_dir):
-    reg = empty_registry(spark)
-    for b in (1, 2):
-        for name, df in _staged(spark, sf_dir, b).items():
-            reg = record_load(reg, f"staging_{name}", LOAD_TS[b - 1], rows=df)
-    return reduce(DataFrame.unionByName, [last_load(reg, f"staging_{n}") for n in _staged(spark, sf_dir, 1)])
+    st = _store(spark, sf_dir)
+    names = [f"staging_{n}" for n in st.staged(2)]
+    reg = st.tables.log(2).select("table_name", "load_dttm", "version_id")
+    return reduce(DataFrame.unionByName, [last_load(reg, n) for n in names])
 
 
 def _registry(spark, sf_dir, mode=STRICT) -> DataFrame:
-    """The version registry as the loaded history tables show it: each table's versions with their load time."""
-    st = _store(spark, sf_dir, mode)
-    times = F.create_map(*[x for v, ts in enumerate(LOAD_TS, start=1) for x in (F.lit(v).cast("long"), F.lit(ts).cast(TimestampNTZType()))])
-    names = [ln.lsat for ln in LINKS.values()] + list(SATS)
-    parts = [st.table(n).select("version_id").distinct().select(F.lit(n).alias("table_name"), times[F.col("version_id")].alias("load_dttm"), "version_id") for n in names]
-    return reduce(DataFrame.unionByName, parts)
+    """The version registry: loads of history tables in the store's log."""
+    log = _store(spark, sf_dir, mode).log()
+    return log.filter(F.col("version_id").isNotNull()).select("table_name", "load_dttm", "version_id")
 
 
 def _next_versions(spark, sf_dir, mode=STRICT) -> DataFrame:

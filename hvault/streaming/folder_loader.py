@@ -6,12 +6,13 @@ remembers what was read); every micro-batch is split by entity, parsed with
 the catalogue's schema, staged (hash keys, look-ups) and loaded into the
 vault by ``run_batch``.
 
-The vault is stored as one snapshot per micro-batch id:
-``<vault>/b=<id>/<table>``. A batch reads snapshot ``id - 1`` and writes
-``id``; when a failed batch is replayed (same id, same files) it overwrites
-the same snapshot, so every batch takes effect exactly once and the latest
-complete snapshot is always readable. Reference lists are full refreshes:
-the newest drop wins, otherwise the previous snapshot's copy is kept.
+The vault is a ``BucketStore``: a batch reads and rewrites only the buckets that
+its keys are in, and its manifest, written last, makes it visible. When a failed
+batch is replayed (same id, same files) it writes the same folders again, so
+every batch takes effect exactly once and the latest committed state is always
+readable. Manifests and buckets of old batches are dropped after ``keep``
+batches. Reference lists are full refreshes: the newest drop wins, otherwise the
+list stays as it was.
 """
 
 from __future__ import annotations
@@ -22,40 +23,42 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from hvault.operators.intervals import STRICT
 from hvault.operators.staging import stage
 from hvault.plans.model import STAGING
-from hvault.plans.pipeline import Vault, empty_vault, hot_tables, run_batch, table_writer
-from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS, row_count_at_most
+from hvault.plans.bucket_store import BUCKETS, BucketStore
+from hvault.plans.pipeline import (
+    Vault, as_ts, batch_profiles, entity_rows, history_tables, hot_history, run_batch, table_sources, table_specs, touched_buckets, touched_vault,
+)
+from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from hvault.sources.catalogue import CATALOGUE, REFERENCE_LISTS, SourceSpec
 from hvault.sources.csv_folder import parse_lines
 
-REGISTRY = "_version_registry"
+KEEP = 10  # committed batches whose state stays readable
+COMPACT = 100  # batches between compactions of the log
 
 
 def _parse(lines: DataFrame, spec: SourceSpec) -> DataFrame:
     return parse_lines(lines.filter(F.col("entity") == spec.entity).select("value"), spec)
 
 
-def read_snapshot(spark: SparkSession, vault_root: str, batch_id: int) -> tuple[Vault, dict[str, DataFrame]]:
-    """The vault and reference lists of a batch; empty before the first batch (id -1).
+def read_snapshot(spark: SparkSession, vault_root: str, batch_id: int | None = None, buckets: int = BUCKETS) -> tuple[Vault, dict[str, DataFrame]]:
+    """The vault and reference lists after a batch (the last committed one by default); empty before the first (id -1).
 
-    A snapshot that is missing or incomplete is an error: going on without it
-    would write a new latest snapshot without any history."""
-    base = empty_vault(spark)
-    if batch_id < 0:
-        return base, {}
-    path = f"{vault_root.rstrip('/')}/b={batch_id}"
-    try:
-        reg = spark.read.parquet(f"{path}/{REGISTRY}")
-        versions = [(r.table_name, r.load_ts, int(r.version_id)) for r in reg.collect()]  # one row per load: metadata
-        tables = {n: spark.read.parquet(f"{path}/{n}") for n in base.tables}
-        refs = {n: spark.read.parquet(f"{path}/ref_{n}") for n in REFERENCE_LISTS}
-    except AnalysisException as exc:
-        raise RuntimeError(f"snapshot {path} is missing or incomplete; restore it or start a new vault folder") from exc
-    return Vault(tables, versions), refs
+    A batch without a complete manifest is an error: going on without it
+    would write a new latest state without any history."""
+    store = BucketStore(spark, vault_root, buckets)
+    if batch_id is None:
+        batch_id = max(store.commits(), default=-1)
+    manifest = store.manifest(batch_id)
+    tables = {n: store.read(n, schema, batch_id) for n, (schema, _) in table_specs().items()}
+    refs = {n: _stored_list(store, n, batch_id) for n in REFERENCE_LISTS if f"ref_{n}" in manifest}
+    return Vault(tables), refs
+
+
+def _stored_list(store: BucketStore, name: str, batch_id: int) -> DataFrame:
+    return store.spark.read.parquet(store.folder(f"ref_{name}", store.manifest(batch_id)[f"ref_{name}"][0], 0))
 
 
 def load_micro_batch(
@@ -64,28 +67,50 @@ def load_micro_batch(
     vault_root: str,
     mode: str = STRICT,
     load_ts: Callable[[int], str] | None = None,
+    buckets: int = BUCKETS,
+    keep: int = KEEP,
 ) -> None:
     spark = lines.sparkSession
+    store = BucketStore(spark, vault_root, buckets)
+    before = store.manifest(batch_id - 1)
+    staging = f"{store.root}/_staging/b={batch_id}"
     lines = lines.persist()
     try:
-        prev, prev_refs = read_snapshot(spark, vault_root, batch_id - 1)
-        refs = {}
+        refs, written = {}, {}
         for n in REFERENCE_LISTS:
             fresh = _parse(lines, CATALOGUE[n])
-            refs[n] = fresh if not fresh.isEmpty() or n not in prev_refs else prev_refs[n]
-        write = table_writer(spark)
-        staged = {e: write(f"staged-{e}", stage(spec, _parse(lines, CATALOGUE[e]), refs)) for e, spec in STAGING.items()}
-        small = {e: row_count_at_most(df, DEFAULT_MAX_BROADCAST_ROWS) for e, df in staged.items()}
-        ts = (load_ts or (lambda _: dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")))(batch_id)
-        vault = run_batch(prev, staged, ts, mode, small=small, hot=hot_tables(prev, staged))
-        out = f"{vault_root.rstrip('/')}/b={batch_id}"
-        for name, df in vault.tables.items():
-            df.write.mode("overwrite").parquet(f"{out}/{name}")
-        for name, df in refs.items():
-            df.write.mode("overwrite").parquet(f"{out}/ref_{name}")
-        # the registry is written last: a snapshot without it is incomplete
-        reg = spark.createDataFrame(vault.versions or [], "table_name string, load_ts string, version_id long")
-        reg.write.mode("overwrite").parquet(f"{out}/{REGISTRY}")
+            if f"ref_{n}" in before and fresh.isEmpty():
+                refs[n] = _stored_list(store, n, batch_id - 1)
+            else:
+                written[f"ref_{n}"] = store.write_whole(f"ref_{n}", batch_id, fresh)
+                refs[n] = spark.read.schema(fresh.schema).parquet(store.folder(f"ref_{n}", batch_id, 0))
+        staged = {}
+        for e, spec in STAGING.items():
+            df = stage(spec, _parse(lines, CATALOGUE[e]), refs)
+            df.write.mode("overwrite").parquet(f"{staging}/{e}")
+            staged[e] = spark.read.schema(df.schema).parquet(f"{staging}/{e}")
+        profiles = batch_profiles(staged, buckets)
+        rows = entity_rows(staged, profiles)
+        small = {e: n <= DEFAULT_MAX_BROADCAST_ROWS for e, n in rows.items()}
+        names = {t for t in table_specs() if touched_buckets(t, profiles)}
+        prev = touched_vault(store, batch_id - 1, profiles, names)
+        bounds = {t: r["top_bound"] or 0 for t, r in store.latest(batch_id - 1).items()}
+        sources, hot, top = table_sources(), {}, {}
+        for t in names & set(history_tables()):
+            hot[t], top[t] = hot_history(prev[t], t, bounds.get(t, 0), profiles[sources[t][0]].top)
+        text = (load_ts or (lambda _: dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")))(batch_id)
+        vault = run_batch(prev, staged, text, mode, names, small, hot)
+        specs = table_specs()
+        written |= store.write_all(batch_id, {n: (vault.tables[n], specs[n][1]) for n in names})
+        ts = as_ts(text)
+        log = [(f"staging_{e}", ts, None, n, None, None) for e, n in rows.items() if n]
+        log += [(t, ts, v, rows[sources[t][0][0]], None, top.get(t)) for t, _, v in vault.versions]
+        store.record(batch_id, "batch", log)
+        store.commit(batch_id, written)
+        if batch_id and batch_id % COMPACT == 0:
+            store.compact_log(batch_id)
+        store.expire(keep)
+        store.drop(staging)
     finally:
         lines.unpersist()
 
@@ -98,6 +123,8 @@ def start(
     mode: str = STRICT,
     available_now: bool = True,
     load_ts: Callable[[int], str] | None = None,
+    buckets: int = BUCKETS,
+    keep: int = KEEP,
 ) -> StreamingQuery:
     """Start the incremental loader; ``available_now`` processes what is there and stops."""
     lines = (
@@ -106,7 +133,7 @@ def start(
         .load(f"{drop_root.rstrip('/')}/*")
         .select("value", F.regexp_extract(F.input_file_name(), r"/([^/]+)/[^/]+$", 1).alias("entity"))
     )
-    writer = lines.writeStream.foreachBatch(lambda df, bid: load_micro_batch(df, bid, vault_root, mode, load_ts)).option(
+    writer = lines.writeStream.foreachBatch(lambda df, bid: load_micro_batch(df, bid, vault_root, mode, load_ts, buckets, keep)).option(
         "checkpointLocation", checkpoint
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
