@@ -213,14 +213,14 @@ def table_results(
 
     Seven checks become row flags from ``history_flags`` (windows over one
     partitioning of the satellite by key, or its segmented form for hot keys;
-    the hub look-up is a left join on the key); one aggregate then yields
+    the hub look-up is a left join on the hub's unique key); one aggregate then yields
     result, versions and count per check. Only the
     explicit-deletion check, which joins the staged batch on (key, start),
     runs as its own branch. Same results as running ``checks_for`` one by one.
     """
     closed = F.col(TO) != open_end()
     is_open = F.col(TO) == open_end()
-    hub_keys = hub.select(key).distinct().withColumn("_in_hub", F.lit(True))
+    hub_keys = hub.select(key).withColumn("_in_hub", F.lit(True))
     rows = history_flags(sat.join(hub_keys, key, "left"), key, hot_keys)
     flags = {
         "check_overlapping_intervals": closed & (F.col(TO) > F.col("_next_closed")),

@@ -169,8 +169,7 @@ def load_link(
                 F.col(TO).alias("delete_dttm"),
             )
         ).distinct()
-        rows_num = batch.join(open_rows.select(key), key, "left_anti").limit(1).count()
-        if rows_num == 0:
+        if batch.join(open_rows.select(key), key, "left_anti").isEmpty():
             return LinkLoad(link, lsat, link.limit(0), False)
         new_links = _insert_links(link, staged, key, hub_keys, src_cd, load_ts, small)
         merged = merge(batch, REFERENCE).select(

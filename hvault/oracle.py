@@ -208,15 +208,20 @@ for _e in STAGING:
 # --- interval merge ------------------------------------------------------------
 
 def merge_sql(prefix: str, source: str, key: str, mode: str) -> str:
-    """Register CTEs <prefix>_n/_l/_g and return the name of the merged result (key, create_dttm, delete_dttm)."""
-    cte(f"{prefix}_n", f"SELECT {key} AS k, create_dttm AS s, COALESCE(delete_dttm, {OPEN}) AS e FROM {source} WHERE create_dttm IS NOT NULL")
-    if mode == "reference":
-        cte(f"{prefix}_l", f"SELECT *, LAG(e) OVER (PARTITION BY k ORDER BY s, e) AS pe FROM {prefix}_n")
-        cte(f"{prefix}_g", f"SELECT *, SUM(CASE WHEN s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY s) AS gid FROM {prefix}_l")
-    else:
-        cte(f"{prefix}_l", f"SELECT *, MAX(e) OVER (PARTITION BY k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM {prefix}_n")
-        cte(f"{prefix}_g", f"SELECT *, SUM(CASE WHEN s > pe THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS gid FROM {prefix}_l")
-    cte(prefix, f"SELECT k AS {key}, MIN(s) AS create_dttm, NULLIF(MAX(e), {OPEN}) AS delete_dttm FROM {prefix}_g GROUP BY k, gid")
+    """Register the merged intervals of ``source`` as ``prefix`` (key, create_dttm, delete_dttm).
+
+    An island begins where the intervals before do not reach (``reference``: where the one before does not); an
+    interval belongs to the last beginning that is not after it."""
+    cte(f"{prefix}_placed", f"""
+SELECT {key} AS k, create_dttm AS s, COALESCE(delete_dttm, {OPEN}) AS e, row_number() OVER by_start AS place
+FROM {source} WHERE create_dttm IS NOT NULL WINDOW by_start AS (PARTITION BY {key} ORDER BY create_dttm, COALESCE(delete_dttm, {OPEN}))""")
+    reached = "earlier.place = late.place - 1" if mode == "reference" else "earlier.place < late.place"
+    cte(f"{prefix}_begins", f"""
+SELECT DISTINCT k, s FROM {prefix}_placed late
+WHERE NOT EXISTS (FROM {prefix}_placed earlier WHERE earlier.k = late.k AND {reached} AND earlier.e >= late.s)""")
+    cte(prefix, f"""
+SELECT i.k AS {key}, b.s AS create_dttm, CASE WHEN bool_or(i.e = {OPEN}) THEN NULL ELSE max(i.e) END AS delete_dttm
+FROM {prefix}_placed i ASOF JOIN {prefix}_begins b ON b.k = i.k AND b.s <= i.s GROUP BY i.k, b.s""")
     return prefix
 
 
@@ -436,28 +441,30 @@ FROM {m}_tail_info""")
     cte(f"{m}_tip", f"""
 SELECT t.* EXCLUDE (place), b.service_request_type_nm AS prev_type
 FROM {m}_counted t LEFT JOIN {m}_counted b ON b.customer_hash_key = t.customer_hash_key AND b.place = t.place - 1""")
+    # which customer an account belongs to; the reference's view shows a row once for each version of the links on the way
+    for ln in ("acc_x_trans", "acc_x_app", "cust_x_app"):
+        versions = f"SELECT {ln}_hash_key, count(*) AS n FROM {V('lsat_' + ln, m)} GROUP BY ALL" if m == "r" else f"SELECT NULL AS {ln}_hash_key, 1 AS n WHERE false"
+        cte(f"{m}_times_{ln}", versions)
+    cte(f"{m}_owner", f"""
+SELECT account_hash_key, customer_hash_key, COALESCE(app.n, 1) * COALESCE(cust.n, 1) AS times
+FROM {V('link_cust_x_app', m)} JOIN {V('link_acc_x_app', m)} USING (application_hash_key)
+LEFT JOIN {m}_times_acc_x_app app USING (acc_x_app_hash_key) LEFT JOIN {m}_times_cust_x_app cust USING (cust_x_app_hash_key)""")
+    cte(f"{m}_posting", f"""
+SELECT transaction_hash_key, account_hash_key, customer_hash_key, unnest(range(times * COALESCE(n, 1))) AS copy
+FROM {m}_owner JOIN {V('link_acc_x_trans', m)} USING (account_hash_key) LEFT JOIN {m}_times_acc_x_trans USING (acc_x_trans_hash_key)
+WHERE transaction_hash_key IN (SELECT transaction_hash_key FROM {V('hub_transaction', m)})""")
+    cte(f"{m}_states", f"SELECT * FROM {m}_tail_info WHERE effective_from_dttm < effective_to_dttm")
     cte(f"{m}_txi", f"""
-SELECT ht.transaction_hash_key, lo.orig_transaction_hash_key, la.account_hash_key, lc.customer_hash_key,
-  hs.transaction_amt, hs.transaction_type_nm, hs.transaction_dttm, hs.effective_from_dttm, hs.effective_to_dttm,
-  ti.tail_limit, ti.service_request_type_nm
-FROM {V('hub_transaction', m)} ht
-LEFT JOIN {V('hsat_transaction', m)} hs ON hs.transaction_hash_key = ht.transaction_hash_key
-LEFT JOIN {V('link_trans_x_orig_trans', m)} lo ON lo.transaction_hash_key = ht.transaction_hash_key
-JOIN {V('link_acc_x_trans', m)} la ON la.transaction_hash_key = ht.transaction_hash_key
-{"LEFT JOIN " + V('lsat_acc_x_trans', m) + " la2 ON la2.acc_x_trans_hash_key = la.acc_x_trans_hash_key" if m == "r" else ""}
-JOIN {V('link_acc_x_app', m)} lx ON lx.account_hash_key = la.account_hash_key
-{"LEFT JOIN " + V('lsat_acc_x_app', m) + " lx2 ON lx2.acc_x_app_hash_key = lx.acc_x_app_hash_key" if m == "r" else ""}
-JOIN {V('link_cust_x_app', m)} lc ON lc.application_hash_key = lx.application_hash_key
-{"LEFT JOIN " + V('lsat_cust_x_app', m) + " lc2 ON lc2.cust_x_app_hash_key = lc.cust_x_app_hash_key" if m == "r" else ""}
-LEFT JOIN {m}_tail_info ti ON ti.customer_hash_key = lc.customer_hash_key
-  AND ti.effective_from_dttm <= hs.transaction_dttm AND hs.transaction_dttm < ti.effective_to_dttm""")
+SELECT transaction_hash_key, orig_transaction_hash_key, account_hash_key, p.customer_hash_key, transaction_amt, transaction_type_nm, transaction_dttm,
+  facts.effective_from_dttm, facts.effective_to_dttm,
+  CASE WHEN transaction_dttm < state.effective_to_dttm THEN state.tail_limit END AS tail_limit,
+  CASE WHEN transaction_dttm < state.effective_to_dttm THEN state.service_request_type_nm END AS service_request_type_nm
+FROM (FROM {m}_posting LEFT JOIN {V('hsat_transaction', m)} USING (transaction_hash_key)
+      LEFT JOIN (SELECT transaction_hash_key, orig_transaction_hash_key FROM {V('link_trans_x_orig_trans', m)}) USING (transaction_hash_key)) p
+  ASOF LEFT JOIN {m}_states state ON state.customer_hash_key = p.customer_hash_key AND state.effective_from_dttm <= p.transaction_dttm""".replace("facts.", "p."))
     cte(f"{m}_tx", f"""
-SELECT lc.customer_hash_key, hs.*
-FROM {V('hub_transaction', m)} ht
-JOIN {V('hsat_transaction', m)} hs ON hs.transaction_hash_key = ht.transaction_hash_key
-JOIN {V('link_acc_x_trans', m)} la ON la.transaction_hash_key = ht.transaction_hash_key
-JOIN {V('link_acc_x_app', m)} lx ON lx.account_hash_key = la.account_hash_key
-JOIN {V('link_cust_x_app', m)} lc ON lc.application_hash_key = lx.application_hash_key
+SELECT customer_hash_key, hs.*
+FROM (SELECT DISTINCT transaction_hash_key, account_hash_key, customer_hash_key FROM {m}_posting) JOIN {V('hsat_transaction', m)} hs USING (transaction_hash_key)
 WHERE hs.transaction_type_nm = 'kopylka' AND hs.transaction_amt > 0
   AND hs.transaction_dttm >= hs.effective_from_dttm AND hs.transaction_dttm < hs.effective_to_dttm""")
     cte(f"{m}_revenue", f"""
@@ -634,6 +641,10 @@ Q["transaction_enriched"] = f"""SELECT transaction_hash_key, orig_transaction_ha
   transaction_type_nm, transaction_dttm, effective_from_dttm, {nul('effective_to_dttm')}, tail_limit, service_request_type_nm FROM s_txi"""
 Q["transaction_enriched_ref"] = Q["transaction_enriched"].replace("s_txi", "r_txi")
 _ONE = f"(SELECT MIN(customer_hash_key) FROM {V('link_cust_x_req')})"
+_VIOLATING = f"""(SELECT customer_hash_key FROM s_txi JOIN (SELECT DISTINCT transaction_hash_key AS orig_transaction_hash_key FROM {V('hsat_transaction')}) USING (orig_transaction_hash_key)
+  WHERE transaction_type_nm = 'kopylka' AND abs(transaction_amt) > tail_limit)"""
+Q["state_drill_down_violations"] = Q["state_intervals"] + f" WHERE customer_hash_key IN {_VIOLATING}"
+Q["transaction_drill_down_violations"] = Q["transaction_enriched"] + f" WHERE customer_hash_key IN {_VIOLATING}"
 Q["state_drill_down"] = Q["state_intervals"] + f" WHERE customer_hash_key = {_ONE}"
 Q["transaction_drill_down"] = Q["transaction_enriched"] + f" WHERE customer_hash_key = {_ONE}"
 Q["interval_epoch"] = f"""SELECT account_hash_key, version_id, CAST(epoch(effective_from_dttm) AS BIGINT) AS from_epoch,
@@ -686,6 +697,7 @@ SELECT h.account_hash_key, h.version_id, h.hash_diff, h.effective_from_dttm, {nu
   row_number() OVER (PARTITION BY h.account_hash_key ORDER BY h.effective_from_dttm DESC NULLS FIRST) AS version_rank
 FROM {V('hsat_account')} h JOIN {V('hub_account')} hub ON hub.account_hash_key = h.account_hash_key"""
 Q["key_history_one"] = Q["key_history"] + f" WHERE hub.account_id = (SELECT MIN(account_id) FROM {V('hub_account')})"
+Q["key_history_resent"] = Q["key_history"] + f" WHERE h.account_hash_key IN (SELECT account_hash_key FROM stg_crm_account_all GROUP BY account_hash_key HAVING COUNT(*) > 1)"
 Q["positive_roundups"] = f"""
 SELECT hs.transaction_hash_key, hub.transaction_id, hs.version_id, hs.hash_diff, hs.effective_from_dttm, {nul('hs.effective_to_dttm')},
   hs.transaction_amt, hs.transaction_type_nm, hs.transaction_dttm
@@ -710,9 +722,11 @@ def _dq_check_sql(name: str, check: str, m: str = "s") -> str:
         return f"""SELECT {out} FROM (SELECT *, LEAD(effective_from_dttm) OVER (PARTITION BY {k} ORDER BY effective_from_dttm, effective_to_dttm, version_id) AS nx
   FROM {t} WHERE effective_to_dttm <> {OPEN}) WHERE effective_to_dttm > nx"""
     if check == "check_explicit_deletion":
-        return f"""SELECT CAST(t1.{k} AS VARCHAR) AS bk_value, t1.version_id, t1.effective_from_dttm, t1.effective_to_dttm
-FROM {t} t1 JOIN stg_{s.staging}_2 t2 ON t1.{k} = t2.{k} AND t1.effective_from_dttm = CAST(NULLIF(trim(t2.create_dttm), '') AS TIMESTAMP)
-WHERE NULLIF(trim(t2.delete_dttm), '') IS NOT NULL AND t1.effective_to_dttm <> CAST(NULLIF(trim(t2.delete_dttm), '') AS TIMESTAMP)"""
+        # the ends that the source gave for a (key, start), against the end that the history holds
+        said = f"""SELECT {k}, {ts('create_dttm')} AS effective_from_dttm, list({ts('delete_dttm')}) AS ends
+  FROM stg_{s.staging}_2 WHERE {ts('delete_dttm')} IS NOT NULL GROUP BY ALL"""
+        return f"""SELECT {out}
+FROM (SELECT *, unnest(list_filter(ends, lambda e: e <> effective_to_dttm)) AS other FROM {t} JOIN ({said}) USING ({k}, effective_from_dttm))"""
     if check == "check_multiple_current_records":
         return f"""SELECT {out} FROM {t} WHERE effective_to_dttm = {OPEN}
   AND {k} IN (SELECT {k} FROM {t} WHERE effective_to_dttm = {OPEN} GROUP BY {k} HAVING COUNT(*) > 1)"""

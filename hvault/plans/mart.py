@@ -261,16 +261,14 @@ def kopylka_monthly(
     holds = _month_masks(F.col("effective_from_dttm"), F.coalesce(F.col("_next"), open_end()), True, grid_start, grid_end)
     limited = nxt.filter(F.col("tail_limit") > 0).groupBy("customer_hash_key").agg(*[F.bit_or(holds[w]).alias(f"_l{w}") for w in words])
     both = active.join(limited, "customer_hash_key", "left")
-    counts, months = [], []
-    for w in words:
-        for k in range(min(WORD, _grid_months(grid_start, grid_end) - w * WORD)):
-            name = f"{w}_{k}"
-            bit = lambda c: F.shiftright(c, k).bitwiseAND(F.lit(1).cast("long"))  # noqa: B023, E731
-            counts.append(F.sum(bit(F.col(f"_a{w}"))).alias(f"_t{name}"))
-            counts.append(F.sum(bit(F.col(f"_a{w}").bitwiseAND(F.coalesce(F.col(f"_l{w}"), F.lit(0).cast("long"))))).alias(f"_k{name}"))
-            month = F.add_months(F.lit(grid_start).cast(DateType()), w * WORD + k)
-            months.append(F.struct(month.alias("month_dt"), F.col(f"_t{name}").alias("total_active_users"), F.col(f"_k{name}").alias("kopylka_users")))
-    m = both.agg(*counts).select(F.explode(F.array(*months)).alias("_m")).select("_m.*").filter(F.col("total_active_users") > 0)
+    # customers with the same months are one row from here on; the months are laid out over that small table
+    places = [f"_a{w}" for w in words]
+    shapes = both.groupBy(*places, *[F.coalesce(F.col(f"_l{w}"), F.lit(0).cast("long")).alias(f"_l{w}") for w in words]).agg(F.count(F.lit(1)).alias("_n"))
+    shapes = shapes.withColumn("_m", F.explode(F.sequence(F.lit(0), F.lit(_grid_months(grid_start, grid_end) - 1))))
+    word = lambda side: f"element_at(array({', '.join(f'{side}{w}' for w in words)}), int(_m div {WORD}) + 1)"
+    here = lambda mask: F.sum(F.expr(f"_n * (shiftright({mask}, _m % {WORD}) & 1)"))
+    m = shapes.groupBy("_m").agg(here(word("_a")).alias("total_active_users"), here(f"({word('_a')} & {word('_l')})").alias("kopylka_users"))
+    m = m.withColumn("month_dt", F.add_months(F.lit(grid_start).cast(DateType()), F.col("_m"))).filter(F.col("total_active_users") > 0)
     pct = (ratio(F.col("kopylka_users"), F.col("total_active_users"), 4) * 100).cast(DecimalType(18, 4))
     return m.select(
         "month_dt",
@@ -538,13 +536,11 @@ def duplicate_versions(staged: DataFrame, id_col: str) -> DataFrame:
     return staged.groupBy(id_col, "create_dttm").agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") > 1)
 
 
-def key_history(hsat: DataFrame, hub: DataFrame, key: str, id_col: str, ids: list[str] | None = None, hot_keys: bool = False) -> DataFrame:
+def key_history(hsat: DataFrame, hub: DataFrame, key: str, id_col: str, hot_keys: bool = False) -> DataFrame:
     """Version history per business id, newest first (rank 1 = newest).
 
     ``hot_keys``: the rank is a segmented count (no window over a whole key)."""
     df = hsat.join(hub.select(key, id_col), key)
-    if ids is not None:
-        df = df.filter(F.col(id_col).isin(*ids))
     if hot_keys:
         from hvault.operators.segmented import row_number_segmented
 
@@ -553,6 +549,15 @@ def key_history(hsat: DataFrame, hub: DataFrame, key: str, id_col: str, ids: lis
     return df.withColumn("version_rank", F.row_number().over(w))
 
 
+def key_history_of(store, batch: int, hsat: str, hub: str, id_col: str, keys: DataFrame) -> DataFrame:
+    """M17 for a set of hash keys (a column of ``keys`` named like the table's key): the stored tables are scanned in those keys' buckets only."""
+    from hvault.plans.pipeline import table_specs
+
+    specs = table_specs()
+    key = specs[hsat][1]
+    return key_history(*[store.read_keys(t, specs[t][0], batch, keys, key) for t in (hsat, hub)], key, id_col)
+
+
 def positive_roundups(hub_transaction: DataFrame, hsat_transaction: DataFrame) -> DataFrame:
     """Round-up postings with a positive amount (should not exist)."""
     hub = hub_transaction.select("transaction_hash_key", "transaction_id")

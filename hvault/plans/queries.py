@@ -366,6 +366,25 @@ def q_transaction_drill_down(spark, sf_dir):
     return present(mart.drill_down(_txi(spark, sf_dir), _one_customer(spark, sf_dir)))
 
 
+def _violating_customers(spark, sf_dir) -> DataFrame:
+    """Customers with a round-up posting above its limit: a look-up set that grows with the data."""
+    txi = _txi(spark, sf_dir)
+    broken = mart.limit_violations(txi, _store(spark, sf_dir).table("hsat_transaction")).select("transaction_hash_key").distinct()
+    return txi.filter((F.col("transaction_type_nm") == mart.ROUND_UP_TYPE) & (F.abs("transaction_amt") > F.col("tail_limit"))).join(
+        broken, "transaction_hash_key", "left_semi"
+    ).select("customer_hash_key").distinct()
+
+
+@query("state_drill_down_violations")
+def q_state_drill_down_violations(spark, sf_dir):
+    return present(mart.drill_down(_ti(spark, sf_dir), _violating_customers(spark, sf_dir)))
+
+
+@query("transaction_drill_down_violations")
+def q_transaction_drill_down_violations(spark, sf_dir):
+    return present(mart.drill_down(_txi(spark, sf_dir), _violating_customers(spark, sf_dir)))
+
+
 @query("activation_at_date")
 def q_activation_at_date(spark, sf_dir):
     return mart.activation_at_date(_ti(spark, sf_dir), "1999-06-30", 2000, hot_keys=_hot_customers(spark, sf_dir))
@@ -472,9 +491,19 @@ def q_key_history(spark, sf_dir):
 
 @query("key_history_one")
 def q_key_history_one(spark, sf_dir):
-    t = _store(spark, sf_dir).table
-    one = t("hub_account").agg(F.min("account_id").alias("id")).first()["id"]
-    return present(mart.key_history(t("hsat_account"), t("hub_account"), "account_hash_key", "account_id", ids=[one]))
+    st = _store(spark, sf_dir)
+    st.vault(2, {"hsat_account", "hub_account"})
+    one = st.table("hub_account").orderBy("account_id").limit(1)
+    return present(mart.key_history_of(st.tables, 2, "hsat_account", "hub_account", "account_id", one))
+
+
+@query("key_history_resent")
+def q_key_history_resent(spark, sf_dir):
+    """The history of every account that the source sent more than once: only those keys' buckets are scanned."""
+    st = _store(spark, sf_dir)
+    st.vault(2, {"hsat_account", "hub_account"})
+    resent = _all_staged(spark, sf_dir, "crm_account").groupBy("account_hash_key").count().filter(F.col("count") > 1)
+    return present(mart.key_history_of(st.tables, 2, "hsat_account", "hub_account", "account_id", resent))
 
 
 @query("interval_epoch")
