@@ -38,7 +38,8 @@ WINDOW = 1024
 CLOSE = 0
 SHARD_DOCS = 2048
 SHARD_TOKENS = 1 << 22
-COMMON = 12  # ids in over this part of a shard's documents have a row of weights
+COMPACT = 0.7  # part of the index that is left when used documents are taken out of it
+COMMON = 6  # ids in more than one of so many documents of a shard have a row of weights
 K1, B = 1.2, 0.75
 
 #: The vocabulary's split pattern and its one special token.
@@ -58,15 +59,17 @@ def encoder(ranks_path: str):
 
 
 def ids_of(enc, text: str) -> np.ndarray:
-    """Ids of a text. All but the last character of a run of white space (all of it at the text's end) is one word of
-    the pattern; long runs are encoded as such, as the library's pattern search fails on very long ones."""
+    """Ids of a text. The library's pattern search gives up on very long runs of white space. All but the last character
+    of such a run (all of it at the text's end) is one word of the pattern, so then long runs are encoded as words."""
+    try:
+        return enc.encode_to_numpy(text, allowed_special="all").astype(np.uint16)
+    except ValueError:
+        pass
     parts, at = [], 0
     for run in SPACES.finditer(text):
         end = run.end() if run.end() == len(text) else run.end() - 1
         parts += [enc.encode_to_numpy(text[at : run.start()], allowed_special="all"), np.array(enc._encode_single_piece(text[run.start() : end]), np.uint16)]
         at = end
-    if not parts:
-        return enc.encode_to_numpy(text, allowed_special="all").astype(np.uint16)
     parts.append(enc.encode_to_numpy(text[at:], allowed_special="all"))
     return np.concatenate(parts).astype(np.uint16)
 
@@ -114,7 +117,7 @@ class Index:
         all_df, all_n, mean = stats or (df, n, size.mean())
         idf = np.log1p((all_n - all_df + 0.5) / (all_df + 0.5))
         weight = (idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / mean))[doc])).astype(np.float32)
-        common = np.flatnonzero(df > max(8, n // COMMON))
+        common = np.flatnonzero(df * COMMON > max(8 * COMMON, n))
         self.row = np.full(1 << 16, -1, np.int32)
         self.row[common] = np.arange(len(common))
         self.dense = np.zeros((len(common), n), np.float32)
@@ -160,7 +163,7 @@ def chain(docs: list[np.ndarray], fill: int, window: int, stats=None) -> list[in
     used[0] = True
     out, seed, room = [0], 0, -(fill + len(docs[0])) % window
     while len(out) < len(docs):
-        if len(docs) - len(out) < 0.7 * len(index.unused):
+        if len(docs) - len(out) < COMPACT * len(index.unused):
             index.drop(used)
         score = index.scores(seed)
         score[used[index.unused]] = -1

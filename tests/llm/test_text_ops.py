@@ -192,7 +192,7 @@ def test_packing_statistics_are_the_whole_tables(spark):
 def test_long_runs_of_white_space(spark):
     tk = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     enc = packing.encoder(RANKS)
-    for text in (" " * 3000, "a" + " " * 600 + "b", "\n" * 700 + " x" + "\t " * 400, "a" + " " * 499 + "b", " \u3000" * 300 + "é", "x" + "\n" * 500):
+    for text in (" " * 300_000 + " a" + "\n" * 400_000 + " x", " " * 3000, "a" + " " * 600 + "b", "\n" * 700 + " x" + "\t " * 400, "a" + " " * 499 + "b", " \u3000" * 300 + "é", "x" + "\n" * 500):
         assert packing.ids_of(enc, text).tolist() == tk.encode(text, add_special_tokens=False).ids
     rows = [(1, " " * 1_000_000), (2, "a" + "\n" * 1_000_000 + "b")]
     pieces = packing.pack_documents(frame(spark, rows), RANKS).collect()
