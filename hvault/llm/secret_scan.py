@@ -12,9 +12,18 @@ and what comes out is scanned again, until no new layer appears. Layers:
 * gzip, zlib, bzip2 and zstd streams among bytes of base64, of another stream,
   of ``%XX`` or of string escapes, to any depth: what comes out are bytes again.
 
-A layer met before with the same span is not scanned again, so cycles end. A
-compressed part that would grow beyond ``MAX_LAYER`` bytes is not unpacked but
-reported as kind ``unread``, so nothing is passed over in silence.
+A layer met before with the same span is not scanned again, so cycles end.
+Escapes of escapes are unwrapped level by level; what is left after ``LEVELS``
+levels (``%252525...``) goes to its last level in one pass, so the time grows
+with the text and not with its square.
+
+A stream is read in windows of ``WINDOW`` bytes while it is unpacked, so memory
+does not grow with what comes out, and there is no limit on it. A window begins
+with the last ``OVERLAP`` bytes before it (runs of spaces there as one), so no
+secret is lost at a cut: 24 characters of a hex run, 20 of an access key and,
+but for spaces, 20 of an assignment decide. Only an encoded part inside such a
+stream that is itself cut may be read in pieces; ``cut_layers`` holds the spans of
+streams that took more than one window.
 
 Defined results: null text is empty; a null doc_id is kept; every row gives
 one row; columns besides ``doc_id`` and ``text`` are ignored. Spans count code
@@ -29,7 +38,6 @@ import bz2
 import hashlib
 import re
 import zlib
-from collections import deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,7 +47,7 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 WORDS = ("passw", "secret", "token", "apikey", "api_key")  # one of them is in each assignment
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # runs of [0-9a-f]+ of 24 or more
-KINDS = ("assign", "access", "hex", "unread")
+KINDS = ("assign", "access", "hex")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2})+")
 ONE_ESCAPE = re.compile(r"\\(?:u([0-9A-Fa-f]{4})|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
@@ -48,7 +56,11 @@ BASE64_URL = re.compile(r"(?:[A-Za-z0-9_-]{16,}\r?\n)+[A-Za-z0-9_-]*={0,2}|[A-Za
 LINE = re.compile(r"[^\r\n]+")
 MAGIC = re.compile(rb"\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9]|\x28\xb5\x2f\xfd")  # gzip, zlib, bzip2, zstd
 STEP = 256  # compressed bytes opened at once, so that what precedes a broken byte is kept
-MAX_LAYER = 32 << 20
+WINDOW = 8 << 20
+OVERLAP = 1 << 20
+SPACES = re.compile(rb" {2,}")
+LEVELS = 8
+DIGITS = frozenset("0123456789abcdefABCDEF")
 MASK = "[REDACTED]"
 ONE_LITERAL = re.compile(r"\\(?:x[0-9A-Fa-f]{2}|u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|[0-7]{1,3}|[abefnrtv\\'\"/])")
 LITERAL = re.compile(f"(?:{ONE_LITERAL.pattern})+")
@@ -82,8 +94,10 @@ def readings(data: bytes) -> list[str]:
     return out
 
 
-def open_stream(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """What the compressed stream at ``at`` holds (None if too large; what comes before a broken byte otherwise) and where it ends."""
+def unpacked(data: bytes, at: int):
+    """The content of the compressed stream at ``at`` in windows, as (content, how far the stream was read, is it cut here).
+
+    What comes before a broken byte counts; the window that ends the stream comes last, even if it is empty."""
     import zstandard
 
     head = data[at : at + 1]
@@ -96,19 +110,22 @@ def open_stream(data: bytes, at: int) -> tuple[bytes | None, int]:
         except (zlib.error, OSError, EOFError, zstandard.ZstdError):
             break
         at += len(part)
-        if len(out) > MAX_LAYER:
-            return None, at
-    return bytes(out), at - len(d.unused_data)
+        if len(out) > WINDOW:
+            yield bytes(out), at, True
+            out = bytearray(SPACES.sub(b" ", out)[-OVERLAP:])
+    yield bytes(out), at - len(d.unused_data), False
 
 
 def streams(data: bytes):
-    """The compressed streams in ``data`` as (content, begin, end), one after the other, wherever they begin."""
+    """The compressed streams in ``data`` as (content, begin, end, is it cut here), one after the other, wherever they begin."""
     m = MAGIC.search(data)
     while m:
-        out, end = open_stream(data, m.start())
-        if out is None or out:
-            yield out, m.start(), end
-        m = MAGIC.search(data, max(end, m.start() + 1) if out else m.start() + 1)
+        got = False
+        for out, end, cut in unpacked(data, m.start()):
+            if out:
+                got = True
+                yield out, m.start(), end, cut
+        m = MAGIC.search(data, max(end, m.start() + 1) if got else m.start() + 1)
 
 
 def from_base64(part: str) -> bytes:
@@ -148,8 +165,8 @@ def line_ranges(text: str) -> set[tuple[int, int]]:
 class Layer:
     """Text of a layer; ``first`` and ``end`` hold the original span of each character, or one span holds for all."""
 
-    def __init__(self, text: str, first=None, end=None, whole=None):
-        self.text, self.first, self.end, self.whole = text, first, end, whole
+    def __init__(self, text: str, first=None, end=None, whole=None, level=0):
+        self.text, self.first, self.end, self.whole, self.level = text, first, end, whole, level
 
     def span(self, a: int, b: int) -> tuple[int, int]:
         if self.whole:
@@ -179,11 +196,39 @@ class Layer:
             return None
         out.append(self.text[at:])
         if self.whole:
-            return Layer("".join(out), whole=self.whole)
+            return Layer("".join(out), whole=self.whole, level=self.level + 1)
         n = len(self.text)
         first += range(at, n) if self.first is None else self.first[at:]
         end += range(at + 1, n + 1) if self.first is None else self.end[at:]
-        return Layer("".join(out), first, end)
+        return Layer("".join(out), first, end, level=self.level + 1)
+
+    def settled(self):
+        """This layer with its escapes, those that decoding completes included, at their last level.
+
+        A character is taken at a time; as soon as the last ones are an escape its character takes their place, and
+        may end an escape in turn. Bytes of %XX become the characters of their number."""
+        out, first, end = [], [], []
+        for i, c in enumerate(self.text):
+            s, e = self.span(i, i + 1)
+            while True:
+                out.append(c)
+                first.append(s)
+                end.append(e)
+                n = escape_at_end(out) if c in DIGITS else 0
+                code = int("".join(out[2 - n if n > 3 else -2 :]), 16) if n else 0
+                if not n or code >= 0x110000 or 0xD800 <= code < 0xE000:
+                    break
+                c, s = chr(code), first[-n]
+                del out[-n:], first[-n:], end[-n:]
+        return Layer("".join(out), None if self.whole else first, None if self.whole else end, self.whole, LEVELS + 1)
+
+
+def escape_at_end(out: list[str]) -> int:
+    """How many of the last characters are one escape; 0 if they are none."""
+    for mark, n in (("%", 3), ("\\x", 4), ("\\u", 6), ("\\U", 10)):
+        if len(out) >= n and "".join(out[-n : len(mark) - n]) == mark and DIGITS.issuperset(out[len(mark) - n :]):
+            return n
+    return 0
 
 
 def url_parts(run: str):
@@ -233,63 +278,89 @@ def unicode_parts(run: str):
     return [(a, b, run[a:b] if isinstance(t, int) else t) for a, b, t in out]
 
 
-def all_spans(text: str) -> tuple[list, list]:
-    """Base spans of a text, and base with decoded spans, each sorted (start, kind, end)."""
-    base = scan(text)
-    found = set(base)
-    queue, seen = deque([Layer(text)]), set()
-    while queue:
-        layer = queue.popleft()
-        if isinstance(layer, tuple):
-            data, whole = layer
-            mark = (hashlib.blake2b(data, digest_size=16).digest(), whole, "bytes")
-            if mark in seen:
+def inside(item, cuts: set):
+    """The layers in a layer (or in bytes with the span they come from), one after the other."""
+    if isinstance(item, tuple):
+        data, whole = item
+        for t in readings(data):
+            yield Layer(t, whole=whole)
+        for got, _, _, cut in streams(data):
+            if cut:
+                cuts.add(whole)
+            yield got, whole
+        return
+    t = item.text
+    nexts, packed = [], []
+    if item.level > LEVELS:
+        packed.append(item)
+    elif item.level == LEVELS:
+        nexts.append(item.settled() if "%" in t or "\\" in t else None)
+    if item.level <= LEVELS and "%" in t and URL.search(t):
+        if item.level < LEVELS:
+            nexts.append(item.decoded(URL, url_parts))
+        packed.append(item.decoded(URL, url_bytes))
+        if packed[0] and "+" in t:  # a space in forms
+            packed.append(Layer(packed[0].text.replace("+", " "), packed[0].first, packed[0].end, packed[0].whole))
+    if "\\" in t and item.level < LEVELS and UNICODE.search(t):
+        nexts.append(item.decoded(UNICODE, unicode_parts))
+    if "\\" in t and LITERAL.search(t):
+        packed.append(item.decoded(LITERAL, escape_parts))
+    for one in packed:
+        for m in BYTES.finditer(one.text) if one else ():
+            for got, a, b, cut in streams(m[0].encode("latin-1")):
+                whole = one.span(m.start() + a, m.start() + b)
+                if cut:
+                    cuts.add(whole)
+                yield got, whole
+    for pattern in (BASE64, BASE64_URL) if "-" in t or "_" in t else (BASE64,):
+        for m in pattern.finditer(t):
+            if pattern is BASE64_URL and "-" not in m[0] and "_" not in m[0]:
                 continue
-            seen.add(mark)
-            queue.extend(Layer(t, whole=whole) for t in readings(data))
-            for got, _, _ in streams(data):
-                if got is None:
-                    found.add((whole[0], 3, whole[1]))
-                else:
-                    queue.append((got, whole))
+            for a, b in line_ranges(m[0]):
+                data = from_base64(m[0][a:b])
+                if data:
+                    yield data, item.span(m.start() + a, m.start() + b)
+    for x in nexts:
+        if x is not None and x.text != t:
+            yield x
+
+
+def marked(item) -> tuple:
+    """What makes a layer the same as one met before: content, span, level."""
+    if isinstance(item, tuple):
+        return hashlib.blake2b(item[0], digest_size=16).digest(), item[1], "bytes"
+    t = item.text.encode("utf-8", "surrogatepass")
+    span = item.whole or (item.first[0], item.end[-1]) if t else None
+    return hashlib.blake2b(t, digest_size=16).digest(), span, item.level
+
+
+def every_span(text: str) -> tuple[list, list, list]:
+    """Base spans of a text, base with decoded spans, each sorted (start, kind, end), and the spans of cut streams.
+
+    The worklist is a stack of layers that are still being taken apart: of a long stream, only one window exists."""
+    base = scan(text)
+    found, seen, cuts = set(base), set(), set()
+    work = [inside(Layer(text), cuts)]
+    while work:
+        item = next(work[-1], None)
+        if item is None:
+            work.pop()
             continue
-        t = layer.text
-        if layer.first is not None or layer.whole:
-            mark = (hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).digest(), layer.whole or (layer.first[0], layer.end[-1]) if t else None)
-            if mark in seen:
-                continue
-            seen.add(mark)
-            for a, kind, b in scan(t):
-                s, e = layer.span(a, b)
+        mark = marked(item)
+        if mark in seen:
+            continue
+        seen.add(mark)
+        if isinstance(item, Layer):
+            for a, kind, b in scan(item.text):
+                s, e = item.span(a, b)
                 found.add((s, kind, e))
-        nexts, packed = [], []
-        if "%" in t and URL.search(t):
-            nexts.append(layer.decoded(URL, url_parts))
-            packed.append(layer.decoded(URL, url_bytes))
-            if packed[0] and "+" in t:  # a space in forms
-                packed.append(Layer(packed[0].text.replace("+", " "), packed[0].first, packed[0].end, packed[0].whole))
-        if "\\" in t and UNICODE.search(t):
-            nexts.append(layer.decoded(UNICODE, unicode_parts))
-        if "\\" in t and LITERAL.search(t):
-            packed.append(layer.decoded(LITERAL, escape_parts))
-        for one in packed:
-            for m in BYTES.finditer(one.text) if one else ():
-                for got, a, b in streams(m[0].encode("latin-1")):
-                    whole = one.span(m.start() + a, m.start() + b)
-                    if got is None:
-                        found.add((whole[0], 3, whole[1]))
-                    else:
-                        queue.append((got, whole))
-        for pattern in (BASE64, BASE64_URL) if "-" in t or "_" in t else (BASE64,):
-            for m in pattern.finditer(t):
-                if pattern is BASE64_URL and "-" not in m[0] and "_" not in m[0]:
-                    continue
-                for a, b in line_ranges(m[0]):
-                    data = from_base64(m[0][a:b])
-                    if data:
-                        queue.append((data, layer.span(m.start() + a, m.start() + b)))
-        queue.extend(x for x in nexts if x is not None and x.text != t)
-    return base, sorted(found)
+        work.append(inside(item, cuts))
+    return base, sorted(found), sorted(cuts)
+
+
+def all_spans(text: str) -> tuple[list, list]:
+    """Base spans of a text, and base with decoded spans, each sorted (start, kind, end)."""
+    return every_span(text)[:2]
 
 
 def joined(spans) -> str:
@@ -297,21 +368,21 @@ def joined(spans) -> str:
 
 
 def find_secrets(documents: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, cut_layers (start:end of streams read in windows) of every document."""
 
     def run(it):
-        schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string())])
+        schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base_sha256", pa.string()), ("spans", pa.string()), ("cut_layers", pa.string())])
         for batch in it:
             out = [[] for _ in schema]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                base, spans = all_spans(text.as_py() or "")
+                base, spans, cuts = every_span(text.as_py() or "")
                 kinds = [k for _, k, _ in base]
-                for c, v in zip(out, (doc, kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans))):
+                for c, v in zip(out, (doc, kinds.count(0), kinds.count(1), kinds.count(2), hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), ",".join(f"{s}:{e}" for s, e in cuts))):
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return rows.mapInArrow(run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, cut_layers string")
 
 
 def masked(text: str) -> str:

@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import urllib.parse
 import zlib
 
@@ -336,14 +337,56 @@ def test_exact_origin_of_characters():
     assert secret_scan.all_spans(text)[1] == [(2, 0, len(text) - 2)]
 
 
-def test_cycles_and_bombs(monkeypatch):
-    monkeypatch.setattr(secret_scan, "MAX_LAYER", 1000)
-    bomb = b64(zlib.compress(b"a" * 5000))
-    assert (0, 3, len(bomb)) in secret_scan.all_spans(bomb)[1]
+def test_cycles():
     assert secret_scan.all_spans("%25" * 50 + "41")[1] == []
     assert secret_scan.all_spans("\\ud83d\\ude00 \\udc00 %ff%fe")[1] == []
 
 
+@pytest.mark.parametrize("nest", [lambda t: t.replace("%", "%25"), lambda t: t.replace("\\", "\\x5c"), lambda t: t.replace("\\", "\\u005c"), lambda t: t.replace("%", "\\x25").replace("\\", "%5c")])
+@pytest.mark.parametrize("levels", [1, 5, 8, 9, 10, 17, 300])
+def test_levels_of_escapes(nest, levels):
+    text = "password" + ("%3D" if "%" in nest("%") and "x25" not in nest("%") else "\\x3D" if "x" in nest("\\") else "\\u003D")
+    for _ in range(levels if len(nest(nest(text))) < 40 else min(levels, 10)):
+        text = nest(text)
+    text = f"é {text}hunter2222 end"
+    assert (2, 0, len(text) - 4) in secret_scan.all_spans(text)[1]
+
+
+@pytest.mark.parametrize("hidden", ["%" + "25" * 50_000 + "3D", "%3" * 50_000 + "D", "\\x5c" + "x5c" * 33_000 + "x3D", "%5cx25" * 2 + "5cx25" * 20_000 + "3D", "%2" + "%3" * 50_000 + "53D"])
+def test_nested_escapes_take_linear_time(hidden):
+    began = time.process_time()
+    spans = secret_scan.all_spans(f"password{hidden}hunter2222")[1]
+    assert time.process_time() - began < 10
+    if hidden.startswith(("%25", "\\x5cx5c")):
+        assert (0, 0, len(hidden) + 18) in spans
+
+
+def test_settled_equals_level_by_level():
+    rnd = random.Random(5)
+    for _ in range(300):
+        text = "".join(rnd.choice(["%", "%25", "2", "5", "%3", "\\x5c", "\\", "x", "\\u00", "41", "u005c", "z", "%5c", "%34%31"]) for _ in range(rnd.randrange(1, 14)))
+        settled = secret_scan.Layer(text).settled()
+        assert settled.settled().text == settled.text and secret_scan.escape_at_end(list(settled.text)) == 0
+        assert len(settled.first) == len(settled.end) == len(settled.text) and settled.first == sorted(settled.first)
+        if settled.text:
+            assert settled.first[0] == 0 and settled.end[-1] == len(text) and settled.first[1:] == settled.end[:-1]
+
+
+@pytest.mark.parametrize("pack", [zlib.compress, gzip.compress, bz2.compress, zstandard.compress])
+def test_streams_in_windows(monkeypatch, pack):
+    monkeypatch.setattr(secret_scan, "WINDOW", 1000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 100)
+    for at in (*range(880, 1030, 7), 5000, 20_000):
+        for secret, kind in ((PLAIN, 0), ("password" + " " * 3000 + "=" + " " * 3000 + "hunter2222", 0), ("AKIA" + "Z" * 16, 1), ("deadbeef" * 3, 2), ("0123456789abcdef" * 400, 2)):
+            hidden = b64(pack((noise(at).hex().upper()[:at] + " " + secret + " ").encode()))
+            _, spans, cuts = secret_scan.every_span(hidden)
+            assert (0, kind, len(hidden)) in spans, (at, secret[:9])
+            assert cuts == ([(0, len(hidden))] if at > 1000 or len(secret) > 1000 else cuts)
+            assert all(k < 3 for _, k, _ in spans)
+    bomb = b64(pack(b"a " * 200_000))
+    assert secret_scan.all_spans(bomb)[1] == [] and secret_scan.masked(bomb) == bomb
+
+
 def test_redaction_keeps_columns(spark):
     df = frame(spark, [(1, "a token = abcdefgh b"), (2, None), (3, "clean")], CLASHING)
     out = {r.doc_id: r for r in secret_scan.redact_secrets(df).collect()}
