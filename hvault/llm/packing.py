@@ -39,7 +39,7 @@ CLOSE = 0
 SHARD_DOCS = 2048
 SHARD_TOKENS = 1 << 22
 COMPACT = 0.7  # part of the index that is left when used documents are taken out of it
-COMMON = 6  # ids in more than one of so many documents of a shard have a row of weights
+COMMON = 12  # ids in more than one of so many documents of a shard have a row of weights
 K1, B = 1.2, 0.75
 
 #: The vocabulary's split pattern and its one special token.
@@ -100,7 +100,8 @@ def tokenise(documents: DataFrame, ranks_path: str) -> DataFrame:
 class Index:
     """BM25 inverted index of one shard, for searches over the documents that are still unused.
 
-    Ids that many of the shard's documents hold have a row of weights for all documents; the others have postings
+    Ids that many of the shard's documents hold have a row of weights for all documents; one product of those rows and the
+    documents' ids gives that part of every score (at most ``SHARD_DOCS`` squared numbers). The others have postings
     (document, weight), sorted by id. ``stats`` (document frequencies by id, documents, mean length) are the whole
     table's; without them the shard is the table."""
 
@@ -112,18 +113,23 @@ class Index:
         first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
         doc, term = pairs[first] >> 16, pairs[first] & 0xFFFF
         tf = np.diff(np.append(first, len(pairs))).astype(float)
-        self.terms = np.split(term, np.searchsorted(doc, np.arange(1, n)))
         df = np.bincount(term, minlength=1 << 16)
         all_df, all_n, mean = stats or (df, n, size.mean())
         idf = np.log1p((all_n - all_df + 0.5) / (all_df + 0.5))
         weight = (idf[term] * tf * (K1 + 1) / (tf + (K1 * (1 - B + B * size / mean))[doc])).astype(np.float32)
         common = np.flatnonzero(df * COMMON > max(8 * COMMON, n))
-        self.row = np.full(1 << 16, -1, np.int32)
-        self.row[common] = np.arange(len(common))
-        self.dense = np.zeros((len(common), n), np.float32)
-        row = self.row[term]
-        self.dense[row[row >= 0], doc[row >= 0]] = weight[row >= 0]
-        rare = np.flatnonzero(row < 0)
+        place = np.full(1 << 16, -1, np.int32)
+        place[common] = np.arange(len(common))
+        row = place[term]
+        often = row >= 0
+        # with whole tiles of 64 every column is summed alike, so equal documents have equal scores
+        dense = np.zeros((len(common), -(-n // 64) * 64), np.float32)
+        dense[row[often], doc[often]] = weight[often]
+        holds = np.zeros((dense.shape[1], len(common)), np.float32)
+        holds[doc[often], row[often]] = 1
+        self.common = (holds @ dense)[:n, :n]
+        rare = np.flatnonzero(~often)
+        self.terms = np.split(term[rare], np.searchsorted(doc[rare], np.arange(1, n)))  # those that have postings, by document
         rare = rare[np.argsort(term[rare], kind="stable")]
         self.term, self.doc, self.weight = term[rare].astype(np.uint16), doc[rare].astype(np.int32), weight[rare]
         self.unused = np.arange(n)  # documents of the index's places
@@ -138,15 +144,13 @@ class Index:
         place = np.cumsum(live, dtype=np.int32) - 1
         stay = live[self.doc]
         self.term, self.doc, self.weight = self.term[stay], place[self.doc[stay]], self.weight[stay]
-        self.dense, self.unused = self.dense[:, live], self.unused[live]
+        self.common, self.unused = self.common[:, live], self.unused[live]
         self.begin = self._begin()
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of each document in ``unused`` for the distinct ids of ``seed``."""
+        out = self.common[seed].copy()
         t = self.terms[seed]
-        row = self.row[t]
-        out = np.add.reduce(self.dense[row[row >= 0]], axis=0)
-        t = t[row < 0]
         first, size = self.begin[t], self.begin[t + 1] - self.begin[t]
         some = size > 0
         first, size = first[some], size[some]
