@@ -44,6 +44,21 @@ def split_by_keys(target: DataFrame, keys: DataFrame, key: str, small: bool | No
     return target.join(k, key, "left_semi"), target.join(k, key, "left_anti")
 
 
+def split_hot(df: DataFrame, hot: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of the keys in ``hot``, the other rows, NULL keys included). There are at most rows / bound hot keys; they are
+    broadcast when counted to be few."""
+    k = broadcast_if_small(hot.select(key), counted=hot)
+    return df.join(k, key, "left_semi"), df.join(k, key, "left_anti")
+
+
+def by_heat(df: DataFrame, hot_keys: bool | DataFrame, key: str) -> list[tuple[DataFrame, bool]]:
+    """``df`` in parts, each with whether its keys are hot."""
+    if not isinstance(hot_keys, DataFrame):
+        return [(df, hot_keys)]
+    hot, rest = split_hot(df, hot_keys, key)
+    return [(rest, False), (hot, True)]
+
+
 def upsert_interval(
     target: DataFrame,
     rows: DataFrame,
@@ -137,7 +152,7 @@ def load_link(
     load_ts: str,
     mode: str = STRICT,
     small: bool | None = None,
-    hot_keys: bool = False,
+    hot_keys: bool | DataFrame = False,
     partitions: int | None = None,
 ) -> LinkLoad:
     """Load a link and its validity satellite from staged rows
@@ -149,11 +164,13 @@ def load_link(
     strict: all satellite rows of the touched keys are merged again with the
     batch (an explicit end replaces the open end of the same start) and replace
     the old rows; rows that do not change keep their version.
-    ``hot_keys``: the interval merge runs as a segmented scan (no window over a
-    whole key); the per-start step is a partial aggregate in both paths.
+    ``hot_keys`` (all keys, or a frame that names the hot ones): the interval
+    merge of these keys runs as a segmented scan (no window over a whole key),
+    the other keys keep the window; the per-start step is a partial aggregate
+    in both paths.
     """
-    def merge(df, m, **kw):
-        if hot_keys:
+    def merge(df, m, hot, **kw):
+        if hot:
             return merge_intervals_segmented(df, key, "create_dttm", "delete_dttm", m, partitions, **kw)
         return merge_intervals(df, key, "create_dttm", "delete_dttm", m, **kw)
 
@@ -172,7 +189,7 @@ def load_link(
         if batch.join(open_rows.select(key), key, "left_anti").isEmpty():
             return LinkLoad(link, lsat, link.limit(0), False)
         new_links = _insert_links(link, staged, key, hub_keys, src_cd, load_ts, small)
-        merged = merge(batch, REFERENCE).select(
+        merged = reduce(DataFrame.unionByName, [merge(part, REFERENCE, hot) for part, hot in by_heat(batch, hot_keys, key)]).select(
             key, F.col("create_dttm").alias(FROM), F.coalesce("delete_dttm", open_end()).alias("_new_to")
         )
         t = touched.alias("t")
@@ -202,12 +219,14 @@ def load_link(
             F.col("src_cd").alias("_old_src"),
         )
     )
-    if not hot_keys:
-        rows = rows.repartition(key)
-    per_start = rows.filter(F.col("create_dttm").isNotNull()).groupBy(key, "create_dttm").agg(
-        F.min("delete_dttm").alias("delete_dttm"), F.max(F.struct("_old_to", "_old_v", "_old_src")).alias("_old")
-    )
-    merged = merge(per_start, STRICT, first_of=["_old"])
+    def islands(part: DataFrame, hot: bool) -> DataFrame:
+        part = (part if hot else part.repartition(key)).filter(F.col("create_dttm").isNotNull())
+        per_start = part.groupBy(key, "create_dttm").agg(
+            F.min("delete_dttm").alias("delete_dttm"), F.max(F.struct("_old_to", "_old_v", "_old_src")).alias("_old")
+        )
+        return merge(per_start, STRICT, hot, first_of=["_old"])
+
+    merged = reduce(DataFrame.unionByName, [islands(part, hot) for part, hot in by_heat(rows, hot_keys, key)])
     to = F.coalesce("delete_dttm", open_end())
     same = F.col("_first._old._old_to") == to
     replaced = merged.select(
@@ -233,7 +252,7 @@ def load_hsat(
     version: int,
     mode: str = STRICT,
     small: bool | None = None,
-    hot_keys: bool = False,
+    hot_keys: bool | DataFrame = False,
     partitions: int | None = None,
 ) -> DataFrame:
     """SCD2 load of a hub satellite. ``batch``: key, hash, create_dttm,
@@ -256,7 +275,13 @@ def load_hsat(
     by batch rows of the same start and the next start are windows over that
     one partitioning and sort order. Untouched target rows pass through a
     broadcast anti join (the batch key set is proven small) without a shuffle.
+    ``hot_keys``: True avoids windows over a whole key for all keys; a frame of
+    keys does so for these only, and the other keys keep the plan above.
     """
+    if isinstance(hot_keys, DataFrame):
+        parts = zip(by_heat(target, hot_keys, key), by_heat(batch, hot_keys, key))
+        loads = [load_hsat(t, b, key, hash_col, attrs, src_cd, version, mode, small, hot, partitions) for (t, hot), (b, _) in parts]
+        return reduce(DataFrame.unionByName, loads)
     out_cols = [key, "version_id", hash_col, FROM, TO, "src_cd", *attrs]
     b = batch.filter(F.col("create_dttm").isNotNull())
     touched, untouched = split_by_keys(target, b, key, small)

@@ -140,12 +140,12 @@ def run_batch(
     mode: str = STRICT,
     only: set[str] | None = None,
     small: Mapping[str, bool] | None = None,
-    hot: Mapping[str, bool] | None = None,
+    hot: Mapping[str, bool | DataFrame] | None = None,
 ) -> Vault:
     """Load one staged batch into the vault (hubs, then links, then satellites).
 
     ``small`` maps a staged entity to a proven "fits a broadcast" flag;
-    ``hot`` maps a satellite to "its batch has a hot key" (segmented path).
+    ``hot`` maps a satellite to a frame of its hot keys (those take the segmented path).
     The result's ``versions`` are those of this batch.
     """
     small = small or {}
@@ -244,16 +244,29 @@ def history_tables() -> list[str]:
     return [*SATS, *(ln.lsat for ln in LINKS.values())]
 
 
-def hot_history(stored: DataFrame, table: str, bound: int, batch_top: int, hot_key_rows: int = HOT_KEY_ROWS) -> tuple[bool, int]:
-    """(is a key of the loaded table hot, new upper bound on its largest key group).
-
-    The bound before plus the batch's largest group is free; only when it passes ``hot_key_rows`` is the stored table
-    (the buckets that the batch touches) profiled exactly, and the bound reset to what that finds."""
-    if batch_top > hot_key_rows:
-        return True, bound + batch_top
-    if bound + batch_top > hot_key_rows:
-        bound = stored.groupBy(history_key(table)).count().agg(F.max("count").alias("top")).first()["top"] or 0
-    return bound + batch_top > hot_key_rows, bound + batch_top
+def hot_history(
+    stored: DataFrame,
+    batch_keys: DataFrame,
+    table: str,
+    bound: int,
+    batch_top: int,
+    write: Materialize,
+    hot_key_rows: int = HOT_KEY_ROWS,
+) -> tuple[DataFrame | bool, int]:
+    """(the keys of the loaded table that are hot or False, new upper bound on its largest key group).
+
+    The bound before plus the batch's largest group (itself a bound, of hash cells) is free. Only when it passes
+    ``hot_key_rows`` are the batch's rows and the stored ones of the buckets that it touches counted by key (a partial
+    aggregate), and the bound reset to what that finds. Hot keys are written: at most rows / ``hot_key_rows`` of them."""
+    if bound + batch_top <= hot_key_rows:
+        return False, bound + batch_top
+    key = history_key(table)
+    counts = stored.select(key).unionByName(batch_keys.select(key)).filter(F.col(key).isNotNull()).groupBy(key).count()
+    top = counts.agg(F.max("count").alias("top")).first()["top"] or 0
+    if top <= hot_key_rows:
+        return False, top
+    hot = write(f"{table}_hot", counts.filter(F.col("count") > hot_key_rows).select(key))
+    return hot, top
 
 
 class VaultStore:
@@ -338,7 +351,7 @@ class VaultStore:
             self.vault(batch - 1, missing)
             staged = self.staged(batch)
             prev = touched_vault(self.tables, batch - 1, self._profiles[batch], missing)
-            hot = {t: self._target_hot(batch, t, prev[t]) for t in missing & set(self._prof[batch])}
+            hot = {t: self._target_hot(batch, t, prev[t], staged[table_sources()[t][0][0]]) for t in missing & set(self._prof[batch])}
             loaded = run_batch(prev, staged, LOAD_TS[batch - 1], self.mode, missing, self._small[batch], hot)
             specs = table_specs()
             written = self.tables.write_all(batch, {n: (loaded.tables[n], specs[n][1]) for n in missing}, self.parallel_jobs)
@@ -353,15 +366,14 @@ class VaultStore:
             self._done[batch] |= missing
         return self._vaults[batch]
 
-    def _target_hot(self, batch: int, table: str, stored: DataFrame) -> bool:
-        """Is a key group of the stored history ``table`` (before ``batch``) hot?
+    def _target_hot(self, batch: int, table: str, stored: DataFrame, staged: DataFrame) -> DataFrame | bool:
+        """The keys of the history ``table`` that are hot once ``batch`` is loaded, or False.
 
         A key may be hot in the stored history while the batch holds few of its rows: see ``hot_history``.
         """
         prev = self._top_bound.setdefault(batch - 1, {})
         batch_top = self._prof[batch][table][1]
-        hot, bound = hot_history(stored, table, prev.get(table, 0), batch_top, self.hot_key_rows)
-        prev[table] = bound - batch_top
+        hot, bound = hot_history(stored, staged, table, prev.setdefault(table, 0), batch_top, self.materialize, self.hot_key_rows)
         self._top_bound.setdefault(batch, {})[table] = bound
         return hot
 

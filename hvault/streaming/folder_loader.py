@@ -29,7 +29,7 @@ from hvault.operators.staging import stage
 from hvault.plans.model import STAGING
 from hvault.plans.bucket_store import BUCKETS, BucketStore
 from hvault.plans.pipeline import (
-    Vault, as_ts, batch_profiles, entity_rows, history_tables, hot_history, run_batch, table_sources, table_specs, touched_buckets, touched_vault,
+    HOT_KEY_ROWS, Vault, as_ts, batch_profiles, entity_rows, history_tables, hot_history, run_batch, table_sources, table_specs, touched_buckets, touched_vault,
 )
 from hvault.plans.sizing import DEFAULT_MAX_BROADCAST_ROWS
 from hvault.sources.catalogue import CATALOGUE, REFERENCE_LISTS, SourceSpec
@@ -69,6 +69,7 @@ def load_micro_batch(
     load_ts: Callable[[int], str] | None = None,
     buckets: int = BUCKETS,
     keep: int = KEEP,
+    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> None:
     spark = lines.sparkSession
     store = BucketStore(spark, vault_root, buckets)
@@ -96,8 +97,13 @@ def load_micro_batch(
         prev = touched_vault(store, batch_id - 1, profiles, names)
         bounds = {t: r["top_bound"] or 0 for t, r in store.latest(batch_id - 1).items()}
         sources, hot, top = table_sources(), {}, {}
+
+        def write_hot(name, df):
+            df.write.mode("overwrite").parquet(f"{staging}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
         for t in names & set(history_tables()):
-            hot[t], top[t] = hot_history(prev[t], t, bounds.get(t, 0), profiles[sources[t][0]].top)
+            hot[t], top[t] = hot_history(prev[t], staged[sources[t][0][0]], t, bounds.get(t, 0), profiles[sources[t][0]].top, write_hot, hot_key_rows)
         text = (load_ts or (lambda _: dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")))(batch_id)
         vault = run_batch(prev, staged, text, mode, names, small, hot)
         specs = table_specs()

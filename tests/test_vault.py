@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest import OPEN, day
 from hvault.operators.intervals import REFERENCE, STRICT
 from hvault.operators.staging import extract_window
-from hvault.operators.vault import load_hsat, load_hub, load_link
+from hvault.operators.vault import by_heat, load_hsat, load_hub, load_link
 
 LSAT = "k string, version_id long, effective_from_dttm timestamp_ntz, effective_to_dttm timestamp_ntz, src_cd string"
 LINK = "k string, h1 string, h2 string, load_dttm timestamp_ntz, src_cd string"
@@ -117,7 +117,7 @@ def test_extract_window_half_open_drops_null(spark):
 
 
 @pytest.mark.parametrize("mode", [REFERENCE, STRICT])
-def test_satellite_hot_key_path_equals_window_path(spark, mode):
+def test_satellite_hot_key_path_equals_window_path(spark, monkeypatch, mode):
     import random
 
     rnd = random.Random(11)
@@ -143,10 +143,32 @@ def test_satellite_hot_key_path_equals_window_path(spark, mode):
     hot = load_hsat(t, b, "k", "hash_diff", ["a"], "CRM", 2, mode, hot_keys=True, partitions=7)
     assert plain.count() > 300
     assert plain.exceptAll(hot).count() == 0 and hot.exceptAll(plain).count() == 0
+    named = only_hot_segmented(spark, monkeypatch, "next_value_segmented", lambda k: load_hsat(t, b, "k", "hash_diff", ["a"], "CRM", 2, mode, hot_keys=k, partitions=7))
+    assert plain.exceptAll(named).count() == 0 and named.exceptAll(plain).count() == 0
+    # the other keys keep the plan of a load without hot keys: one exchange of batch and target by key
+    keys = spark.createDataFrame([("hot",)], "k string")
+    rest = [load_hsat(x, y, "k", "hash_diff", ["a"], "CRM", 2, mode, small=True) for (x, _), (y, _) in [(by_heat(t, keys, "k")[0], by_heat(b, keys, "k")[0])]][0]
+    assert rest._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def only_hot_segmented(spark, monkeypatch, name, load):
+    """``load`` with one named hot key, and a check that no other key takes the segmented scan."""
+    from hvault.operators import vault
+
+    plain, seen = getattr(vault, name), []
+
+    def spy(df, *args, **kw):
+        seen.append({r[0] for r in df.select("k").distinct().collect()})
+        return plain(df, *args, **kw)
+
+    monkeypatch.setattr(vault, name, spy)
+    out = load(spark.createDataFrame([("hot",)], "k string"))
+    assert seen == [{"hot"}]
+    return out
 
 
 @pytest.mark.parametrize("mode", [REFERENCE, STRICT])
-def test_link_hot_key_path_equals_window_path(spark, mode):
+def test_link_hot_key_path_equals_window_path(spark, monkeypatch, mode):
     import random
 
     rnd = random.Random(5)
@@ -170,6 +192,12 @@ def test_link_hot_key_path_equals_window_path(spark, mode):
     hot = load_link(link, ls, st, "k", ("h1", "h2"), "CRM", 2, "2001-01-01 00:00:00", mode, hot_keys=True, partitions=5)
     assert plain.lsat.exceptAll(hot.lsat).count() == 0 and hot.lsat.exceptAll(plain.lsat).count() == 0
     assert plain.link.exceptAll(hot.link).count() == 0 and plain.lsat.count() > 20
+    named = only_hot_segmented(
+        spark, monkeypatch, "merge_intervals_segmented",
+        lambda k: load_link(link, ls, st, "k", ("h1", "h2"), "CRM", 2, "2001-01-01 00:00:00", mode, hot_keys=k, partitions=5),
+    )
+    assert plain.lsat.exceptAll(named.lsat).count() == 0 and named.lsat.exceptAll(plain.lsat).count() == 0
+    assert plain.link.exceptAll(named.link).count() == 0
 
 
 def test_key_hot_only_in_stored_history_is_detected(spark):
@@ -180,24 +208,35 @@ def test_key_hot_only_in_stored_history_is_detected(spark):
 
     store = VaultStore(spark, {}, hot_key_rows=5)
     stored = spark.createDataFrame([("a",)] * 40 + [(f"k{i}",) for i in range(20)], "request_hash_key string")
+    batch = spark.createDataFrame([("a",), ("k0",), (None,)], "request_hash_key string")
+
+    def keys(hot):
+        return sorted(r[0] for r in hot.collect())
+
     store._prof = {1: {"hsat_request": (3, 1)}, 2: {"hsat_request": (10, 1)}}
     store._top_bound = {0: {}, 1: {"hsat_request": 5}}
-    assert store._target_hot(2, "hsat_request", stored) is True
-    assert store._top_bound[1]["hsat_request"] == 40 and store._top_bound[2]["hsat_request"] == 41
+    assert keys(store._target_hot(2, "hsat_request", stored, batch)) == ["a"]
+    assert store._top_bound[2]["hsat_request"] == 41
     # bound 0 + 1 stays below 5: no profile, not hot, bound carried forward
     store._top_bound = {0: {}}
-    assert store._target_hot(1, "hsat_request", stored) is False
+    assert store._target_hot(1, "hsat_request", stored, batch) is False
     assert store._top_bound[1]["hsat_request"] == 1
     # the carried bound trips, the exact profile stays below it: not hot
     store.hot_key_rows = 20
     many = spark.createDataFrame([(f"k{i % 200}",) for i in range(2000)], "request_hash_key string")
     store._top_bound = {0: {}, 1: {"hsat_request": 25}}
-    assert store._target_hot(2, "hsat_request", many) is False
-    assert store._top_bound[1]["hsat_request"] == 10
+    assert store._target_hot(2, "hsat_request", many, batch) is False
+    assert store._top_bound[2]["hsat_request"] == 11
+    # the batch's bound trips (keys share a hash cell), the exact profile does not
+    store._prof[2] = {"hsat_request": (30, 25)}
+    store._top_bound = {0: {}, 1: {}}
+    assert store._target_hot(2, "hsat_request", many.limit(0), spark.createDataFrame([(f"k{i}",) for i in range(30)], "request_hash_key string")) is False
+    assert store._top_bound[2]["hsat_request"] == 1
+    store._prof[2] = {"hsat_request": (10, 1)}
     # the bound is absolute: a key with a small share of a large table is hot when its rows pass it
     share = spark.createDataFrame([("a",)] * 80 + [(f"k{i}",) for i in range(1920)], "request_hash_key string")
     store._top_bound = {0: {}, 1: {"hsat_request": 80}}
-    assert store._target_hot(2, "hsat_request", share) is True
+    assert keys(store._target_hot(2, "hsat_request", share, batch)) == ["a"]
 
 
 def test_store_with_every_key_hot_equals_plain_store(spark):
