@@ -11,8 +11,11 @@ segment, so a hot key contributes at most as many rows as there are
 partitions, and the carry windows over them are small.
 
 Results equal the plain window versions (``hvault.operators.intervals``,
-``hvault.plans.mart.as_of``); range-partition bounds never split rows with
-equal (key, t), so peers of a RANGE frame stay in one segment.
+``hvault.plans.mart.as_of``). Bounds are cut on the whole order of a scan, so
+rows of one (key, instant) are spread, too; what cannot be told apart by it is
+combined first (strict merge) or told apart by a hash of the row (as-of probes).
+Only the merge by reference rules is cut on the start alone: rows of one start
+are peers of its RANGE frame and stay in one segment.
 """
 
 from __future__ import annotations
@@ -68,7 +71,12 @@ def merge_intervals_segmented(
     base = df.filter(F.col(start).isNotNull()).select(
         F.col(key).alias("_k"), F.col(start).alias("_s"), F.coalesce(F.col(end), open_end()).alias("_e"), *first_of
     )
-    seg = segment(base, "_k", ["_s"], partitions)
+    if mode != "reference":
+        # equal intervals change no island: one of each is left (a partial aggregate), with the least ``first_of``
+        least = [F.min(F.struct(*first_of)).alias("_f")] if first_of else []
+        base = base.groupBy("_k", "_s", "_e").agg(*least) if least else base.distinct()
+        base = base.select("_k", "_s", "_e", *[F.col(f"_f.{c}").alias(c) for c in first_of])
+    seg = segment(base, "_k", ["_s"] if mode == "reference" else ["_s", "_e"], partitions)
     local = Window.partitionBy("_k", SEG).orderBy(F.col("_s").asc(), F.col("_e").asc())
     if mode == "reference":
         # previous row's end; the first row of a segment takes the last end of
@@ -155,8 +163,10 @@ def as_of_segmented(
         F.lit(None).cast(h.schema["_h"].dataType).alias("_h"),
         *[F.col(c) for c in pcols if c != key],
     )
-    ordcols = ["_t", "_probe", *[f"_o_{i}" for i in range(len(order))]]
-    u = segment(h.unionByName(p), key, ["_t"], partitions)
+    # NULLs are last in the segments, between them and in the summaries; probes of one instant are spread by a hash
+    h, p = h.withColumn("_tie", F.lit(0).cast("long")), p.withColumn("_tie", F.xxhash64(*pcols))
+    u, ordcols = _null_flags(h.unionByName(p), ["_t", "_probe", *[f"_o_{i}" for i in range(len(order))]])
+    u = segment(u, key, [*ordcols, "_tie"], partitions)
     local = Window.partitionBy(key, SEG).orderBy(*[F.col(c).asc_nulls_last() for c in ordcols]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumn("_last", F.last("_h", ignorenulls=True).over(local))
     # every segment gets a summary (NULL when it holds no history row)

@@ -66,6 +66,49 @@ def test_as_of_segmented_equals_plain(spark):
     assert plain.filter(F.col("state").isNotNull()).count() > 1000
 
 
+@pytest.fixture
+def segments(monkeypatch):
+    """Number of segments that hold rows of the hot key's busiest instant, for each ``segment`` call."""
+    from hvault.operators import segmented
+
+    plain, out = segmented.segment, []
+
+    def spy(df, key, order, partitions=None):
+        seg = plain(df, key, order, partitions)
+        t = "_s" if "_s" in df.columns else "_t"
+        busy = seg.filter(F.col(key) == "hot").groupBy(t).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(segmented.SEG).alias("s"))
+        out.append(busy.orderBy(F.col("n").desc()).first()["s"])
+        return seg
+
+    monkeypatch.setattr(segmented, "segment", spy)
+    return out
+
+
+def test_merge_spreads_rows_of_one_instant(spark, segments):
+    rnd = random.Random(3)
+    rows = [("hot", T0 + dt.timedelta(hours=50 if i % 5 else i % 97), T0 + dt.timedelta(hours=50, minutes=i % 1300 if i % 5 else -i), i % 7) for i in range(2600)]
+    rows += [("hot", T0 + dt.timedelta(hours=50), None, 5)] * 40 + [(f"k{rnd.randrange(9)}", T0 + dt.timedelta(hours=rnd.randrange(400)), T0 + dt.timedelta(hours=rnd.randrange(400)), 1) for _ in range(200)]
+    df = spark.createDataFrame(rows, "k string, create_dttm timestamp_ntz, delete_dttm timestamp_ntz, v int")
+    for first_of in ([], ["v"]):
+        plain = merge_intervals(df, "k", mode="strict", first_of=first_of)
+        seg = merge_intervals_segmented(df, "k", mode="strict", partitions=9, first_of=first_of)
+        if first_of:
+            plain, seg = (x.select("k", "create_dttm", "delete_dttm", F.col("_first.v")) for x in (plain, seg))
+        assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0
+    assert len(segments) == 2 and min(segments) > 2
+
+
+def test_as_of_spreads_probes_of_one_instant(spark, segments):
+    at = T0 + dt.timedelta(hours=5)
+    hist = [("hot", T0 + dt.timedelta(hours=i), T0 + dt.timedelta(hours=i + 1), f"s{i}") for i in range(12)] + [("hot", at, at + dt.timedelta(hours=1), "t"), ("hot", None, at + dt.timedelta(days=9), "null start"), ("n", None, None, "x")]
+    states = spark.createDataFrame(hist, "k string, effective_from_dttm timestamp_ntz, effective_to_dttm timestamp_ntz, state string")
+    probes = spark.createDataFrame([("hot", i, at if i % 5 else T0 + dt.timedelta(minutes=i)) for i in range(1200)] + [("n", 1, at), ("hot", 7, None)], "k string, pid int, at timestamp_ntz")
+    plain = as_of(probes, states, "k", "at", order=("state",), carry=("state", "effective_from_dttm"))
+    seg = as_of_segmented(probes, states, "k", "at", order=("state",), carry=("state", "effective_from_dttm"), partitions=9)
+    assert plain.exceptAll(seg).count() == 0 and seg.exceptAll(plain).count() == 0
+    assert segments[0] > 2
+
+
 def test_prev_value_segmented_equals_lag(spark):
     from pyspark.sql.window import Window
 
