@@ -41,7 +41,7 @@ def test_levels_cycles_and_validation(spark):
         (None, None, None, None),
     ]
     out = chat(spark, [(1, 0, "a", "x\n\"é", calls, None), (1, 1, "t", None, None, "p"), (1, 2, "t", "r", [], "gone"), (None, None, None, None, None, None), (2, 0, "a", "", calls[1:2], None)])
-    assert [out[1, 0, i].level for i in range(6)] == [2, 1, None, None, 3, None] and out[2, 0, 0].level == 0
+    assert [out[1, 0, i].level for i in range(6)] == [2, 1, None, None, 3, None] and out[2, 0, 0].level == 1
     assert [out[1, 0, i].errors for i in range(6)] == [
         "", "argument exact is BIGINT, not BOOLEAN; missing argument term", "arguments are no object; unknown tool", "arguments are no object", "unknown argument b", "arguments are no object; unknown tool",
     ]
@@ -59,29 +59,52 @@ def test_long_chain_and_repeats(spark):
     assert C.format_chats(empty, C.tool_table(spark)).count() == 0
 
 
-def test_chain_longer_than_a_thousand(spark):
-    """Each call needs the one before; one need points forward."""
-    calls = [(f"c{i}", "lookup", '{"term":"b"}', [f"c{i - 1}"] if i else ["last"]) for i in range(1500)] + [("last", "lookup", '{"term":"b"}', [])]
-    out = chat(spark, [(1, 0, "a", "x", calls, None)])
-    assert [out[1, 0, i].level for i in range(1501)] == [*range(2, 1502), 1]
+@pytest.mark.parametrize("turns", [1, 1501])
+@pytest.mark.parametrize("span", [C.SPAN, 200])
+def test_chain_longer_than_a_thousand(spark, monkeypatch, turns, span):
+    """Each call needs the two before it; one need points forward; in one block or several."""
+    monkeypatch.setattr(C, "SPAN", span)
+    calls = [(f"c{i}", "lookup", '{"term":"b"}', [f"c{j}" for j in (i - 1, i - 2) if j >= 0] or ["last"]) for i in range(1500)] + [("last", "lookup", '{"term":"b"}', [])]
+    rows = [(1, 0, "a", "x", calls, None)] if turns == 1 else [(1, t, "a", "x", [call], None) for t, call in enumerate(calls)]
+    out = chat(spark, rows)
+    assert [out[(1, 0, i) if turns == 1 else (1, i, 0)].level for i in range(1501)] == [*range(2, 1502), 1]
+
 
+def plain_levels(needs):
+    """Level of each call, by rounds; calls on or behind a cycle have none."""
+    level = {}
+    while now := {i: 1 + max((level[k] for k in x), default=0) for i, x in needs.items() if i not in level and all(k in level for k in x)}:
+        level |= now
+    return level
 
-def test_levels_equal_plain_ones(spark):
+
+@pytest.mark.parametrize("span", [C.SPAN, 4, 1])
+def test_levels_equal_plain_ones(spark, monkeypatch, span):
+    """In blocks of all sizes: forward needs, cycles, several turns, repeated ids and positions."""
+    monkeypatch.setattr(C, "SPAN", span)
     rng = random.Random(3)
     rows, exp = [], {}
-    for conv in range(40):
+    for conv in range(25):
         n = rng.randint(1, 14)
-        needs = [[f"c{rng.randrange(n)}" for _ in range(rng.choice([0, 1, 1, 2]))] if rng.random() < 0.3 else [f"c{k}" for k in {i + 1, i + rng.randint(1, 3)} if k < n] for i in range(n)]
-        rows.append((conv, 0, "a", "x", [(f"c{i}", "lookup", '{"term":"b"}', x) for i, x in enumerate(needs)], None))
-        level = {}
-        if any(int(k[1:]) >= i for i, x in enumerate(needs) for k in x):
-            while now := {i: 1 + max((level[int(k[1:])] for k in x), default=0) for i, x in enumerate(needs) if i not in level and all(int(k[1:]) in level for k in x)}:
-                level |= now
-            exp |= {(conv, i): level.get(i) for i in range(n)}
-        else:
-            exp |= {(conv, i): 0 for i in range(n)}
-    out = chat(spark, rows)
-    assert {(c, i): out[c, 0, i].level for c, i in exp} == exp and None in exp.values() and max(v or 0 for v in exp.values()) > 5
+        needs = {f"c{i}": [f"c{rng.randrange(n)}" for _ in range(rng.choice([0, 1, 1, 2]))] if rng.random() < 0.2 else [f"c{k}" for k in {i + 1, i + rng.randint(1, 3)} if k < n] for i in range(n)}
+        if conv % 2:
+            needs = {f"c{n - 1 - int(i[1:])}": [f"c{n - 1 - int(k[1:])}" for k in x] for i, x in needs.items()}
+        calls = [(i, "lookup", '{"term":"b"}', x) for i, x in sorted(needs.items(), key=lambda x: int(x[0][1:]))]
+        cut = rng.randint(0, n)
+        rows += [(conv, 0, "a", "x", calls[:cut], None), (conv, rng.choice([0, 1, 9, None]), "a", "x", calls[cut:] + calls[:1], None)]
+        exp |= {(conv, i): plain_levels(needs).get(i) for i in needs}
+    df = spark.createDataFrame([(*r, "x") for r in rows], MESSAGES + ", row string")
+    got = [r for r in C.format_chats(df, C.tool_table(spark)).collect() if r.kind == "call"]
+    assert len(got) == sum(len(r[4]) for r in rows) and {(r.conv_id, r.call_id): r.level for r in got} == exp
+    assert None in exp.values() and max(v or 0 for v in exp.values()) > 5
+
+
+def test_arguments_that_are_no_value(spark):
+    """A repeated key gives no value; arguments of some megabytes do."""
+    long = '{"term":"' + "b" * 5_000_000 + '"}'
+    out = chat(spark, [(1, 0, "a", "x", [("p", "lookup", '{"term":"a","term":"b"}', []), ("q", "lookup", long, None)], None)])
+    assert (out[1, 0, 0].errors, out[1, 0, 1].errors) == ("arguments are no object", "")
+    assert out[1, 0, 0].json.startswith('{"arguments":"{\\"term\\":\\"a\\"') and long in out[1, 0, 1].json
 
 
 def test_native_plan(spark):
