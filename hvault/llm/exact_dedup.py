@@ -5,10 +5,14 @@ becomes one space (null counts as empty). Copies are combined in three steps,
 each comparing full content, never digests alone:
 
 1. inside each task, so a group of any size sends one row per task and flush;
-2. per (digest, salt), where the salt is the task's number modulo ``salts``,
-   so the rows of one huge group are dealt over several tasks;
+2. per (digest, salt), where each flush of a task takes the next salt modulo
+   ``salts``, so the rows of one huge group are dealt over several tasks;
 3. across the salts, only for digests that have winners under several salts.
 
+The salts grow with the square root of the input's partitions, so that a text
+with copies in every partition brings about as many contents to one task of
+step 2 as to one of step 3, and neither grows as fast as the input.
+
 Steps 2 and 3 stream rows sorted by digest and hold the distinct contents of
 one digest (one, unless digests collide) and at most ``salts`` rows of each.
 
@@ -22,6 +26,8 @@ one output row; columns besides ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
+from math import isqrt
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -30,7 +36,7 @@ from pyspark.sql import functions as F
 
 from hvault.llm.common import stored
 
-SALTS = 8
+SALTS = 8  # at least
 HELD_BYTES = 48 << 20  # content a task holds for local comparison
 HELD_ROWS = 20_000
 NO_ID = (1 << 63) - 1  # stands for a null doc_id while combining
@@ -48,18 +54,15 @@ def normalise(text: bytes) -> bytes:
     return out + b" " if text[-1:].isspace() else out
 
 
-def local_winners(it):
+def local_winners(salts: int) -> Callable:
     """One row per content and flush: digest, salt, content, the group's smallest id, its rows' ids."""
     schema = pa.schema([("digest", pa.binary()), ("salt", pa.int32()), ("content", pa.binary()), ("least", pa.int64()), ("ids", pa.list_(pa.int64()))])
-    salt = TaskContext.get().partitionId()
-    held: dict = {}
-    size = rows = 0
 
-    def flush():
+    def rows_of(held: dict, salt: int):
         out = [[], [], [], [], []]
         for digest, groups in held.items():
             for content, ids in groups:
-                for c, v in zip(out, (digest, salt % SALTS, content, min(ids), ids)):
+                for c, v in zip(out, (digest, salt, content, min(ids), ids)):
                     c.append(v)
                 if len(out[0]) >= 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
@@ -67,23 +70,29 @@ def local_winners(it):
         if out[0]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
 
-    for batch in it:
-        for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-            content = normalise(text.as_buffer().to_pybytes()) if text.is_valid else b""
-            groups = held.setdefault(hashlib.sha256(content).digest(), [])
-            doc = NO_ID if doc is None else doc
-            for known, ids in groups:
-                if known == content:
-                    ids.append(doc)
-                    break
-            else:
-                groups.append((content, [doc]))
-                size += len(content)
-            rows += 1
-            if size >= HELD_BYTES or rows >= HELD_ROWS:
-                yield from flush()
-                held, size, rows = {}, 0, 0
-    yield from flush()
+    def combine(it):
+        salt = TaskContext.get().partitionId()  # neighbouring tasks and flushes take neighbouring salts
+        held: dict = {}
+        size = rows = 0
+        for batch in it:
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                content = normalise(text.as_buffer().to_pybytes()) if text.is_valid else b""
+                groups = held.setdefault(hashlib.sha256(content).digest(), [])
+                doc = NO_ID if doc is None else doc
+                for known, ids in groups:
+                    if known == content:
+                        ids.append(doc)
+                        break
+                else:
+                    groups.append((content, [doc]))
+                    size += len(content)
+                rows += 1
+                if size >= HELD_BYTES or rows >= HELD_ROWS:
+                    yield from rows_of(held, salt % salts)
+                    held, size, rows, salt = {}, 0, 0, salt + 1
+        yield from rows_of(held, salt % salts)
+
+    return combine
 
 
 def salted_winners(it):
@@ -129,10 +138,11 @@ def global_winners(it):
     yield from close()
 
 
-def dedup_exact(documents: DataFrame, salts: int = SALTS) -> DataFrame:
+def dedup_exact(documents: DataFrame, salts: int | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 (of the normalised text): see the module's description."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    local = rows.mapInArrow(local_winners, "digest binary, salt int, content binary, least long, ids array<long>").withColumn("salt", F.pmod("salt", F.lit(salts)))
+    salts = salts or max(SALTS, isqrt(rows.rdd.getNumPartitions()))
+    local = rows.mapInArrow(local_winners(salts), "digest binary, salt int, content binary, least long, ids array<long>")
     dealt = local.repartition("digest", "salt").sortWithinPartitions("digest", "salt", "least")
     salted = stored(dealt.mapInArrow(salted_winners, "digest binary, salt int, class int, least long, ids array<long>, content binary"), "salted")
 

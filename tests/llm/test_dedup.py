@@ -51,6 +51,18 @@ def test_exact(spark, monkeypatch, held):
     assert exact_dedup.dedup_exact(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_copies_are_dealt_over_salts(spark, monkeypatch, tasks):
+    """Flushes of one task, too, bring copies of a text to different salts; salts grow with the tasks."""
+    monkeypatch.setattr(exact_dedup, "HELD_ROWS", 10)
+    docs = spark.range(400).selectExpr("id AS doc_id", "CAST('same' AS binary) AS text").repartition(tasks)
+    rows = docs.mapInArrow(exact_dedup.local_winners(20), "digest binary, salt int, content binary, least long, ids array<long>")
+    per_salt = [r["count"] for r in rows.groupBy("salt").count().collect()]
+    assert len(per_salt) >= 16 and max(per_salt) <= 3  # 40 to 42 flushes
+    out = exact_dedup.dedup_exact(docs.repartition(121)).collect()  # 11 salts
+    assert len(out) == 400 and {(r.keep_id, r.group_size) for r in out} == {(0, 400)}
+
+
 def test_exact_digest_collision(monkeypatch):
     """Different contents under one digest stay apart in every step."""
     rows = [(b"d", 0, b"one", 1, [1]), (b"d", 0, b"two", 2, [2]), (b"d", 0, b"one", 3, [3])]
