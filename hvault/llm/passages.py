@@ -21,8 +21,9 @@ are cut alike. Steps:
    blocks of more common anchors are opened into single windows, which are
    dealt by content, so no anchor is too common for a task.
 
-Every comparison is on content; hashes only prune. A sketch that is too small
-for the corpus prunes less and loses nothing.
+Comparisons are on content and hashes only prune, but for the single word
+windows of the more common anchors in step 4, which op3 compares by a 128-bit
+digest. A sketch that is too small for the corpus prunes less and loses nothing.
 """
 
 from __future__ import annotations

@@ -108,8 +108,8 @@ def bytes_between(buf):
 def dedup_bytes(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary), spans (array of begin and end, end exclusive).
 
-    ``gram`` (at most ``length``) is the width of the first digit; it and the
-    size of the histogram change the work, never the result.
+    ``gram`` (at most ``length``) is the number of bytes of an anchor; it and the
+    size of the sketches change the work, never the result.
     """
     gram = min(gram, length)
     docs = P.keyed(documents)

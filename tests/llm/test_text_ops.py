@@ -430,6 +430,30 @@ def test_classifier_awkward(spark):
     assert quality_classifier.keep_good(docs, labels).columns == docs.columns
 
 
+def test_fit_equals_plain_one(spark):
+    """Means, priors and shrunk covariances against NumPy on the same rows; the scores of both agree."""
+    rng = np.random.default_rng(4)
+    k = len(quality_classifier.NAMES)
+    x = rng.standard_normal((90, k)) @ rng.standard_normal((k, k)) + 5
+    x[:, 3] = 2.5  # a statistic that never varies
+    y = np.arange(90) % 3 // 2
+    rows = spark.createDataFrame([(a.tolist(), int(b)) for a, b in zip(x, y)], "x array<double>, quality int").repartition(4)
+    model = quality_classifier.fit(rows, 0.3, 0.2)
+    spread = np.where(np.ptp(x, axis=0) > 0, x.std(axis=0), 1.0)
+    z = (x - x.mean(axis=0)) / spread
+    assert np.allclose(model.centre, x.mean(axis=0)) and np.allclose(model.scale, spread)
+    within = sum(np.cov(z[y == c].T, bias=True) * (y == c).mean() for c in (0, 1))
+    parts = []
+    for c, (log_prior, mean, inverse, log_det) in zip((0, 1), model.classes):
+        cov = 0.7 * np.cov(z[y == c].T, bias=True) + 0.3 * within
+        cov = 0.8 * cov + 0.2 * np.diag(np.diag(cov) + 0.1)
+        assert np.isclose(log_prior, np.log((y == c).mean())) and np.allclose(mean, z[y == c].mean(axis=0))
+        assert np.allclose(inverse.T @ inverse, np.linalg.inv(cov)) and np.isclose(2 * log_det, np.linalg.slogdet(cov)[1])
+        away = z - z[y == c].mean(axis=0)
+        parts.append(np.log((y == c).mean()) - 0.5 * (np.linalg.slogdet(cov)[1] + np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away)))
+    assert np.allclose(model.log_odds(x), parts[1] - parts[0])
+
+
 def test_log_odds_equal_gaussian_densities():
     rng = np.random.default_rng(0)
     k = len(quality_classifier.NAMES)
