@@ -37,26 +37,29 @@ GRAM = 20
 
 
 def radix_groups(items: list[bytes]) -> np.ndarray:
-    """A group number per item, equal exactly for equal items: most-significant-digit passes over 8-byte digits."""
+    """A group number per item, equal exactly for equal items: most-significant-digit passes over 8-byte digits.
+
+    The size is the first digit, so the items of a bucket end together. The digits take the room of the items, not that
+    of the longest one for each."""
     sizes = np.fromiter(map(len, items), np.int64, len(items))
-    width = -(-int(sizes.max(initial=1)) // 8) * 8
-    digits = np.frombuffer(b"".join(x.ljust(width, b"\0") for x in items), ">u8").reshape(len(items), -1)
+    words = -(-sizes // 8)
+    begin = np.cumsum(words) - words
+    digits = np.frombuffer(b"".join(x.ljust(-(-len(x) // 8) * 8, b"\0") for x in items), ">u8")
     out = np.full(len(items), -1, np.int64)
-    live, bucket, done = np.arange(len(items)), np.zeros(len(items), np.int64), 0
-    for digit in (sizes, *digits.T):
-        d = digit[live]
+    live, bucket, done, at = np.arange(len(items)), np.zeros(len(items), np.int64), 0, -1
+    while len(live):
+        d = sizes[live] if at < 0 else digits[begin[live] + at]
+        at += 1
         order = np.lexsort((d, bucket))
         live, d, bucket = live[order], d[order], bucket[order]
         new = np.ones(len(live), bool)
         new[1:] = (d[1:] != d[:-1]) | (bucket[1:] != bucket[:-1])
         bucket = np.cumsum(new) - 1
-        alone = np.bincount(bucket)[bucket] == 1 if len(live) else new
-        out[live[alone]] = done + np.arange(int(alone.sum()))
-        done += int(alone.sum())
-        live, bucket = live[~alone], bucket[~alone]
-        if not len(live):
-            break
-    out[live] = done + bucket
+        settled = (np.bincount(bucket)[bucket] == 1) | (words[live] == at)
+        numbers, number = np.unique(bucket[settled], return_inverse=True)
+        out[live[settled]] = done + number
+        done += len(numbers)
+        live, bucket = live[~settled], bucket[~settled]
     return out
 
 

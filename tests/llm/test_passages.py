@@ -65,3 +65,23 @@ def test_radix_groups():
     items = [b"abc", b"abcd", b"abc\0", b"abc", b"", b"", b"x" * 50, b"x" * 49 + b"y", b"x" * 50]
     g = radix_groups(items)
     assert all((g[i] == g[j]) == (items[i] == items[j]) for i in range(len(items)) for j in range(len(items)))
+
+
+def test_radix_groups_hold_the_items_and_not_the_longest_for_each():
+    import random
+    import tracemalloc
+
+    rng = random.Random(4)
+    parts = [bytes(rng.choices(b"\0ab", k=k)) for k in (0, 1, 7, 8, 9, 16, 17, 40)]
+    items = [rng.choice(parts) + rng.choice(parts) + b"\0" * rng.randrange(3) for _ in range(3000)] + [b"x" * 100_000, b"x" * 100_000, b"x" * 99_999 + b"y"]
+    tracemalloc.start()
+    group = radix_groups(items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # as many bytes as 3,003 times the longest item would be 300 MB
+    assert peak < 10_000_000
+    of: dict = {}
+    for x, g in zip(items, group.tolist()):
+        assert of.setdefault(x, g) == g
+    assert len(set(of.values())) == len(of)
+    assert radix_groups([]).tolist() == []
