@@ -81,3 +81,14 @@ def test_windows_of_a_shared_extract_are_not_stored_again(spark, tmp_path):
     n = [store.staged(b, ["crm_transaction"])["crm_transaction"].count() for b in (1, 2)]
     assert min(n) > 0 and sum(n) == src["crm_transaction"].count()
     assert sorted(written) == ["crm_transaction_type", "extract_crm_transaction"]
+
+
+def test_transactions_without_hot_orders_take_one_exchange(spark, plain_joins):  # noqa: F811
+    from hvault.sources.adaptor import crm_transaction, profiled_transactions
+
+    lineitem = spark.read.parquet(f"{SF}/lineitem.parquet")
+    lineitem = lineitem.unionByName(lineitem.limit(3).withColumn("l_orderkey", F.lit(None).cast("bigint")))
+    plain, lean = crm_transaction(lineitem), crm_transaction(lineitem, hot_orders=False)
+    assert rows(plain) == rows(lean) and exchanges(plain) > 1 and exchanges(lean) == 1
+    assert exchanges(profiled_transactions(spark, SF, 1_000_000)) == 1
+    assert exchanges(profiled_transactions(spark, SF, 1)) > 1
