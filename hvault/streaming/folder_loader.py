@@ -58,7 +58,7 @@ def read_snapshot(spark: SparkSession, vault_root: str, batch_id: int | None = N
 
 
 def _stored_list(store: BucketStore, name: str, batch_id: int) -> DataFrame:
-    return store.spark.read.parquet(store.folder(f"ref_{name}", store.manifest(batch_id)[f"ref_{name}"][0], 0))
+    return store.spark.read.parquet(store.folder(f"ref_{name}", store.manifest(batch_id)[f"ref_{name}"][0][-1], 0))
 
 
 def load_micro_batch(
