@@ -2,7 +2,8 @@
 
 import pytest
 from pyspark.sql import functions as F
-from test_large_batches import SF, rows
+from test_large_batches import SF, exchanges, plain_joins, rows  # noqa: F401
+from test_packed_keys import exchanged
 
 from hvault.operators.intervals import REFERENCE, STRICT
 from hvault.plans import bucket_store
@@ -76,3 +77,33 @@ def test_second_large_batch_adds_to_hubs_links_and_untouched_histories(spark, mo
     # re-sent keys: their histories are written anew
     for n in names[5:]:
         assert set(stored.manifest(2)[n].values()) == {(2,)}
+
+
+@pytest.mark.parametrize("mode", [STRICT, REFERENCE])
+def test_first_large_loads_exchange_ids_not_hashes(spark, plain_joins, mode):  # noqa: F811
+    """One exchange for a link, its satellite and a hub satellite each, of what their hashes are made of."""
+    from hvault.operators.staging import extract, placed, with_hashes
+    from hvault.operators.vault import load_hsat, load_link
+    from hvault.plans.model import LINKS, SATS, STAGING
+    from hvault.plans.pipeline import empty_vault, link_rows, sat_batch
+    from hvault.sources.adaptor import derive_sources
+
+    src = derive_sources(spark, SF)
+    spec, ln, sat, none = STAGING["service_request"], LINKS["link_cust_x_req"], SATS["hsat_request"], empty_vault(spark)
+    df = extract(spec, src["service_request"], {lk.ref: src[lk.ref].localCheckpoint() for lk in spec.lookups}).localCheckpoint()
+    staged = {"service_request": with_hashes(spec, df, src["service_request"].columns)}
+    there = lambda key: {"service_request": placed(spec, df, src["service_request"].columns, key)}
+    link = [
+        load_link(none[ln.name], none[ln.lsat], link_rows(ln, staged), ln.key, ln.hub_keys, ln.src_cd, 1, "2000-01-01 00:00:00", mode, False, placed=p)
+        for p in (None, link_rows(ln, there(ln.key)))
+    ]
+    hsat = [
+        load_hsat(none[sat.name], sat_batch(sat, rows), sat.key, sat.hash_col, sat.attr_names, sat.src_cd, 1, mode, False, placed=at)
+        for rows, at in ((staged, False), (there(sat.key), True))
+    ]
+    for plain, lean in ((link[0].lsat, link[1].lsat), (link[0].inserted_links, link[1].inserted_links), hsat):
+        assert rows(plain) == rows(lean) and plain.count() > 0
+        # the anti join of a link takes the stored keys, besides
+        moved = [of for of in exchanged(lean) if of != [(ln.key, "binary")]]
+        assert not [c for of in moved for c, t in of if "hash" in c or t == "binary"]
+    assert exchanges(link[1].lsat) == exchanges(hsat[1]) == 1
