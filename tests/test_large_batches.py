@@ -109,3 +109,22 @@ def test_a_query_pays_for_what_it_reads(spark, tmp_path):
     assert rows(store.table("lsat_acc_x_app")) == rows(whole.table("lsat_acc_x_app"))
     logged = [rows(s.tables.log(2).where("table_name in ('lsat_acc_x_app', 'staging_crm_account')")) for s in (store, whole)]
     assert logged[0] == logged[1] and len(logged[0]) == 4
+
+
+def test_a_large_key_set_is_not_broadcast_whatever_spark_takes_its_size_for(spark, tmp_path):
+    """Staged rows hold ids, their keys are hashes: the files are small enough for Spark's own broadcast, the keys are not."""
+    from hvault.functions.keys import hash_key
+    from hvault.operators.vault import split_by_keys, upsert_interval
+    from hvault.plans.sizing import broadcast_if_small
+
+    spark.range(1000).select(F.col("id").cast("string").alias("id"), F.lit("2000-01-01").alias("at")).write.parquet(f"{tmp_path}/ids")
+    came = spark.read.parquet(f"{tmp_path}/ids").select(hash_key("id").alias("k"), *[F.col("at").cast("timestamp_ntz").alias(c) for c in ("effective_from_dttm", "effective_to_dttm")])
+    target = came.where("k > '8'")
+    joined = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    touched, untouched = split_by_keys(target, came, "k", small=False)
+    kept = target.join(broadcast_if_small(came.select("k"), max_rows=999), "k", "left_semi")
+    upserted = upsert_interval(target, came, "k", small=False)
+    for df in (touched, untouched, kept, upserted):
+        assert "Broadcast" not in joined(df)
+    assert "Broadcast" in joined(target.join(broadcast_if_small(came.select("k"), max_rows=1000), "k", "left_semi"))
+    assert upserted.count() == 1000 and untouched.count() == 0 and touched.count() == kept.count() == target.count()
