@@ -9,8 +9,10 @@ are chained to segments, cut where an anchor's hash says so, so equal passages
 are cut alike. Steps:
 
 1. ``sketch``: every task counts the cells of its anchors and segments
-   (``rows`` hash functions over a bounded number of cells); partial counts
-   are merged by cell range. A merged count is never below the true one.
+   (``rows`` hash functions over cells in proportion to the input); partial counts
+   are merged by cell range. A merged count is never below the true one. Cells
+   that are too many to be sent to a task at once are cut into parts by a hash
+   of the anchor, and steps 2 and 3 take the blocks of one part after the other.
 2. Segments counted twice or more are compared by full content, first inside
    the task, then by one shuffle on the content. All but those of the smallest
    document are removed; the one that stays is opened into blocks.
@@ -47,7 +49,7 @@ OPEN, GONE, WHOLE = 0, 1, 2  # kinds of rows: open block or window, removed run,
 FLUSH = 50_000  # contents held by a task for local comparison
 SEGMENT = 16  # blocks in a segment, on average
 GROUP = 8192  # blocks of one anchor whose windows are compared in one place; above, windows are shuffled one by one
-MAX_CELLS = 1 << 28  # cells of a sketch row: two rows are 64 MB as bits
+MAX_CELLS = 1 << 28  # cells of a sketch row that a task holds at once: two rows are 64 MB as bits
 MIXED_ROWS = 1_000_000  # anchors (16 bytes each) sent to all tasks at most
 SHARDS = 64  # cell ranges of a sketch row
 
@@ -111,6 +113,11 @@ def cells_of(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mix(hashes ^ U((0xD6E8FEB86659FD93 * (row + 1)) & MASK)) >> U(64 - bits)).astype(np.int64)
 
 
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the sketch that counts each hash."""
+    return ((mix(hashes ^ U(0x2545F4914F6CDD1D)) >> U(32)) % U(parts)).astype(np.int64)
+
+
 class Chunks:
     """Gathers documents into arrays of about CHUNK symbols; long documents are cut with an overlap of length - 1."""
 
@@ -210,36 +217,43 @@ def sketch_bits(expected: float) -> int:
     return int(np.clip(np.ceil(np.log2(max(4 * expected, 1))), 16, np.log2(MAX_CELLS)))
 
 
-def sketch(df: DataFrame, hashes_of: Callable, bits: int, rows: int) -> list[np.ndarray]:
-    """Merged count sketch of the 64-bit values that ``hashes_of`` yields, as arrays, from the batches of ``df``: per
-    row of the sketch a bit for each cell that counts two or more (bounded by MAX_CELLS)."""
-    shard_bits = bits - int(np.log2(SHARDS))
+def sketch_parts(expected: float) -> int:
+    """Parts of a sketch that has two cells or more for each expected value, and ``MAX_CELLS`` at most in a part's row."""
+    return max(1, int(np.ceil(2 * expected / MAX_CELLS)))
+
+
+def sketch(df: DataFrame, hashes_of: Callable, bits: list[int], rows: int) -> DataFrame:
+    """Merged count sketches of 64-bit values: ``hashes_of`` yields, from the batches of ``df``, the number of a sketch and
+    an array of values for it; ``bits`` has each sketch's size. Rows of (sketch, shard, twice): for each cell range a bit
+    string of the cells that count two or more. ``bit_maps`` reads one sketch of the table."""
+    shard_bits = [b - int(np.log2(SHARDS)) for b in bits]
 
     def count(it):
         """Counts of a task by cell range: sorted cells (a cell as often as it counts) as steps, in 16 bits where all fit."""
-        schema = pa.schema([("shard", pa.int32()), ("wide", pa.bool_()), ("first", pa.int32()), ("steps", pa.binary())])
-        held: list = []
+        schema = pa.schema([("sketch", pa.int32()), ("shard", pa.int32()), ("wide", pa.bool_()), ("first", pa.int32()), ("steps", pa.binary())])
+        held: list = [[] for _ in bits]
 
         def flush():
-            h = np.concatenate(held) if held else np.empty(0, U)
-            held.clear()
-            out: list = [[], [], [], []]
-            for r in range(rows):
-                cells = np.sort(cells_of(h, r, bits))
-                where = np.searchsorted(cells, np.arange(SHARDS + 1) << shard_bits)
-                for s in range(SHARDS):
-                    part = cells[where[s] : where[s + 1]] - (s << shard_bits)
-                    if len(part):
-                        steps = np.diff(part)
-                        wide = bool(steps.max(initial=0) > 0xFFFF)
-                        for c, v in zip(out, (r * SHARDS + s, wide, int(part[0]), steps.astype(np.uint32 if wide else np.uint16).tobytes())):
-                            c.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
+            for k, parts in enumerate(held):
+                h = np.concatenate(parts) if parts else np.empty(0, U)
+                parts.clear()
+                out: list = [[], [], [], [], []]
+                for r in range(rows):
+                    cells = np.sort(cells_of(h, r, bits[k]))
+                    where = np.searchsorted(cells, np.arange(SHARDS + 1) << shard_bits[k])
+                    for s in range(SHARDS):
+                        part = cells[where[s] : where[s + 1]] - (s << shard_bits[k])
+                        if len(part):
+                            steps = np.diff(part)
+                            wide = bool(steps.max(initial=0) > 0xFFFF)
+                            for c, v in zip(out, (k, r * SHARDS + s, wide, int(part[0]), steps.astype(np.uint32 if wide else np.uint16).tobytes())):
+                                c.append(v)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
 
         size = 0
-        for h in hashes_of(it):
-            held.append(h)
+        for k, h in hashes_of(it):
+            held[k].append(h)
             size += len(h)
             if size >= 1 << 21:
                 yield from flush()
@@ -247,23 +261,28 @@ def sketch(df: DataFrame, hashes_of: Callable, bits: int, rows: int) -> list[np.
         yield from flush()
 
     def merge(it):
-        schema = pa.schema([("shard", pa.int32()), ("twice", pa.binary())])
-        total: dict[int, np.ndarray] = {}
+        schema = pa.schema([("sketch", pa.int32()), ("shard", pa.int32()), ("twice", pa.binary())])
+        total: dict[tuple[int, int], np.ndarray] = {}
         for batch in it:
-            for shard, wide, first, steps in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                acc = total.get(shard)
+            for k, shard, wide, first, steps in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                acc = total.get((k, shard))
                 if acc is None:
-                    acc = total[shard] = np.zeros(1 << shard_bits, np.uint8)
+                    acc = total[k, shard] = np.zeros(1 << shard_bits[k], np.uint8)
                 cells = np.concatenate([[0], np.cumsum(np.frombuffer(steps, np.uint32 if wide else np.uint16).astype(np.int64))]) + first
                 cells, counts = np.unique(cells, return_counts=True)
                 acc[cells] = np.minimum(acc[cells] + np.minimum(counts, 255), 255)
-        for shard, acc in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([np.packbits(acc >= 2).tobytes()], pa.binary())], schema=schema)
+        for (k, shard), acc in total.items():
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([shard], pa.int32()), pa.array([np.packbits(acc >= 2).tobytes()], pa.binary())], schema=schema)
 
-    parts = df.mapInArrow(count, "shard int, wide boolean, first int, steps binary").repartition("shard").mapInArrow(merge, "shard int, twice binary")
+    counts = df.mapInArrow(count, "sketch int, shard int, wide boolean, first int, steps binary")
+    return counts.repartition("sketch", "shard").mapInArrow(merge, "sketch int, shard int, twice binary")
+
+
+def bit_maps(sketches: DataFrame, k: int, bits: int, rows: int) -> list[np.ndarray]:
+    """One sketch as arrays, per row a bit for each cell that counts two or more."""
     out = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(rows)]
-    size = (1 << shard_bits) // 8
-    for r in parts.collect():  # rows * SHARDS bit strings, 64 MB at most
+    size = (1 << bits) // SHARDS // 8
+    for r in sketches.where(F.col("sketch") == k).collect():  # rows * SHARDS bit strings, 64 MB at most
         row, s = divmod(r["shard"], SHARDS)
         out[row][s * size : (s + 1) * size] = np.frombuffer(r["twice"], np.uint8)
     return out
@@ -291,23 +310,32 @@ def repeated(
     what single windows are shuffled by.
     """
     spark = docs.sparkSession
-    bits = sketch_bits(2 * symbols / (length - gram + 2))
+    expected = 2 * symbols / (length - gram + 2)
+    n_parts = sketch_parts(expected)
+    # the parts of the blocks' sketch, then that of the segments
+    bits = [sketch_bits(expected / n_parts)] * n_parts + [sketch_bits(min(expected / SEGMENT, MAX_CELLS / 8))]
 
     def all_hashes(it):
+        def by_part(h, seg):
+            where = part_of(h, n_parts)
+            for k in range(n_parts):
+                yield k, h[where == k]
+            yield n_parts, seg
+
         chunks = Chunks(gram, length)
         for batch in it:
             for text in batch.column("text"):
                 for _, _, _, _, h, _, seg in chunks.add(None, symbols_of(text.as_buffer())):
-                    yield h
-                    yield seg
+                    yield from by_part(h, seg)
         for _, _, _, _, h, _, seg in chunks.rest():
-            yield h
-            yield seg
+            yield from by_part(h, seg)
 
-    twice = spark.sparkContext.broadcast(sketch(docs.select("text"), all_hashes, bits, rows))
+    sketches, sketch_path = store(sketch(docs.select("text"), all_hashes, bits, rows), "sketch")
+    whole_twice = spark.sparkContext.broadcast(bit_maps(sketches, n_parts, bits[n_parts], rows))
 
-    def cut(items, whole: bool):
-        """Open blocks (and with ``whole`` open segments) of items (document, th, buffer, starts of the buffer in the document)."""
+    def cut(items, whole: bool, part: int, twice):
+        """Open blocks of a ``part`` (and, with ``whole`` and the first part, open segments) of items (document, th, buffer,
+        starts of the buffer in the document)."""
         blocks, segments = local_of(), Local(WHOLE)
         chunks, texts = Chunks(gram, length), {}
 
@@ -321,12 +349,14 @@ def repeated(
                     doc, th, content, starts = texts[parts[p][0]]
                     to.add(content(s, s + k + length - 2), g, doc, th, [s + b for b in starts], k)
 
-            ok = counted_twice(h, twice.value, bits)
+            ok = part_of(h, n_parts) == part
+            ok[ok] = counted_twice(h[ok], twice.value, bits[part])
             if whole and len(seg):
                 end = np.append(seg[1:], len(first))
-                again = counted_twice(seg_h, twice.value, bits)
+                again = counted_twice(seg_h, whole_twice.value, bits[n_parts])
                 ok &= ~np.repeat(again, end - seg)
-                send(segments, first[seg[again]], last[end[again] - 1], seg_h[again])
+                if part == 0:
+                    send(segments, first[seg[again]], last[end[again] - 1], seg_h[again])
             send(blocks, first[ok], last[ok], h[ok])
 
         for n, (doc, th, buf, starts) in enumerate(items):
@@ -343,33 +373,51 @@ def repeated(
         yield from blocks.rows()
         yield from segments.rows()
 
-    def find(it):
-        def items():
-            for batch in it:
-                for doc, th, text in zip(batch.column("doc").to_pylist(), batch.column("th").to_pylist(), batch.column("text")):
-                    yield doc, th, text.as_buffer(), (0,)
+    def find(part, twice):
+        def found(it):
+            def items():
+                for batch in it:
+                    for doc, th, text in zip(batch.column("doc").to_pylist(), batch.column("th").to_pylist(), batch.column("text")):
+                        yield doc, th, text.as_buffer(), (0,)
 
-        return batches(cut(items(), True))
+            return batches(cut(items(), True, part, twice))
 
-    def settle_segments(it):
-        gone: list = []
+        return found
 
-        def items():
-            for kind, _, c, d, th, starts, n in settled_rows(it):
-                if kind == GONE:
-                    gone.append((GONE, 0, None, d, th, starts, n))
-                else:
-                    yield d, th, pa.py_buffer(c), starts
+    def settle_segments(part, twice):
+        """The first part's blocks of the segments that stay, removed segments, and the segments for the other parts."""
 
-        def found():
-            for row in cut(items(), False):
+        def found(it):
+            others: list = []
+
+            def items():
+                for kind, g, c, d, th, starts, n in settled_rows(it):
+                    if kind == GONE:
+                        others.append((GONE, 0, None, d, th, starts, n))
+                    else:
+                        if n_parts > 1:
+                            others.append((WHOLE, g, c, d, th, starts, n))
+                        yield d, th, pa.py_buffer(c), starts
+
+            for row in cut(items(), False, part, twice):
                 yield row
-                if gone:
-                    yield from gone
-                    gone.clear()
-            yield from gone
+                if others:
+                    yield from others
+                    others.clear()
+            yield from others
 
-        return batches(found())
+        return lambda it: batches(found(it))
+
+    def open_segments(part, twice):
+        def found(it):
+            def items():
+                for batch in it:
+                    for _, _, c, d, th, starts, _ in zip(*(batch.column(i).to_pylist() for i in range(7))):
+                        yield d, th, pa.py_buffer(c), starts
+
+            return batches(cut(items(), False, part, twice))
+
+        return found
 
     def group_windows(it):
         """Rows sorted by anchor, at most GROUP of each: windows are compared inside the group, and runs of removed ones sent."""
@@ -418,24 +466,39 @@ def repeated(
     def dealt(df):
         return df.repartition("content").sortWithinPartitions("content", "doc")
 
-    met, met_path = store(docs.mapInArrow(find, FOUND), "met", by="kind")
-    opened, opened_path = store(dealt(met.where(f"kind = {WHOLE}")).mapInArrow(settle_segments, FOUND), "opened", by="kind")
-    blocks = met.where(f"kind = {OPEN}").unionByName(opened.where(f"kind = {OPEN}"))
+    tables: list = []  # blocks found in the texts and in the segments that stay, part by part, and what is removed
+    done: list = []  # folders of these tables that nothing reads again once the blocks are settled
+    whole = None
+    for part in range(n_parts):
+        twice = spark.sparkContext.broadcast(bit_maps(sketches, part, bits[part], rows))
+        met, met_path = store(docs.mapInArrow(find(part, twice), FOUND), "met", by="kind")
+        if part == 0:
+            opened, opened_path = store(dealt(met.where(f"kind = {WHOLE}")).mapInArrow(settle_segments(part, twice), FOUND), "opened", by="kind")
+            discard(spark, f"{met_path}/kind={WHOLE}")
+            whole, done = opened.where(f"kind = {WHOLE}"), [f"{opened_path}/kind={WHOLE}"]
+        else:
+            opened, opened_path = store(whole.mapInArrow(open_segments(part, twice), FOUND), "opened", by="kind")
+        tables += [met, opened]
+        done += [f"{path}/kind={OPEN}" for path in (met_path, opened_path)]
+        twice.destroy()
+    whole_twice.destroy()
+    discard(spark, sketch_path)
+    blocks = reduce(DataFrame.unionByName, [t.where(f"kind = {OPEN}") for t in tables])
     # what is left is counted once more: most anchors now stand alone
     left_bits = sketch_bits(blocks.count())
 
     def grams(it):
         for batch in it:
-            yield batch.column("gram").to_numpy().view(U)
+            yield 0, batch.column("gram").to_numpy().view(U)
 
-    left = spark.sparkContext.broadcast(sketch(blocks.select("gram"), grams, left_bits, rows))
+    left = spark.sparkContext.broadcast(bit_maps(sketch(blocks.select("gram"), grams, [left_bits], rows), 0, left_bits, rows))
 
     def not_alone(it):
         for batch in it:
             yield batch.filter(pa.array(counted_twice(batch.column("gram").to_numpy().view(U), left.value, left_bits)))
 
     settled = stored(dealt(blocks.mapInArrow(not_alone, FOUND)).mapInArrow(settle, FOUND), "settled")
-    for path in (f"{met_path}/kind={OPEN}", f"{met_path}/kind={WHOLE}", f"{opened_path}/kind={OPEN}"):
+    for path in done:
         discard(spark, path)  # settled; of these tables only the removed runs are read again
     classes = settled.where(f"kind = {OPEN}")
     mixed = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("k"), F.min(F.xxhash64("content")).alias("a"), F.max(F.xxhash64("content")).alias("b")).where("a <> b")
@@ -448,7 +511,7 @@ def repeated(
     many = many.drop("k")
     single = stored(many.mapInArrow(open_windows, FOUND), "windows")
     last = dealt(single.where(f"kind = {OPEN}")).mapInArrow(settle, FOUND)
-    gone = [x.where(f"kind = {GONE}").select("doc", "th", "starts", "n") for x in (met, opened, settled, near, single, last)]
+    gone = [x.where(f"kind = {GONE}").select("doc", "th", "starts", "n") for x in (*tables, settled, near, single, last)]
     return reduce(DataFrame.unionByName, gone)
 
 

@@ -85,3 +85,37 @@ def test_radix_groups_hold_the_items_and_not_the_longest_for_each():
         assert of.setdefault(x, g) == g
     assert len(set(of.values())) == len(of)
     assert radix_groups([]).tolist() == []
+
+
+@pytest.mark.parametrize("dedup, symbols, join", [(suffix_digest, bytes, bytes), (substring_digest, bytes.split, b" ".join)])
+def test_a_sketch_in_parts_gives_the_same_rows(spark, monkeypatch, dedup, symbols, join):
+    monkeypatch.setattr(passages, "MAX_CELLS", 1 << 10)
+    rows = [(d, t if t is None else t[:4000]) for d, t in awkward_documents(n=30)]
+    got = dedup(frame(spark, rows, CLASHING)).collect()
+    exp = brute(rows, symbols, join, 50)
+    assert sorted((r[0], r[1], r[2], r[-1]) for r in got if r[0] is not None) == sorted((d, n, r, h) for d, n, r, _, h in exp if d is not None)
+    assert passages.sketch_parts(3000) == 6 and len(got) == len(exp)
+
+
+def test_cells_grow_with_the_input_and_few_lone_blocks_are_written(spark, monkeypatch):
+    """With many more blocks than a task holds cells for, those that occur once still end before anything is written."""
+    import random
+
+    rng = random.Random(7)
+    copied = "".join(rng.choices("abcdefgh", k=2000))
+    rows = [(i, "".join(rng.choices("abcdefgh", k=5000)) + (copied if i < 2 else "")) for i in range(40)]
+    written = {}
+    store = passages.store
+
+    def counted(df, name, by=None):
+        out, path = store(df, name, by)
+        if name in ("met", "opened"):
+            written[name] = written.get(name, 0) + out.where(f"kind = {passages.OPEN}").count()
+        return out, path
+
+    monkeypatch.setattr(passages, "store", counted)
+    monkeypatch.setattr(passages, "MAX_CELLS", 1 << 12)
+    got = {r.doc_id: r.n_removed for r in dedup_bytes(frame(spark, rows)).collect()}
+    blocks = 2 * sum(len(t) for _, t in rows) / (50 - 20 + 2)
+    assert got == {i: 2000 if i == 1 else 0 for i in range(40)}
+    assert written["met"] + written["opened"] < 0.35 * blocks
