@@ -128,3 +128,22 @@ def test_a_large_key_set_is_not_broadcast_whatever_spark_takes_its_size_for(spar
         assert "Broadcast" not in joined(df)
     assert "Broadcast" in joined(target.join(broadcast_if_small(came.select("k"), max_rows=1000), "k", "left_semi"))
     assert upserted.count() == 1000 and untouched.count() == 0 and touched.count() == kept.count() == target.count()
+
+
+def test_row_counts_load_all_tables_together(spark, monkeypatch):
+    """One load of all tables before any is counted: an entity is profiled once, not once a table."""
+    from hvault.plans import queries
+
+    class Store:
+        _done, calls = {0: {"hub_a", "link_b", "hsat_c"}}, []
+
+        def vault(self, batch, names):
+            self.calls.append((batch, set(names)))
+
+        def table(self, name):
+            self.calls.append(name)
+            return spark.range(3)
+
+    monkeypatch.setattr(queries, "_store", lambda *_: Store())
+    got = queries.QUERIES["pipeline_row_counts"](spark, SF)
+    assert Store.calls[0] == (2, {"hub_a", "link_b", "hsat_c"}) and rows(got) == rows(spark.createDataFrame([(n, 3) for n in Store._done[0]], "table_name string, row_count long"))
